@@ -11,7 +11,7 @@ _V4 = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
 _V4_ONLY = rf"^{_V4}\z"
 _V4_TAIL = rf"^(.*:)({_V4})\z"
 _EIGHT_GROUPS = r"^(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}\z"
-_MAPPED = r"^0:0:0:0:0:ffff:"
+_MAPPED = "0:0:0:0:0:ffff:"
 
 
 def ip_canonical(text: Column) -> Column:
@@ -45,20 +45,25 @@ def _hex_tail(text: Column) -> Column:
 
         return F.concat(F.regexp_extract(v, _V4_TAIL, 1), group(0, 1), F.lit(":"), group(2, 3))
 
-    return let(text, lambda v: F.when(v.rlike(_V4_TAIL), convert(v)).otherwise(v))
+    def tail(v: Column) -> Column:
+        return F.when(v.contains(".") & v.rlike(_V4_TAIL), convert(v)).otherwise(v)
+
+    return let(text, tail)
 
 
 def _expand(text: Column) -> Column:
     """Write out ``::``; NULL unless the result has eight groups."""
 
     def groups(part: Column) -> Column:
-        return F.when(part == "", F.lit(0)).otherwise(F.size(F.split(part, ":")))
+        colons = F.length(part) - F.length(F.replace(part, F.lit(":"), F.lit("")))
+        return F.when(part == "", F.lit(0)).otherwise(colons + 1)
 
     def fill(v: Column) -> Column:
-        left, right = F.split_part(v, F.lit("::"), F.lit(1)), F.split_part(v, F.lit("::"), F.lit(2))
+        left = F.substring_index(v, "::", 1)
+        right = F.substring_index(v, "::", -1)
         missing = F.lit(8) - groups(left) - groups(right)
         return F.when(
-            missing >= 1,
+            (missing >= 1) & (F.length(v) == F.length(left) + F.length(right) + 2),
             F.concat_ws(
                 ":",
                 F.nullif(left, F.lit("")),
@@ -68,32 +73,39 @@ def _expand(text: Column) -> Column:
         )
 
     def expanded(v: Column) -> Column:
-        return F.when(v.rlike("::.*::"), F.lit(None)).when(v.contains("::"), fill(v)).otherwise(v)
+        return F.when(v.contains("::"), fill(v)).otherwise(v)
 
     return let(let(text, expanded), lambda v: F.when(v.rlike(_EIGHT_GROUPS), v))
 
 
 def _drop_leading_zeros(full: Column) -> Column:
-    return F.regexp_replace(full, "(^|:)0{1,3}([0-9a-f])", "$1$2")
+    return F.when(
+        full.rlike("(?:^|:)0[0-9a-f]"), F.regexp_replace(full, "(^|:)0{1,3}([0-9a-f])", "$1$2")
+    ).otherwise(full)
 
 
 def _compress(full: Column) -> Column:
-    mapped = F.split(full, ":")
+    parts = F.split(full, ":")
 
     def byte_pair(i: int) -> Column:
-        number = F.conv(mapped[i], 16, 10).cast("int")
+        number = F.conv(parts[i], 16, 10).cast("int")
         return F.concat(
             F.shiftright(number, 8).cast("string"), F.lit("."), (number % 256).cast("string")
         )
 
     dotted = F.concat(F.lit("::ffff:"), byte_pair(6), F.lit("."), byte_pair(7))
-    short = full
-    # Shortest run first, so that the outermost test is for the longest run.
-    for run in range(2, 9):
-        zeros = "(?:0:){%d}" % run
-        pattern = f"^((?:[0-9a-f]+:)*?){zeros}((?:[0-9a-f]+:)*)$"
-        listed = F.concat(full, F.lit(":"))
-        head = F.regexp_replace(F.regexp_extract(listed, pattern, 1), ":$", "")
-        tail = F.regexp_replace(F.regexp_extract(listed, pattern, 2), ":$", "")
-        short = F.when(listed.rlike(pattern), F.concat(head, F.lit("::"), tail)).otherwise(short)
-    return F.when(full.rlike(_MAPPED), dotted).otherwise(short)
+
+    # Runs are all made of "0:", so the greatest text is the longest run; its first place
+    # behind a colon is where the first run of that length starts.
+    def cut(v: Column) -> Column:
+        listed, run = v["listed"], v["run"]
+        start = F.instr(listed, F.concat(F.lit(":"), run))
+        head = F.substring(listed, F.lit(2), F.greatest(start - 2, F.lit(0)))
+        tail = F.substring(listed, start + F.length(run) + 1, F.length(listed))
+        short = F.concat(head, F.lit("::"), F.left(tail, F.length(tail) - 1))
+        return F.when(F.length(run) > 2, short).otherwise(full)
+
+    listed = F.concat(F.lit(":"), full, F.lit(":"))
+    longest = F.array_max(F.regexp_extract_all(listed, F.lit("(?<=:)(?:0:)+"), F.lit(0)))
+    short = let(F.struct(listed.alias("listed"), longest.alias("run")), cut)
+    return F.when(full.startswith(_MAPPED), dotted).otherwise(short)

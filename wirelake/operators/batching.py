@@ -22,6 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from wirelake.operators.scan import BLOCK, ordinal
+from wirelake.session import send_code_with_tasks
+
+send_code_with_tasks(__name__)
 
 OPEN = -1  # the chain ends: no later row closes a batch
 
@@ -167,8 +170,8 @@ def _compose(key: str):
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block")
         first = pdf.iloc[0]
-        exits = np.asarray(first["exits"], dtype=np.int64)
-        closings = np.asarray(first["closings"], dtype=np.int64)
+        exits = np.array(first["exits"], dtype=np.int64)
+        closings = np.array(first["closings"], dtype=np.int64)
         for more, added in zip(pdf["exits"].iloc[1:], pdf["closings"].iloc[1:]):
             going = exits != OPEN
             at = exits[going]

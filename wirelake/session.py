@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -54,3 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one, so that two runs never meet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def send_code_with_tasks(module: str) -> None:
+    """Let Python workers receive a module's functions with the task.
+
+    They need not find this package on their own path, on whatever machine they run.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -6,37 +6,48 @@ from pyspark.sql import DataFrame, functions as F
 
 from wirelake.functions.text import strip
 
-# A sample line ends in the value after its last blank; labels are name="text".
-_SAMPLE = r"^(.*) ([^ ]*)$"
-_LABEL = r'([A-Za-z_][A-Za-z0-9_]*)="((?:[^"\\]|\\.)*)"'
+# The numbers a sample may have, and labels as name="text".
+_NUMBER = r"^(?:[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))|(?i:nan))\z"
+_LABEL = r'[A-Za-z_][A-Za-z0-9_]*="[^"\\]*(?:\\.[^"\\]*)*"'
 
 
 def metrics_parse(lines: DataFrame, column: str = "line") -> DataFrame:
     """``line`` -> ``series, name, labels, value``; other columns pass through.
 
-    Comments, blank lines, lines without a blank and lines whose last word is no number
-    are dropped.
+    The value is the last word, the series all before it. Comments, blank lines, lines of one
+    word and lines whose last word is no number are dropped. The two parts pass through
+    ``explode(array(..))``, so that filters on them do not split the line again.
     """
-    text = strip(F.col(column))
-    series = F.regexp_extract(text, _SAMPLE, 1)
-    value = F.regexp_extract(text, _SAMPLE, 2)
+    text = F.col("_text")
+    number = F.substring_index(text, " ", -1)
+    parts = F.struct(
+        F.left(text, F.length(text) - F.length(number) - 1).alias("series"), number.alias("number")
+    )
     return (
-        lines.filter((text != "") & ~text.startswith("#") & text.contains(" "))
-        .withColumn("series", series)
-        .withColumn("value", F.when(value == strip(value), value.try_cast("double")))
-        .filter(F.col("value").isNotNull())
-        .drop(column)
+        lines.withColumn("_text", strip(F.col(column)))
+        .filter(~text.startswith("#") & text.contains(" "))
+        .withColumn("_parts", F.explode(F.array(parts)))
+        .filter(F.col("_parts.number").rlike(_NUMBER))
+        .withColumn("value", F.col("_parts.number").try_cast("double"))
+        .withColumn("series", F.col("_parts.series"))
+        .drop(column, "_text", "_parts")
         .withColumn("name", metric_name(F.col("series")))
-        .withColumn(
-            "labels",
-            F.map_from_arrays(
-                F.regexp_extract_all("series", F.lit(_LABEL), F.lit(1)),
-                F.regexp_extract_all("series", F.lit(_LABEL), F.lit(2)),
-            ),
-        )
+        .withColumn("labels", metric_labels(F.col("series")))
     )
 
 
+def metric_labels(series):
+    """Label names and values, the values as they are written between their quotes."""
+
+    def entry(pair):
+        name = F.substring_index(pair, "=", 1)
+        value = F.substring(pair, F.length(name) + 3, F.length(pair) - F.length(name) - 3)
+        return F.struct(name, value)
+
+    pairs = F.regexp_extract_all(series, F.lit(_LABEL), F.lit(0))
+    return F.map_from_entries(F.transform(pairs, entry))
+
+
 def metric_name(series):
     """The text before the label set; a series that starts with its labels has no other name."""
     return F.when(series.startswith("{"), series).otherwise(F.split_part(series, F.lit("{"), F.lit(1)))

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from wirelake.operators.traffic import packet_id
+from wirelake.session import send_code_with_tasks
+
+send_code_with_tasks(__name__)
 
 
 def dedup_stream(packets: DataFrame, late: str = "10 minutes") -> DataFrame:
