@@ -36,7 +36,7 @@ def _matches(variant: Column, pattern, top: bool = False) -> Column:
         elements = F.try_variant_get(variant, "$", "array<variant>")
         found = _kind(variant).startswith("ARRAY")
         for wanted in pattern:
-            found = found & F.exists(elements, lambda e, w=wanted: _matches(e, w))
+            found = found & _any(elements, wanted)
         return found
     same = _same_scalar(variant, pattern)
     if not top:
@@ -46,6 +46,10 @@ def _matches(variant: Column, pattern, top: bool = False) -> Column:
     return same | F.coalesce(F.exists(elements, lambda e: _same_scalar(e, pattern)), F.lit(False))
 
 
+def _any(elements: Column, wanted) -> Column:
+    return F.exists(elements, lambda element: _matches(element, wanted))
+
+
 def _step(key: str) -> str:
     if "'" in key:
         raise ValueError(f"a key with a quote cannot be used in a path: {key!r}")
