@@ -137,14 +137,13 @@ def test_batches_stream_by_count_and_time(spark):
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{folder}/in")
     )
-    # The timer is an hour away; only rows close batches here.
-    out = batches_stream(stream, size=3, interval_ms=3_600_000)
+    out = batches_stream(stream, size=3, interval_ms=2000, timer=False)
     run(
         out.writeStream.format("parquet").option("path", f"{folder}/out")
         .option("checkpointLocation", f"{folder}/cp").trigger(**ONCE).start()
     )
     got = sorted(tuple(r) for r in spark.read.parquet(f"{folder}/out").collect())
-    assert got == [("a", 0, 3, 0, 2, "count"), ("a", 1, 3, 3, 5, "count")]
+    assert got == [("a", 0, 3, 0, 2, "count"), ("a", 1, 3, 3, 5, "count"), ("b", 0, 2, 0, 1, "time")]
 
 
 def test_batches_stream_timer_closes_a_quiet_key(spark):

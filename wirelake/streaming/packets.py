@@ -43,8 +43,8 @@ class CountOrTimeBatches(StatefulProcessor):
     that has gone quiet, which rows alone would leave open.
     """
 
-    def __init__(self, size: int, interval_ms: int):
-        self.size, self.interval_ms = size, interval_ms
+    def __init__(self, size: int, interval_ms: int, timer: bool):
+        self.size, self.interval_ms, self.timer = size, interval_ms, timer
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -53,7 +53,6 @@ class CountOrTimeBatches(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        now_ms = timerValues.getCurrentProcessingTimeInMs()
         batch_no, filled, first, last, flushed, timer = (
             self.state.get() if self.state.exists() else (0, 0, 0, 0, None, 0)
         )
@@ -71,8 +70,8 @@ class CountOrTimeBatches(StatefulProcessor):
         if timer:
             self.handle.deleteTimer(timer)
             timer = 0
-        if filled:
-            timer = now_ms + self.interval_ms
+        if filled and self.timer:
+            timer = timerValues.getCurrentProcessingTimeInMs() + self.interval_ms
             self.handle.registerTimer(timer)
         self.state.update((batch_no, filled, first, last, flushed, timer))
         yield _frame(closed)
@@ -95,15 +94,19 @@ def _frame(closed: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(closed, columns=["key", "batch_no", "rows", "first_seq", "last_seq", "cause"])
 
 
-def batches_stream(arrivals: DataFrame, size: int = 500, interval_ms: int = 1000) -> DataFrame:
+def batches_stream(
+    arrivals: DataFrame, size: int = 500, interval_ms: int = 1000, *, timer: bool = True
+) -> DataFrame:
     """Closed batches of a stream of ``key, seq, arrival`` rows.
 
-    Needs the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
+    Without ``timer`` only rows close batches; a bounded run (``availableNow``) needs that, as
+    it would wait for timers without end. Needs the RocksDB state store
+    (``spark.sql.streaming.stateStore.providerClass``).
     """
     rows = arrivals.select("key", "seq", F.unix_micros("arrival").alias("us"))
     return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=CountOrTimeBatches(size, interval_ms),
+        statefulProcessor=CountOrTimeBatches(size, interval_ms, timer),
         outputStructType=BATCHES,
         outputMode="append",
-        timeMode="processingTime",
+        timeMode="processingTime" if timer else "none",
     )
