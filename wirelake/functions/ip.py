@@ -1,111 +1,84 @@
-"""IP addresses as canonical text, in plain column expressions (no Python workers)."""
+"""IP addresses as canonical text, in plain SQL expressions (no Python workers)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from wirelake.functions.text import let
-
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _V4 = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
 _V4_ONLY = rf"^{_V4}\z"
 _V4_TAIL = rf"^(.*:)({_V4})\z"
 _EIGHT_GROUPS = r"^(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}\z"
-_MAPPED = "0:0:0:0:0:ffff:"
-
-
-def ip_canonical(text: Column) -> Column:
-    """Lower-case compressed text of a valid IPv4 or IPv6 address, else NULL.
-
-    IPv4 octets take no leading zeros. IPv6 follows the usual short form: the longest run of
-    two or more zero groups, the first of equals, becomes ``::``; IPv4-mapped addresses keep
-    the dotted tail. Zone ids are refused, as an address column cannot hold them.
-    Only text that holds a colon reaches the IPv6 steps.
-    """
-    return F.when(text.rlike(_V4_ONLY), text).when(
-        text.contains(":"),
-        let(let(_expand(_hex_tail(F.lower(text))), _drop_leading_zeros), _compress),
-    )
-
-
-def ip_version(address: Column) -> Column:
-    return F.when(address.contains(":"), F.lit(6)).otherwise(F.lit(4))
 
 
-def _hex_tail(text: Column) -> Column:
-    """Replace a dotted tail by two hexadecimal groups."""
+def _group(high: int, low: int) -> str:
+    return f"lower(hex(int(o[{high}]) * 256 + int(o[{low}])))"
 
-    def convert(v: Column) -> Column:
-        octets = F.split(F.regexp_extract(v, _V4_TAIL, 2), r"\.")
 
-        def group(high: int, low: int) -> Column:
-            return F.lower(
-                F.hex(octets[high].cast("int") * F.lit(256) + octets[low].cast("int"))
-            )
+def _groups_in(part: str) -> str:
+    return f"if({part} = '', 0, length({part}) - length(replace({part}, ':', '')) + 1)"
 
-        return F.concat(F.regexp_extract(v, _V4_TAIL, 1), group(0, 1), F.lit(":"), group(2, 3))
 
-    def tail(v: Column) -> Column:
-        return F.when(v.contains(".") & v.rlike(_V4_TAIL), convert(v)).otherwise(v)
+def _bytes(i: int) -> str:
+    return f"int(conv(g[{i}], 16, 10)) div 256, '.', int(conv(g[{i}], 16, 10)) % 256"
 
-    return let(text, tail)
 
+# Each step maps the text v to the next one; NULL stays NULL.
+# A dotted tail becomes two hexadecimal groups.
+_HEX_TAIL = rf"""CASE WHEN contains(v, '.') AND v RLIKE r'{_V4_TAIL}'
+  THEN transform(array(split(regexp_extract(v, r'{_V4_TAIL}', 2), r'\.')),
+    o -> concat(regexp_extract(v, r'{_V4_TAIL}', 1), {_group(0, 1)}, ':', {_group(2, 3)}))[0]
+  ELSE v END"""
 
-def _expand(text: Column) -> Column:
-    """Write out ``::``; NULL unless the result has eight groups."""
+# "::" is written out; it stands for one group at least and occurs once.
+_MISSING = f"(8 - {_groups_in('p.l')} - {_groups_in('p.r')})"
+_EXPANDED = f"""CASE WHEN contains(v, '::')
+  THEN transform(array(named_struct('l', substring_index(v, '::', 1), 'r', substring_index(v, '::', -1))),
+    p -> CASE WHEN {_MISSING} >= 1 AND length(v) = length(p.l) + length(p.r) + 2
+      THEN concat_ws(':', nullif(p.l, ''), array_repeat('0', {_MISSING}), nullif(p.r, '')) END)[0]
+  ELSE v END"""
 
-    def groups(part: Column) -> Column:
-        colons = F.length(part) - F.length(F.replace(part, F.lit(":"), F.lit("")))
-        return F.when(part == "", F.lit(0)).otherwise(colons + 1)
+_CHECKED = f"CASE WHEN v RLIKE r'{_EIGHT_GROUPS}' THEN v END"
 
-    def fill(v: Column) -> Column:
-        left = F.substring_index(v, "::", 1)
-        right = F.substring_index(v, "::", -1)
-        missing = F.lit(8) - groups(left) - groups(right)
-        return F.when(
-            (missing >= 1) & (F.length(v) == F.length(left) + F.length(right) + 2),
-            F.concat_ws(
-                ":",
-                F.nullif(left, F.lit("")),
-                F.array_repeat(F.lit("0"), missing),
-                F.nullif(right, F.lit("")),
-            ),
-        )
+_NO_LEADING_ZEROS = """CASE WHEN v RLIKE r'(?:^|:)0[0-9a-f]'
+  THEN regexp_replace(v, r'(^|:)0{1,3}([0-9a-f])', '$1$2') ELSE v END"""
 
-    def expanded(v: Column) -> Column:
-        return F.when(v.contains("::"), fill(v)).otherwise(v)
+# Runs of zeros are all made of "0:", so the greatest text is the longest run; its first place
+# behind a colon is where the first run of that length starts.
+_COMPRESSED = f"""CASE WHEN startswith(v, '0:0:0:0:0:ffff:')
+  THEN transform(array(split(v, ':')), g -> concat('::ffff:', {_bytes(6)}, '.', {_bytes(7)}))[0]
+  ELSE transform(array(named_struct('all', concat(':', v, ':'),
+      'run', array_max(regexp_extract_all(concat(':', v, ':'), r'(?<=:)(?:0:)+', 0)))),
+    z -> CASE WHEN length(z.run) > 2
+      THEN concat(substring(z.all, 2, greatest(instr(z.all, concat(':', z.run)) - 2, 0)), '::',
+        rtrim(':', substring(z.all, instr(z.all, concat(':', z.run)) + length(z.run) + 1)))
+      ELSE v END)[0] END"""
 
-    return let(let(text, expanded), lambda v: F.when(v.rlike(_EIGHT_GROUPS), v))
 
+def _chained(text: str) -> str:
+    chain = f"array(lower({text}))"
+    for step in (_HEX_TAIL, _EXPANDED, _CHECKED, _NO_LEADING_ZEROS, _COMPRESSED):
+        chain = f"transform({chain}, v -> {step})"
+    return f"{chain}[0]"
 
-def _drop_leading_zeros(full: Column) -> Column:
-    return F.when(
-        full.rlike("(?:^|:)0[0-9a-f]"), F.regexp_replace(full, "(^|:)0{1,3}([0-9a-f])", "$1$2")
-    ).otherwise(full)
 
+def ip_canonical_sql(text: str) -> str:
+    """SQL for the canonical form of the address in column ``text``, NULL if it is none.
 
-def _compress(full: Column) -> Column:
-    parts = F.split(full, ":")
+    IPv4 octets take no leading zeros. IPv6 follows the usual short form: the longest run of
+    two or more zero groups, the first of equals, becomes ``::``; IPv4-mapped addresses keep
+    the dotted tail. Zone ids are refused, as an address column cannot hold them.
+    Only text that holds a colon reaches the IPv6 steps.
+    """
+    return (
+        f"CASE WHEN {text} RLIKE r'{_V4_ONLY}' THEN {text} "
+        f"WHEN contains({text}, ':') THEN {_chained(text)} END"
+    )
 
-    def byte_pair(i: int) -> Column:
-        number = F.conv(parts[i], 16, 10).cast("int")
-        return F.concat(
-            F.shiftright(number, 8).cast("string"), F.lit("."), (number % 256).cast("string")
-        )
 
-    dotted = F.concat(F.lit("::ffff:"), byte_pair(6), F.lit("."), byte_pair(7))
+def ip_canonical(text: str) -> Column:
+    return F.expr(ip_canonical_sql(text))
 
-    # Runs are all made of "0:", so the greatest text is the longest run; its first place
-    # behind a colon is where the first run of that length starts.
-    def cut(v: Column) -> Column:
-        listed, run = v["listed"], v["run"]
-        start = F.instr(listed, F.concat(F.lit(":"), run))
-        head = F.substring(listed, F.lit(2), F.greatest(start - 2, F.lit(0)))
-        tail = F.substring(listed, start + F.length(run) + 1, F.length(listed))
-        short = F.concat(head, F.lit("::"), F.left(tail, F.length(tail) - 1))
-        return F.when(F.length(run) > 2, short).otherwise(full)
 
-    listed = F.concat(F.lit(":"), full, F.lit(":"))
-    longest = F.array_max(F.regexp_extract_all(listed, F.lit("(?<=:)(?:0:)+"), F.lit(0)))
-    short = let(F.struct(listed.alias("listed"), longest.alias("run")), cut)
-    return F.when(full.startswith(_MAPPED), dotted).otherwise(short)
+def ip_version(address: str) -> Column:
+    return F.expr(f"CASE WHEN contains({address}, ':') THEN 6 ELSE 4 END")

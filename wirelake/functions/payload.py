@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def payload_variant(payload: Column) -> Column:
@@ -15,62 +18,67 @@ def contains(variant: Column, pattern) -> Column:
 
     An object contains another one if it has all its keys with containing values; an array
     contains another one if each wanted element is contained in some element. Types count:
-    ``"443"`` is not ``443``. The pattern is turned into one Boolean column, so a search over
-    many documents stays a single filter.
+    ``"443"`` is not ``443``. The pattern is turned into one Boolean column, with a path from
+    the document's top for every value asked for.
     """
-    return F.coalesce(_matches(variant, pattern, top=True), F.lit(False))
-
+    found = _matches(variant, "$", pattern)
+    if not isinstance(pattern, (dict, list)):
+        # At the top only, an array also contains a scalar that is one of its elements.
+        found = F.coalesce(found, F.lit(False)) | _any(variant, "$", pattern)
+    return F.coalesce(found, F.lit(False))
 
-def _kind(variant: Column) -> Column:
-    return F.schema_of_variant(variant)
 
+def payload_contains(packets: DataFrame, pattern, payload: str = "payload") -> DataFrame:
+    """Packets whose payload contains ``pattern``.
 
-def _matches(variant: Column, pattern, top: bool = False) -> Column:
+    The parsed payload passes through ``explode(array(..))``, so that it is parsed once and
+    not anew for every value of the pattern.
+    """
+    return (
+        packets.withColumn("_variant", F.explode(F.array(payload_variant(F.col(payload)))))
+        .filter(contains(F.col("_variant"), pattern))
+        .drop("_variant")
+    )
+
+
+def _matches(variant: Column, path: str, pattern) -> Column:
+    if isinstance(pattern, dict) and pattern:
+        # A path through a key is only there in an object, so objects need no check of their own.
+        return reduce(and_, [_matches(variant, _step(path, k), v) for k, v in pattern.items()])
+    if isinstance(pattern, list) and pattern:
+        return reduce(and_, [_any(variant, path, wanted) for wanted in pattern])
+    kind = F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
     if isinstance(pattern, dict):
-        found = _kind(variant).startswith("OBJECT")
-        for key, wanted in pattern.items():
-            child = F.try_variant_get(variant, _step(key), "variant")
-            found = found & _matches(child, wanted)
-        return found
+        return kind.startswith("OBJECT")
     if isinstance(pattern, list):
-        elements = F.try_variant_get(variant, "$", "array<variant>")
-        found = _kind(variant).startswith("ARRAY")
-        for wanted in pattern:
-            found = found & _any(elements, wanted)
-        return found
-    same = _same_scalar(variant, pattern)
-    if not top:
-        return same
-    # At the top only, an array also contains a scalar that is one of its elements.
-    elements = F.try_variant_get(variant, "$", "array<variant>")
-    return same | F.coalesce(F.exists(elements, lambda e: _same_scalar(e, pattern)), F.lit(False))
-
-
-def _any(elements: Column, wanted) -> Column:
-    return F.exists(elements, lambda element: _matches(element, wanted))
-
-
-def _step(key: str) -> str:
+        return kind.startswith("ARRAY")
+    if pattern is None:
+        return F.is_variant_null(F.try_variant_get(variant, path, "variant"))
+    if isinstance(pattern, bool):
+        name, kinds, value = "boolean", "^BOOLEAN", F.lit(pattern)
+    elif isinstance(pattern, int):
+        name, kinds = "decimal(38,9)", "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+        value = F.lit(pattern).cast(name)
+    elif isinstance(pattern, float):
+        name, kinds, value = "double", "^(BIGINT|DECIMAL|DOUBLE|FLOAT)", F.lit(pattern)
+    else:
+        name, kinds, value = "string", "^STRING", F.lit(pattern)
+    # The value first: it is seldom equal, and then its kind need not be found out.
+    return (F.try_variant_get(variant, path, name) == value) & kind.rlike(kinds)
+
+
+def _any(variant: Column, path: str, wanted) -> Column:
+    elements = F.try_variant_get(variant, path, "array<variant>")
+    kind = F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
+    return kind.startswith("ARRAY") & F.coalesce(
+        F.exists(elements, lambda element: _matches(element, "$", wanted)), F.lit(False)
+    )
+
+
+def _step(path: str, key: str) -> str:
     if "'" in key:
         raise ValueError(f"a key with a quote cannot be used in a path: {key!r}")
-    return f"$['{key}']"
-
-
-def _same_scalar(variant: Column, value) -> Column:
-    if value is None:
-        return F.is_variant_null(variant)
-    if isinstance(value, bool):
-        return (_kind(variant) == "BOOLEAN") & (
-            F.try_variant_get(variant, "$", "boolean") == F.lit(value)
-        )
-    if isinstance(value, (int, float)):
-        number = _kind(variant).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-        if isinstance(value, int):
-            return number & (
-                F.try_variant_get(variant, "$", "decimal(38,9)") == F.lit(value).cast("decimal(38,9)")
-            )
-        return number & (F.try_variant_get(variant, "$", "double") == F.lit(value))
-    return (_kind(variant) == "STRING") & (F.try_variant_get(variant, "$", "string") == F.lit(value))
+    return f"{path}['{key}']"
 
 
 def promoted(payload: Column, fields: dict[str, tuple[str, ...]]) -> Column:

@@ -15,18 +15,9 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
-def strict_bigint(text: Column) -> Column:
-    """Base-10 int64 text with an optional sign; anything else, blanks included, is NULL."""
-    return F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
-
-
-def or_empty(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
-
-
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, however often ``body`` mentions it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def strict_bigint_sql(text: str) -> str:
+    """SQL for base-10 int64 text with an optional sign; anything else, blanks included, is NULL."""
+    return f"CASE WHEN {text} RLIKE r'{_INTEGER}' THEN try_cast({text} AS BIGINT) END"
 
 
 def proto_parts(proto: Column) -> Column:

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wirelake.functions.ip import ip_canonical
-from wirelake.functions.text import or_empty, strict_bigint
+from wirelake.functions.ip import ip_canonical_sql
+from wirelake.functions.text import strict_bigint_sql
 from wirelake.schema import EK_DDL, PACKET_COLUMNS
 
-_CORRUPT = "_corrupt"
-_STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-_STRICT = {**_STRICT_JSON, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+_STRICT = "'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false'"
 
 # The epoch milliseconds a timestamp column can hold, and the int32 range.
 MIN_MS, MAX_MS = -210866803200000, 9223372036854775
@@ -21,156 +19,123 @@ def shape_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add the eight packet columns, ``reason`` (an error class) and ``error`` (its text).
 
     Rows without an error have both NULL. Each line is parsed once with the wanted fields and
-    once more, cheaply, to see whether text follows the document. Parse results pass through
-    ``explode(array(..))``: a later filter on ``reason`` would otherwise be pushed below the
-    projection and repeat the parse for every field it mentions.
+    once more, cheaply, to see whether text follows the document. Parse results and verdict pass
+    through generators (``explode``, ``inline``): a later filter on ``reason`` would otherwise be
+    pushed below the projection and repeat the parse for every field it mentions.
     """
-    parsed = _parse(lines, F.col(column))
-    typed = _typed(parsed, F.col(column))
-    verdict = F.struct(_reason().alias("reason"), _error().alias("error"))
-    return (
-        typed.withColumn("_v", F.explode(F.array(verdict)))
-        .withColumn("reason", F.col("_v.reason"))
-        .withColumn("error", F.col("_v.error"))
-        .drop(*_WORK, "_v")
-    )
-
-
-def _parse(lines: DataFrame, line: Column) -> DataFrame:
+    taken = {*PACKET_COLUMNS, "reason", "error"} & set(lines.columns)
+    if taken:
+        raise ValueError(f"rename these columns first: {sorted(taken)}")
+    parsed = _parse(lines, f"`{column}`")
+    texts = parsed.selectExpr("*", *_TEXTS)
+    numbers = texts.selectExpr("*", *_NUMBERS)
+    typed = numbers.selectExpr("*", *_TYPED, f"`{column}` AS payload")
+    kept = [f"`{c}`" for c in lines.columns]
+    return typed.selectExpr(*kept, *PACKET_COLUMNS, f"inline(array({_verdict()})) AS (reason, error)")
+
+
+def _parse(lines: DataFrame, line: str) -> DataFrame:
     # The parser ignores what follows a complete document, so the line is parsed again inside
     # an array before an element that holds the line's own hash: text after the document
     # breaks the array, ends it early or adds elements.
-    marked = lines.withColumn("_mark", F.hex(F.xxhash64(line)))
-    pair = F.concat(F.lit("["), line, F.lit(',{"timestamp":"'), F.col("_mark"), F.lit('"}]'))
-    parsed = marked.select(
+    marked = lines.selectExpr("*", f"hex(xxhash64({line})) AS _mark")
+    corrupt = "'mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt'"
+    parsed = marked.selectExpr(
         "*",
-        F.from_json(line, f"{EK_DDL}, {_CORRUPT} STRING", _STRICT).alias("_ek"),
-        F.from_json(pair, "array<struct<timestamp: string>>", _STRICT_JSON).alias("_pair"),
+        f"from_json({line}, '{EK_DDL}, _corrupt STRING', map({_STRICT}, {corrupt})) AS _ek",
+        f"""from_json(concat('[', {line}, ',{{"timestamp":"', _mark, '"}}]'),
+          'array<struct<timestamp: string>>', map({_STRICT})) AS _pair""",
     )
-    alone = (F.size("_pair") == 2) & (F.element_at("_pair", -1)["timestamp"] == F.col("_mark"))
     # A line that is just `null` is a document without any field.
-    document = F.col("_ek")[_CORRUPT].isNull() | (line == "null")
-    result = F.struct(F.col("_ek").alias("ek"), (F.coalesce(alone, F.lit(False)) & document).alias("valid"))
-    return parsed.withColumn("_p", F.explode(F.array(result)))
+    valid = f"""coalesce(size(_pair) = 2 AND element_at(_pair, -1).timestamp = _mark, false)
+      AND (_ek._corrupt IS NULL OR {line} = 'null')"""
+    return parsed.selectExpr("*", f"explode(array(struct(_ek AS ek, {valid} AS valid))) AS _p")
 
 
-_WORK = [
-    "_mark", "_ek", "_pair", "_p", "_ms", "_src", "_dst", "_sport", "_dport", "_len", "_time_text", "_src_text",
-    "_dst_text", "_sport_text", "_dport_text", "_len_text", "_sport_ok", "_dport_ok", "_len_ok",
-]
+# A layer that is present wins even if its fields are empty.
+def _address(end: str) -> str:
+    return f"""CASE WHEN _p.ek.layers.ip IS NOT NULL THEN _p.ek.layers.ip.ip_ip_{end}
+      ELSE _p.ek.layers.ipv6.ipv6_ipv6_{end} END"""
 
 
-def _typed(parsed: DataFrame, line: Column) -> DataFrame:
-    ek = F.col("_p.ek")
-    ip, ipv6 = ek["layers"]["ip"], ek["layers"]["ipv6"]
-    tcp, udp = ek["layers"]["tcp"], ek["layers"]["udp"]
-    frame = ek["layers"]["frame"]
+def _port(end: str) -> str:
+    return f"""CASE WHEN _p.ek.layers.tcp IS NOT NULL THEN _p.ek.layers.tcp.tcp_tcp_{end}port
+      ELSE _p.ek.layers.udp.udp_udp_{end}port END"""
 
-    # A layer that is present wins even if its fields are empty.
-    def address(end: str) -> Column:
-        return F.when(ip.isNotNull(), ip[f"ip_ip_{end}"]).otherwise(ipv6[f"ipv6_ipv6_{end}"])
 
-    def port(end: str) -> Column:
-        return F.when(tcp.isNotNull(), tcp[f"tcp_tcp_{end}port"]).otherwise(udp[f"udp_udp_{end}port"])
-
-    texts = parsed.select(
-        "*",
-        or_empty(ek["timestamp"]).alias("_time_text"),
-        or_empty(address("src")).alias("_src_text"),
-        or_empty(address("dst")).alias("_dst_text"),
-        or_empty(port("src")).alias("_sport_text"),
-        or_empty(port("dst")).alias("_dport_text"),
-        or_empty(frame["frame_frame_len"]).alias("_len_text"),
-        or_empty(frame["frame_frame_protocols"]).alias("proto"),
-    )
-    numbers = texts.select(
-        "*",
-        strict_bigint(F.col("_time_text")).alias("_ms"),
-        ip_canonical(F.col("_src_text")).alias("src_ip"),
-        ip_canonical(F.col("_dst_text")).alias("dst_ip"),
-        strict_bigint(F.col("_sport_text")).alias("_sport"),
-        strict_bigint(F.col("_dport_text")).alias("_dport"),
-        F.when(F.col("_len_text") == "", F.lit(0).cast("bigint"))
-        .otherwise(strict_bigint(F.col("_len_text")))
-        .alias("_len"),
-    )
-    return numbers.select(
-        "*",
-        F.when(F.col("_ms").between(MIN_MS, MAX_MS), F.timestamp_millis("_ms")).alias("ts"),
-        F.col("_sport").try_cast("int").alias("src_port"),
-        F.col("_dport").try_cast("int").alias("dst_port"),
-        F.col("_len").try_cast("int").alias("length"),
-        line.alias("payload"),
+_TEXTS = [
+    f"coalesce({value}, '') AS {name}"
+    for name, value in (
+        ("_time_text", "_p.ek.timestamp"),
+        ("_src_text", _address("src")),
+        ("_dst_text", _address("dst")),
+        ("_sport_text", _port("src")),
+        ("_dport_text", _port("dst")),
+        ("_len_text", "_p.ek.layers.frame.frame_frame_len"),
+        ("proto", "_p.ek.layers.frame.frame_frame_protocols"),
     )
+]
+_NUMBERS = [
+    f"{strict_bigint_sql('_time_text')} AS _ms",
+    f"{ip_canonical_sql('_src_text')} AS src_ip",
+    f"{ip_canonical_sql('_dst_text')} AS dst_ip",
+    f"{strict_bigint_sql('_sport_text')} AS _sport",
+    f"{strict_bigint_sql('_dport_text')} AS _dport",
+    f"CASE WHEN _len_text = '' THEN 0L ELSE {strict_bigint_sql('_len_text')} END AS _len",
+]
+_TYPED = [
+    f"CASE WHEN _ms BETWEEN {MIN_MS} AND {MAX_MS} THEN timestamp_millis(_ms) END AS ts",
+    "try_cast(_sport AS INT) AS src_port",
+    "try_cast(_dport AS INT) AS dst_port",
+    "try_cast(_len AS INT) AS length",
+]
 
 
-def as_written(line: Column, text: Column, *fields: str) -> Column:
-    """A number's text as it stands in the line; parsing turns 12.50 into 12.5."""
-    number = F.regexp_extract(line, f'"(?:{"|".join(fields)})"\\s*:\\s*(-?[0-9][0-9.eE+-]*)', 1)
-    same = number.try_cast("double") == text.try_cast("double")
-    return F.when(same, number).otherwise(text) if fields else text
-
-
-def _bad_port(end: str) -> Column:
-    return (F.col(f"_{end}port_text") != "") & F.col(f"_{end}port").isNull()
-
-
-def _too_big() -> Column:
-    over = ~F.col("_ms").between(MIN_MS, MAX_MS)
-    for name in ("_sport", "_dport", "_len"):
-        over = over | (F.col(name).isNotNull() & ~F.col(name).between(MIN_INT, MAX_INT))
-    return over
-
-
-def _checks() -> list[tuple[Column, str, Column]]:
-    """Conditions in the order they are reported: class and text of the first that holds."""
+def _quoted(prefix: str, text: str, *fields: str) -> str:
+    """Error text with the value as it stands in the line; parsing turns 12.50 into 12.5."""
+    if not fields:
+        return f"""concat('{prefix} "', {text}, '"')"""
+    pattern = f'"(?:{"|".join(fields)})"\\s*:\\s*(-?[0-9][0-9.eE+-]*)'
+    written = f"regexp_extract(payload, r'{pattern}', 1)"
+    same = f"try_cast({written} AS DOUBLE) = try_cast({text} AS DOUBLE)"
+    return f"""concat('{prefix} "', CASE WHEN {same} THEN {written} ELSE {text} END, '"')"""
 
-    def quoted(prefix: str, name: str, *fields: str) -> Column:
-        text = as_written(F.col("payload"), F.col(name), *fields)
-        return F.concat(F.lit(f'{prefix} "'), text, F.lit('"'))
 
-    missing = (F.col("_src_text") == "") | (F.col("_dst_text") == "")
-    return [
-        (~F.col("_p.valid"), "malformed_json", F.lit("unmarshal ek")),
-        (F.col("_ms").isNull(), "bad_timestamp", quoted("parse timestamp", "_time_text", "timestamp")),
+def _verdict() -> str:
+    """The first check that fails, as a struct of class and text; NULL if none does."""
+    checks = [
+        ("NOT _p.valid", "malformed_json", "'unmarshal ek'"),
+        ("_ms IS NULL", "bad_timestamp", _quoted("parse timestamp", "_time_text", "timestamp")),
         (
-            missing,
+            "_src_text = '' OR _dst_text = ''",
             "missing_ip",
-            F.concat(
-                F.lit("missing IP addresses: src="), F.col("_src_text"),
-                F.lit(", dst="), F.col("_dst_text"),
-            ),
+            "concat('missing IP addresses: src=', _src_text, ', dst=', _dst_text)",
         ),
-        (F.col("src_ip").isNull(), "invalid_src_ip", quoted("invalid src IP", "_src_text")),
-        (F.col("dst_ip").isNull(), "invalid_dst_ip", quoted("invalid dst IP", "_dst_text")),
+        ("src_ip IS NULL", "invalid_src_ip", _quoted("invalid src IP", "_src_text")),
+        ("dst_ip IS NULL", "invalid_dst_ip", _quoted("invalid dst IP", "_dst_text")),
         (
-            _bad_port("s"),
+            "_sport_text <> '' AND _sport IS NULL",
             "invalid_port",
-            quoted("invalid port", "_sport_text", "tcp_tcp_srcport", "udp_udp_srcport"),
+            _quoted("invalid port", "_sport_text", "tcp_tcp_srcport", "udp_udp_srcport"),
         ),
         (
-            _bad_port("d"),
+            "_dport_text <> '' AND _dport IS NULL",
             "invalid_port",
-            quoted("invalid port", "_dport_text", "tcp_tcp_dstport", "udp_udp_dstport"),
+            _quoted("invalid port", "_dport_text", "tcp_tcp_dstport", "udp_udp_dstport"),
+        ),
+        ("_len IS NULL", "invalid_length", _quoted("invalid frame_frame_len", "_len_text", "frame_frame_len")),
+        (
+            f"_ms NOT BETWEEN {MIN_MS} AND {MAX_MS} "
+            + " ".join(f"OR {c} NOT BETWEEN {MIN_INT} AND {MAX_INT}" for c in ("_sport", "_dport", "_len")),
+            "out_of_range",
+            "'value does not fit its column'",
         ),
-        (F.col("_len").isNull(), "invalid_length", quoted("invalid frame_frame_len", "_len_text", "frame_frame_len")),
-        (_too_big(), "out_of_range", F.lit("value does not fit its column")),
     ]
-
-
-def _chain(pick) -> Column:
-    chain = F
-    for check in _checks():
-        chain = chain.when(check[0], pick(check))
-    return chain
-
-
-def _reason() -> Column:
-    return _chain(lambda c: F.lit(c[1]))
-
-
-def _error() -> Column:
-    return _chain(lambda c: c[2])
+    cases = " ".join(
+        f"WHEN {condition} THEN struct('{reason}' AS reason, {error} AS error)"
+        for condition, reason, error in checks
+    )
+    return f"CASE {cases} END"
 
 
 def good_packets(shaped: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

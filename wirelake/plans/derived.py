@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wirelake.sources.tables import spread
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
 
 
 # One line per event. Remainders of the id spread the cases of the input format over the

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirelake.functions.ip import ip_version
-from wirelake.functions.payload import contains, payload_variant, promoted
+from wirelake.functions import payload
+from wirelake.functions.payload import promoted
 from wirelake.operators import batching, counters, pacing, reconcile, shape, storage, traffic
 from wirelake.plans import derived, settings as P
 from wirelake.schema import PACKET_COLUMNS
@@ -56,8 +57,8 @@ def _packets(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return shape.good_packets(_shaped(spark, sf_dir), keep)
 
 
-def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exposition.metrics_parse(derived.metric_lines(derived.events(spark, sf_dir)))
+def _samples(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    return exposition.metrics_parse(derived.metric_lines(derived.events(spark, sf_dir)), names=names)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +132,7 @@ def shape_packets(spark, sf_dir):
 @_query
 def layer_precedence(spark, sf_dir):
     return _packets(spark, sf_dir, "event_id").select(
-        "event_id", ip_version(F.col("src_ip")).alias("ip_version"), "src_ip", "dst_ip", "src_port", "dst_port"
+        "event_id", ip_version("src_ip").alias("ip_version"), "src_ip", "dst_ip", "src_port", "dst_port"
     )
 
 
@@ -245,7 +246,7 @@ def capture_filter_not(spark, sf_dir):
 def payload_contains(spark, sf_dir):
     pattern = {"layers": {"udp": {"udp_udp_dstport": "53"}, "dns": {"dns_dns_qry_name": "click.example"}}}
     packets = _packets(spark, sf_dir, "event_id").select("event_id", "payload")
-    return packets.filter(contains(payload_variant(F.col("payload")), pattern))
+    return payload.payload_contains(packets, pattern)
 
 
 @_query
@@ -349,21 +350,21 @@ def metric_contract(spark, sf_dir):
 
 @_query
 def backlog_alert(spark, sf_dir):
-    return counters.backlog_alert(_samples(spark, sf_dir)).select("service", "scrape_ts", "series", "value")
+    return counters.backlog_alert(_samples(spark, sf_dir, "worker_buffer_size")).select("service", "scrape_ts", "series", "value")
 
 
 @_query
 def gauge_sum(spark, sf_dir):
-    return counters.gauge_sum(_samples(spark, sf_dir), P.STEP_US, "process_memory_bytes")
+    return counters.gauge_sum(_samples(spark, sf_dir, "process_memory_bytes"), P.STEP_US, "process_memory_bytes")
 
 
 @_query
 def gauge_per_service(spark, sf_dir):
-    return counters.gauge_sum(_samples(spark, sf_dir), P.STEP_US, "process_memory_bytes", "service")
+    return counters.gauge_sum(_samples(spark, sf_dir, "process_memory_bytes"), P.STEP_US, "process_memory_bytes", "service")
 
 
 def _rates(spark: SparkSession, sf_dir: str, extrapolate: bool) -> DataFrame:
-    rows = _samples(spark, sf_dir).filter(F.col("name") == "worker_rows_inserted_total")
+    rows = _samples(spark, sf_dir, "worker_rows_inserted_total")
     rates = counters.counter_rate(
         rows, ("service", "series"), P.WINDOW_US, P.STEP_US, extrapolate=extrapolate, block_us=24 * P.STEP_US
     )
@@ -382,7 +383,7 @@ def counter_rate_extrapolated(spark, sf_dir):
 
 @_query
 def counter_increase(spark, sf_dir):
-    rows = _samples(spark, sf_dir).filter(F.col("name") == "worker_rows_inserted_total")
+    rows = _samples(spark, sf_dir, "worker_rows_inserted_total")
     total = counters.counter_increase(
         rows, ("service", "series"), window_us=P.WINDOW_US, step_us=P.STEP_US, block_us=24 * P.STEP_US
     )

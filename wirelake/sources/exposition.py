@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
 
 from wirelake.functions.text import strip
@@ -11,9 +14,12 @@ _NUMBER = r"^(?:[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf
 _LABEL = r'[A-Za-z_][A-Za-z0-9_]*="[^"\\]*(?:\\.[^"\\]*)*"'
 
 
-def metrics_parse(lines: DataFrame, column: str = "line") -> DataFrame:
+def metrics_parse(lines: DataFrame, column: str = "line", names: tuple[str, ...] = ()) -> DataFrame:
     """``line`` -> ``series, name, labels, value``; other columns pass through.
 
+    With ``names``, only these metrics; other lines are left out by their first letters, before
+    they are taken apart.
+
     The value is the last word, the series all before it. Comments, blank lines, lines of one
     word and lines whose last word is no number are dropped. The two parts pass through
     ``explode(array(..))``, so that filters on them do not split the line again.
@@ -23,9 +29,11 @@ def metrics_parse(lines: DataFrame, column: str = "line") -> DataFrame:
     parts = F.struct(
         F.left(text, F.length(text) - F.length(number) - 1).alias("series"), number.alias("number")
     )
-    return (
-        lines.withColumn("_text", strip(F.col(column)))
-        .filter(~text.startswith("#") & text.contains(" "))
+    stripped = lines.withColumn("_text", strip(F.col(column)))
+    if names:
+        stripped = stripped.filter(reduce(or_, [text.startswith(name) for name in names]))
+    samples = (
+        stripped.filter(~text.startswith("#") & text.contains(" "))
         .withColumn("_parts", F.explode(F.array(parts)))
         .filter(F.col("_parts.number").rlike(_NUMBER))
         .withColumn("value", F.col("_parts.number").try_cast("double"))
@@ -34,6 +42,7 @@ def metrics_parse(lines: DataFrame, column: str = "line") -> DataFrame:
         .withColumn("name", metric_name(F.col("series")))
         .withColumn("labels", metric_labels(F.col("series")))
     )
+    return samples.filter(F.col("name").isin(*names)) if names else samples
 
 
 def metric_labels(series):
@@ -44,8 +53,12 @@ def metric_labels(series):
         value = F.substring(pair, F.length(name) + 3, F.length(pair) - F.length(name) - 3)
         return F.struct(name, value)
 
-    pairs = F.regexp_extract_all(series, F.lit(_LABEL), F.lit(0))
-    return F.map_from_entries(F.transform(pairs, entry))
+    # From the brace on: within a long name the pattern would start anew at every letter.
+    text = F.substring(series, F.instr(series, "{"), F.length(series))
+    pairs = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(0))
+    return F.when(
+        series.contains("{"), F.map_from_entries(F.transform(pairs, entry))
+    ).otherwise(F.create_map().cast("map<string,string>"))
 
 
 def metric_name(series):
