@@ -72,3 +72,18 @@ def test_diff_counts_copies(spark):
     assert [r.src_port for r in R.diff_rows(b, a).collect()] == [None]
     assert R.diff_rows(a, b, 1).count() == 1
     assert "payload" not in R.diff_rows(a, b).columns
+
+
+def test_many_copies_are_given_out_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(R, "_COPIES", 100)
+    many = packets(spark, A).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(1050)))).drop("i")
+    out = R.diff_rows(many, packets(spark, A, A), None)
+    assert out.count() == 1048
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert out.select(F.spark_partition_id()).distinct().count() > 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert R.diff_rows(many, packets(spark, A), 7).count() == 7
+    same = R.diff_rows(many, packets(spark, B), None).exceptAll(many.select(*R.SHAPED_COLUMNS))
+    assert same.count() == 0

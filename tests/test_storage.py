@@ -68,6 +68,16 @@ def test_talker_layout_splits_a_hot_hour_and_pair(spark):
     assert len(parts) == 8 and max(r["count"] for r in parts) < 6000
 
 
+def test_talker_layout_splits_copies_of_one_packet(spark):
+    copies = packets(spark, A).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(19999)))).drop("i")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = S.talker_layout(copies.repartition(4)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in parts) == 20000 and max(r["count"] for r in parts) < 6000
+
+
 def test_retention_drops_whole_chunks_only(spark):
     path = run_folder(spark, "t")
     S.append_packets(spread_packets(spark, 30), path)

@@ -1,6 +1,7 @@
 import json
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from wirelake.operators.shape import dead_letters, shape_lines, shape_packets
@@ -99,13 +100,14 @@ def _packet_stream(spark, folder, lines):
     return shape_packets(ek_stream(spark, folder, 1))
 
 
-def test_dedup_stream(spark):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_dedup_stream(spark, salts):
     folder = run_folder(spark, "s")
-    _packet_stream(spark, f"{folder}/in", [doc(), doc(timestamp="1770000000790")])
-    packets = _packet_stream(spark, f"{folder}/in", [doc()])
+    _packet_stream(spark, f"{folder}/in", [doc()] * 20 + [doc(timestamp="1770000000790")])
+    packets = _packet_stream(spark, f"{folder}/in", [doc()] * 20)
     run(
-        dedup_stream(packets).drop("payload").writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/cp").trigger(**ONCE).start()
+        dedup_stream(packets, salts=salts).drop("payload").writeStream.format("parquet")
+        .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp").trigger(**ONCE).start()
     )
     assert spark.read.parquet(f"{folder}/out").count() == 2
 

@@ -51,16 +51,41 @@ def table_checksum(packets: DataFrame, *groups: str, canonical: bool = False) ->
     )
 
 
+# Copies of one row that a task gives out; further copies go to other tasks.
+_COPIES = 100_000
+
+
+def diff_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Shaped rows that ``a`` has more often than ``b``, with the number of copies missing.
+
+    Copies are added up in each task before the shuffle.
+    """
+    signed = a.select(*SHAPED_COLUMNS, F.lit(1).alias("_sign")).unionByName(
+        b.select(*SHAPED_COLUMNS, F.lit(-1).alias("_sign"))
+    )
+    return signed.groupBy(*SHAPED_COLUMNS).agg(F.sum("_sign").alias("missing")).filter("missing > 0")
+
+
 def diff_rows(a: DataFrame, b: DataFrame, limit: int | None = 5) -> DataFrame:
     """Rows of ``a`` missing from ``b``, counting copies, on the shaped columns.
 
     A limited answer is a sample for the reader; it takes the first rows in column order, so
     that it is the same each time.
     """
-    missing = a.select(*SHAPED_COLUMNS).exceptAll(b.select(*SHAPED_COLUMNS))
-    if limit is None:
-        return missing
-    return missing.orderBy(*SHAPED_COLUMNS).limit(limit)
+    counts = diff_counts(a, b)
+    if limit is not None:
+        first = counts.orderBy(*SHAPED_COLUMNS).limit(limit)
+        copies = F.least("missing", F.lit(limit))
+        rows = first.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+        return rows.orderBy(*SHAPED_COLUMNS).limit(limit).select(*SHAPED_COLUMNS)
+    last_part = F.floor((F.col("missing") - 1) / _COPIES)
+    parts = counts.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_part)))
+    copies = F.least(F.col("missing") - F.col("_part") * _COPIES, F.lit(_COPIES))
+    return (
+        parts.repartition(*SHAPED_COLUMNS, "_part")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
+        .select(*SHAPED_COLUMNS)
+    )
 
 
 def verify_tables(a: DataFrame, b: DataFrame, canonical: bool = False) -> DataFrame:

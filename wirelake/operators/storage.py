@@ -19,11 +19,13 @@ def talker_layout(packets: DataFrame) -> DataFrame:
     """Order rows for lookups by chunk, address pair and time.
 
     Range partitioning on the whole sort key splits a busy hour, and a busy pair in it, over
-    several tasks and files; the files of a chunk then cover separate address ranges, and
-    their row groups can be skipped by minimum and maximum.
+    several tasks and files; a row's place in the input splits even copies of one packet. The
+    files of a chunk then cover separate address ranges, and their row groups can be skipped
+    by minimum and maximum.
     """
     order = ("chunk", "src_ip", "dst_ip", "ts")
-    return with_chunk(packets).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = with_chunk(packets).withColumn("_place", F.monotonically_increasing_id())
+    return placed.repartitionByRange(*order, "_place").sortWithinPartitions(*order).drop("_place")
 
 
 def local_layout(packets: DataFrame) -> DataFrame:

@@ -14,13 +14,18 @@ from wirelake.session import send_code_with_tasks
 send_code_with_tasks(__name__)
 
 
-def dedup_stream(packets: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Drop packets whose message id was seen within ``late``; older ids leave the state."""
-    return (
-        packets.withColumn("msg_id", packet_id())
-        .withWatermark("ts", late)
-        .dropDuplicatesWithinWatermark(["msg_id"])
-    )
+def dedup_stream(packets: DataFrame, late: str = "10 minutes", salts: int = 16) -> DataFrame:
+    """Drop packets whose message id was seen within ``late``; older ids leave the state.
+
+    Copies are first dropped per id and salt, so that a packet with very many copies is spread
+    over ``salts`` tasks and few copies are left for the one that decides. The first step
+    keeps ids as well; ``salts=1`` does without it.
+    """
+    known = packets.withColumn("msg_id", packet_id()).withWatermark("ts", late)
+    if salts > 1:
+        salted = known.withColumn("_salt", F.spark_partition_id() % salts)
+        known = salted.dropDuplicatesWithinWatermark(["msg_id", "_salt"]).drop("_salt")
+    return known.dropDuplicatesWithinWatermark(["msg_id"])
 
 
 def per_minute_stream(packets: DataFrame, late: str = "2 minutes") -> DataFrame:
