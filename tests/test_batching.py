@@ -56,3 +56,9 @@ def test_other_columns_pass_through(spark):
     assert batch_count_or_time(df, "key", "seq", 2, 1_000_000).columns == [
         "key", "seq", "arrival", "extra", "batch_no", "closes",
     ]
+
+
+def test_key_may_be_null(spark):
+    df = seconds(spark, [(None, i, 0.0) for i in range(5)] + [("k", 0, 0.0)], SCHEMA, "arrival")
+    out = batch_list(batch_count_or_time(df, "key", "seq", 2, 1_000_000), "key", "seq").collect()
+    assert sorted((r.key or "", r.batch_no, r.rows) for r in out) == [("", 0, 2), ("", 1, 2), ("", 2, 1), ("k", 0, 1)]

@@ -49,6 +49,8 @@ def test_stream_lands_what_batch_finds(spark, sf_dir):
     assert totals["worker_deadletter_total"] == bad.count()
     assert totals["ingestor_lines_read_total"] == shaped.count()
     assert totals["worker_batch_flush_total"] == 3
+    assert totals["worker_db_errors_total"] == 0
+    assert 0 < totals["worker_buffer_size"] < shaped.count()
 
 
 def test_restart_continues_and_a_repeated_batch_is_not_doubled(spark, sf_dir):
@@ -79,6 +81,13 @@ def test_batches_without_packets_or_without_dead_letters(spark):
     assert ingest.stored_dead_letters(spark, folder).count() == 1
 
 
+def test_failed_write_is_counted_and_raised(spark, tmp_path):
+    (tmp_path / "packets").write_text("a file where the table should be")
+    with pytest.raises(Exception):
+        ingest.write_batch(spark.createDataFrame([(doc(),)], "value STRING"), 0, str(tmp_path))
+    assert [r.delta for r in ingest.failed_writes(spark, str(tmp_path)).collect()] == [1.0]
+
+
 def test_fan_out(spark, sf_dir):
     folder = run_folder(spark, "s")
     write_lines(spark, sf_dir, f"{folder}/in", files=2)

@@ -11,15 +11,9 @@ from wirelake.operators.shape import dead_letters, good_packets, shape_lines
 from wirelake.operators.storage import talker_layout
 from wirelake.schema import PACKET_COLUMNS, STORED_PACKETS
 
-# The counters of a run. A "flush" is a micro-batch that wrote packets.
-RUN_COUNTERS = (
-    "ingestor_lines_read_total",
-    "worker_msgs_consumed_total",
-    "worker_rows_inserted_total",
-    "worker_batch_flush_total",
-    "worker_deadletter_total",
-    "worker_db_errors_total",
-)
+# Fixed value: the gauge of lines that a micro-batch holds while it is written.
+BUFFER = "worker_buffer_size"
+ERRORS = "worker_db_errors_total"
 
 
 def ingest_stream(
@@ -52,8 +46,10 @@ def write_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     """Write one micro-batch: packets, dead letters and its counters.
 
     The shaped batch is kept while its two parts are written, so lines are parsed once;
-    counting happens on the way, not in passes of its own.
+    counting happens on the way, not in passes of its own. A failed write is counted and
+    raised; the query then starts again from its checkpoint.
     """
+    spark = batch.sparkSession
     shaped = shape_lines(batch).select(*PACKET_COLUMNS, "reason", "error")
     shaped = shaped.persist(StorageLevel.MEMORY_AND_DISK)
     good_seen, bad_seen = Observation(), Observation()
@@ -63,10 +59,31 @@ def write_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
         good = talker_layout(good_packets(shaped)).observe(good_seen, counted)
         _overwrite(good, batch_id, f"{folder}/packets", "chunk")
         bad = dead_letters(shaped, F.current_timestamp()).observe(bad_seen, counted)
-        _overwrite(bad, batch_id, f"{folder}/dead_letters")
+        _overwrite(bad.withColumn("at", F.timestamp_seconds("ts")), batch_id, f"{folder}/dead_letters")
+    except Exception:
+        _changes(spark, {ERRORS: 1}).write.mode("append").parquet(f"{folder}/errors")
+        raise
     finally:
         shaped.unpersist()
-    _write_counters(batch.sparkSession, batch_id, folder, good_seen.get["n"], bad_seen.get["n"])
+    good_lines, bad_lines = good_seen.get["n"], bad_seen.get["n"]
+    # The names of the counters.
+    changes = {
+        "ingestor_lines_read_total": good_lines + bad_lines,
+        "worker_msgs_consumed_total": good_lines,
+        "worker_rows_inserted_total": good_lines,
+        "worker_batch_flush_total": int(good_lines > 0),
+        "worker_deadletter_total": bad_lines,
+        ERRORS: 0,
+        BUFFER: good_lines + bad_lines,
+    }
+    _overwrite(_changes(spark, changes), batch_id, f"{folder}/metrics")
+
+
+def _changes(spark: SparkSession, changes: dict[str, int]) -> DataFrame:
+    rows = [(name, float(value)) for name, value in changes.items()]
+    return spark.createDataFrame(rows, "name STRING, delta DOUBLE").coalesce(1).withColumn(
+        "scrape_ts", F.current_timestamp()
+    )
 
 
 def _overwrite(rows: DataFrame, batch_id: int, path: str, *parts: str) -> None:
@@ -79,34 +96,34 @@ def _overwrite(rows: DataFrame, batch_id: int, path: str, *parts: str) -> None:
     )
 
 
-def _write_counters(spark: SparkSession, batch_id: int, folder: str, good: int, bad: int) -> None:
-    values = (good + bad, good, good, int(good > 0), bad, 0)
-    rows = [(name, float(value)) for name, value in zip(RUN_COUNTERS, values)]
-    counters = spark.createDataFrame(rows, "name STRING, delta DOUBLE").coalesce(1)
-    _overwrite(counters.withColumn("scrape_ts", F.current_timestamp()), batch_id, f"{folder}/metrics")
-
-
 def stored_packets(spark: SparkSession, folder: str) -> DataFrame:
     schema = T.StructType([*STORED_PACKETS.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(schema).parquet(f"{folder}/packets")
 
 
 def stored_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
-    schema = "error STRING, raw_ek_line STRING, ts BIGINT, batch_id BIGINT"
+    schema = "error STRING, raw_ek_line STRING, ts BIGINT, at TIMESTAMP, batch_id BIGINT"
     return spark.read.schema(schema).parquet(f"{folder}/dead_letters")
 
 
 def run_metrics(spark: SparkSession, folder: str, service: str = "ingest") -> DataFrame:
-    """The run's counters after each micro-batch, as metric samples."""
-    deltas = spark.read.schema(
+    """The run's metrics after each micro-batch, as metric samples."""
+    changes = spark.read.schema(
         "name STRING, delta DOUBLE, scrape_ts TIMESTAMP, batch_id BIGINT"
     ).parquet(f"{folder}/metrics")
-    counted = running(deltas, ("name",), "batch_id", F.col("delta"), "sum", "value")
-    label = F.lit(f'{{service="{service}"}}')
-    return counted.select(
+    counters = running(
+        changes.filter(F.col("name") != BUFFER), ("name",), "batch_id", F.col("delta"), "sum", "value"
+    )
+    gauges = changes.filter(F.col("name") == BUFFER).withColumn("value", F.col("delta"))
+    return counters.unionByName(gauges).select(
         "scrape_ts",
-        F.concat("name", label).alias("series"),
+        F.concat("name", F.lit(f'{{service="{service}"}}')).alias("series"),
         "name",
         F.create_map(F.lit("service"), F.lit(service)).alias("labels"),
         "value",
     )
+
+
+def failed_writes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per failed write of a micro-batch, as changes of the error counter."""
+    return spark.read.schema("name STRING, delta DOUBLE, scrape_ts TIMESTAMP").parquet(f"{folder}/errors")
