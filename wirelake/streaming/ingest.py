@@ -27,9 +27,9 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start ingestion of a stream of lines into ``folder``.
 
-    ``folder/packets`` is chunked by hour, ``folder/dead_letters`` and ``folder/metrics`` go by
-    micro-batch. A micro-batch that is run again after a failure overwrites its own partitions,
-    so every line lands once. The size of a micro-batch is set at the source, the pace by
+    ``folder/packets``, ``folder/dead_letters`` and ``folder/metrics`` go by micro-batch, packets
+    also by hour. A micro-batch that is run again after a failure overwrites its own part, so
+    every line lands once. The size of a micro-batch is set at the source, the pace by
     ``trigger`` (one second by default).
     """
     return (
@@ -86,14 +86,9 @@ def _changes(spark: SparkSession, changes: dict[str, int]) -> DataFrame:
     )
 
 
-def _overwrite(rows: DataFrame, batch_id: int, path: str, *parts: str) -> None:
-    (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts, "batch_id")
-        .parquet(path)
-    )
+def _overwrite(rows: DataFrame, batch_id: int, table: str, *parts: str) -> None:
+    """Write a micro-batch's part of a table, a partition folder of its own."""
+    rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{table}/batch_id={batch_id}")
 
 
 def stored_packets(spark: SparkSession, folder: str) -> DataFrame:
