@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window, functions as F
 
 from wirelake.operators.pacing import batch_by_count, pace_schedule
-from wirelake.operators.scan import ordinal, previous, running
+from wirelake.operators.scan import in_order, ordinal, previous, running
 from tests.conftest import seconds
 
 
@@ -49,6 +49,21 @@ def test_no_window_spans_a_whole_key(spark):
     assert any("_is_carry" in w and "_block1" in w for w in windows)
 
 
+def test_order_for_rows_without_one(spark):
+    """A third of the rows share one time; the others are far apart."""
+    r = random.Random(9)
+    times = [5 if r.random() < 0.34 else r.randrange(2**60) for _ in range(6000)]
+    rows = spark.createDataFrame([("k", t) for t in times], "k STRING, t BIGINT").repartition(8)
+    numbered = in_order(rows, "t")
+    assert numbered.select("seq").distinct().count() == 6000
+    batches = batch_by_count(numbered, ("k",), "seq", 100, width=64).groupBy("batch_no").agg(
+        F.count("*").alias("n"), F.min("t").alias("low"), F.max("t").alias("high")
+    )
+    got = [(b.batch_no, b.n, b.low, b.high) for b in batches.orderBy("batch_no").collect()]
+    times.sort()
+    assert got == [(i, 100, times[i * 100], times[i * 100 + 99]) for i in range(60)]
+
+
 def _paced(arrivals, gap):
     due, out = None, []
     for a in arrivals:

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wirelake.session import shared_folder
+
 BLOCK = 1 << 16
 _FOLDS = {"sum": F.sum, "max": F.max}
 
@@ -82,3 +84,23 @@ def previous(
     return running(
         rows, keys, order, entry, "max", name, inclusive=False, width=width
     ).withColumn(name, F.col(name)["value"])
+
+
+def in_order(rows: DataFrame, *order: str, name: str = "seq") -> DataFrame:
+    """Add ``name``: a unique integer that grows with ``order``, for rows that have none.
+
+    Rows with equal values get different numbers, in the order they are found, so that even
+    very many of them are split over blocks. Numbers are dense within a task, which also makes
+    a good order out of sparse values. The rows are ranged, sorted and stored as a checkpoint
+    in the shared folder: ranges are found by sampling, so without it a second reading could
+    number the rows differently.
+    """
+    shared_folder(rows.sparkSession)
+    placed = rows.withColumn("_found", F.monotonically_increasing_id())
+    return (
+        placed.repartitionByRange(*order, "_found")
+        .sortWithinPartitions(*order, "_found")
+        .drop("_found")
+        .withColumn(name, F.monotonically_increasing_id())
+        .checkpoint()
+    )

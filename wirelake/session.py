@@ -49,6 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="wirelake-")
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
