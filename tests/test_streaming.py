@@ -1,9 +1,11 @@
+import datetime as dt
 import json
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from wirelake.operators import storage
 from wirelake.operators.shape import dead_letters, shape_lines, shape_packets
 from wirelake.plans import derived
 from wirelake.session import run_folder
@@ -81,6 +83,24 @@ def test_batches_without_packets_or_without_dead_letters(spark):
     assert ingest.stored_dead_letters(spark, folder).count() == 1
 
 
+def test_stream_into_a_table_with_retention(spark):
+    folder = run_folder(spark, "s")
+    storage.create_packets_table(spark, "live_packets", by_batch=True)
+    hour = 3_600_000
+    lines = spark.createDataFrame([(doc(timestamp=str(t * hour)),) for t in range(30)] + [("x",)], "value STRING")
+    lines.repartition(1).write.text(f"{folder}/in")
+    stream = ek_stream(spark, f"{folder}/in")
+    run(ingest.ingest_stream(stream, folder, f"{folder}/cp", table="live_packets", trigger=ONCE))
+    assert spark.table("live_packets").count() == 30
+    for _ in range(2):
+        ingest.write_batch(lines.limit(1), 7, folder, "live_packets")
+    assert spark.table("live_packets").count() == 31
+    now = dt.datetime(1970, 1, 2, 2)
+    assert storage.expire_chunks(spark, "live_packets", now) == ["1970-01-01 00:00:00", "1970-01-01 01:00:00"]
+    assert spark.table("live_packets").count() == 28
+    assert storage.expire_chunks(spark, "live_packets", now) == []
+
+
 def test_failed_write_is_counted_and_raised(spark, tmp_path):
     (tmp_path / "packets").write_text("a file where the table should be")
     with pytest.raises(Exception):

@@ -46,14 +46,16 @@ def append_packets(packets: DataFrame, path: str, *, in_time_order: bool = True)
     rows.select(*PACKET_COLUMNS, "chunk").write.mode("append").partitionBy("chunk").parquet(path)
 
 
-def create_packets_table(spark: SparkSession, name: str) -> None:
+def create_packets_table(spark: SparkSession, name: str, *, by_batch: bool = False) -> None:
+    """A catalog table by hour; ``by_batch`` also by micro-batch, for a stream to write into."""
     columns = (
         "ts TIMESTAMP, src_ip STRING, dst_ip STRING, src_port INT, dst_port INT, "
         "proto STRING, length INT, payload STRING, chunk TIMESTAMP"
     )
+    more, parts = (", batch_id BIGINT", "batch_id, chunk") if by_batch else ("", "chunk")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {checked_name(name)} ({columns}) "
-        "USING parquet PARTITIONED BY (chunk)"
+        f"CREATE TABLE IF NOT EXISTS {checked_name(name)} ({columns}{more}) "
+        f"USING parquet PARTITIONED BY ({parts})"
     )
 
 
@@ -85,23 +87,24 @@ def retained(packets: DataFrame, now: Column, keep: str = "1 day") -> DataFrame:
 def expire_chunks(spark: SparkSession, name: str, now, keep: str = "1 day") -> list[str]:
     """Drop the table's chunks that lie wholly before ``now - keep``; returns their names.
 
-    Works on the list of partitions only (one per hour), no packet is read.
+    Works on the list of partitions only (one per hour and micro-batch), no packet is read.
     """
     table = checked_name(name)
-    parts = spark.sql(f"SHOW PARTITIONS {table}")
-    started = F.to_timestamp(F.url_decode(F.split_part("partition", F.lit("="), F.lit(2))))
+    decoded = F.url_decode("partition")
+    started = F.to_timestamp(F.regexp_extract(decoded, "chunk=([^/]*)", 1))
     limit = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {keep}") - chunk_width()
-    old = [
-        r[0]
-        for r in parts.filter(started <= limit)
-        .select(F.date_format(started, "yyyy-MM-dd HH:mm:ss"))
-        .orderBy(started)
+    # A folder name such as batch_id=3/chunk=2024-01-01 12:00:00 as a partition to drop.
+    spec = F.regexp_replace(F.regexp_replace(decoded, "=([^/]*)", " = '$1'"), "/", ", ")
+    old = (
+        spark.sql(f"SHOW PARTITIONS {table}")
+        .filter(started <= limit)
+        .select(F.date_format(started, "yyyy-MM-dd HH:mm:ss").alias("chunk"), spec.alias("spec"))
         .collect()
-    ]
+    )
     if old:
-        dropped = ", ".join(f"PARTITION (chunk = TIMESTAMP '{c}')" for c in old)
+        dropped = ", ".join(f"PARTITION ({row.spec})" for row in old)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {dropped}")
-    return old
+    return sorted({row.chunk for row in old})
 
 
 def write_packets_jdbc(packets: DataFrame, url: str, name: str, batch_rows: int = 500, **options: str) -> None:

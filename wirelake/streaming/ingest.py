@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from wirelake.functions.identifiers import checked_name
 from wirelake.operators.scan import running
 from wirelake.operators.shape import dead_letters, good_packets, shape_lines
 from wirelake.operators.storage import talker_layout
@@ -22,6 +23,7 @@ def ingest_stream(
     checkpoint: str,
     *,
     column: str = "value",
+    table: str | None = None,
     trigger: dict | None = None,
     name: str = "ingest",
 ) -> StreamingQuery:
@@ -30,19 +32,20 @@ def ingest_stream(
     ``folder/packets``, ``folder/dead_letters`` and ``folder/metrics`` go by micro-batch, packets
     also by hour. A micro-batch that is run again after a failure overwrites its own part, so
     every line lands once. The size of a micro-batch is set at the source, the pace by
-    ``trigger`` (one second by default).
+    ``trigger`` (one second by default). With ``table``, packets go into that catalog table
+    (``storage.create_packets_table(.., by_batch=True)``), whose old chunks can be dropped.
     """
     return (
         lines.select(F.col(column).alias("value"))
         .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, folder))
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, folder, table))
         .start()
     )
 
 
-def write_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
+def write_batch(batch: DataFrame, batch_id: int, folder: str, table: str | None = None) -> None:
     """Write one micro-batch: packets, dead letters and its counters.
 
     The shaped batch is kept while its two parts are written, so lines are parsed once;
@@ -57,7 +60,10 @@ def write_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     try:
         # Counted behind the shuffle: to find its ranges, the shuffle reads its input twice.
         good = talker_layout(good_packets(shaped)).observe(good_seen, counted)
-        _overwrite(good, batch_id, f"{folder}/packets", "chunk")
+        if table is None:
+            _overwrite(good, batch_id, f"{folder}/packets", "chunk")
+        else:
+            _overwrite_in_table(good, batch_id, checked_name(table))
         bad = dead_letters(shaped, F.current_timestamp()).observe(bad_seen, counted)
         _overwrite(bad.withColumn("at", F.timestamp_seconds("ts")), batch_id, f"{folder}/dead_letters")
     except Exception:
@@ -91,6 +97,19 @@ def _overwrite(rows: DataFrame, batch_id: int, table: str, *parts: str) -> None:
     rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{table}/batch_id={batch_id}")
 
 
+def _overwrite_in_table(packets: DataFrame, batch_id: int, table: str) -> None:
+    """Replace the partitions of this micro-batch, and no others."""
+    rows = f"{table}_batch_{batch_id}"
+    packets.createOrReplaceTempView(rows)
+    try:
+        packets.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {batch_id}, chunk) "
+            f"SELECT {', '.join(PACKET_COLUMNS)}, chunk FROM {rows}"
+        )
+    finally:
+        packets.sparkSession.catalog.dropTempView(rows)
+
+
 def stored_packets(spark: SparkSession, folder: str) -> DataFrame:
     schema = T.StructType([*STORED_PACKETS.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(schema).parquet(f"{folder}/packets")
