@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from wirelake.sources.ek import clean_lines, ek_scan, ek_stream
 from wirelake.sources.exposition import metrics_parse
 from wirelake.sources.replay import replay_expand

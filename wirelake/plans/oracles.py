@@ -6,7 +6,7 @@ engine's own JSON functions, and everything else is plain SQL.
 
 from __future__ import annotations
 
-from wirelake.plans.derived import COUNT_SQL, INDEX_LINE, METRIC_LINES_SQL, line_sql
+from wirelake.plans.derived import COUNT_SQL, METRIC_LINES_SQL, line_sql
 from wirelake.plans import settings as P
 
 _MS = "(epoch_us(ts) // 1000)"

@@ -33,21 +33,3 @@ PACKET_COLUMNS = PACKETS.fieldNames()
 SHAPED_COLUMNS = [c for c in PACKET_COLUMNS if c != "payload"]
 
 STORED_PACKETS = T.StructType([*PACKETS.fields, T.StructField("chunk", T.TimestampType(), False)])
-
-DEAD_LETTERS = T.StructType(
-    [
-        T.StructField("error", T.StringType(), False),
-        T.StructField("raw_ek_line", T.StringType(), True),
-        T.StructField("ts", T.LongType(), False),
-    ]
-)
-
-METRIC_SAMPLES = T.StructType(
-    [
-        T.StructField("scrape_ts", T.TimestampType(), False),
-        T.StructField("series", T.StringType(), False),
-        T.StructField("name", T.StringType(), False),
-        T.StructField("labels", T.MapType(T.StringType(), T.StringType()), True),
-        T.StructField("value", T.DoubleType(), True),
-    ]
-)
