@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import shards
+from wirelake.llm import chat, shards
 from wirelake.session import use_utc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
+        "op1_chat_trees": chat.op1,
         "op3_hilbert_shards": shards.op3,
     }
     return {name: lambda spark, sf_dir, run=run: run(use_utc(spark), sf_dir) for name, run in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_chat_trees": chat.op1_sql(),
+    }
