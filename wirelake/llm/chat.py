@@ -81,9 +81,8 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
         leaves = leaves.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= branches)
     on_path = leaves.select(F.col("node").alias("leaf"), "node")
     for level in reversed(levels):
-        on_path = on_path.unionByName(
-            on_path.join(level, "node").select("leaf", F.col("jump").alias("node"))
-        )
+        up = on_path.join(level, "node").select("leaf", F.col("jump").alias("node"))
+        on_path = common.written(on_path.unionByName(up), "path")  # else the plan doubles each time
     return on_path.join(reached.select("node", "root", "depth"), "node")
 
 
