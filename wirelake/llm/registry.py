@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import chat, jaccard, rules, shards
+from wirelake.llm import chat, decontaminate, jaccard, rules, shards
 from wirelake.session import use_utc
 
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_trees": chat.op1,
         "op3_hilbert_shards": shards.op3,
         "op4_jaccard_join": jaccard.op4,
+        "op7_suffix_decontamination": decontaminate.op7,
         "op9_decision_list": rules.op9,
     }
     return {name: lambda spark, sf_dir, run=run: run(use_utc(spark), sf_dir) for name, run in found.items()}
@@ -24,4 +25,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_trees": chat.op1_sql(),
         "op4_jaccard_join": jaccard.op4_sql(),
+        "op7_suffix_decontamination": decontaminate.op7_sql(),
     }
