@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import chat, decontaminate, jaccard, rules, shards
+from wirelake.llm import bpe, chat, decontaminate, jaccard, rules, shards
 from wirelake.session import use_utc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_chat_trees": chat.op1,
+        "op2_rank_queue_bpe": bpe.op2,
         "op3_hilbert_shards": shards.op3,
         "op4_jaccard_join": jaccard.op4,
         "op7_suffix_decontamination": decontaminate.op7,
