@@ -9,6 +9,7 @@ ancestors. Only identifiers and numbers take part; texts join once, at the end.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -49,22 +50,25 @@ def linked(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         ),
         "links",
     )
-    levels, rounds = [], 0
-    while rounds < ROUNDS and state.filter("jump IS NOT NULL").limit(1).count():
-        levels.append(state.filter("jump IS NOT NULL").select("node", "jump"))
-        up = state.select(*[F.col(c).alias(f"_{c}") for c in state.columns])
-        state = common.written(
-            state.join(up, F.col("jump") == F.col("_node"), "left").select(
+    finished, levels = [state.filter("jump IS NULL")], []
+    active = state.filter("jump IS NOT NULL")
+    while len(levels) < ROUNDS and active.limit(1).count():
+        levels.append(active.select("node", "jump"))
+        up = reduce(DataFrame.unionByName, finished, active)
+        up = up.select(*[F.col(c).alias(f"_{c}") for c in up.columns])
+        moved = common.written(
+            active.join(up, F.col("jump") == F.col("_node")).select(
                 "node",
                 F.col("_jump").alias("jump"),
-                F.coalesce("_root", "root").alias("root"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
+                F.col("_root").alias("root"),
+                (F.col("depth") + F.col("_depth")).alias("depth"),
+                (F.col("score") + F.col("_score")).alias("score"),
             ),
             "links",
         )
-        rounds += 1
-    return state.filter("jump IS NULL").drop("jump"), levels
+        finished.append(moved.filter("jump IS NULL"))
+        active = moved.filter("jump IS NOT NULL")
+    return reduce(DataFrame.unionByName, finished).drop("jump"), levels
 
 
 def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
