@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import bpe, chat, decontaminate, jaccard, rules, shards
+from wirelake.llm import bpe, chat, decontaminate, jaccard, rules, shards, tokens
 from wirelake.session import use_utc
 
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_rank_queue_bpe": bpe.op2,
         "op3_hilbert_shards": shards.op3,
         "op4_jaccard_join": jaccard.op4,
+        "op5_token_files": tokens.op5,
         "op7_suffix_decontamination": decontaminate.op7,
         "op9_decision_list": rules.op9,
     }
