@@ -366,7 +366,8 @@ def _links(given: DataFrame, members: DataFrame, n: int, percent: int) -> DataFr
         .withColumn("task", F.when(F.col("_split") > 1, F.xxhash64("cluster", "left", "right")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(tasks))))
     )
     texts = given.filter("doc_id IS NOT NULL")
-    chosen = placed.join(texts, placed["node"] == texts["doc_id"]).select("task", "cluster", "left", "right", "node", "text")
+    # merged at every size: a plan that broadcasts small inputs says nothing about large ones
+    chosen = placed.hint("merge").join(texts, placed["node"] == texts["doc_id"]).select("task", "cluster", "left", "right", "node", "text")
     return chosen.groupBy("task").applyInPandas(multiply, "a bigint, b bigint")
 
 
