@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirelake.llm import bpe, chat, decontaminate, jaccard, rules, shards, suffix_dedup, tokens
+from wirelake.llm import bpe, chat, decontaminate, jaccard, rules, shards, suffix_dedup, tokens, toxicity
 from wirelake.session import use_utc
 
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_hilbert_shards": shards.op3,
         "op4_jaccard_join": jaccard.op4,
         "op5_token_files": tokens.op5,
+        "op6_compression_toxicity": toxicity.op6,
         "op7_suffix_decontamination": decontaminate.op7,
         "op8_suffix_dedup": suffix_dedup.op8,
         "op9_decision_list": rules.op9,
