@@ -169,7 +169,7 @@ def page_blocks(page: str) -> list[Block]:
 
 
 FEATURES = (
-    "words", "link density", "words before", "link density before", "words after", "link density after", "aside", "main"
+    "aside", "main", "words", "link density", "words before", "link density before", "words after", "link density after"
 )
 
 
@@ -181,7 +181,7 @@ def features(found: list[Block]) -> list[tuple[float, ...]]:
             return float(found[i].words), min(1.0, found[i].link_words / found[i].words)
         return 0.0, 0.0
 
-    return [(*of(i), *of(i - 1), *of(i + 1), float(b.aside), float(b.main)) for i, b in enumerate(found)]
+    return [(float(b.aside), float(b.main), *of(i), *of(i - 1), *of(i + 1)) for i, b in enumerate(found)]
 
 
 #: The labelled table: pages whose main blocks are marked with data-main.
@@ -217,6 +217,21 @@ LABELLED = (
     roof had been paid for and that nothing was owed to anyone any more.</p><p data-main>Closed at ten.</p>
     <div class=related><a href=1>Minutes of the last meeting</a></div></main><div class=share><a href=s>Share</a></div>
     <div role=contentinfo>Village hall, open on weekdays from nine until noon, ring twice and wait</div></body>""",
+    """<body><div class="ad">Better sleep from tonight.</div><p data-main>The lighthouse was built by three brothers who had
+    never seen the sea before they came here, and who never left it again once they had finished, as the stones in the yard
+    behind the church say to this day.</p><div class="notice">This page is being moved.</div><p data-main>Its lamp was lit
+    with oil until the year in which the cable was laid, and then for another year, because the keeper did not trust the
+    cable and told everyone so who climbed the stairs to see him.</p><div class="newsletter">Letters from the coast, each
+    month.</div><p data-main>After him came his daughter, who trusted the cable but kept the oil, and of whom it is told that
+    she read every ship's name aloud as it passed, whether anyone was there to hear it or not.</p><ul class="menu"><li>Tides
+    <li>Charts</ul></body>""",
+    """<body><header><p>The quarterly of the bird society, founded by friends of the heron, read in nine countries and free
+    of charge for members</p></header><div class=promo>Join us.</div><h2 data-main>Counting swifts</h2><p data-main>We count
+    them in the last week of June, at dusk, from the same four roofs each year, and we write down only those that fly below
+    the tower, since the others cannot be told apart.</p><p data-main>There were sixty.</p><div class=comments><p>Sixty is
+    not many, when I was a child there were hundreds of them around that tower and you could not hear the bells.</p><p>We
+    had eleven here.</p></div><footer><p>Printed on paper that was made from paper, in a house that is heated with wood from
+    our own hedge, by people who are paid</p></footer></body>""",
     """<body><div><a href=1>Books</a></div><div><a href=2>Films and series</a></div><div><a href=3>Music</a></div>
     <h1 data-main>On reading slowly</h1><p data-main>There is a way of reading that lets each sentence stand for a moment
     before the next one is allowed to come, and it is not for the impatient.</p><p data-main>I learned it late, from an old
