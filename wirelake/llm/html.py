@@ -232,6 +232,12 @@ LABELLED = (
     not many, when I was a child there were hundreds of them around that tower and you could not hear the bells.</p><p>We
     had eleven here.</p></div><footer><p>Printed on paper that was made from paper, in a house that is heated with wood from
     our own hedge, by people who are paid</p></footer></body>""",
+    """<body><nav><a href=1>Home</a></nav><article><h1 data-main>Cut off</h1><p data-main>This page ends where the wire
+    broke, in the middle of a sentence that nobody has finished since, though many have tried to.</p><p data-main>The last
+    words were</p>""",
+    """<main><p data-main>Closed today.</p></main>""",
+    """<p data-main>All that this page has to say is in this one paragraph, which is long enough to be read as such.</p>
+    <p data-main>And in this one, which is the last, and after which there is nothing at all to be found.</p>""",
     """<body><div><a href=1>Books</a></div><div><a href=2>Films and series</a></div><div><a href=3>Music</a></div>
     <h1 data-main>On reading slowly</h1><p data-main>There is a way of reading that lets each sentence stand for a moment
     before the next one is allowed to come, and it is not for the impatient.</p><p data-main>I learned it late, from an old
