@@ -213,6 +213,30 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     ).select("doc_id", "row", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), "item_ids", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows in which any window of the benchmark occurs; nothing is shuffled."""
+    for test in test_passes(benchmark, window):
+        docs = docs.mapInArrow(_without_hits(test, docs.columns.index("text")), docs.schema)
+    return docs
+
+
+def _without_hits(test: Broadcast, column: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = blocks.texts(batch.column(column))
+            for a, b in blocks.steps(values):
+                data, starts = blocks.joined(values[a:b])
+                data = blocks.LOWER[data]
+                begin, end = blocks.spans(data, APART)
+                first = np.searchsorted(begin, starts)
+                place, _ = matches(data, begin, end, first[:-1][np.diff(first) > 0], test.value)
+                clean = np.ones(b - a, bool)
+                clean[np.searchsorted(first, place, side="right") - 1] = False
+                yield batch.slice(a, b - a).filter(pa.array(clean))
+
+    return run
+
+
 def op7_sql() -> str:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     words = (

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from wirelake.llm import bpe, chat, decontaminate, html, jaccard, rules, shards, suffix_dedup, tokens, toxicity
 from wirelake.session import use_utc
 
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": tokens.op5,
         "op6_compression_toxicity": toxicity.op6,
         "op10_block_tree_html": html.op10,
+        "pipeline": corpus_pipeline.run,
         "op7_suffix_decontamination": decontaminate.op7,
         "op8_suffix_dedup": suffix_dedup.op8,
         "op9_decision_list": rules.op9,

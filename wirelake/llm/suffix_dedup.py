@@ -319,7 +319,7 @@ def _remove(docs: pd.DataFrame, side: pd.DataFrame, span: int, extra: Sequence[s
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
         else:
             removed, runs, kept = 0, 0, text
-        out.append((group.ids[i], len(text), removed, runs, hashlib.sha256(kept).hexdigest(), kept))
+        out.append((group.ids[i], len(text), removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
     return pd.concat(
         [pd.DataFrame(out, columns=columns[:6]), docs[list(extra)].reset_index(drop=True)], axis=1
     )
@@ -328,8 +328,8 @@ def _remove(docs: pd.DataFrame, side: pd.DataFrame, span: int, extra: Sequence[s
 def suffix_dedup(docs: DataFrame, span: int = SPAN, extra: Sequence[str] = ()) -> DataFrame:
     """Each document without the bytes of strings that also start in one with a smaller doc_id.
 
-    doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, text (the bytes that
-    are left) and the ``extra`` columns, which must not bear those names. Null texts are empty.
+    doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, text (what is
+    left, without characters that were cut in part) and the ``extra`` columns, which must not bear those names. Null texts are empty.
     Rows without a doc_id are left as they are and no reason to remove anything; rows that repeat
     a doc_id do not remove from one another. An empty table gives no rows.
     """
@@ -366,12 +366,12 @@ def suffix_dedup(docs: DataFrame, span: int = SPAN, extra: Sequence[str] = ()) -
     shared = with_docs(firsts, send_keys, _OUT).groupBy("bucket").applyInPandas(_shared_keys, _SIDE)
     texts = with_docs(firsts.unionByName(shared), send_texts, _OUT)
     answers = texts.groupBy("bucket").applyInPandas(answer, _SIDE)
-    out = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text binary"
+    out = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string"
     done = with_docs(firsts.unionByName(answers), remove, out + "".join(f", `{c}` string" for c in extra))
     untouched = docs.filter("doc_id IS NULL").select(
         F.lit(None).cast("bigint").alias("doc_id"), F.octet_length(raw).cast("bigint").alias("n_bytes"),
         F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"),
-        F.sha2(raw, 256).alias("kept_sha256"), raw.alias("text"), *carried,
+        F.sha2(raw, 256).alias("kept_sha256"), F.coalesce("text", F.lit("")).alias("text"), *carried,
     )
     whole = done.unionByName(untouched)
     return whole.select(*whole.columns[:6], *[F.col(c).cast(kinds[c]).alias(c) for c in extra])
