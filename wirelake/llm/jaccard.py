@@ -2,9 +2,10 @@
 
 Which rows of the matrix need to meet follows from a bound of their sizes: two sets of a and b
 n-grams with a Jaccard similarity of t differ in at most ``(1 - t) / (1 + t) * (a + b)`` n-grams.
-The n-grams are dealt into one column block more than that, by hash, so at least one block of
-such a pair is equal; rows are candidates of one another only where they share a whole block.
-Rows joined by candidates form clusters. Each cluster's product is computed in tasks of bounded
+The n-grams are dealt into more column blocks than that, by hash, so some block of such a pair is
+equal; rows are candidates of one another only where they share a whole block. Small sets, and
+the few with too many empty blocks, are found by their n-grams of least hash instead: of those,
+similar sets share one among the first ``(1 - t) * a + 1``. Rows joined by candidates form clusters. Each cluster's product is computed in tasks of bounded
 size, column block by column block; pairs whose overlap can no longer reach the bound are dropped
 on the way, and of the pairs that reach it only a spanning forest leaves the task.
 
@@ -26,7 +27,7 @@ from wirelake.llm import blocks, common
 from wirelake.llm.components import components
 
 #: Bytes of text behind each bucket of block signatures; it bounds what a task gathers.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 32 << 20
 #: n-grams that one task multiplies; a cluster beyond it is split into pairs of row blocks.
 TASK_GRAMS = 1 << 21
 #: Signatures a task gathers before it sends them off.
@@ -34,7 +35,7 @@ FLUSH = 1 << 20
 ROWS, COLUMNS = 256, 2048
 #: Rows that are multiplied with the whole cluster before its blocks are.
 PIVOTS = 8
-_EMPTY = np.uint64(0x5BD1E9955BD1E995)
+_BAND = np.uint64(0x5BD1E9955BD1E995)
 _KEY = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -69,27 +70,40 @@ def gram_sets(values: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
 class Bounds:
     """What similarity ``percent`` asks of set sizes: bands of sizes and column blocks per band."""
 
+    #: Sets below this size are found by their least hashes alone.
+    SMALL = 64
+
     def __init__(self, percent: int):
         self.percent = percent
         self.ratio = 1 / (percent / 100 - 0.001)  # a little wide, so that rounding loses no pair
-        t = percent
         #: Sets below this size are similar only if equal.
-        self.least = next(n for n in range(1, 1 << 20) if 100 * n >= t * (n + 1))
+        self.least = next(n for n in range(1, 1 << 20) if 100 * n >= percent * (n + 1))
+        self.parts, self.spare = np.array([self._dealt(k) for k in range(self._top + 2)], np.int64).T
 
-    def band(self, sizes: np.ndarray) -> np.ndarray:
-        return np.floor(np.log(np.maximum(sizes, 1)) / np.log(self.ratio) + 1e-9).astype(np.int64)
+    @property
+    def _top(self) -> int:
+        return int(np.log(1 << 40) / np.log(self.ratio))
 
-    def dealt(self, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Column blocks of a band, and how many of them may be empty in both rows of a pair.
+    def _dealt(self, band: int) -> tuple[int, int]:
+        """Column blocks of a band, and how many of them may be empty.
 
-        One block more than a pair can differ in, and some to spare: equal blocks without any
-        n-gram tell nothing.
+        The blocks outnumber what a pair in this band or the one below can differ in by more than
+        the empty ones of either row, as equal blocks without any n-gram tell nothing.
         """
-        most = np.floor(self.ratio ** (band + 1.0) + 1e-6)
-        differ = np.floor((100 - self.percent) / (100 + self.percent) * 2 * most + 1e-6).astype(np.int64)
-        spare = 1 + (differ + 1) // 300
+        most, least = int(self.ratio ** (band + 1) + 1e-6), max(self.ratio ** (band - 1), self.SMALL)
+        differ, spare = (100 - self.percent) * 2 * most // (100 + self.percent), 1
+        for _ in range(40):
+            empty = (differ + 1 + spare) * np.exp(-least / (differ + 1 + spare))
+            spare = 1 + int(np.ceil(empty + 2 * np.sqrt(empty)))
         return differ + 1 + spare, spare
 
+    def band(self, sizes: np.ndarray) -> np.ndarray:
+        return np.floor(np.log(np.maximum(sizes, 1)) / np.log(self.ratio) + 1e-9).astype(np.int64)
+
+    def prefix(self, sizes: np.ndarray) -> np.ndarray:
+        """How many of the least hashes of similar sets must have one in common."""
+        return sizes + (-sizes * self.percent // 100) + 1
+
     def similar(self, overlap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * overlap >= self.percent * (a + b - overlap)
 
@@ -100,34 +114,35 @@ class Bounds:
 
 
 def signatures(grams: np.ndarray, at: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of every column block of every row, in its own size band and the next."""
+    """(row, signature) pairs, of which any two similar rows have an equal signature."""
     sizes = np.diff(at)
-    rows = np.flatnonzero(sizes >= bounds.least)
-    if not len(rows):
-        return rows, np.zeros(0, np.uint64)
-    of_row = np.repeat(np.arange(len(sizes)), sizes)
-    wide = np.repeat(sizes >= bounds.least, sizes)
-    gram, of_row = grams[wide], of_row[wide]
-    mixed = blocks.mix(gram ^ _KEY)
-    band = bounds.band(sizes)
+    large = sizes >= bounds.SMALL
     out_rows, out = [], []
-    for step in (0, 1):
-        key = band + step
-        parts, spare = bounds.dealt(key)
-        part = ((gram >> np.uint64(32)) * parts[of_row].astype(np.uint64)) >> np.uint64(32)
-        new = np.ones(len(gram), bool)
-        new[1:] = (of_row[1:] != of_row[:-1]) | (part[1:] != part[:-1])
-        first = np.flatnonzero(new)
-        row = of_row[first]
-        where = part[first] * _KEY + key[row].astype(np.uint64) * _EMPTY
-        out.append(blocks.mix(np.add.reduceat(mixed, first) ^ where))
-        out_rows.append(row)
-        filled = np.bincount(row, minlength=len(sizes))
-        for r in rows[(parts - filled)[rows] > spare[rows]]:  # rare: its empty blocks count as well
-            a, b = np.searchsorted(row, [r, r + 1])
-            empty = np.setdiff1d(np.arange(parts[r]), part[first[a:b]].astype(np.int64)).astype(np.uint64)
-            out.append(blocks.mix(_EMPTY ^ (empty * _KEY + key[r : r + 1].astype(np.uint64) * _EMPTY)))
-            out_rows.append(np.full(len(empty), r))
+    # similar to a small set, or a small set
+    by_least = (sizes >= bounds.least) & (sizes <= bounds.SMALL * bounds.ratio)
+    if large.any():
+        of_row = np.repeat(np.arange(len(sizes)), sizes)
+        wide = large[of_row]
+        gram, of_row = grams[wide], of_row[wide]
+        mixed = blocks.mix(gram ^ _KEY)
+        band = bounds.band(sizes)
+        for step in (0, 1):
+            key = band + step
+            parts = bounds.parts[key]
+            part = ((gram >> np.uint64(32)) * parts[of_row].astype(np.uint64)) >> np.uint64(32)
+            new = np.ones(len(gram), bool)
+            new[1:] = (of_row[1:] != of_row[:-1]) | (part[1:] != part[:-1])
+            first = np.flatnonzero(new)
+            row = of_row[first]
+            where = part[first] * _KEY + key[row].astype(np.uint64) * _BAND
+            out.append(blocks.mix(np.add.reduceat(mixed, first) ^ where))
+            out_rows.append(row)
+            by_least |= large & (parts - np.bincount(row, minlength=len(sizes)) > bounds.spare[key])
+    rows = np.flatnonzero(by_least)
+    take = bounds.prefix(sizes[rows])
+    place = np.repeat(at[rows] - np.cumsum(take) + take, take) + np.arange(take.sum())
+    out.append(blocks.mix(grams[place] ^ _BAND))
+    out_rows.append(np.repeat(rows, take))
     return np.concatenate(out_rows), np.concatenate(out)
 
 
@@ -144,6 +159,23 @@ def _starred(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return sig[first], cls[first], edges
 
 
+def _pack(sig: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Signatures by class, six bytes each: equal ones that are not the same only cost time."""
+    order = np.argsort(cls, kind="stable")
+    value, count = np.unique(cls, return_counts=True)
+    short = np.ascontiguousarray(sig[order]).view(np.uint8).reshape(-1, 8)[:, :6]
+    return np.concatenate([np.array([len(value)]).view(np.uint8), value.view(np.uint8), count.astype(np.int32).view(np.uint8), short.reshape(-1)])
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    value, count = np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.int32, n, 8 + 8 * n)
+    short = np.frombuffer(data, np.uint8, offset=8 + 12 * n).reshape(-1, 6)
+    sig = np.zeros((len(short), 8), np.uint8)
+    sig[:, :6] = short
+    return sig.view(np.uint64).reshape(-1), np.repeat(value, count)
+
+
 _MAPPED = "bucket int, kind int, data binary"
 _DOCS, _EDGES, _SIGNS = 0, 1, 2
 
@@ -168,8 +200,7 @@ def _map(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: int)
         bucket = ((sig >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))  # sorted as the signatures are
         for b in np.flatnonzero(np.diff(cuts)):
-            part = slice(cuts[b], cuts[b + 1])
-            yield _row(int(b), _SIGNS, np.concatenate([sig[part].view(np.int64), cls[part]]))
+            yield _row(int(b), _SIGNS, _pack(sig[cuts[b] : cuts[b + 1]], cls[cuts[b] : cuts[b + 1]]))
 
     for batch in batches:
         ids = batch.column(0).to_pylist()
@@ -208,17 +239,16 @@ def _reduce(group: pd.DataFrame) -> pd.DataFrame:
         elif kind == _EDGES:
             e = np.frombuffer(data, np.int64).reshape(-1, 2)
             out.append(pd.DataFrame({"kind": 1, "a": e[:, 0], "b": e[:, 1], "c": 0}))
-    signs = [np.frombuffer(d, np.int64) for k, d in zip(group["kind"], group["data"]) if k == _SIGNS]
+    signs = [_unpack(d) for k, d in zip(group["kind"], group["data"]) if k == _SIGNS]
     if signs:
-        sig = np.concatenate([s[: len(s) // 2] for s in signs]).view(np.uint64)
-        _, _, edges = _starred(sig, np.concatenate([s[len(s) // 2 :] for s in signs]))
+        _, _, edges = _starred(*[np.concatenate(part) for part in zip(*signs)])
         out.append(pd.DataFrame({"kind": 1, "a": edges[:, 0], "b": edges[:, 1], "c": 0}))
     return pd.concat(out).astype({"kind": "int32"})
 
 
 def forest(sets: list[np.ndarray], bounds: Bounds) -> list[tuple[int, int]]:
     """Pairs of row numbers that link all rows similar to one another, as few as connect them."""
-    m = len(sets)
+    m, percent = len(sets), bounds.percent
     parent = np.arange(m)
     links: list[tuple[int, int]] = []
 
@@ -261,29 +291,55 @@ def forest(sets: list[np.ndarray], bounds: Bounds) -> list[tuple[int, int]]:
             break
         against(int(alone[0]))
     order = np.lexsort((sizes, parent))
+    by_column = np.argsort(column, kind="stable")
+    holders = np.empty(m, np.int64)
+    holders[order] = np.arange(m)
+    holders = holders[of_row[by_column]]  # of each column, the rows that have it, as places in the order
+    column_at = np.searchsorted(column[by_column], np.arange(width + 1))
     for i in range(0, m, ROWS):
-        left = order[i : i + ROWS]
-        for j in range(i, m, ROWS):
-            right = order[j : j + ROWS]
-            a, b = sizes[left][:, None], sizes[right][None, :]
-            alive = (parent[left][:, None] != parent[right][None, :]) & (100 * np.minimum(a, b) >= bounds.percent * np.maximum(a, b))
-            if not alive.any():
-                continue
-            needed, overlap = bounds.needed(a, b), np.zeros((len(left), len(right)), np.int64)
-            rest_l, rest_r = (at[left + 1] - at[left])[:, None], (at[right + 1] - at[right])[None, :]
+        left, right = order[i : i + ROWS], order[i:]
+        a, b = sizes[left][:, None], sizes[right][None, :]
+        alive = (parent[left][:, None] != parent[right][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+        if not alive.any():
+            continue
+        mine = np.concatenate([column[at[r] : at[r + 1]] for r in left])
+        found = np.diff(column_at)[mine]
+        if found.sum() * 100 < width * alive.size:
+            overlap = _counted(left, i, m, column, at, holders, column_at)
+            x, y = np.nonzero(alive & bounds.similar(overlap, a, b))
+            join(left[x], right[y])
+            continue
+        for j in range(0, len(right), ROWS):  # dense: blocks of rows by blocks of rows
+            part, b = right[j : j + ROWS], sizes[right[j : j + ROWS]][None, :]
+            lives = alive[:, j : j + ROWS] & (parent[left][:, None] != parent[part][None, :])
+            needed, overlap = bounds.needed(a, b), np.zeros(lives.shape, np.int64)
+            rest_l, rest_r = np.diff(at)[left][:, None], np.diff(at)[part][None, :]
             for c in range(0, width, COLUMNS):
-                part_l, part_r = (_dense(side, column, at, c) for side in (left, right))
+                if not lives.any():
+                    break
+                part_l, part_r = (_dense(side, column, at, c) for side in (left, part))
                 overlap += (part_l @ part_r.T).astype(np.int64)
                 rest_l = rest_l - part_l.sum(1, dtype=np.int64)[:, None]
                 rest_r = rest_r - part_r.sum(1, dtype=np.int64)[None, :]
-                alive &= overlap + np.minimum(rest_l, rest_r) >= needed
-                if not alive.any():
-                    break
-            x, y = np.nonzero(alive & bounds.similar(overlap, a, b))
-            join(left[x], right[y])
+                lives &= overlap + np.minimum(rest_l, rest_r) >= needed
+            x, y = np.nonzero(lives & bounds.similar(overlap, a, b))
+            join(left[x], part[y])
     return links
 
 
+def _counted(
+    left: np.ndarray, i: int, m: int, column: np.ndarray, at: np.ndarray, holders: np.ndarray, column_at: np.ndarray
+) -> np.ndarray:
+    """Overlaps of the rows ``left`` with those from place ``i`` on, counted from the columns' rows."""
+    out = np.zeros((len(left), m - i), np.int64)
+    for k, r in enumerate(left):
+        mine = column[at[r] : at[r + 1]]
+        start, count = column_at[mine], column_at[mine + 1] - column_at[mine]
+        place = holders[np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())]
+        out[k] = np.bincount(place, minlength=m)[i:]
+    return out
+
+
 def _dense(rows: np.ndarray, column: np.ndarray, at: np.ndarray, start: int) -> np.ndarray:
     out = np.zeros((len(rows), COLUMNS), np.float32)
     for k, r in enumerate(rows):
