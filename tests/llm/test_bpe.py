@@ -33,13 +33,26 @@ def test_very_long_matches(library, text):
     assert bpe.encoder(PATH, public_tokenizers.PATTERN).encode(text) == library.encode_ordinary(text)
 
 
-def test_rank_queue_pops_least_rank_and_leftmost_position():
+def test_rank_queue_gives_the_least_rank():
     rng, queue = random.Random(1), bpe.RankQueue(60_000)
     pairs = [(rng.randrange(60_000) if rng.random() < 0.5 else rng.randrange(5), p) for p in range(3000)]
-    for rank, place in rng.sample(pairs, len(pairs)):
-        queue.push(rank, place)
-    assert [queue.pop() for _ in pairs] == sorted(pairs)
-    assert not queue.top and not queue.buckets and not any(queue.low) and not any(queue.mid)
+    for rank, place in pairs:
+        queue.bucket(rank, list).append(place)
+    found = []
+    while queue.top:
+        rank = queue.least()
+        found += [(rank, p) for p in queue.take(rank)]
+    assert found == sorted(pairs)
+    assert not queue.buckets and not any(queue.low) and not any(queue.mid)
+
+
+def test_shared_queue_equals_own_queues():
+    rng, own = random.Random(2), bpe.encoder(PATH, public_tokenizers.PATTERN)
+    tokens = ["".join(rng.choice("aabeinorst é") for _ in range(rng.randint(1, 40))).encode() for _ in range(3000)]
+    tokens += [b"a" * k for k in range(1, 60)]
+    tokens = [t for t in tokens if t not in own.ranks]
+    assert own.merge_all(tokens) == [bpe._packed(own.merge(t)) for t in tokens]
+    assert own.merge_all([]) == []
 
 
 def test_table(library, make):

@@ -40,7 +40,7 @@ def test_judging_keeps_columns_and_applies_rules(make):
     for r in got:
         words, _, symbols, _, repeated = brute(r["text"])
         failed = words < 20 or 100 * repeated > 30 * words
-        assert (r["base_failed"], r["kept"]) == (failed, not failed and not (symbols > 0.5 * words and words > 3))
+        assert (r["_base_failed"], r["_kept"]) == (failed, not failed and not (symbols > 0.5 * words and words > 3))
     assert rules.judged(make([]), []).count() == 0
 
 
@@ -69,7 +69,7 @@ def test_verdict_in_spark_equals_the_learner(spark):
 
 def test_no_labels(spark, make):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
-    assert rules.quality_rules(make(ROWS), labels).filter("kept <> NOT base_failed").count() == 0
+    assert rules.quality_rules(make(ROWS), labels).filter("_kept <> NOT _base_failed").count() == 0
 
 
 def test_query(spark, sf_dir):

@@ -4,6 +4,10 @@ The pairs of a pre-token wait in buckets by merge rank; a bitmap of three levels
 tells the least rank that has a bucket by three find-first-set steps, whatever the length of the
 pre-token. Buckets hold positions of a linked list of tokens; an entry whose position has been
 merged away, or now starts another pair, is stale and skipped.
+
+A long pre-token has a queue of its own. Short ones that have not been met before share one queue:
+they lie in one linked list with bounds between them, and a bucket's leftmost position of each is
+merged in one array step.
 """
 
 from __future__ import annotations
@@ -12,9 +16,11 @@ import base64
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
+from typing import Generic, TypeVar
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +29,8 @@ from wirelake.llm import blocks, common
 
 #: Pieces of text whose ids a worker remembers before it starts anew; longer pieces are not kept.
 REMEMBERED, REMEMBERED_CHARS = 600_000, 64
+#: Bytes of text that are encoded together, and of the longest pre-token that shares a queue.
+STEP_BYTES, SHARED_BYTES = 8 << 20, 256
 #: Texts are cut before white space that follows another character, where no match can go on ...
 _CHUNKS = re.compile("[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: ... unless they hold white space beyond ASCII, or controls that libraries class differently.
@@ -35,42 +43,61 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class RankQueue:
-    """Positions by merge rank; pops the leftmost position of the least rank."""
+B = TypeVar("B")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+class RankQueue(Generic[B]):
+    """Buckets by merge rank; three levels of bits tell the least rank that has one."""
 
     def __init__(self, ranks: int):
+        self.size = ranks
         self.low = [0] * ((ranks >> 6) + 1)
         self.mid = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
+        self.top = 0  # 0 if nothing waits
+        self.buckets: dict[int, B] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
+    def bucket(self, rank: int, new: Callable[[], B]) -> B:
+        """The bucket of a rank, made if there is none."""
+        found = self.buckets.get(rank)
+        if found is None:
+            found = self.buckets[rank] = new()
             self.low[rank >> 6] |= 1 << (rank & 63)
             self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
             self.top |= 1 << (rank >> 12)
-        else:
-            heapq.heappush(bucket, position)
+        return found
 
-    def pop(self) -> tuple[int, int]:
-        """(rank, position); ``top`` is 0 if nothing waits."""
+    def least(self) -> int:
         a = (self.top & -self.top).bit_length() - 1
         word = self.mid[a]
         b = a << 6 | (word & -word).bit_length() - 1
         word = self.low[b]
-        rank = b << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heapq.heappop(bucket)
-        del self.buckets[rank]
+        return b << 6 | (word & -word).bit_length() - 1
+
+    def take(self, rank: int) -> B:
+        """The bucket of a rank, which is gone then."""
+        b = rank >> 6
         self.low[b] ^= 1 << (rank & 63)
         if not self.low[b]:
-            self.mid[a] ^= 1 << (b & 63)
-            if not self.mid[a]:
-                self.top ^= 1 << a
-        return rank, bucket[0]
+            self.mid[b >> 6] ^= 1 << (b & 63)
+            if not self.mid[b >> 6]:
+                self.top ^= 1 << (b >> 6)
+        return self.buckets.pop(rank)
+
+
+def _hashed(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every token, sorted, and its rank."""
+    tokens = list(ranks)
+    ends = np.cumsum([len(t) for t in tokens])
+    sums = blocks.prefix_sums(np.frombuffer(b"".join(tokens), np.uint8))
+    found = blocks.range_hashes(sums, np.concatenate([[0], ends[:-1]]), ends)
+    order = np.argsort(found)
+    if (np.diff(found[order]) == 0).any():
+        raise ValueError("two tokens have one hash")
+    return found[order], np.array([ranks[t] for t in tokens], np.int64)[order]
 
 
 class Encoder:
@@ -78,12 +105,15 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.names = {rank: str(rank) for rank in self.tokens}
+        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.names = [str(rank) for rank in range(len(self.tokens))]
         self.pattern = regex.compile(pattern)
-        self.queue = RankQueue(max(self.tokens, default=0) + 1)  # empty again after each use
-        self.pieces: dict[str, list[int]] = {}
-        self.chunks: dict[str, list[int]] = {}
+        self.queue = RankQueue(len(self.tokens))  # empty again after each use
+        self.hashes, self.hashed_ranks = _hashed(ranks)
+        self.pieces: dict[str, bytes] = {}  # ids, four bytes each
+        self.chunks: dict[str, bytes] = {}
 
     def merge(self, token: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -99,15 +129,18 @@ class Encoder:
             rank = ranks.get(token[at : after[mid]]) if mid < n else None
             waits[at] = rank
             if rank is not None:
-                queue.push(rank, at)
+                heapq.heappush(queue.bucket(rank, list), at)
 
         for i in range(n - 1):  # as look() does, for single bytes
             rank = waits[i] = ranks.get(token[i : i + 2])
             if rank is not None:
-                queue.push(rank, i)
-        pop = queue.pop
+                queue.bucket(rank, list).append(i)
         while queue.top:
-            rank, at = pop()
+            rank = queue.least()
+            bucket = queue.buckets[rank]
+            at = heapq.heappop(bucket)
+            if not bucket:
+                queue.take(rank)
             if waits[at] != rank:
                 continue  # stale
             gone = after[at]
@@ -123,36 +156,106 @@ class Encoder:
             at = after[at]
         return out
 
-    def _match(self, piece: str) -> list[int]:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = self.merge(piece.encode())
-            if len(piece) <= REMEMBERED_CHARS:
-                if len(self.pieces) >= REMEMBERED // 2:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
+    def merge_all(self, tokens: list[bytes]) -> list[bytes]:
+        """The packed ids of many short pre-tokens, by one queue."""
+        text = b"".join(tokens)
+        n, data = len(text), np.frombuffer(text, np.uint8)
+        if not n:
+            return [b"" for _ in tokens]
+        starts = np.cumsum([0, *map(len, tokens)])
+        sums = blocks.prefix_sums(data)
+        bound = np.zeros(n + 1, bool)  # where a pre-token starts
+        bound[starts] = True
+        owner = np.repeat(np.arange(len(tokens)), np.diff(starts))
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[n] = n
+        alive = np.ones(n, bool)
+        waits = np.full(n + 1, -1, np.int64)  # the rank of the pair that starts here
+        queue: RankQueue[list[np.ndarray]] = RankQueue(self.queue.size)
+
+        def look(at: np.ndarray) -> None:
+            at = at[~bound[after[at]]]
+            if not len(at):
+                return
+            rank = self._ranks_of(sums, at, after[after[at]])
+            waits[at] = rank
+            known = rank >= 0
+            rank, at = rank[known], at[known]
+            order = np.argsort(rank, kind="stable")
+            rank, at = rank[order], at[order]
+            cuts = np.flatnonzero(np.diff(rank, prepend=-1)).tolist()
+            for i, j in zip(cuts, [*cuts[1:], len(rank)]):
+                queue.bucket(int(rank[i]), list).append(at[i:j])
+
+        look(np.arange(n))
+        while queue.top:
+            rank = queue.least()
+            at = queue.take(rank)
+            at = np.unique(np.concatenate(at)) if len(at) > 1 else np.sort(at[0])
+            at = at[waits[at] == rank]  # the others are stale
+            if not len(at):
+                continue
+            first = np.ones(len(at), bool)
+            first[1:] = owner[at[1:]] != owner[at[:-1]]
+            if not first.all():
+                queue.bucket(rank, list).append(at[~first])
+                at = at[first]
+            gone = after[at]
+            end = after[gone]
+            after[at], before[end] = end, at
+            alive[gone], waits[gone], waits[at] = False, -1, -1
+            left = before[at[~bound[at]]]
+            waits[left] = -1
+            look(np.concatenate([at, left]))
+        where = np.flatnonzero(alive)
+        ids = self._ranks_of(sums, where, after[where]).astype("<i4")
+        if self.decode(ids.tolist()) != text:  # two strings with one hash
+            return [_packed(self.merge(t)) for t in tokens]
+        raw, cuts = ids.tobytes(), (4 * np.searchsorted(where, starts)).tolist()
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def _ranks_of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The rank of each byte range, -1 if it is no token."""
+        found = blocks.range_hashes(sums, starts, ends)
+        near = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
+        return np.where(self.hashes[near] == found, self.hashed_ranks[near], -1)
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """The packed ids of matches of the pattern."""
+        out, short = {}, []
+        for piece in pieces:
+            token = piece.encode()
+            if token in self.ranks:
+                out[piece] = _packed([self.ranks[token]])
+            elif len(token) > SHARED_BYTES:
+                out[piece] = _packed(self.merge(token))
+            else:
+                short.append(piece)
+        out.update(zip(short, self.merge_all([p.encode() for p in short])))
+        return out
 
-    def _split(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self._match, self.pattern.findall(text))))
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text; each match of the pattern is merged by itself."""
+        # odd texts are one chunk; the others are cut where no match can go on
+        parts = [[t] if _ODD_SPACE.search(t) else _CHUNKS.findall(t) for t in texts]
+        fresh = set(chain.from_iterable(parts)).difference(self.chunks)
+        if len(self.chunks) + len(fresh) > REMEMBERED:
+            self.chunks.clear()
+            self.pieces.clear()
+            fresh = set(chain.from_iterable(parts))
+        found = {part: self.pattern.findall(part) for part in fresh}
+        new = self._learn(set(chain.from_iterable(found.values())).difference(self.pieces))
+        self.pieces.update(new)
+        piece, chunk = self.pieces.__getitem__, self.chunks.__getitem__
+        self.chunks.update((part, b"".join(map(piece, pieces))) for part, pieces in found.items())
+        out = [np.frombuffer(b"".join(map(chunk, p)), "<i4").tolist() for p in parts]
+        for kept, added in ((self.chunks, fresh), (self.pieces, new)):  # long ones are not worth keeping
+            for part in [p for p in added if len(p) > REMEMBERED_CHARS]:
+                del kept[part]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        """The ids of a text; each match of the pattern is merged by itself."""
-        if _ODD_SPACE.search(text):
-            return self._split(text)
-        parts = _CHUNKS.findall(text)
-        known = self.chunks
-        out: list[list[int]] = []
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self._split(part)
-                if len(part) <= REMEMBERED_CHARS:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[part] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -180,10 +283,9 @@ def encode_column(docs: DataFrame, path: str, pattern: str, ids: bool = True) ->
         names = own.names
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in blocks.steps([b"" if t is None else t for t in texts]):
+            for a, b in blocks.steps([t or "" for t in texts], STEP_BYTES):
                 counts, listed, hashes, decoded = [], [], [], []
-                for text in texts[a:b]:
-                    found = own.encode(text or "")
+                for found in own.encode_all([t or "" for t in texts[a:b]]):
                     counts.append(len(found))
                     hashes.append(hashlib.sha256(" ".join(map(names.__getitem__, found)).encode()).hexdigest())
                     decoded.append(hashlib.sha256(own.decode(found)).hexdigest())

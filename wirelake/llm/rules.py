@@ -222,7 +222,7 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> l
 
 
 def judged(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``docs`` with ``_stats``, ``base_failed`` and ``kept``.
+    """``docs`` with ``_stats``, ``_base_failed`` and ``_kept``.
 
     Empty and null texts have no words and fail the base rule; repeated rows are judged alike; an
     empty table gives no rows. Columns named n_words and the like may be among the documents'.
@@ -231,7 +231,10 @@ def judged(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     inner = statistics(docs).select(F.struct(*docs.columns).alias("_doc"), F.col("_stats").alias("_s"))
     tested = inner.select("_doc", "_s", "_s.*").select("_doc", "_s", base.alias("_failed"), verdict(rules).alias("_pass"))
     return tested.select(
-        "_doc.*", F.col("_s").alias("_stats"), F.col("_failed").alias("base_failed"), (~F.col("_failed") & F.col("_pass")).alias("kept")
+        "_doc.*",
+        F.col("_s").alias("_stats"),
+        F.col("_failed").alias("_base_failed"),
+        (~F.col("_failed") & F.col("_pass")).alias("_kept"),
     )
 
 
@@ -243,4 +246,4 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     done = quality_rules(docs, common.table(spark, sf_dir, "labels"))
-    return done.select("doc_id", *[F.col(f"_stats.{n}").alias(n) for n in BASE], "base_failed", "kept")
+    return done.select("doc_id", *[F.col(f"_stats.{n}").alias(n) for n in BASE], F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
