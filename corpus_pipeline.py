@@ -14,7 +14,7 @@ from wirelake.llm import bpe, common, decontaminate, jaccard, rules, suffix_dedu
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep."""
     done = rules.quality_rules(docs, common.table(spark, sf_dir, "labels"))
-    return done.filter("kept").select(*docs.columns)
+    return done.filter("_kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
