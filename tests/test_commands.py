@@ -23,7 +23,7 @@ def test_ingest_and_questions(spark, tmp_path, capsys):
     for command in ("count", "latest", "talkers"):
         assert main([command, "--packets", f"{out}/packets"], spark) == 0
     shown = capsys.readouterr().out
-    assert "|2  |" in shown and "192.168.1.100" in shown
+    assert "|2  |" in shown and "172.20.5.9" in shown
 
 
 def test_verify(spark, capsys):
@@ -47,12 +47,14 @@ def test_soak_and_metrics(spark, tmp_path, capsys):
     assert main(["soak", "--samples", good], spark) == 0
     assert main(["metrics", "--samples", good], spark) == 0
     shown = capsys.readouterr().out
-    assert "GATE PASSED" in shown and "throughput  1.0 rows/sec" in shown and "metric contract satisfied" in shown
+    assert shown.startswith("passed after 2 scrapes in 5 seconds") and "metric contract satisfied" in shown
+    assert main(["soak", "--samples", good, "--duration", "1800"], spark) == 1
+    assert "broken: run_too_short" in capsys.readouterr().out
     bad = _lines(spark, tmp_path, "bad", [(0.0, "worker_buffer_size 1")])
     assert main(["soak", "--samples", bad], spark) == 1
     assert main(["metrics", "--samples", bad], spark) == 1
     shown = capsys.readouterr().out
-    assert "FAIL: no rows inserted" in shown and "MISSING process_memory_bytes" in shown
+    assert "broken: no_new_rows" in shown and "never seen: process_memory_bytes" in shown and "MISSING process_memory_bytes" in shown
     empty = _lines(spark, tmp_path, "empty", [(0.0, "# nothing")])
     assert main(["soak", "--samples", empty], spark) == 1
     assert main(["metrics", "--samples", empty], spark) == 1

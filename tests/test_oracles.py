@@ -6,8 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from wirelake.plans import oracles
+from wirelake.plans import queries as registry
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = registry.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -1,9 +1,11 @@
 import random
+from fractions import Fraction
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from wirelake.operators.pacing import batch_by_count, pace_schedule
-from wirelake.operators.scan import in_order, ordinal, previous, running
+from wirelake.operators.scan import BLOCK, in_blocks, ordinal, previous, running
 from tests.conftest import seconds
 
 
@@ -22,46 +24,42 @@ def test_running_equals_a_plain_window(spark):
     whole = Window.partitionBy("k").orderBy("i")
     for how, fold in (("sum", F.sum), ("max", F.max)):
         for inclusive, last in ((True, 0), (False, -1)):
-            for width, levels in ((1, 1), (64, 2), (10_000, 1), (100, 3)):
-                got = running(
-                    rows, ("k",), "i", F.col("v"), how, "got", inclusive=inclusive, width=width, levels=levels
-                )
-                wanted = fold("v").over(whole.rowsBetween(Window.unboundedPreceding, last))
-                assert got.count() == rows.count()
-                compared = got.withColumn("wanted", wanted)
-                assert compared.filter("NOT (got <=> wanted)").count() == 0, (how, inclusive, width, levels)
-                assert got.columns == ["k", "i", "v", "got"]
+            got = running(rows, ("k",), "i", F.col("v"), how, "got", inclusive=inclusive)
+            wanted = fold("v").over(whole.rowsBetween(Window.unboundedPreceding, last))
+            assert got.count() == rows.count()
+            assert got.withColumn("wanted", wanted).filter("NOT (got <=> wanted)").count() == 0, (how, inclusive)
+            assert got.columns == ["k", "i", "v", BLOCK, "got"]
 
 
 def test_ordinal_and_previous(spark):
     rows = _rows(spark)
     whole = Window.partitionBy("k").orderBy("i")
-    got = previous(ordinal(rows, ("k",), "i", width=500), ("k",), "i", F.col("v"), "p", width=700)
+    got = previous(ordinal(rows, ("k",), "i"), ("k",), "i", F.col("v"), "p")
     wrong = got.withColumn("n", F.row_number().over(whole) - 1).withColumn("q", F.lag("v").over(whole))
     assert wrong.filter("NOT (n <=> ordinal) OR NOT (p <=> q)").count() == 0
 
 
 def test_no_window_spans_a_whole_key(spark):
-    """Rows are only ever windowed within a block; whole keys hold block totals alone."""
+    """Rows are only ever windowed within a range; whole keys hold one row per range."""
     plan = running(_rows(spark), ("k",), "i", F.col("v"), "sum", "s")._jdf.queryExecution().optimizedPlan()
     windows = [line for line in plan.toString().split("\n") if "Window [" in line]
     assert len(windows) == 2
-    assert any("_is_carry" in w and "_block1" in w for w in windows)
-
-
-def test_order_for_rows_without_one(spark):
-    """A third of the rows share one time; the others are far apart."""
-    r = random.Random(9)
-    times = [5 if r.random() < 0.34 else r.randrange(2**60) for _ in range(6000)]
-    rows = spark.createDataFrame([("k", t) for t in times], "k STRING, t BIGINT").repartition(8)
-    numbered = in_order(rows, "t")
-    assert numbered.select("seq").distinct().count() == 6000
-    batches = batch_by_count(numbered, ("k",), "seq", 100, width=64).groupBy("batch_no").agg(
-        F.count("*").alias("n"), F.min("t").alias("low"), F.max("t").alias("high")
+    assert any("_is_carry" in w and BLOCK in w for w in windows)
+
+
+@pytest.mark.parametrize("step", [1, 2**40])
+def test_a_hot_key_is_split_however_dense_its_order(spark, step):
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(F.lit(-1)).alias("k"),
+        (F.col("id") * step).alias("i"),
+        F.lit(1).alias("v"),
     )
-    got = [(b.batch_no, b.n, b.low, b.high) for b in batches.orderBy("batch_no").collect()]
-    times.sort()
-    assert got == [(i, 100, times[i * 100], times[i * 100 + 99]) for i in range(60)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in in_blocks(rows, ("k",), "i").groupBy(BLOCK).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(sizes) < 10_000
 
 
 def _paced(arrivals, gap):
@@ -83,7 +81,7 @@ def test_pace_equals_the_loop(spark):
             rows.append((key, i * 3, at / 1e6))
         wanted[key] = _paced(arrivals, 10_000)
     df = seconds(spark, rows, "key STRING, seq BIGINT, arrival DOUBLE", "arrival").repartition(8)
-    out = pace_schedule(df, ("key",), "seq", 100.0, width=16)
+    out = pace_schedule(df, ("key",), "seq", 100.0)
     for key in wanted:
         got = [r[0] for r in out.filter(F.col("key") == key).orderBy("seq").select(F.unix_micros("emit_at")).collect()]
         assert got == wanted[key]
@@ -103,7 +101,16 @@ def test_pace_examples(spark):
     assert times == [0, 50_000, 51_000]
 
 
+@pytest.mark.parametrize("rate", [3_000, 3_000_000, 7, 0.3])
+def test_pace_at_rates_that_do_not_divide_a_second(spark, rate):
+    n = 6001
+    rows = spark.range(n).select(F.lit("k").alias("key"), F.col("id").alias("seq"), F.lit(0).cast("timestamp").alias("arrival"))
+    got = [r[0] for r in pace_schedule(rows, ("key",), "seq", rate).orderBy("seq").select(F.unix_micros("emit_at")).collect()]
+    gap = 1_000_000 / Fraction(str(rate))
+    assert got == [-(-(i * gap).numerator // (i * gap).denominator) for i in range(n)]
+
+
 def test_batch_by_count(spark):
     rows = spark.createDataFrame([("k", i * 7) for i in range(8)], "key STRING, seq BIGINT")
-    got = [r.batch_no for r in batch_by_count(rows, ("key",), "seq", 3, width=10).orderBy("seq").collect()]
+    got = [r.batch_no for r in batch_by_count(rows, ("key",), "seq", 3).orderBy("seq").collect()]
     assert got == [0, 0, 0, 1, 1, 1, 2, 2]

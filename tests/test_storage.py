@@ -21,13 +21,13 @@ def spread_packets(spark, hours):
     ).select(*PACKET_COLUMNS)
 
 
-@pytest.mark.parametrize("name", ["packets; DROP TABLE packets", "packets--", "pack ets", "", "1packets", 'packets"', "packets)", "packets\n"])
+@pytest.mark.parametrize("name", ["a b", "7days", "t;t", "t-t", "", "t'", "t.u.v;", "(t", "t\t", "t/*", "é"])
 def test_refused_names(name):
     with pytest.raises(ValueError):
         checked_name(name)
 
 
-@pytest.mark.parametrize("name", ["packets", "packets_py", "_x", "P1"])
+@pytest.mark.parametrize("name", ["t", "hourly_2024", "__", "Mixed9"])
 def test_accepted_names(name):
     assert checked_name(name) == name
 
@@ -36,7 +36,7 @@ def test_append_keeps_all_rows(spark, sf_dir):
     rows = shape_packets(derived.ek_lines(derived.events(spark, sf_dir)))
     path = run_folder(spark, "t")
     S.append_packets(rows, path)
-    S.append_packets(rows, path, in_time_order=False)
+    S.append_packets(rows, path, in_time_order=True)
     stored = packets_path(spark, path)
     assert stored.count() == 2 * rows.count()
     assert stored.select(*PACKET_COLUMNS).exceptAll(rows.union(rows)).count() == 0
@@ -68,16 +68,6 @@ def test_talker_layout_splits_a_hot_hour_and_pair(spark):
     assert len(parts) == 8 and max(r["count"] for r in parts) < 6000
 
 
-def test_talker_layout_splits_copies_of_one_packet(spark):
-    copies = packets(spark, A).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(19999)))).drop("i")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        parts = S.talker_layout(copies.repartition(4)).groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert sum(r["count"] for r in parts) == 20000 and max(r["count"] for r in parts) < 6000
-
-
 def test_retention_drops_whole_chunks_only(spark):
     path = run_folder(spark, "t")
     S.append_packets(spread_packets(spark, 30), path)
@@ -88,8 +78,9 @@ def test_retention_drops_whole_chunks_only(spark):
     assert S.retained(spread_packets(spark, 30), at(now)).count() == kept.count() == 29
 
 
-def test_catalog_table(spark):
+def test_catalog_table(spark, monkeypatch):
     S.create_packets_table(spark, "packets_t")
+    monkeypatch.setattr(S, "DROPPED_AT_ONCE", 1)
     S.append_to_table(spread_packets(spark, 30), "packets_t")
     S.append_to_table(spread_packets(spark, 1), "packets_t")
     assert packets_table(spark, "packets_t").count() == 31

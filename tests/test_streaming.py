@@ -1,17 +1,16 @@
 import datetime as dt
 import json
-import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from wirelake.operators import storage
+from wirelake.operators import counters, storage
 from wirelake.operators.shape import dead_letters, shape_lines, shape_packets
 from wirelake.plans import derived
 from wirelake.session import run_folder
 from wirelake.sources.ek import ek_stream
 from wirelake.streaming import fanout, ingest
-from wirelake.streaming.packets import batches_stream, dedup_stream, per_minute_stream
+from wirelake.streaming.packets import dedup_stream, per_minute_stream
 from tests.conftest import at
 from tests.test_shape import doc
 
@@ -52,7 +51,7 @@ def test_stream_lands_what_batch_finds(spark, sf_dir):
     assert totals["ingestor_lines_read_total"] == shaped.count()
     assert totals["worker_batch_flush_total"] == 3
     assert totals["worker_db_errors_total"] == 0
-    assert 0 < totals["worker_buffer_size"] < shaped.count()
+    assert totals["worker_buffer_size"] == 0 and totals["ingestor_msgs_published_total"] == shaped.count()
 
 
 def test_restart_continues_and_a_repeated_batch_is_not_doubled(spark, sf_dir):
@@ -101,11 +100,31 @@ def test_stream_into_a_table_with_retention(spark):
     assert storage.expire_chunks(spark, "live_packets", now) == []
 
 
-def test_failed_write_is_counted_and_raised(spark, tmp_path):
-    (tmp_path / "packets").write_text("a file where the table should be")
-    with pytest.raises(Exception):
-        ingest.write_batch(spark.createDataFrame([(doc(),)], "value STRING"), 0, str(tmp_path))
+def test_failed_write_is_counted_and_raised(spark, tmp_path, monkeypatch):
+    line = spark.createDataFrame([(doc(),)], "value STRING")
+    ingest.write_batch(line, 0, str(tmp_path))
+
+
+    def broken(*args):
+        raise OSError("the store is away")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="away"):
+        patch.setattr(ingest, "_overwrite", broken)
+        ingest.write_batch(line, 1, str(tmp_path))
     assert [r.delta for r in ingest.failed_writes(spark, str(tmp_path)).collect()] == [1.0]
+    ingest.write_batch(line, 2, str(tmp_path))
+    errors = ingest.run_metrics(spark, str(tmp_path)).filter("name = 'worker_db_errors_total'").orderBy("scrape_ts")
+    assert [r.value for r in errors.collect()] == [0.0, 1.0, 1.0]
+
+
+def test_the_gate_judges_our_own_run(spark):
+    folder = run_folder(spark, "s")
+    for k in range(2):
+        ingest.write_batch(spark.createDataFrame([(doc(),)] * 5, "value STRING"), k, folder)
+    samples = ingest.run_metrics(spark, folder)
+    needed = tuple(n for n in counters.REQUIRED_METRICS if n != "process_memory_bytes")
+    assert counters.soak_gate(samples, required=needed).first().passed
+    assert counters.soak_gate(samples, required=needed, min_elapsed_s=1800).first().failures == ["run_too_short"]
 
 
 def test_fan_out(spark, sf_dir):
@@ -132,7 +151,7 @@ def _packet_stream(spark, folder, lines):
 @pytest.mark.parametrize("salts", [1, 4])
 def test_dedup_stream(spark, salts):
     folder = run_folder(spark, "s")
-    _packet_stream(spark, f"{folder}/in", [doc()] * 20 + [doc(timestamp="1770000000790")])
+    _packet_stream(spark, f"{folder}/in", [doc()] * 20 + [doc(timestamp="1755123456322")])
     packets = _packet_stream(spark, f"{folder}/in", [doc()] * 20)
     run(
         dedup_stream(packets, salts=salts).drop("payload").writeStream.format("parquet")
@@ -150,48 +169,7 @@ def test_per_minute_stream(spark):
         .option("checkpointLocation", f"{folder}/cp").trigger(**ONCE).start()
     )
     got = spark.read.parquet(f"{folder}/out").orderBy("minute").collect()
-    assert [(r.packets, r.bytes) for r in got] == [(2, 2468), (1, 1234)]
-
-
-def _arrivals(spark, folder, rows):
-    df = spark.createDataFrame(rows, "key STRING, seq BIGINT, arrival STRING")
-    df.withColumn("arrival", F.col("arrival").cast("timestamp")).coalesce(1).write.mode("append").parquet(folder)
-
-
-def test_batches_stream_by_count_and_time(spark):
-    folder = run_folder(spark, "s")
-    second = "2024-01-01 00:00:0{}".format
-    _arrivals(spark, f"{folder}/in", [("a", i, second(0)) for i in range(5)] + [("b", 0, second(0))])
-    _arrivals(spark, f"{folder}/in", [("a", 5, second(1)), ("b", 1, second(2))])
-    stream = (
-        spark.readStream.schema("key STRING, seq BIGINT, arrival TIMESTAMP")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{folder}/in")
-    )
-    out = batches_stream(stream, size=3, interval_ms=2000, timer=False)
-    run(
-        out.writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/cp").trigger(**ONCE).start()
-    )
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{folder}/out").collect())
-    assert got == [("a", 0, 3, 0, 2, "count"), ("a", 1, 3, 3, 5, "count"), ("b", 0, 2, 0, 1, "time")]
-
-
-def test_batches_stream_timer_closes_a_quiet_key(spark):
-    folder = run_folder(spark, "s")
-    _arrivals(spark, f"{folder}/in", [("a", 0, "2024-01-01 00:00:00"), ("a", 1, "2024-01-01 00:00:00")])
-    stream = spark.readStream.schema("key STRING, seq BIGINT, arrival TIMESTAMP").parquet(f"{folder}/in")
-    query = (
-        batches_stream(stream, size=100, interval_ms=1000).writeStream.format("memory").queryName("quiet")
-        .option("checkpointLocation", f"{folder}/cp").trigger(processingTime="500 milliseconds").start()
-    )
-    try:
-        deadline = time.time() + 60
-        while spark.table("quiet").count() == 0 and time.time() < deadline:
-            time.sleep(0.5)
-        assert [tuple(r) for r in spark.table("quiet").collect()] == [("a", 0, 2, 0, 1, "timer")]
-    finally:
-        query.stop()
+    assert [(r.packets, r.bytes) for r in got] == [(2, 1804), (1, 902)]
 
 
 def test_dead_letters_take_the_given_time(spark):

@@ -3,10 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from wirelake.functions.payload import contains, payload_variant, promoted
+from wirelake.functions.payload import contains, payload_contains, payload_variant, promoted
 from wirelake.functions.text import leaf_protocol, mebibytes, proto_parts
 from wirelake.operators import traffic as Q
-from wirelake.operators.shape import shape_lines
+from wirelake.operators.shape import dead_letters, good_packets, shape_lines
 from tests.test_reconcile import A, B, packets
 from tests.test_shape import doc
 
@@ -34,6 +34,16 @@ def test_containment_at_the_top(spark):
     assert got == [True, True, False, False]
 
 
+def test_of_a_repeated_key_the_last_value_counts(spark):
+    df = spark.createDataFrame([('{"a":1,"a":2}',), ('{"a":{"b":1},"a":{"c":3}}',)], "payload STRING")
+    assert [payload_contains(df, p).count() for p in ({"a": 1}, {"a": 2}, {"a": {"b": 1}}, {"a": {"c": 3}})] == [0, 1, 0, 1]
+
+
+def test_a_host_in_any_form(spark):
+    df = spark.createDataFrame([("2001:db8::1", "10.0.0.1", 1, 2, "ip")], "src_ip STRING, dst_ip STRING, src_port INT, dst_port INT, proto STRING")
+    assert [df.filter(Q.traffic_filter(host=h)).count() for h in ("2001:DB8:0:0::1", "10.0.0.1", "10.0.0.2", "name")] == [1, 1, 0, 0]
+
+
 def test_promoted_columns(spark):
     df = spark.createDataFrame([('{"l":{"h":{"x":"v"},"d":5}}',), ("{}",), ("broken",)], "p STRING")
     rows = df.select(promoted(F.col("p"), {"x": ("l", "h", "x"), "d": ("l", "d")}).alias("s")).select("s.*").collect()
@@ -74,10 +84,16 @@ def test_dedup_keeps_one_copy(spark):
 
 def test_reconcile_counts(spark):
     lines = spark.createDataFrame([(doc(),), (doc(),), (doc(timestamp="5"),), ("x",)], "value STRING")
-    row = Q.reconcile_counts(shape_lines(lines)).first()
+    shaped = shape_lines(lines)
+    stored, letters = good_packets(shaped), dead_letters(shaped, F.current_timestamp())
+    row = Q.reconcile_counts(lines, stored, letters).first()
     assert (row.lines_in, row.packets, row.dead_letters, row.distinct_ids, row.duplicates) == (4, 3, 1, 2, 1)
     assert row.status == "complete"
-    assert Q.reconcile_counts(shape_lines(lines.limit(0))).first().status == "empty"
+    assert Q.reconcile_counts(lines, stored.limit(2), letters).first().status == "lost"
+    assert Q.reconcile_counts(lines, stored, letters.limit(0)).first().status == "lost"
+    assert Q.reconcile_counts(lines, stored.union(stored), letters).first().status == "doubled"
+    none = Q.reconcile_counts(lines.limit(0), stored.limit(0), letters.limit(0)).first()
+    assert none.status == "empty"
 
 
 def test_latency(spark):

@@ -52,7 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     command("latest", _shown(traffic.latest_packets), packets)
     command("talkers", _shown(traffic.top_talkers), packets)
     command("verify", _verify, (("-a",), must), (("-b",), must), (("--diff",), {"type": int, "default": 5}))
-    command("soak", _soak, samples, (("--max-rss-mib",), {"type": float, "default": 20.0}))
+    command("soak", _soak, samples, (("--max-rss-mib",), {"type": float, "default": 20.0}), (("--duration",), {"type": float, "default": 0.0}))
     command("metrics", _metrics, samples)
     command("drain", _drain, (("--counts",), must), (("--stable",), {"type": float, "default": 10.0}))
     return parser
@@ -94,7 +94,7 @@ def _samples(spark, args) -> DataFrame:
 
 
 def _soak(spark, args) -> int:
-    gate = counters.soak_gate(_samples(spark, args), max_rss_bytes=args.max_rss_mib * 1024 * 1024)
+    gate = counters.soak_gate(_samples(spark, args), max_rss_bytes=args.max_rss_mib * 1024 * 1024, min_elapsed_s=args.duration)
     row = soak_report(gate).first()
     print(row.report or "no samples")
     return 0 if row.passed and row.report else 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ipaddress
+
 from pyspark.sql import Column, functions as F
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -82,3 +84,11 @@ def ip_canonical(text: str) -> Column:
 
 def ip_version(address: str) -> Column:
     return F.expr(f"CASE WHEN contains({address}, ':') THEN 6 ELSE 4 END")
+
+
+def canonical_address(text: str) -> str:
+    """An address in the form it is stored in; other text stays as it is."""
+    try:
+        return str(ipaddress.ip_address(text))
+    except ValueError:
+        return text

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def payload_variant(payload: Column) -> Column:
-    """The payload as VARIANT; NULL where the text repeats a key, which VARIANT refuses."""
+    """The payload as VARIANT; of a repeated key the last value counts (see ``session.use_utc``)."""
     return F.try_parse_json(payload)
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from wirelake.operators.scan import BLOCK, ordinal
+from wirelake.operators.scan import ordinal
 from wirelake.session import send_code_with_tasks
 
 send_code_with_tasks(__name__)
@@ -40,7 +40,7 @@ def batch_count_or_time(
     interval_us: int = 1_000_000,
     *,
     arrival: str = "arrival",
-    width: int = BLOCK,
+    width: int = 1 << 16,
     group: int = 1024,
 ) -> DataFrame:
     """Add ``batch_no`` and ``closes`` (does this row close its batch?) to rows in arrival order.

@@ -1,24 +1,43 @@
 """Running values per key that do not need one key to fit into one task.
 
-A window over a whole key sorts all its rows in a single task. Here the order column, an
-integer unique within its key, is cut into blocks of fixed width. Block totals are aggregated
-(map-side first) and carried forward; each block then gets its carry as one extra row that
-sorts before its own rows, and a window over ``(key, block)`` does the rest. The rows are
-shuffled once, nothing is joined, and no group has more rows than a block is wide. The totals
-of one key are a plain window of one row per block; where the order values are so sparse that
-these are many, ``levels=2`` carries the totals the same way, block by block of blocks.
+A window over a whole key sorts all its rows in a single task. Here the rows are ranged over
+``(keys, order)`` and written once, each with the number of its range, so a range holds a bounded
+share of all rows, whatever the keys and however dense the order. Totals of each key in each range
+are aggregated and carried forward, one row per range that the key reaches; each range then gets
+its carry as one extra row that sorts before its own rows, and a window over ``(keys, range)``
+does the rest.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wirelake.session import shared_folder
 
-BLOCK = 1 << 16
+#: The column that names a row's range; the functions below keep it, the last caller drops it.
+BLOCK = "_block"
 _FOLDS = {"sum": F.sum, "max": F.max}
 
 
+def in_blocks(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
+    """Rows with the range they lie in; rows that have one already are left as they are.
+
+    Rows equal in keys and order are split by a hash of their other columns. The table in the
+    shared folder fixes the ranges, which come from sampling, for all that follows, and a source
+    is parsed for it and the sampling alone.
+    """
+    if BLOCK in rows.columns:
+        return rows
+    plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    path = f"{shared_folder(rows.sparkSession)}/blocks-{uuid.uuid4().hex}"
+    ranged = rows.withColumn("_tie", F.xxhash64(*plain)).repartitionByRange(*keys, order, "_tie").drop("_tie")
+    ranged = ranged.withColumn(BLOCK, F.spark_partition_id())
+    ranged.write.parquet(path)
+    return rows.sparkSession.read.schema(ranged.schema).parquet(path)
+
+
 def running(
     rows: DataFrame,
     keys: tuple[str, ...],
@@ -28,79 +47,42 @@ def running(
     name: str,
     *,
     inclusive: bool = True,
-    width: int = BLOCK,
-    levels: int = 1,
 ) -> DataFrame:
     """Add column ``name``: the ``sum`` or ``max`` of ``value`` over the key's rows up to this one.
 
-    ``max`` also works on structs that start with the order value, which makes it "the latest
-    value so far". An empty range gives NULL.
+    ``order`` is a number that is unique within its key. ``max`` also works on structs that start
+    with the order value, which makes it "the latest value so far". An empty range gives NULL.
     """
-    block, total, fold = f"_block{levels}", f"_total{levels}", _FOLDS[how]
-    blocked = rows.withColumn(block, F.floor(F.col(order) / F.lit(width))).withColumn(total, value)
-    totals = blocked.groupBy(*keys, block).agg(fold(total).alias(total))
-    if levels > 1:
-        carried = running(
-            totals, keys, block, F.col(total), how, "_carry",
-            inclusive=False, width=width, levels=levels - 1,
-        )
-    else:
-        before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.withColumn("_carry", fold(total).over(before))
-    carry_rows = carried.select(*keys, block, F.col("_carry").alias(total)).withColumn(
-        "_is_carry", F.lit(True)
+    total, fold = "_total", _FOLDS[how]
+    blocked = in_blocks(rows, keys, order).withColumn(total, value)
+    totals = blocked.groupBy(*keys, BLOCK).agg(fold(total).alias(total))
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carry_rows = totals.withColumn("_carry", fold(total).over(before)).select(
+        *keys, BLOCK, F.col("_carry").alias(total), F.lit(True).alias("_is_carry")
     )
     together = blocked.withColumn("_is_carry", F.lit(False)).unionByName(
         carry_rows, allowMissingColumns=True
     )
     last = Window.currentRow if inclusive else -1
     within = (
-        Window.partitionBy(*keys, block)
+        Window.partitionBy(*keys, BLOCK)
         .orderBy(F.col("_is_carry").desc(), order)
         .rowsBetween(Window.unboundedPreceding, last)
     )
     return (
         together.withColumn(name, fold(total).over(within))
         .filter(~F.col("_is_carry"))
-        .drop(block, total, "_is_carry")
+        .drop(total, "_is_carry")
     )
 
 
-def ordinal(
-    rows: DataFrame, keys: tuple[str, ...], order: str, name: str = "ordinal", *, width: int = BLOCK
-) -> DataFrame:
+def ordinal(rows: DataFrame, keys: tuple[str, ...], order: str, name: str = "ordinal") -> DataFrame:
     """Add ``name``: the row's place, from 0, in its key by ``order``."""
     one = F.lit(1).cast("bigint")
-    return running(rows, keys, order, one, "sum", name, width=width).withColumn(
-        name, F.col(name) - 1
-    )
+    return running(rows, keys, order, one, "sum", name).withColumn(name, F.col(name) - 1)
 
 
-def previous(
-    rows: DataFrame, keys: tuple[str, ...], order: str, value: Column, name: str, *, width: int = BLOCK
-) -> DataFrame:
+def previous(rows: DataFrame, keys: tuple[str, ...], order: str, value: Column, name: str) -> DataFrame:
     """Add ``name``: ``value`` of the row before this one in its key, NULL for the first."""
     entry = F.struct(F.col(order).alias("at"), value.alias("value"))
-    return running(
-        rows, keys, order, entry, "max", name, inclusive=False, width=width
-    ).withColumn(name, F.col(name)["value"])
-
-
-def in_order(rows: DataFrame, *order: str, name: str = "seq") -> DataFrame:
-    """Add ``name``: a unique integer that grows with ``order``, for rows that have none.
-
-    Rows with equal values get different numbers, in the order they are found, so that even
-    very many of them are split over blocks. Numbers are dense within a task, which also makes
-    a good order out of sparse values. The rows are ranged, sorted and stored as a checkpoint
-    in the shared folder: ranges are found by sampling, so without it a second reading could
-    number the rows differently.
-    """
-    shared_folder(rows.sparkSession)
-    placed = rows.withColumn("_found", F.monotonically_increasing_id())
-    return (
-        placed.repartitionByRange(*order, "_found")
-        .sortWithinPartitions(*order, "_found")
-        .drop("_found")
-        .withColumn(name, F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    return running(rows, keys, order, entry, "max", name, inclusive=False).withColumn(name, F.col(name)["value"])

@@ -10,6 +10,10 @@ from wirelake.operators.traffic import chunk_width
 from wirelake.schema import PACKET_COLUMNS
 
 
+#: Partitions that one statement drops.
+DROPPED_AT_ONCE = 500
+
+
 def with_chunk(packets: DataFrame) -> DataFrame:
     """Add the hour a packet belongs to, the partition of the stored table."""
     return packets.withColumn("chunk", F.date_trunc("HOUR", F.col("ts")))
@@ -19,13 +23,13 @@ def talker_layout(packets: DataFrame) -> DataFrame:
     """Order rows for lookups by chunk, address pair and time.
 
     Range partitioning on the whole sort key splits a busy hour, and a busy pair in it, over
-    several tasks and files; a row's place in the input splits even copies of one packet. The
-    files of a chunk then cover separate address ranges, and their row groups can be skipped
-    by minimum and maximum.
+    several tasks and files; packets equal in it are split by a hash of all their columns, which
+    is the same if a task runs again. The files of a chunk then cover separate address ranges,
+    and their row groups can be skipped by minimum and maximum.
     """
     order = ("chunk", "src_ip", "dst_ip", "ts")
-    placed = with_chunk(packets).withColumn("_place", F.monotonically_increasing_id())
-    return placed.repartitionByRange(*order, "_place").sortWithinPartitions(*order).drop("_place")
+    placed = with_chunk(packets).withColumn("_tie", F.xxhash64(*PACKET_COLUMNS))
+    return placed.repartitionByRange(*order, "_tie").sortWithinPartitions(*order).drop("_tie")
 
 
 def local_layout(packets: DataFrame) -> DataFrame:
@@ -36,11 +40,11 @@ def local_layout(packets: DataFrame) -> DataFrame:
     return with_chunk(packets).sortWithinPartitions("chunk", "src_ip", "dst_ip", "ts")
 
 
-def append_packets(packets: DataFrame, path: str, *, in_time_order: bool = True) -> None:
+def append_packets(packets: DataFrame, path: str, *, in_time_order: bool = False) -> None:
     """Append packets to a chunked table of files.
 
-    Input that is not in order of time is spread by range first. That reads the input twice,
-    once to find the ranges, so packets parsed from lines are better kept or stored before.
+    Rows are ranged first, so that each task writes few files. That reads the input twice, once
+    to find the ranges; a capture that is known to come in order of time can go without.
     """
     rows = local_layout(packets) if in_time_order else talker_layout(packets)
     rows.select(*PACKET_COLUMNS, "chunk").write.mode("append").partitionBy("chunk").parquet(path)
@@ -60,7 +64,7 @@ def create_packets_table(spark: SparkSession, name: str, *, by_batch: bool = Fal
 
 
 def append_to_table(packets: DataFrame, name: str) -> None:
-    rows = local_layout(packets).select(*PACKET_COLUMNS, "chunk")
+    rows = talker_layout(packets).select(*PACKET_COLUMNS, "chunk")
     rows.write.mode("append").format("parquet").partitionBy("chunk").saveAsTable(checked_name(name))
 
 
@@ -99,12 +103,22 @@ def expire_chunks(spark: SparkSession, name: str, now, keep: str = "1 day") -> l
         spark.sql(f"SHOW PARTITIONS {table}")
         .filter(started <= limit)
         .select(F.date_format(started, "yyyy-MM-dd HH:mm:ss").alias("chunk"), spec.alias("spec"))
-        .collect()
+        .toLocalIterator()
     )
-    if old:
-        dropped = ", ".join(f"PARTITION ({row.spec})" for row in old)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {dropped}")
-    return sorted({row.chunk for row in old})
+    chunks, specs = set(), []
+
+    def drop() -> None:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({s})' for s in specs)}")
+        specs.clear()
+
+    for row in old:
+        chunks.add(row.chunk)
+        specs.append(row.spec)
+        if len(specs) == DROPPED_AT_ONCE:
+            drop()
+    if specs:
+        drop()
+    return sorted(chunks)
 
 
 def write_packets_jdbc(packets: DataFrame, url: str, name: str, batch_rows: int = 500, **options: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wirelake.functions.ip import canonical_address
 from wirelake.functions.text import leaf_protocol, message_id, proto_parts
 from wirelake.schema import PACKET_COLUMNS
 
@@ -66,7 +67,9 @@ def traffic_filter(
             (F.col("src_port") == port) | (F.col("dst_port") == port), F.lit(False)
         )
     if host is not None:
-        wanted = wanted & ((F.col("src_ip") == host) | (F.col("dst_ip") == host))
+        # Addresses are stored in their canonical form; a host in another form means the same.
+        address = F.lit(canonical_address(host))
+        wanted = wanted & ((F.col("src_ip") == address) | (F.col("dst_ip") == address))
     # A packet without ports compares to NULL, which a negation must not lose.
     wanted = F.coalesce(wanted, F.lit(False))
     return ~wanted if negate else wanted
@@ -129,8 +132,13 @@ def dedup_packets(packets: DataFrame) -> DataFrame:
     )
 
 
-def ingest_latency(packets: DataFrame, landed: str, *groups: str, within_ms: int = 1000) -> DataFrame:
-    """Milliseconds from a packet's time to its landing: spread, and the share that is in time."""
+def ingest_latency(
+    packets: DataFrame, landed: str, *groups: str, within_ms: int = 1000, accuracy: int = 100_000
+) -> DataFrame:
+    """Milliseconds from a packet's time to its landing: spread, and the share that is in time.
+
+    The percentiles are approximate: their rank is off by one part in ``accuracy`` at most.
+    """
     delay = F.unix_millis(F.col(landed)) - F.unix_millis("ts")
     return (
         packets.withColumn("_ms", delay)
@@ -139,36 +147,47 @@ def ingest_latency(packets: DataFrame, landed: str, *groups: str, within_ms: int
             F.count("*").alias("packets"),
             F.min("_ms").alias("min_ms"),
             F.max("_ms").alias("max_ms"),
-            F.percentile_approx("_ms", F.lit(0.5), F.lit(100000)).alias("p50_ms"),
-            F.percentile_approx("_ms", F.lit(0.95), F.lit(100000)).alias("p95_ms"),
+            F.percentile_approx("_ms", F.lit(0.5), F.lit(accuracy)).alias("p50_ms"),
+            F.percentile_approx("_ms", F.lit(0.95), F.lit(accuracy)).alias("p95_ms"),
             F.count_if(F.col("_ms") <= within_ms).alias("in_time"),
         )
     )
 
 
-def reconcile_counts(shaped: DataFrame) -> DataFrame:
-    """Lines in = packets + dead letters; packets = distinct message ids + duplicates.
+def reconcile_counts(lines: DataFrame, packets: DataFrame, letters: DataFrame, *run: str) -> DataFrame:
+    """What went in against what was stored, per run: lines, packets and dead letters.
 
-    Distinct ids are counted by grouping, which spreads over tasks, before one row is made.
+    The three tables are counted on their own. ``complete`` if packets and dead letters add up to
+    the lines, ``lost`` or ``doubled`` if there are fewer or more, ``empty`` without lines.
+    ``distinct_ids`` and ``duplicates`` tell apart what the packets' identity columns say. Ids are
+    counted by grouping, which spreads over tasks, before the rows of a run meet.
     """
-    good = F.col("_good")
-    per_id = (
-        shaped.withColumn("_good", F.col("reason").isNull())
-        .groupBy("_good", *[F.when(good, F.col(c)).alias(c) for c in IDENTITY])
-        .agg(F.count("*").alias("n"))
+    none = [F.lit(None).cast(packets.schema[c].dataType).alias(c) for c in IDENTITY]
+    tagged = (
+        lines.select(*run, F.lit("line").alias("_kind"), *none)
+        .unionByName(packets.select(*run, F.lit("packet").alias("_kind"), *IDENTITY))
+        .unionByName(letters.select(*run, F.lit("letter").alias("_kind"), *none))
     )
+    per_id = tagged.groupBy(*run, "_kind", *IDENTITY).agg(F.count("*").alias("n"))
+
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.col("n"))), F.lit(0))
+
+    landed = F.col("packets") + F.col("dead_letters")
     return (
-        per_id.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("lines_in"),
-            F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("packets"),
-            F.coalesce(F.sum(F.when(~good, F.col("n"))), F.lit(0)).alias("dead_letters"),
-            F.count_if(good).alias("distinct_ids"),
+        per_id.groupBy(*run)
+        .agg(
+            total("line").alias("lines_in"),
+            total("packet").alias("packets"),
+            total("letter").alias("dead_letters"),
+            F.count_if(F.col("_kind") == "packet").alias("distinct_ids"),
         )
         .withColumn("duplicates", F.col("packets") - F.col("distinct_ids"))
         .withColumn(
             "status",
             F.when(F.col("lines_in") == 0, "empty")
-            .when(F.col("lines_in") == F.col("packets") + F.col("dead_letters"), "complete")
-            .otherwise("incomplete"),
+            .when(landed < F.col("lines_in"), "lost")
+            .when(landed > F.col("lines_in"), "doubled")
+            .otherwise("complete"),
         )
     )

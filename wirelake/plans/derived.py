@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wirelake.sources.tables import spread
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 # One line per event. Remainders of the id spread the cases of the input format over the
@@ -86,11 +85,6 @@ def raw_lines(rows: DataFrame) -> DataFrame:
     return ek_lines(rows).select("event_id", F.posexplode(parts).alias("line_no", "value"))
 
 
-def packet_lines(rows: DataFrame) -> DataFrame:
-    """Only what shaping needs: id, event type and line."""
-    return ek_lines(rows).select("event_id", "event_type", "value")
-
-
 # Each event is one scrape of one worker (its event type). The line formats.
 # ``signup`` has no buffer gauge; counters restart now and then.
 METRIC_LINES_SQL = [
@@ -106,11 +100,13 @@ METRIC_LINES_SQL = [
     "concat('process_memory_bytes{service=\"', event_type, '\"} ', CAST(10 + user_id % 15 AS STRING), 'e+06')",
     "'no_value'",
     "concat('bad_value{service=\"', event_type, '\"} 1x')",
+    "'too_large 1e999'",
+    "concat('repeated{service=\"x\",service=\"', event_type, '\"} 3')",
 ]
 
 
 def metric_lines(rows: DataFrame) -> DataFrame:
-    """``service, scrape_ts, line``: twelve lines of exposition text per event."""
+    """``service, scrape_ts, line``: lines of exposition text, as many for each event."""
     lines = F.array(*[F.expr(sql) for sql in METRIC_LINES_SQL])
     return rows.select(
         F.col("event_type").alias("service"),

@@ -120,9 +120,9 @@ split AS (
   FROM metric_lines WHERE trim(line) <> '' AND NOT starts_with(trim(line), '#') AND contains(trim(line), ' ')),
 samples AS (
   SELECT service, scrape_ts, series, split_part(series, '{', 1) AS name,
-    regexp_extract(series, 'service="([^"]*)"', 1) AS service_label,
+    regexp_extract(series, '.*service="([^"]*)"', 1) AS service_label,
     nullif(regexp_extract(series, 'shard="([^"]*)"', 1), '') AS shard_label, value
-  FROM split WHERE value IS NOT NULL)"""
+  FROM split WHERE value IS NOT NULL AND NOT isinf(value))"""
 
 _STEP, _WINDOW = P.STEP_US, P.WINDOW_US
 
@@ -158,6 +158,7 @@ def _rates(amount: str) -> str:
       round({amount}, 6) AS increase, round({amount} / {_WINDOW / 1e6}, 6) AS rate FROM windows"""
 
 
+# The series a dashboard of the pipeline reads.
 _REQUIRED = (
     "VALUES ('worker_msgs_consumed_total'), ('worker_rows_inserted_total'), ('worker_batch_flush_total'), "
     "('worker_deadletter_total'), ('worker_db_errors_total'), ('worker_buffer_size'), ('process_memory_bytes')"
@@ -192,11 +193,11 @@ runs AS (
   FROM wide GROUP BY service),
 judged AS (
   SELECT r.*, coalesce(a.missing, '') AS missing, concat_ws('; ',
-    CASE WHEN peak_rss > 20971520 THEN printf('peak RSS %.1f MiB exceeds limit 20.0 MiB', peak_rss / 1048576) END,
-    CASE WHEN dead_letters > 0 THEN printf('%.0f dead-letters, limit 0', dead_letters) END,
-    CASE WHEN final_buffer > 0 AND final_buffer >= peak_buffer
-      THEN printf('buffer not flat: final %.0f >= peak %.0f', final_buffer, peak_buffer) END,
-    CASE WHEN rows_inserted = 0 THEN 'no rows inserted during soak' END) AS failures
+    CASE WHEN peak_rss > 20971520 THEN 'memory_over_limit' END,
+    CASE WHEN dead_letters > 0 THEN 'dead_letters_over_limit' END,
+    CASE WHEN final_buffer > 0 AND final_buffer >= peak_buffer THEN 'buffer_still_at_peak' END,
+    CASE WHEN rows_inserted = 0 THEN 'no_new_rows' END,
+    CASE WHEN elapsed_s < {P.SOAK_S} THEN 'run_too_short' END) AS failures
   FROM runs r LEFT JOIN absent a USING (service))"""
 
 _POLLS = f"polls AS (SELECT event_type AS table_name, ts, CAST({COUNT_SQL} AS BIGINT) AS n FROM events)"
@@ -261,6 +262,10 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT 'lines', count(*) FROM shaped""",
         "run_metrics": f"""WITH {SHAPED}
           SELECT 'ingestor_lines_read_total' AS name, CAST(count(*) AS DOUBLE) AS value FROM shaped
+          UNION ALL SELECT 'ingestor_msgs_published_total', count(*) FROM shaped
+          UNION ALL SELECT 'worker_batch_flush_total', least(count(*) FILTER (reason IS NULL), 1) FROM shaped
+          UNION ALL SELECT 'worker_db_errors_total', 0
+          UNION ALL SELECT 'worker_buffer_size', 0
           UNION ALL SELECT 'worker_msgs_consumed_total', count(*) FILTER (reason IS NULL) FROM shaped
           UNION ALL SELECT 'worker_rows_inserted_total', count(*) FILTER (reason IS NULL) FROM shaped
           UNION ALL SELECT 'worker_deadletter_total', count(*) FILTER (reason IS NOT NULL) FROM shaped""",
@@ -306,10 +311,18 @@ def oracle_sql() -> dict[str, str]:
             a.rows > 0 AND a.rows = b.rows AND a.digest = b.digest AND a.payloads = b.payloads AS passed
           FROM a, b""",
         "reconcile_counts": f"""WITH {SHAPED}, ids AS (
-            SELECT reason, CASE WHEN reason IS NULL THEN {_ID} END AS id FROM shaped)
-          SELECT count(*) AS lines_in, count(*) FILTER (reason IS NULL) AS packets,
-            count(*) FILTER (reason IS NOT NULL) AS dead_letters, count(DISTINCT id) AS distinct_ids,
-            count(*) FILTER (reason IS NULL) - count(DISTINCT id) AS duplicates, 'complete' AS status FROM ids""",
+            SELECT reason, coalesce(src_port = 53 OR dst_port = 53, false) AS dns,
+              CASE WHEN reason IS NULL THEN {_ID} END AS id FROM shaped),
+          counted AS (
+            SELECT run, count(*) AS lines_in,
+              CAST(coalesce(sum(CASE WHEN reason IS NOT NULL OR run = 'holes' AND dns THEN 0 WHEN run = 'twice' AND dns THEN 2 ELSE 1 END), 0) AS BIGINT) AS packets,
+              count(*) FILTER (reason IS NOT NULL) AS dead_letters,
+              count(DISTINCT id) FILTER (NOT (run = 'holes' AND dns)) AS distinct_ids
+            FROM ids, (VALUES ('whole'), ('holes'), ('twice')) runs(run) GROUP BY run)
+          SELECT *, packets - distinct_ids AS duplicates,
+            CASE WHEN lines_in = 0 THEN 'empty' WHEN packets + dead_letters < lines_in THEN 'lost'
+              WHEN packets + dead_letters > lines_in THEN 'doubled' ELSE 'complete' END AS status
+          FROM counted""",
         "dedup_packets": f"""WITH {PACKETS}, {DELIVERED}
           SELECT {_ID} AS msg_id, {_SEVEN.replace(', length', '')}, min(length) AS length,
             arg_min(payload, (length, payload)) AS payload, count(*) AS copies
@@ -335,11 +348,11 @@ def oracle_sql() -> dict[str, str]:
         "backlog_alert": f"""WITH {SAMPLES} SELECT service, scrape_ts, series, value FROM samples
           WHERE name = 'worker_buffer_size' AND value > 0.75 * 50000""",
         "gauge_sum": f"""WITH {SAMPLES}, latest AS (
-            SELECT epoch_us(scrape_ts) // {_STEP} * {_STEP} AS us, series, arg_max(value, scrape_ts) AS value
+            SELECT (epoch_us(scrape_ts) + {_STEP - 1}) // {_STEP} * {_STEP} AS us, series, arg_max(value, scrape_ts) AS value
             FROM samples WHERE name = 'process_memory_bytes' GROUP BY 1, 2)
           SELECT make_timestamp(us) AS step, sum(value) AS value FROM latest GROUP BY us""",
         "gauge_per_service": f"""WITH {SAMPLES}
-          SELECT service, make_timestamp(epoch_us(scrape_ts) // {_STEP} * {_STEP}) AS step,
+          SELECT service, make_timestamp((epoch_us(scrape_ts) + {_STEP - 1}) // {_STEP} * {_STEP}) AS step,
             arg_max(value, scrape_ts) AS value
           FROM samples WHERE name = 'process_memory_bytes' GROUP BY 1, 2""",
         "counter_rate": _rates("increase"),
@@ -365,8 +378,9 @@ def oracle_sql() -> dict[str, str]:
         "pace_schedule": f"""WITH numbered AS (
             SELECT event_type AS key, event_id AS seq, ts AS arrival,
               row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS i FROM events)
-          SELECT key, seq, arrival, make_timestamp(CAST(max(epoch_us(arrival) - i * {P.PACE_GAP_US}) OVER (
-              PARTITION BY key ORDER BY i ROWS UNBOUNDED PRECEDING) + i * {P.PACE_GAP_US} AS BIGINT)) AS emit_at
+          SELECT key, seq, arrival, make_timestamp(CAST((max(epoch_us(arrival) * CAST({P.PACE_ROWS} AS HUGEINT) - i * {P.PACE_US}) OVER (
+              PARTITION BY key ORDER BY i ROWS UNBOUNDED PRECEDING) + i * {P.PACE_US} + {P.PACE_ROWS - 1})
+              // {P.PACE_ROWS} AS BIGINT)) AS emit_at
           FROM numbered""",
         "batch_by_count": f"""SELECT event_type AS key, event_id AS seq,
             (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // {P.BATCH_ROWS} AS batch_no

@@ -10,4 +10,6 @@ STEP_US = 3_600_000_000
 STABLE_US = 4 * 3_600_000_000
 BATCH_ROWS = 20
 BATCH_US = 6 * 3_600_000_000
-PACE_GAP_US = 900_000_000
+PACE_ROWS, PACE_US = 7, 6_000_000_000  # seven rows in this time, no whole microseconds apart
+# Half an hour, the time a soak run takes at least.
+SOAK_S = 1_800

@@ -8,22 +8,28 @@ from wirelake.functions.text import mebibytes
 
 
 def soak_report(gate: DataFrame, *run: str) -> DataFrame:
-    """The rows of a soak gate as ``report``: what was seen, what is missing, what failed."""
-
-    def listed(prefix: str, items: str) -> Column:
-        return F.concat_ws("", F.transform(items, lambda i: F.concat(F.lit(f"  {prefix}: "), i, F.lit("\n"))))
-
-    text = F.concat(
-        F.format_string("soak: %.0fs, %d samples\n", "elapsed_s", "samples"),
-        F.lit("  RSS         first="), mebibytes(F.col("first_rss")),
-        F.lit(" peak="), mebibytes(F.col("peak_rss")),
-        F.lit(" final="), mebibytes(F.col("final_rss")),
-        F.format_string("\n  buffer      peak=%.0f final=%.0f\n", "peak_buffer", "final_buffer"),
-        F.format_string("  consumed    %.0f msgs -> %.0f rows\n", "msgs_consumed", "rows_inserted"),
-        F.format_string("  deadletters %.0f, db errors %.0f\n", "dead_letters", "db_errors"),
-        F.when(F.col("elapsed_s") > 0, F.format_string("  throughput  %.1f rows/sec\n", "throughput")).otherwise(""),
-        listed("MISSING METRIC", "missing"),
-        listed("FAIL", "failures"),
-        F.when(F.col("passed"), "  GATE PASSED\n").otherwise(""),
+    """The rows of a soak gate as ``report``: a verdict, then a table of measure, start, most and end."""
+
+    def line(measure: str, *cells: Column) -> Column:
+        return F.concat_ws(" | ", F.rpad(F.lit(measure), 9, " "), *[F.lpad(c, 12, " ") for c in cells])
+
+    def number(name: str) -> Column:
+        return F.format_string("%.0f", F.col(name))
+
+    blank = F.lit("")
+    verdict = F.when(F.col("passed"), F.lit("passed")).otherwise(F.lit("not passed"))
+    text = F.concat_ws(
+        "\n",
+        F.concat(verdict, F.format_string(" after %d scrapes in %.0f seconds", "samples", "elapsed_s")),
+        line("measure", F.lit("start"), F.lit("most"), F.lit("end")),
+        line("memory", mebibytes(F.col("first_rss")), mebibytes(F.col("peak_rss")), mebibytes(F.col("final_rss"))),
+        line("buffer", blank, number("peak_buffer"), number("final_buffer")),
+        line("rejected", blank, blank, number("dead_letters")),
+        line("errors", blank, blank, number("db_errors")),
+        line("messages", blank, blank, number("msgs_consumed")),
+        line("new rows", blank, blank, number("rows_inserted")),
+        line("per second", blank, blank, F.coalesce(F.format_string("%.1f", "throughput"), F.lit("-"))),
+        F.transform("failures", lambda code: F.concat(F.lit("broken: "), code)),
+        F.transform("missing", lambda name: F.concat(F.lit("never seen: "), name)),
     )
     return gate.select(*run, "passed", text.alias("report"))

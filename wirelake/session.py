@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def build_session(app: str = "wirelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,6 +22,7 @@ def build_session(app: str = "wirelake", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        REPEATED_KEYS: "true",
         **conf,
     }
     for key, value in settings.items():
@@ -30,7 +31,11 @@ def build_session(app: str = "wirelake", master: str | None = None, **conf: str)
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Hour chunks and timestamp texts are defined in UTC, whatever zone the host is in."""
+    """Hour chunks and timestamp texts are defined in UTC, whatever zone the host is in.
+
+    Of a key that a JSON document repeats, the last value counts, as everywhere in the library.
+    """
+    spark.conf.set(REPEATED_KEYS, "true")
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
@@ -39,16 +44,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors are one process, may fall back to a
-    temporary folder; on a cluster a missing setting is an error.
+    Without that setting it lies in the warehouse, which executors share as well.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="wirelake-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

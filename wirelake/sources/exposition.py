@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wirelake.functions.text import strip
 
@@ -21,7 +21,7 @@ def metrics_parse(lines: DataFrame, column: str = "line", names: tuple[str, ...]
     they are taken apart.
 
     The value is the last word, the series all before it. Comments, blank lines, lines of one
-    word and lines whose last word is no number are dropped. The two parts pass through
+    word and lines whose last word is no number, or one beyond a double, are dropped. The two parts pass through
     ``explode(array(..))``, so that filters on them do not split the line again.
     """
     text = F.col("_text")
@@ -37,6 +37,7 @@ def metrics_parse(lines: DataFrame, column: str = "line", names: tuple[str, ...]
         .withColumn("_parts", F.explode(F.array(parts)))
         .filter(F.col("_parts.number").rlike(_NUMBER))
         .withColumn("value", F.col("_parts.number").try_cast("double"))
+        .filter((F.abs("value") < float("inf")) | F.col("_parts.number").rlike("(?i)inf|nan"))
         .withColumn("series", F.col("_parts.series"))
         .drop(column, "_text", "_parts")
         .withColumn("name", metric_name(F.col("series")))
@@ -46,21 +47,28 @@ def metrics_parse(lines: DataFrame, column: str = "line", names: tuple[str, ...]
 
 
 def metric_labels(series):
-    """Label names and values, the values as they are written between their quotes."""
+    """Label names and values, as written between their quotes; of a repeated name the last."""
 
     def entry(pair):
         name = F.substring_index(pair, "=", 1)
         value = F.substring(pair, F.length(name) + 3, F.length(pair) - F.length(name) - 3)
-        return F.struct(name, value)
+        return F.struct(name.alias("name"), value.alias("value"))
 
     # From the brace on: within a long name the pattern would start anew at every letter.
     text = F.substring(series, F.instr(series, "{"), F.length(series))
     pairs = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(0))
     return F.when(
-        series.contains("{"), F.map_from_entries(F.transform(pairs, entry))
+        series.contains("{"), F.element_at(F.transform(F.array(F.transform(pairs, entry)), _last_of_each), 1)
     ).otherwise(F.create_map().cast("map<string,string>"))
 
 
+def _last_of_each(entries: Column) -> Column:
+    def later(entry: Column, i: Column) -> Column:
+        return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other["name"] == entry["name"])
+
+    return F.map_from_entries(F.filter(entries, lambda entry, i: ~later(entry, i)))
+
+
 def metric_name(series):
     """The text before the label set; a series that starts with its labels has no other name."""
     return F.when(series.startswith("{"), series).otherwise(F.split_part(series, F.lit("{"), F.lit(1)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wirelake.operators.scan import ordinal
+from wirelake.operators.scan import BLOCK, ordinal
 
 
 def replay_expand(lines: DataFrame, order: str, passes: int) -> DataFrame:
@@ -20,4 +20,5 @@ def replay_expand(lines: DataFrame, order: str, passes: int) -> DataFrame:
         .withColumn("pass", F.explode(passes_list))
         .withColumn("emit_idx", F.col("pass").cast("bigint") * lines_total + F.col("seq"))
         .filter(F.lit(passes > 0))
+        .drop(BLOCK)
     )

@@ -33,15 +33,3 @@ def packets_jdbc(
         .load()
     )
 
-
-def spread(table: DataFrame, by: str) -> DataFrame:
-    """Give every core a part of a table that is read in fewer tasks than there are cores.
-
-    A small file is read by one task, and all the parsing behind it would stay there. The parts
-    are ranges of ``by``, so an order of time is kept. A big table comes in more splits than
-    there are cores and is left as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartitionByRange(cores, by)

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from wirelake.functions.identifiers import checked_name
-from wirelake.operators.scan import running
+from wirelake.operators.scan import BLOCK, running
 from wirelake.operators.shape import dead_letters, good_packets, shape_lines
 from wirelake.operators.storage import talker_layout
 from wirelake.schema import PACKET_COLUMNS, STORED_PACKETS
 
-# Fixed value: the gauge of lines that a micro-batch holds while it is written.
+# The gauge of lines that wait, and the counter of failed writes.
 BUFFER = "worker_buffer_size"
 ERRORS = "worker_db_errors_total"
 
@@ -66,8 +67,13 @@ def write_batch(batch: DataFrame, batch_id: int, folder: str, table: str | None
             _overwrite_in_table(good, batch_id, checked_name(table))
         bad = dead_letters(shaped, F.current_timestamp()).observe(bad_seen, counted)
         _overwrite(bad.withColumn("at", F.timestamp_seconds("ts")), batch_id, f"{folder}/dead_letters")
-    except Exception:
-        _changes(spark, {ERRORS: 1}).write.mode("append").parquet(f"{folder}/errors")
+    except Exception as first:
+        try:
+            _changes(spark, {ERRORS: 1}).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
+                "append"
+            ).parquet(f"{folder}/errors")
+        except Exception as second:  # the store is gone for this as well; the first error tells more
+            first.add_note(f"not counted: {second}")
         raise
     finally:
         shaped.unpersist()
@@ -75,12 +81,13 @@ def write_batch(batch: DataFrame, batch_id: int, folder: str, table: str | None
     # The names of the counters.
     changes = {
         "ingestor_lines_read_total": good_lines + bad_lines,
+        "ingestor_msgs_published_total": good_lines + bad_lines,
         "worker_msgs_consumed_total": good_lines,
         "worker_rows_inserted_total": good_lines,
         "worker_batch_flush_total": int(good_lines > 0),
         "worker_deadletter_total": bad_lines,
         ERRORS: 0,
-        BUFFER: good_lines + bad_lines,
+        BUFFER: 0,  # a written micro-batch leaves nothing waiting in this process
     }
     _overwrite(_changes(spark, changes), batch_id, f"{folder}/metrics")
 
@@ -121,13 +128,20 @@ def stored_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_metrics(spark: SparkSession, folder: str, service: str = "ingest") -> DataFrame:
-    """The run's metrics after each micro-batch, as metric samples."""
+    """The run's metrics after each micro-batch, as metric samples.
+
+    Failed writes count with the micro-batch that failed, whether or not it was written later.
+    """
     changes = spark.read.schema(
         "name STRING, delta DOUBLE, scrape_ts TIMESTAMP, batch_id BIGINT"
     ).parquet(f"{folder}/metrics")
-    counters = running(
-        changes.filter(F.col("name") != BUFFER), ("name",), "batch_id", F.col("delta"), "sum", "value"
+    failed = failed_writes(spark, folder)
+    summed = (
+        changes.filter(F.col("name") != BUFFER).unionByName(failed)
+        .groupBy("name", "batch_id")
+        .agg(F.sum("delta").alias("delta"), F.max("scrape_ts").alias("scrape_ts"))
     )
+    counters = running(summed, ("name",), "batch_id", F.col("delta"), "sum", "value").drop(BLOCK)
     gauges = changes.filter(F.col("name") == BUFFER).withColumn("value", F.col("delta"))
     return counters.unionByName(gauges).select(
         "scrape_ts",
@@ -140,4 +154,10 @@ def run_metrics(spark: SparkSession, folder: str, service: str = "ingest") -> Da
 
 def failed_writes(spark: SparkSession, folder: str) -> DataFrame:
     """One row per failed write of a micro-batch, as changes of the error counter."""
-    return spark.read.schema("name STRING, delta DOUBLE, scrape_ts TIMESTAMP").parquet(f"{folder}/errors")
+    schema = "name STRING, delta DOUBLE, scrape_ts TIMESTAMP, batch_id BIGINT"
+    try:
+        return spark.read.schema(schema).parquet(f"{folder}/errors")
+    except AnalysisException as missing:  # no write has failed
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

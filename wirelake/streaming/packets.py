@@ -1,17 +1,10 @@
-"""Stateful streaming forms: duplicates, minutes, and batches by count or time."""
+"""Stateful streaming forms: duplicates and minutes."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from wirelake.operators.traffic import packet_id
-from wirelake.session import send_code_with_tasks
-
-send_code_with_tasks(__name__)
 
 
 def dedup_stream(packets: DataFrame, late: str = "10 minutes", salts: int = 16) -> DataFrame:
@@ -36,82 +29,3 @@ def per_minute_stream(packets: DataFrame, late: str = "2 minutes") -> DataFrame:
         .agg(F.count("*").alias("packets"), F.sum("length").alias("bytes"))
         .select(F.col("w.start").alias("minute"), "packets", "bytes")
     )
-
-
-BATCHES = "key STRING, batch_no BIGINT, rows BIGINT, first_seq BIGINT, last_seq BIGINT, cause STRING"
-
-
-class CountOrTimeBatches(StatefulProcessor):
-    """Per key: closes a batch by rows or by time since the last close.
-
-    State is six numbers per key, never the rows. A timer closes the batch of a key
-    that has gone quiet, which rows alone would leave open.
-    """
-
-    def __init__(self, size: int, interval_ms: int, timer: bool):
-        self.size, self.interval_ms, self.timer = size, interval_ms, timer
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState(
-            "batch", "batch_no BIGINT, rows BIGINT, first_seq BIGINT, last_seq BIGINT, flushed_us BIGINT, timer_ms BIGINT"
-        )
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch_no, filled, first, last, flushed, timer = (
-            self.state.get() if self.state.exists() else (0, 0, 0, 0, None, 0)
-        )
-        # The size of a micro-batch is bounded at the source, and so is this.
-        arrived = pd.concat(list(rows)).sort_values("seq")
-        closed = []
-        for seq, us in zip(arrived["seq"], arrived["us"]):
-            flushed = int(us) if flushed is None else flushed
-            first = int(seq) if filled == 0 else first
-            filled, last = filled + 1, int(seq)
-            if filled >= self.size or us - flushed >= self.interval_ms * 1000:
-                cause = "count" if filled >= self.size else "time"
-                closed.append((key[0], batch_no, filled, first, last, cause))
-                batch_no, filled, flushed = batch_no + 1, 0, int(us)
-        if timer:
-            self.handle.deleteTimer(timer)
-            timer = 0
-        if filled and self.timer:
-            timer = timerValues.getCurrentProcessingTimeInMs() + self.interval_ms
-            self.handle.registerTimer(timer)
-        self.state.update((batch_no, filled, first, last, flushed, timer))
-        yield _frame(closed)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        batch_no, filled, first, last, flushed, _ = self.state.get()
-        closed = []
-        if filled:
-            closed.append((key[0], batch_no, filled, first, last, "timer"))
-            # The wait starts again at the timer, a whole interval after the last arrival.
-            batch_no, filled, flushed = batch_no + 1, 0, flushed + self.interval_ms * 1000
-        self.state.update((batch_no, filled, first, last, flushed, 0))
-        yield _frame(closed)
-
-    def close(self) -> None:
-        pass
-
-
-def _frame(closed: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(closed, columns=["key", "batch_no", "rows", "first_seq", "last_seq", "cause"])
-
-
-def batches_stream(
-    arrivals: DataFrame, size: int = 500, interval_ms: int = 1000, *, timer: bool = True
-) -> DataFrame:
-    """Closed batches of a stream of ``key, seq, arrival`` rows.
-
-    Without ``timer`` only rows close batches; a bounded run (``availableNow``) needs that, as
-    it would wait for timers without end. Needs the RocksDB state store
-    (``spark.sql.streaming.stateStore.providerClass``).
-    """
-    rows = arrivals.select("key", "seq", F.unix_micros("arrival").alias("us"))
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=CountOrTimeBatches(size, interval_ms, timer),
-        outputStructType=BATCHES,
-        outputMode="append",
-        timeMode="processingTime" if timer else "none",
-    )
