@@ -226,6 +226,8 @@ def oracle_sql() -> dict[str, str]:
     eight = f"WITH {PACKETS} SELECT {_EIGHT} FROM packets"
     clean = f"WITH {LINES} SELECT event_id, line AS value FROM lines"
     minute = "date_trunc('minute', ts)"
+    retained = f"""WITH {PACKETS} SELECT {_EIGHT} FROM packets
+          WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > TIMESTAMP '{P.NOW}' - INTERVAL 1 DAY"""
     return {
         "ek_scan": clean,
         "ek_stream": clean,
@@ -252,14 +254,13 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (reason IS NOT NULL) AS dead_letters,
             CASE WHEN count(*) FILTER (reason IS NULL) > 0 THEN 1 ELSE 0 END AS flushes
           FROM shaped GROUP BY 1""",
-        "chunked_table": f"""WITH {PACKETS} SELECT date_trunc('hour', ts) AS chunk, count(*) AS packets,
-            CAST(sum(length) AS BIGINT) AS bytes, min(ts) AS first_ts, max(ts) AS last_ts FROM packets GROUP BY 1""",
-        "parquet_sink": f"""WITH {PACKETS} SELECT date_trunc('hour', ts) AS chunk, count(*) AS packets
-          FROM packets GROUP BY 1""",
+        "chunked_table": f"WITH {PACKETS} SELECT {_EIGHT}, date_trunc('hour', ts) AS chunk FROM packets",
+        "parquet_sink": eight,
         "fan_out": f"""WITH {SHAPED}
-          SELECT 'packets' AS sink, count(*) AS rows FROM shaped WHERE reason IS NULL
-          UNION ALL SELECT 'dead_letters', count(*) FROM shaped WHERE reason IS NOT NULL
-          UNION ALL SELECT 'lines', count(*) FROM shaped""",
+          SELECT 'packets' AS sink, line, NULL AS error FROM shaped WHERE reason IS NULL
+          UNION ALL SELECT 'dead_letters', line, error FROM shaped WHERE reason IS NOT NULL
+          UNION ALL SELECT 'lines', line, NULL FROM shaped""",
+        "dedup_stream": f"WITH {PACKETS} SELECT DISTINCT {_SEVEN.replace(', length', '')} FROM packets",
         "run_metrics": f"""WITH {SHAPED}
           SELECT 'ingestor_lines_read_total' AS name, CAST(count(*) AS DOUBLE) AS value FROM shaped
           UNION ALL SELECT 'ingestor_msgs_published_total', count(*) FROM shaped
@@ -269,8 +270,8 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT 'worker_msgs_consumed_total', count(*) FILTER (reason IS NULL) FROM shaped
           UNION ALL SELECT 'worker_rows_inserted_total', count(*) FILTER (reason IS NULL) FROM shaped
           UNION ALL SELECT 'worker_deadletter_total', count(*) FILTER (reason IS NOT NULL) FROM shaped""",
-        "retention": f"""WITH {PACKETS} SELECT {_EIGHT} FROM packets
-          WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > TIMESTAMP '{P.NOW}' - INTERVAL 1 DAY""",
+        "retention": retained,
+        "retained_packets": retained,
         "row_count": f"WITH {PACKETS} SELECT count(*) AS n FROM packets",
         "latest_packets": f"""WITH {PACKETS} SELECT ts, src_ip, dst_ip, proto FROM packets
           ORDER BY ts DESC, src_ip, dst_ip, proto LIMIT 10""",

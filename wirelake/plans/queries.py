@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from fractions import Fraction
 
@@ -14,10 +15,11 @@ from wirelake.operators import batching, counters, pacing, reconcile, shape, sto
 from wirelake.plans import derived, settings as P
 from wirelake.schema import PACKET_COLUMNS
 from wirelake.session import run_folder, use_utc
-from wirelake.sources import exposition, replay
+from wirelake.sources import ek, exposition, replay
 from wirelake.sources.ek import clean_lines
 from wirelake.sources.tables import packets_path
 from wirelake.streaming import fanout, ingest
+from wirelake.streaming.packets import dedup_stream as deduplicated
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,16 +185,7 @@ def packets_append(spark, sf_dir):
 
 @_query
 def chunked_table(spark, sf_dir):
-    return (
-        _stored(spark, sf_dir)
-        .groupBy("chunk")
-        .agg(
-            F.count("*").alias("packets"),
-            F.sum("length").alias("bytes"),
-            F.min("ts").alias("first_ts"),
-            F.max("ts").alias("last_ts"),
-        )
-    )
+    return _stored(spark, sf_dir).select(*PACKET_COLUMNS, "chunk")
 
 
 @_query
@@ -202,6 +195,16 @@ def talker_layout(spark, sf_dir):
 
 @_query
 def retention(spark, sf_dir):
+    """What a catalog table still holds after its old chunks were dropped."""
+    name = f"packets_{uuid.uuid4().hex}"
+    storage.create_packets_table(spark, name)
+    storage.append_to_table(_packets(spark, sf_dir), name)
+    storage.expire_chunks(spark, name, P.NOW)
+    return spark.table(name).select(*PACKET_COLUMNS)
+
+
+@_query
+def retained_packets(spark, sf_dir):
     return storage.retained(_stored(spark, sf_dir), _at(P.NOW)).select(*PACKET_COLUMNS)
 
 
@@ -473,7 +476,7 @@ def parquet_sink(spark, sf_dir):
     path = run_folder(spark, "subscriber")
     start = fanout.parquet_sink(path, _ONCE)
     start(_line_stream(spark, sf_dir), f"{path}-checkpoint").awaitTermination()
-    return packets_path(spark, path).groupBy("chunk").agg(F.count("*").alias("packets"))
+    return packets_path(spark, path).select(*PACKET_COLUMNS)
 
 
 @_query
@@ -488,11 +491,30 @@ def fan_out(spark, sf_dir):
     for query in running.values():
         query.awaitTermination()
 
-    def landed(sink: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.lit(sink).alias("sink"), F.count("*").alias("rows"))
+    def landed(sink: str, rows: DataFrame, line, error=F.lit(None).cast("string")) -> DataFrame:
+        return rows.select(F.lit(sink).alias("sink"), line.alias("line"), error.alias("error"))
 
+    letters = spark.read.text(f"{folder}/dead_letters")
     return (
-        landed("packets", packets_path(spark, f"{folder}/packets"))
-        .unionByName(landed("dead_letters", spark.read.text(f"{folder}/dead_letters")))
-        .unionByName(landed("lines", spark.read.text(f"{folder}/lines")))
+        landed("packets", packets_path(spark, f"{folder}/packets"), F.col("payload"))
+        .unionByName(
+            landed("dead_letters", letters, F.get_json_object("value", "$.raw_ek_line"), F.get_json_object("value", "$.error"))
+        )
+        .unionByName(landed("lines", spark.read.text(f"{folder}/lines"), F.col("value")))
     )
+
+
+@_query
+def dedup_stream(spark, sf_dir):
+    """Packets by message id from a stream of several files, stopped and started again."""
+    folder = run_folder(spark, "dedup")
+    lines = derived.ek_lines(derived.events(spark, sf_dir)).select("event_id", "value")
+    # Every packet comes twice, in files of its own.
+    for _ in range(2):
+        lines.repartition(2, "event_id").select("value").write.mode("append").text(f"{folder}/in")
+        arriving = shape.shape_packets(ek.ek_stream(spark, f"{folder}/in", 1))
+        kept = deduplicated(arriving, late="3650 days").select(*traffic.IDENTITY)
+        kept.writeStream.format("parquet").option("path", f"{folder}/out").option(
+            "checkpointLocation", f"{folder}/checkpoint"
+        ).trigger(**_ONCE).start().awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{folder}/out")

@@ -30,8 +30,8 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start ingestion of a stream of lines into ``folder``.
 
-    ``folder/packets``, ``folder/dead_letters`` and ``folder/metrics`` go by micro-batch, packets
-    also by hour. A micro-batch that is run again after a failure overwrites its own part, so
+    ``folder/packets`` goes by hour and below that by micro-batch, ``folder/dead_letters`` and
+    ``folder/metrics`` by micro-batch. A micro-batch that is run again after a failure overwrites its own part, so
     every line lands once. The size of a micro-batch is set at the source, the pace by
     ``trigger`` (one second by default). With ``table``, packets go into that catalog table
     (``storage.create_packets_table(.., by_batch=True)``), whose old chunks can be dropped.
@@ -62,7 +62,7 @@ def write_batch(batch: DataFrame, batch_id: int, folder: str, table: str | None
         # Counted behind the shuffle: to find its ranges, the shuffle reads its input twice.
         good = talker_layout(good_packets(shaped)).observe(good_seen, counted)
         if table is None:
-            _overwrite(good, batch_id, f"{folder}/packets", "chunk")
+            _overwrite_chunks(good, batch_id, f"{folder}/packets")
         else:
             _overwrite_in_table(good, batch_id, checked_name(table))
         bad = dead_letters(shaped, F.current_timestamp()).observe(bad_seen, counted)
@@ -104,6 +104,17 @@ def _overwrite(rows: DataFrame, batch_id: int, table: str, *parts: str) -> None:
     rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{table}/batch_id={batch_id}")
 
 
+def _overwrite_chunks(packets: DataFrame, batch_id: int, table: str) -> None:
+    """Write a micro-batch's files below the hours they belong to, and replace no others.
+
+    With the hour on top, a range of time lists its own hours only, however many batches there are.
+    """
+    numbered = packets.select(*PACKET_COLUMNS, "chunk", F.lit(batch_id).cast("bigint").alias("batch_id"))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "chunk", "batch_id"
+    ).parquet(table)
+
+
 def _overwrite_in_table(packets: DataFrame, batch_id: int, table: str) -> None:
     """Replace the partitions of this micro-batch, and no others."""
     rows = f"{table}_batch_{batch_id}"
