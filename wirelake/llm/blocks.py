@@ -74,13 +74,14 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse, kept between calls up to a step's size."""
     if len(_powers[0]) < n:
-        size = max(n, STEP_BYTES + (1 << 16))
+        size_kept = STEP_BYTES + (1 << 16)
+        size = max(n, size_kept)
         made = []
         for base in (_BASE, _INVERSE):
             p = np.full(size, base, np.uint64)
             p[0] = 1
             made.append(np.multiply.accumulate(p))
-        if n > 8 * STEP_BYTES:
+        if n > size_kept:
             return made[0], made[1]
         _powers[:] = made
     return _powers[0], _powers[1]

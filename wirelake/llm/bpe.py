@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirelake.llm import blocks, common
 
-#: Pieces of text whose ids a worker remembers before it starts anew; longer pieces are not kept.
-REMEMBERED, REMEMBERED_CHARS = 600_000, 64
+#: Pieces of text whose ids a task remembers before it starts anew; longer pieces are not kept.
+REMEMBERED, REMEMBERED_CHARS = 500_000, 64
 #: Bytes of text that are encoded together, and of the longest pre-token that shares a queue.
-STEP_BYTES, SHARED_BYTES = 8 << 20, 256
+STEP_BYTES, SHARED_BYTES = 2 << 20, 256
 #: Texts are cut before white space that follows another character, where no match can go on ...
 _CHUNKS = re.compile("[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: ... unless they hold white space beyond ASCII, or controls that libraries class differently.
@@ -234,28 +234,32 @@ class Encoder:
         out.update(zip(short, self.merge_all([p.encode() for p in short])))
         return out
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
+    def forget(self) -> None:
+        """Give back what was remembered; a worker process outlives its task."""
+        self.chunks.clear()
+        self.pieces.clear()
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; each match of the pattern is merged by itself."""
         # odd texts are one chunk; the others are cut where no match can go on
         parts = [[t] if _ODD_SPACE.search(t) else _CHUNKS.findall(t) for t in texts]
         fresh = set(chain.from_iterable(parts)).difference(self.chunks)
         if len(self.chunks) + len(fresh) > REMEMBERED:
-            self.chunks.clear()
-            self.pieces.clear()
+            self.forget()
             fresh = set(chain.from_iterable(parts))
         found = {part: self.pattern.findall(part) for part in fresh}
         new = self._learn(set(chain.from_iterable(found.values())).difference(self.pieces))
         self.pieces.update(new)
         piece, chunk = self.pieces.__getitem__, self.chunks.__getitem__
         self.chunks.update((part, b"".join(map(piece, pieces))) for part, pieces in found.items())
-        out = [np.frombuffer(b"".join(map(chunk, p)), "<i4").tolist() for p in parts]
+        out = [np.frombuffer(b"".join(map(chunk, p)), "<i4") for p in parts]
         for kept, added in ((self.chunks, fresh), (self.pieces, new)):  # long ones are not worth keeping
             for part in [p for p in added if len(p) > REMEMBERED_CHARS]:
                 del kept[part]
         return out
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_all([text])[0]
+        return self.encode_all([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -284,19 +288,20 @@ def encode_column(docs: DataFrame, path: str, pattern: str, ids: bool = True) ->
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in blocks.steps([t or "" for t in texts], STEP_BYTES):
-                counts, listed, hashes, decoded = [], [], [], []
-                for found in own.encode_all([t or "" for t in texts[a:b]]):
-                    counts.append(len(found))
+                hashes, decoded = [], []
+                packed = own.encode_all([t or "" for t in texts[a:b]])
+                counts = np.array([len(p) for p in packed], np.int64)
+                for found in map(np.ndarray.tolist, packed):
                     hashes.append(hashlib.sha256(" ".join(map(names.__getitem__, found)).encode()).hexdigest())
                     decoded.append(hashlib.sha256(own.decode(found)).hexdigest())
-                    if ids:
-                        listed.append(found)
-                columns = [batch.column(0).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(decoded)]
+                columns = [batch.column(0).slice(a, b - a), pa.array(counts), pa.array(hashes), pa.array(decoded)]
                 fields = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if ids:
-                    columns.append(pa.array(listed, pa.list_(pa.int32())))
+                    at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(packed))))
                     fields.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, fields)
+        own.forget()
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
