@@ -31,7 +31,7 @@ def test_verify(spark, capsys):
     assert main(["verify", "-a", a, "-b", a], spark) == 0
     assert main(["verify", "-a", a, "-b", b], spark) == 1
     shown = capsys.readouterr().out
-    assert "tables agree: 2 rows" in shown and "row count 2 != 1" in shown and "10.0.0.3" in shown
+    assert "tables agree: 2 rows" in shown and "rows differ: 2 and 1" in shown and "10.0.0.3" in shown
 
 
 def _lines(spark, tmp_path, name, rows):

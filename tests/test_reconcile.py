@@ -47,17 +47,17 @@ def test_empty_table(spark):
     assert (row["rows"], row.digest, row.payloads) == (0, "empty", "empty")
     for a, b in ((empty, empty), (empty, packets(spark, A)), (packets(spark, A), empty)):
         report = R.verify_tables(a, b).first()
-        assert not report.passed and report.problems == ["empty table"]
+        assert not report.passed and report.problems == ["a side is empty"]
 
 
 def test_verify(spark):
     same = R.verify_tables(packets(spark, A, B), packets(spark, B, A)).first()
     assert same.passed and same.problems == [] and same.rows_a == same.rows_b == 2
     fewer = R.verify_tables(packets(spark, A, B), packets(spark, A)).first()
-    assert fewer.problems[0] == "row count 2 != 1" and not fewer.passed
+    assert fewer.problems[0] == "rows differ: 2 and 1" and not fewer.passed
     text = packets(spark, A, (*B[:-1], '{"b": 2}'))
     raw = R.verify_tables(packets(spark, A, B), text).first()
-    assert raw.problems == ["payload digest mismatch"]
+    assert raw.problems == ["payloads differ"]
     assert R.verify_tables(packets(spark, A, B), text, canonical=True).first().passed
 
 

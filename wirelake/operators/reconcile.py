@@ -113,13 +113,13 @@ def verify_tables(a: DataFrame, b: DataFrame, canonical: bool = False) -> DataFr
     empty = (F.col("rows_a") == 0) | (F.col("rows_b") == 0)
     problems = F.filter(
         F.array(
-            F.when(empty, F.lit("empty table")),
+            F.when(empty, F.lit("a side is empty")),
             F.when(
                 ~empty & (F.col("rows_a") != F.col("rows_b")),
-                F.format_string("row count %d != %d", F.col("rows_a"), F.col("rows_b")),
+                F.format_string("rows differ: %d and %d", F.col("rows_a"), F.col("rows_b")),
             ),
-            F.when(~empty & (F.col("digest_a") != F.col("digest_b")), F.lit("shaped-column digest mismatch")),
-            F.when(~empty & (F.col("payloads_a") != F.col("payloads_b")), F.lit("payload digest mismatch")),
+            F.when(~empty & (F.col("digest_a") != F.col("digest_b")), F.lit("columns differ")),
+            F.when(~empty & (F.col("payloads_a") != F.col("payloads_b")), F.lit("payloads differ")),
         ),
         lambda p: p.isNotNull(),
     )

@@ -103,6 +103,7 @@ def _quoted(prefix: str, text: str, *fields: str) -> str:
 
 def _verdict() -> str:
     """The first check that fails, as a struct of class and text; NULL if none does."""
+    # The error texts, which stored dead letters have to equal.
     checks = [
         ("NOT _p.valid", "malformed_json", "'unmarshal ek'"),
         ("_ms IS NULL", "bad_timestamp", _quoted("parse timestamp", "_time_text", "timestamp")),

@@ -305,10 +305,10 @@ def oracle_sql() -> dict[str, str]:
           b AS (SELECT count(*) AS rows, {_digest(_ROW_TEXT)} AS digest, {_digest('payload')} AS payloads FROM other)
           SELECT a.rows AS rows_a, a.digest AS digest_a, a.payloads AS payloads_a,
             b.rows AS rows_b, b.digest AS digest_b, b.payloads AS payloads_b,
-            concat_ws('; ', CASE WHEN a.rows = 0 OR b.rows = 0 THEN 'empty table' END,
-              CASE WHEN a.rows <> b.rows THEN printf('row count %d != %d', a.rows, b.rows) END,
-              CASE WHEN a.digest <> b.digest THEN 'shaped-column digest mismatch' END,
-              CASE WHEN a.payloads <> b.payloads THEN 'payload digest mismatch' END) AS problems,
+            concat_ws('; ', CASE WHEN a.rows = 0 OR b.rows = 0 THEN 'a side is empty' END,
+              CASE WHEN a.rows <> b.rows THEN printf('rows differ: %d and %d', a.rows, b.rows) END,
+              CASE WHEN a.digest <> b.digest THEN 'columns differ' END,
+              CASE WHEN a.payloads <> b.payloads THEN 'payloads differ' END) AS problems,
             a.rows > 0 AND a.rows = b.rows AND a.digest = b.digest AND a.payloads = b.payloads AS passed
           FROM a, b""",
         "reconcile_counts": f"""WITH {SHAPED}, ids AS (
