@@ -5,9 +5,10 @@ n-grams with a Jaccard similarity of t differ in at most ``(1 - t) / (1 + t) * (
 The n-grams are dealt into more column blocks than that, by hash, so some block of such a pair is
 equal; rows are candidates of one another only where they share a whole block. Small sets, and
 the few with too many empty blocks, are found by their n-grams of least hash instead: of those,
-similar sets share one among the first ``(1 - t) * a + 1``. Rows joined by candidates form clusters. Each cluster's product is computed in tasks of bounded
-size, column block by column block; pairs whose overlap can no longer reach the bound are dropped
-on the way, and of the pairs that reach it only a spanning forest leaves the task.
+similar sets share one among the first ``(1 - t) * a + 1``. Rows that are joined by candidates of
+one size band form a cluster. Each cluster's product is computed in tasks of bounded size, column
+block by column block; pairs whose overlap can no longer reach the bound are dropped on the way,
+and of the pairs that reach it only a spanning forest leaves the task.
 
 Texts with equal sets are one class and take part once.
 """
@@ -36,6 +37,8 @@ ROWS, COLUMNS = 256, 2048
 #: Rows that are multiplied with the whole cluster before its blocks are.
 PIVOTS = 8
 _BAND = np.uint64(0x5BD1E9955BD1E995)
+#: A node of the candidate graph is a class within a band: its low bits are the band, or this.
+_NO_BAND = 4095
 _KEY = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -113,11 +116,11 @@ class Bounds:
         return -(-total // (100 + self.percent))
 
 
-def signatures(grams: np.ndarray, at: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) pairs, of which any two similar rows have an equal signature."""
+def signatures(grams: np.ndarray, at: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature, band) triples, of which any two similar rows have an equal signature."""
     sizes = np.diff(at)
     large = sizes >= bounds.SMALL
-    out_rows, out = [], []
+    out_rows, out, out_bands = [], [], []
     # similar to a small set, or a small set
     by_least = (sizes >= bounds.least) & (sizes <= bounds.SMALL * bounds.ratio)
     if large.any():
@@ -137,13 +140,15 @@ def signatures(grams: np.ndarray, at: np.ndarray, bounds: Bounds) -> tuple[np.nd
             where = part[first] * _KEY + key[row].astype(np.uint64) * _BAND
             out.append(blocks.mix(np.add.reduceat(mixed, first) ^ where))
             out_rows.append(row)
+            out_bands.append(key[row])
             by_least |= large & (parts - np.bincount(row, minlength=len(sizes)) > bounds.spare[key])
     rows = np.flatnonzero(by_least)
     take = bounds.prefix(sizes[rows])
     place = np.repeat(at[rows] - np.cumsum(take) + take, take) + np.arange(take.sum())
     out.append(blocks.mix(grams[place] ^ _BAND))
     out_rows.append(np.repeat(rows, take))
-    return np.concatenate(out_rows), np.concatenate(out)
+    out_bands.append(np.full(len(place), _NO_BAND))
+    return np.concatenate(out_rows), np.concatenate(out), np.concatenate(out_bands)
 
 
 def _starred(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,9 +220,9 @@ def _map(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: int)
             doc = np.array([x or 0 for x in ids[a:b]], np.int64)
             turn += 1
             yield _row(int(abs(int(cls[0])) % buckets), _DOCS, np.stack([doc, np.diff(at), cls, known.astype(np.int64)], 1))
-            row, sig = signatures(grams, at, bounds)
+            row, sig, band = signatures(grams, at, bounds)
             keep = known[row]
-            held.append((sig[keep], cls[row[keep]]))
+            held.append((sig[keep], cls[row[keep]] & ~_NO_BAND | band[keep]))
             count += len(sig)
             if count >= FLUSH:
                 yield from flushed()
@@ -386,8 +391,15 @@ def jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"))
     )
     clusters = components(reduced.filter("kind = 1").select("a", "b"))
+    # a class is in the graph once for each band that it has candidates in; one band more on
+    # either side, so that rounding here and in the tasks need not agree
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(Bounds(percent).ratio)))
+    bands = F.explode(F.array(*[band + k for k in range(-1, 3)], F.lit(_NO_BAND).cast("bigint")))
+    nodes = classes.withColumn("_band", bands).select(
+        F.col("cls").bitwiseAND(F.lit(~_NO_BAND).cast("bigint")).bitwiseOR(F.col("_band")).alias("_in_band"), F.col("node").alias("_doc"), "n"
+    )
     members = common.written(
-        clusters.join(classes, clusters["node"] == classes["cls"]).select(classes["node"], "component", "n", "cls"), "members"
+        clusters.join(nodes, F.col("node") == F.col("_in_band")).select(F.col("_doc").alias("node"), "component", "n"), "members"
     )
     links = _links(given, members, n, percent)
     linked = components(links).select(F.col("node").alias("_least"), F.col("component").alias("_component"))
@@ -415,7 +427,7 @@ def _links(given: DataFrame, members: DataFrame, n: int, percent: int) -> DataFr
         .withColumn("_block", F.when(split > 1, block).otherwise(0))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), split - 1)))
         .select(
-            "node", "cls", F.col("component").alias("cluster"),
+            "node", F.col("component").alias("cluster"),
             F.least("_block", "_other").alias("left"), F.greatest("_block", "_other").alias("right"), split.alias("_split"),
         )
         # small clusters share tasks, pairs of row blocks have one each
