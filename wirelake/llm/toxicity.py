@@ -24,13 +24,13 @@ from wirelake.llm import blocks, common
 
 #: Labelled texts of each class that the model is fitted on, at most; the least hashes of doc_id.
 #: Every third of them calibrates, the others fill the dictionaries.
-LABELLED_ROWS = 2_000
+LABELLED_ROWS = 5_000
 #: Bytes of a window, which ends at the next space; a word longer than a window is cut.
 WINDOW = 44
 #: Ordinary words of the dictionaries, and the compression level.
-ORDINARY_WORDS, LEVEL = 40_000, 9
+ORDINARY_WORDS, LEVEL = 100_000, 9
 #: A word speaks for toxic text if it is in this many toxic texts and so many times likelier there.
-LEAST_TEXTS, LEAST_RATIO = 8, 30.0
+LEAST_TEXTS, LEAST_RATIO = 8, 60.0
 #: Bytes saved by a window that count as a sign, and as a strong one.
 SIGNS = (3, 5)
 
@@ -153,9 +153,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     repeated rows score alike; an empty table gives no rows; other columns are ignored.
     """
 
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
         for batch in batches:
-            scores = [model.score(t) for t in blocks.texts(batch.column(1))]
+            scores = [own.score(t) for t in blocks.texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     kind = dict(docs.dtypes)["doc_id"]
