@@ -34,7 +34,7 @@ STEP_BYTES, SHARED_BYTES = 2 << 20, 256
 #: Texts are cut before white space that follows another character, where no match can go on ...
 _CHUNKS = re.compile("[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: ... unless they hold white space beyond ASCII, or controls that libraries class differently.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
