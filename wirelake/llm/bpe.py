@@ -302,6 +302,7 @@ def encode_column(docs: DataFrame, path: str, pattern: str, ids: bool = True) ->
                     fields.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, fields)
         own.forget()
+        pa.default_memory_pool().release_unused()
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
