@@ -20,6 +20,19 @@ def test_pages(page):
     assert html.main_text(page) == PAGES[page]
 
 
+@pytest.mark.parametrize(
+    "attributes, shown",
+    [
+        ("data-title='The hidden valley'", True), ('class="prose hidden md:block"', True), ('alt="style=\'display:none\'"', True),
+        ("title='a aria-hidden=true b'", True), ("data-hidden=1", True), ("aria-hidden=false", True), ("style='color:red'", True),
+        ("style='--display:none'", True), ("style='display:none;display:block'", True), ("hidden", False), ("title='x'hidden", False),
+        ("HIDDEN=''", False), ("aria-hidden = TRUE", False), ('style="color: red; display : none"', False), ("title=> hidden", True),
+    ],
+)
+def test_hidden_is_an_attribute(attributes, shown):
+    assert html.main_text(f"<article {attributes}><p>The whole text</p></article>").endswith("The whole text") == shown
+
+
 def test_tree_fits_its_table():
     tree = html.tree()
     for page in html.LABELLED:

@@ -44,8 +44,8 @@ CLOSES_ITSELF = {"p": (), "li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr"
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 _REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN_ATTRIBUTE = re.compile(r"""\s(?:hidden(?=[\s=/>]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 _WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -72,17 +72,30 @@ class _Open:
 _ROOT = _Open("", False, False, False, False, False)
 
 
+def attributes_of(tag: str) -> dict[str, str]:
+    """What stands behind a tag's name, as names and values; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(tag):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _hides(given: dict[str, str]) -> bool:
+    shown = _DISPLAY.findall(given.get("style", ""))
+    said = "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true"
+    return said or bool(shown) and shown[-1].lower() == "none"
+
+
 def _opened(name: str, attributes: str, parent: _Open) -> _Open:
-    aside, main, hidden = parent.aside, parent.main, parent.hidden or name in HIDDEN
+    given = attributes_of(attributes) if len(attributes) > 1 else {}
+    aside, main, hidden = parent.aside, parent.main, parent.hidden or name in HIDDEN or _hides(given)
     if name in MAIN:
         main = True
     elif name not in ("html", "body"):
-        said = {w.lower() for m in _NAMES.finditer(attributes) for v in m.groups() if v for w in _WORD_PARTS.findall(v)}
+        said = {w.lower() for a in ("class", "id", "role") for w in _WORD_PARTS.findall(given.get(a, ""))}
         aside = aside or name in ASIDE or bool(said & ASIDE_WORDS) or (not main and (name in PAGE_HEAD or bool(said & PAGE_HEAD_WORDS)))
         main = main or bool(said & MAIN_WORDS) and not aside
-    if attributes and _HIDDEN_ATTRIBUTE.search(attributes):
-        hidden = True
-    return _Open(name, aside, main, hidden, parent.link or name == "a", parent.label or " data-main" in attributes)
+    return _Open(name, aside, main, hidden, parent.link or name == "a", parent.label or "data-main" in given)
 
 
 def page_blocks(page: str) -> list[Block]:
