@@ -33,6 +33,32 @@ def test_hidden_is_an_attribute(attributes, shown):
     assert html.main_text(f"<article {attributes}><p>The whole text</p></article>").endswith("The whole text") == shown
 
 
+PROSE = "The harvest ended two weeks early this year because the summer had been dry and the grain was ripe. " * 3
+WRAPPED = {
+    "part of a name": '<div class="layout has-sidebar"><article><p>@</p></article></div>',
+    "article inside": '<div class="layout sidebar"><article><p>@</p></article><p>More</p></div><div><p>@ @ @</p></div>',
+    "form round the page": "<form id=aspnetForm><nav><a href=1>x</a></nav><div><p>@</p></div></form>",
+    "named widget": '<div class="elementor-widget elementor-widget-text-editor"><p>@</p></div>',
+    "wrapper with most words": "<div class=sidebar><div><p>@</p></div></div><div class=footer>All rights</div>",
+    "wrapper inside main": '<main><h1>Hi</h1><div class="widget"><p>@</p></div></main>',
+    "words alone": "<div class=notice><p>@ @</p></div><div class=legal><p>@ @</p></div><div class=alert><p>@ @</p></div>",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_wrappers_do_not_hide_the_article(name):
+    found = html.main_text(WRAPPED[name].replace("@", PROSE.strip()))
+    assert found.count("The harvest") == PROSE.count("The harvest") * WRAPPED[name].count("@")
+
+
+def test_what_lies_beside_the_article_stays_out():
+    rest = f"<article><p>{PROSE} {PROSE}</p></article>"
+    for beside in ("<aside><article><p>@</p></article></aside>", "<section id=comments><p>@</p></section>", "<nav>" + "<a href=1>The harvest of it</a> " * 90 + "</nav>"):
+        assert html.main_text(rest + beside.replace("@", "Nobody asked for my view of it but here it is anyway")).count("\n") == 0
+    found = html.page_blocks("<div class=sidebar>" * 20_000 + "<article>x")
+    assert [(b.aside, b.main) for b in found] == [(False, True)]
+
+
 def test_tree_fits_its_table():
     tree = html.tree()
     for page in html.LABELLED:

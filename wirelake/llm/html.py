@@ -1,8 +1,10 @@
 """Main text of web pages: flat text blocks, classified by a small decision tree.
 
 A page is cut into blocks of text at block-level tags. Each block is described by its own and its
-neighbours' word counts and link densities, and by what encloses it. The tree is trained on the
-blocks of a few labelled pages below.
+neighbours' word counts and link densities, and by what encloses it: whether an element around it
+is named as something beside the article (``aside``) or as the article (``main``). Such a name does
+not count if the element holds the article itself; see ``_judged``. The tree is trained on the blocks
+of a few labelled pages below.
 """
 
 from __future__ import annotations
@@ -27,18 +29,26 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style textarea title".split())
 HIDDEN = frozenset("head noscript template svg math iframe object audio video canvas select option button textarea title".split())
-#: Elements, and words in class, id and role, around text that is not the article.
+#: Elements, and whole names in class, id and role, around text that is not the article.
 ASIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising banner sponsor sponsored promo promotion cookie"
     " cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login nav navbar"
     " navigation menu menus breadcrumb breadcrumbs sidebar aside widget widgets related recommended recommendations footer"
     " foot comment comments commentlist reply replies respond disqus discussion share sharing social search pagination pager"
-    " copyright legal toolbar tags skip contentinfo complementary".split()
+    " copyright legal toolbar tags skip contentinfo complementary ad-container ad-slot ad-banner cookie-notice cookie-banner"
+    " cookie-consent cookie-bar main-nav site-nav nav-menu main-menu site-footer page-footer sidebar-widget widget-area"
+    " related-posts related-articles share-buttons social-share social-links post-tags comment-list comment-form"
+    " comments-area comment-body newsletter-signup skip-link".split()
 )
 #: These are the article's own inside it, and the page's outside.
-PAGE_HEAD, PAGE_HEAD_WORDS = frozenset({"header"}), frozenset("header masthead topbar banner".split())
-MAIN, MAIN_WORDS = frozenset("article main".split()), frozenset("article content post entry story main".split())
+PAGE_HEAD, PAGE_HEAD_WORDS = frozenset({"header"}), frozenset("header masthead topbar banner site-header page-header".split())
+MAIN, MAIN_WORDS = frozenset("article main".split()), frozenset(
+    "article content post entry story main post-content post-body entry-content article-content article-body main-content"
+    " page-content story-body".split()
+)
+#: An element named aside that holds most words is the page's wrapper, unless the article outside has a share of its words.
+OUTSIDE = 20
 #: Elements that an opening tag of the same kind ends, and where that search stops.
 CLOSES_ITSELF = {"p": (), "li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
@@ -46,7 +56,6 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 _REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 _ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
 _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
-_WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 @dataclass
@@ -59,17 +68,28 @@ class Block:
     label: bool = False
 
 
+@dataclass
+class _Named:
+    """An element whose name, class, id or role says what it holds."""
+
+    parent: int
+    aside: bool = False
+    head: bool = False  # aside unless it is within the article
+    main: bool = False
+    article: bool = False  # an element made for the article
+    words: int = 0  # that are no links, of its blocks; in the end with those of all within
+
+
 @dataclass(frozen=True)
 class _Open:
     name: str
-    aside: bool
-    main: bool
+    place: int  # of the innermost named element, 0 is the page
     hidden: bool
     link: bool
     label: bool
 
 
-_ROOT = _Open("", False, False, False, False, False)
+_ROOT = _Open("", 0, False, False, False)
 
 
 def attributes_of(tag: str) -> dict[str, str]:
@@ -86,22 +106,59 @@ def _hides(given: dict[str, str]) -> bool:
     return said or bool(shown) and shown[-1].lower() == "none"
 
 
-def _opened(name: str, attributes: str, parent: _Open) -> _Open:
+def _opened(name: str, attributes: str, parent: _Open, named: list[_Named]) -> _Open:
     given = attributes_of(attributes) if len(attributes) > 1 else {}
-    aside, main, hidden = parent.aside, parent.main, parent.hidden or name in HIDDEN or _hides(given)
-    if name in MAIN:
-        main = True
-    elif name not in ("html", "body"):
-        said = {w.lower() for a in ("class", "id", "role") for w in _WORD_PARTS.findall(given.get(a, ""))}
-        aside = aside or name in ASIDE or bool(said & ASIDE_WORDS) or (not main and (name in PAGE_HEAD or bool(said & PAGE_HEAD_WORDS)))
-        main = main or bool(said & MAIN_WORDS) and not aside
-    return _Open(name, aside, main, hidden, parent.link or name == "a", parent.label or "data-main" in given)
+    place = parent.place
+    if name not in ("html", "body"):
+        said = {w for a in ("class", "id", "role") if a in given for w in given[a].lower().replace("_", "-").split()}
+        article = name in MAIN or given.get("role", "").strip().lower() in MAIN
+        aside = not article and (name in ASIDE or not said.isdisjoint(ASIDE_WORDS))
+        head = not article and (name in PAGE_HEAD or not said.isdisjoint(PAGE_HEAD_WORDS))
+        main = article or not said.isdisjoint(MAIN_WORDS)
+        if aside or head or main:
+            place = len(named)
+            named.append(_Named(parent.place, aside, head, main, article))
+    return _Open(
+        name, place, parent.hidden or name in HIDDEN or _hides(given), parent.link or name == "a", parent.label or "data-main" in given
+    )
+
+
+def _judged(named: list[_Named]) -> list[tuple[bool, bool]]:
+    """Of each named element, whether what stands in it is aside, and whether it is main.
+
+    A name that says aside does not count for a wrapper: an element with most of the page's words
+    (links apart), if what is main outside of all asides is small beside it. An article or main
+    element is not aside for what lies around it, unless one outside of all asides has more words.
+    """
+    own = [n.words for n in named]
+    for n in reversed(named[1:]):
+        named[n.parent].words += n.words
+    total = named[0].words
+
+    def judge(outside: int, most: float) -> list[tuple[bool, bool, bool]]:
+        out = [(False, False, False)]
+        for n in named[1:]:
+            aside, main, within = out[n.parent]
+            if n.article:
+                aside = aside and (within or n.words < most)
+            elif n.aside or n.head and not main:
+                aside = aside or not (2 * n.words > total and n.words > OUTSIDE * outside)
+            out.append((aside, main or n.article or n.main and not aside, within or n.article))
+        return out
+
+    none = float("inf")
+    outside = sum(w for w, (aside, main, _) in zip(own, judge(total, none)) if main and not aside)
+    clear = judge(outside, none)
+    most = max((n.words for n, (aside, _, _) in zip(named, clear) if n.article and not aside), default=0)
+    return [(aside, main) for aside, main, _ in judge(outside, most)]
 
 
 def page_blocks(page: str) -> list[Block]:
     """The page's visible text in flat blocks, in page order, with white space made single."""
     out: list[Block] = []
     stack: list[_Open] = [_ROOT]
+    named: list[_Named] = [_Named(0)]
+    places: list[int] = []  # of each block
     parts: list[str] = []
     linked: list[str] = []
 
@@ -110,7 +167,9 @@ def page_blocks(page: str) -> list[Block]:
         if text:
             top = stack[-1]
             links = len(entities.unescape(" ".join(linked)).split())
-            out.append(Block(text, text.count(" ") + 1, links, top.aside, top.main, top.label))
+            out.append(Block(text, text.count(" ") + 1, links, False, False, top.label))
+            places.append(top.place)
+            named[top.place].words += max(0, out[-1].words - links)
         parts.clear()
         linked.clear()
 
@@ -176,8 +235,11 @@ def page_blocks(page: str) -> list[Block]:
             at = continue_raw + 1 if close and continue_raw >= 0 else size
             continue
         if not attributes.endswith("/>"):
-            stack.append(_opened(name, attributes, stack[-1]))
+            stack.append(_opened(name, attributes, stack[-1], named))
     flush()
+    judged = _judged(named)
+    for block, place in zip(out, places):
+        block.aside, block.main = judged[place]
     return out
 
 
@@ -257,6 +319,81 @@ LABELLED = (
     man who read one page a day and could say every page he had ever read by heart.</p>
     <p data-main>He is gone now, but the pages are still there for anyone who wants to take the time.</p>
     <div><a href=4>Terms</a></div><div><a href=5>Privacy and data</a></div><div>2021</div></body>""",
+    """<body><form id=aspnetForm><div class="layout has-sidebar"><div><a href=1>Start</a></div><h1 data-main>The old bridge</h1>
+    <p data-main>The bridge was closed in March after a lorry had broken two of the stones that carry the northern arch, and it
+    will stay closed until masons have been found who still know how such stones are cut.</p><p data-main>The detour takes an
+    hour, which the baker says is an hour in which nobody buys any bread from him at all.</p>
+    <div class=sidebar>Bread of the day: rye with caraway.</div></div></form></body>""",
+    """<body><div class=widget><div class="elementor-widget elementor-widget-text-editor"><p data-main>A kiln must be heated so
+    slowly that the clay does not notice it, and cooled more slowly still, for it is in the cooling that most of the pots
+    are lost.</p><p data-main>He who opens it a day too early will hear them sing, and then he will hear them break.</p></div></div>
+    <div class=footer>Clay and glaze by post</div></body>""",
+    """<body><p><a href=1>Parish</a></p><div class=notice><p data-main>The council gives notice that the lane between the mill and
+    the upper ford will be dug up from the first of May, that carts and cars must go round by the church until the pipes are
+    laid, and that whoever has a well within fifty steps of the lane should have its water looked at before and after the
+    work, for which the council will pay if the bill is handed in by the end of the summer at the office in the school.
+    The pipes that lie there now were laid by the grandfathers of those who will dig them up, of wood that was bored by hand,
+    and where they are sound they will be kept and shown in the hall, so that the children can see how the water came to the
+    village before there were pumps.</p></div>
+    <div class=legal><p data-main>Whoever thinks that the digging harms a wall, a cellar or a tree has to say so in writing within
+    four weeks, naming the place and the day on which the harm was seen, and the council will then send two people who know
+    about such things, one of whom may be chosen by the owner, and what both of them agree upon shall be paid without a
+    court and without delay.</p></div><div class=alert><p data-main>During the work the bell will not be rung before eight in
+    the morning, since the men who dig sleep in the house beside the tower, and the market that is held on the lane each
+    second Thursday moves to the yard of the inn, where there is room for all of the stalls but not for the animals, which
+    have to be led in by the gate behind the stables and out again in the same way before the evening.</p></div></body>""",
+    """<body><article><h1 data-main>Frost</h1><p data-main>The frost came on the last night of April and took the blossom of the
+    plums, the early pears and half of the cherries.</p></article><div class=comments><p>We had no frost at all down here by the
+    river, but my sister, who lives on the hill, lost everything, and she had even lit fires between the trees and sat up
+    with them until the sun was over the wood.</p><p>Same here.</p></div></body>""",
+    """<body><nav><a href=0>All about the old mills of the county</a> <a href=1>All about the old bridges of the county</a> <a
+    href=2>All about the old wells of the county</a> <a href=3>All about the old barns of the county</a> <a href=4>All
+    about the old locks of the county</a> <a href=5>All about the old weirs of the county</a> <a href=6>All about the
+    old kilns of the county</a> <a href=7>All about the old towers of the county</a> <a href=8>All about the old gates
+    of the county</a> <a href=9>All about the old walls of the county</a> <a href=10>All about the old lanes of the
+    county</a> <a href=11>All about the old fords of the county</a> <a href=12>All about the old inns of the county</a>
+    <a href=13>All about the old yards of the county</a> <a href=14>All about the old stables of the county</a> <a
+    href=15>All about the old chapels of the county</a></nav><article><h1 data-main>Rain</h1><p data-main>Does it
+    rain where you live?</p><p data-main>No.</p></article></body>""",
+    """<body><main><h1 data-main>Opening hours</h1><p data-main>We are open on each day of the week but Monday, from nine in the
+    morning until the lamp is lit in the evening, and on feast days after noon, and whoever comes late may knock at the door
+    of the yard.</p></main><footer><p>All that is said here has been looked at with care, but nobody can promise that it is right, and
+    whoever acts upon it does so at a risk of their own; for what stands on the pages of others to which these pages lead we
+    do not answer, since we have no say in it and cannot read it each day, and marks and names belong to those who own
+    them.</p></footer></body>""",
+    """<body><nav><a href=1>River</a> <a href=2>Town</a></nav><div class=ad>Spoons, carved by hand.</div><article><p data-main>
+    The ferry ran from the stone steps below the customs house to the reeds on the other bank, where a plank had
+    been laid over the mud, and whoever wanted to cross rang the bell that hung in the willow and waited until the
+    ferryman had finished his meal, his pipe or his talk, for he was never seen to hurry, not for the doctor, not
+    for the bishop, and not for the bride who came too late for her own wedding because of it.</p><div class=ad>Boats for hire, with or without a hand to row them.</div><p data-main>
+    When the bridge was opened he rowed across once more with an empty boat, tied it up on the far side and walked
+    home over the new planks, which he said were good planks, and from that day on he never went near the river
+    again but sat behind the house with his back to it, carving spoons that nobody needed, and when he died they
+    found four hundred of them in the loft, each with a small fish cut into the handle, and no two alike.</p></article><aside>More about ferries, fords and the people who kept them, in our book for the
+    winter</aside><footer>Written by the river</footer></body>""",
+    """<body><div class=ad>Spoons for the whole winter.</div><article><p data-main>
+    The ferry ran from the stone steps below the customs house to the reeds on the other bank, where a plank had
+    been laid over the mud, and whoever wanted to cross rang the bell that hung in the willow and waited until the
+    ferryman had finished his meal, his pipe or his talk, for he was never seen to hurry, not for the doctor, not
+    for the bishop, and not for the bride who came too late for her own wedding because of it.
+    When the bridge was opened he rowed across once more with an empty boat, tied it up on the far side and walked
+    home over the new planks, which he said were good planks, and from that day on he never went near the river
+    again but sat behind the house with his back to it, carving spoons that nobody needed, and when he died they
+    found four hundred of them in the loft, each with a small fish cut into the handle, and no two alike.</p></article><div class=related><a href=0>What people told us of the mills by the river</a> <a href=1>What people told us of the weirs by the 
+    river</a> <a href=2>What people told us of the locks by the river</a> <a href=3>What people told us of the eels by 
+    the river</a> <a href=4>What people told us of the floods by the river</a> <a href=5>What people told us of the nets 
+    by the river</a> <a href=6>What people told us of the rafts by the river</a> <a href=7>What people told us of the 
+    wells by the river</a> <a href=8>What people told us of the fords by the river</a> <a href=9>What people told us of 
+    the herons by the river</a></div>
+    <footer>&copy; 2020 The Ferry, by the bridge</footer></body>""",
+    """<body><div class=promo>Read on the river, too.</div><article><p data-main>
+    The ferry ran from the stone steps below the customs house to the reeds on the other bank, where a plank had
+    been laid over the mud, and whoever wanted to cross rang the bell that hung in the willow and waited until the
+    ferryman had finished his meal, his pipe or his talk, for he was never seen to hurry, not for the doctor, not
+    for the bishop, and not for the bride who came too late for her own wedding because of it.</p></article><section class=comments><p>My uncle had one of those spoons, with a pike on it, and he ate
+    his soup with it until the end of his days.</p></section></body>""",
+    """<body><div><a href=1>Start</a></div><div><p data-main>Who looks for the source of the brook must leave the path where the
+    fence ends and go up through the ferns, keeping the water on the left.</p></div></body>""",
 )
 
 
