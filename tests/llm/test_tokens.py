@@ -63,3 +63,24 @@ def test_empty(spark, make, tmp_path):
 def test_query(spark, sf_dir, library):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     check(tokens.op5(spark, sf_dir).collect(), rows, library)
+
+
+def test_added_tokens_match_as_in_the_library(spark, make, folder):
+    default, own, rng = Tokenizer.from_file(PATH), tokens.words(PATH), random.Random(2)
+    assert np.frombuffer(own.encode_added(b"hello <|endoftext|> world"), "<i4").tolist() == [3306, 49407, 1002]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", " ", "\n", "a", "E", "é", "\u0301", "'s", "1", "漢"]
+    for _ in range(6000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert np.frombuffer(own.encode_added(text.encode()), "<i4").tolist() == default.encode(text, add_special_tokens=False).ids, repr(text)
+    rows = [(1, "hello <|endoftext|> world"), (2, "x<|startoftext|><|startoftext|>"), (3, "plain")]
+    check(tokens.op5(spark, folder(documents=make(rows))).collect(), rows, default)
+
+
+def test_other_added_tokens_are_left_to_the_library(tmp_path):
+    from tokenizers import AddedToken
+
+    own, path = Tokenizer.from_file(PATH), str(tmp_path / "own.json")
+    own.add_tokens([AddedToken("HeLLo", normalized=True), AddedToken("<x>", lstrip=True, single_word=True)])
+    own.save(path)
+    for text in ("hello Hello you", "a <x> b", "a<x>b"):
+        assert np.frombuffer(tokens.words(path).encode_added(text.encode()), "<i4").tolist() == own.encode(text, add_special_tokens=False).ids

@@ -8,6 +8,7 @@ columns alone.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,8 +37,9 @@ REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64
 class Words:
     """Encodes texts with a library's own steps, each word (by white space) once.
 
-    The tokenizer has to drop white space and treat what it separates independently; strings of
-    special tokens are ordinary text.
+    The tokenizer has to drop white space and treat what it separates independently. For ``encode``
+    strings of added tokens are ordinary text; ``encode_added`` gives their ids, as the library does
+    unless it is told to encode special tokens.
     """
 
     def __init__(self, path: str):
@@ -45,6 +47,13 @@ class Words:
 
         own = Tokenizer.from_file(path)
         self.normal, self.pieces, self.model = own.normalizer, own.pre_tokenizer, own.model
+        added = own.get_added_tokens_decoder()
+        self.added = {t.content.encode(): np.array([i], "<i4").tobytes() for i, t in added.items() if t.content}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")").split
+        # tokens that match otherwise than as they are written are left to the library
+        odd = any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values())
+        self.library = own if odd else None
         self.known: dict[bytes, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
 
@@ -81,6 +90,14 @@ class Words:
                 out.append(ids)
             return b"".join(out)
 
+    def encode_added(self, text: bytes) -> bytes:
+        """As encode(), but the strings of the file's added tokens become their ids."""
+        if self.library:
+            return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, "<i4").tobytes()
+        if not any(t in text for t in self.added):
+            return self.encode(text)
+        return b"".join(self.added[t] if i % 2 else self.encode(t) for i, t in enumerate(self.split(text)))
+
 
 _WORDS: dict[str, Words] = {}
 
@@ -92,21 +109,23 @@ def words(path: str) -> Words:
     return _WORDS[path]
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
+def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, added: bool = False) -> None:
     """Encode each text, append ``end_id``, and write the ids in ascending order of doc_id.
 
     The files hold doc_id, part and first (the file's range and the row's place in its ids),
     n_tokens and ids. Null and empty texts have the end id alone; rows without a doc_id come
-    first; rows that repeat one follow each other by their text. Other columns are ignored.
+    first; rows that repeat one follow each other by their text. Other columns are ignored. Strings of
+    the tokenizer's added tokens become their ids with ``added``, else they are ordinary text.
     """
     end = np.array([end_id], "<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, first = words(tokenizer), TaskContext.get().partitionId(), 0
+        encode = own.encode_added if added else own.encode
         for batch in batches:
             values = blocks.texts(batch.column(1))
             for a, b in blocks.steps(values):
-                ids = [own.encode(v) + end for v in values[a:b]]
+                ids = [encode(v) + end for v in values[a:b]]
                 at = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int64)
                 flat = pa.Array.from_buffers(pa.int32(), int(at[-1]), [None, pa.py_buffer(b"".join(ids))])
                 yield pa.RecordBatch.from_arrays(
@@ -168,5 +187,5 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = run_folder(spark, "tokens")
-    write_tokens(common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    write_tokens(common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, added=True)
     return with_checksums(read_tokens(spark, path))
