@@ -56,6 +56,27 @@ def test_odd_rows(make):
     assert toxicity.scored(make([]), model).count() == 0
 
 
+def phrases(seed, n):
+    """Toxic texts have no word of their own, only an order of words."""
+    rows, bad = [], "tola nero sali vuma peto"
+    rng = random.Random(seed)
+    common = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 7))) for _ in range(100)] + bad.split()
+    for i in range(n):
+        words = [rng.choice(common) for _ in range(60)]
+        if i % 4 == 0:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), bad)
+        rows.append((" ".join(words).encode(), int(i % 4 == 0)))
+    return rows
+
+
+def test_phrases_of_ordinary_words_count():
+    rows = phrases(5, 1200)
+    model = toxicity.fit(rows[:900], 0.25)
+    right = [(model.score(t) >= 0.5) == bool(y) for t, y in rows[900:]]
+    assert sum(right) >= 0.9 * len(right)
+
+
 def test_one_class_or_none(make):
     assert toxicity.fit([], 0.0).score(b"anything") < 0.5
     assert toxicity.fit([(b"a b", 0)] * 9, 0.0).score(b"anything") < 0.5

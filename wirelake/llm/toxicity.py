@@ -1,9 +1,10 @@
 """Toxicity by compression distance: which of two dictionaries makes a window shorter.
 
-Two zstandard dictionaries are trained on labelled text: the words of ordinary texts, the more
-frequent the nearer, and the same with the words that toxic texts have and ordinary ones lack.
-Both hold the same ordinary words at the same distances, so a window differs in length only by
-what toxic text alone explains. How much a text's windows save, set against thresholds calibrated
+Two zstandard dictionaries are trained on labelled text, one on ordinary and one on toxic texts;
+they hold what repeats in each, phrases too. Two more are lists of words: those of ordinary texts,
+the more frequent the nearer, and the same with the words that toxic texts have and ordinary ones
+lack. Both lists hold the same ordinary words at the same distances, so a window differs in length
+only by what toxic text alone explains. How much a text's windows save, set against thresholds calibrated
 on labelled rows that the dictionaries have not seen, gives its score.
 """
 
@@ -29,6 +30,8 @@ LABELLED_ROWS = 5_000
 WINDOW = 44
 #: Ordinary words of the dictionaries, and the compression level.
 ORDINARY_WORDS, LEVEL = 100_000, 9
+#: Bytes of a trained dictionary.
+TRAINED_BYTES = 1 << 15
 #: A word speaks for toxic text if it is in this many toxic texts and so many times likelier there.
 LEAST_TEXTS, LEAST_RATIO = 8, 60.0
 #: Bytes saved by a window that count as a sign, and as a strong one.
@@ -54,16 +57,18 @@ def lowered(text: bytes) -> bytes:
 class Model:
     toxic: bytes
     ordinary: bytes
-    weights: tuple[float, ...] = (0.0,) * 5
+    weights: tuple[float, ...] = (0.0,) * 7
+    trained: tuple[bytes, bytes] = (b"", b"")  # of ordinary and of toxic text
 
     def __getstate__(self):
-        return {"toxic": self.toxic, "ordinary": self.ordinary, "weights": self.weights}
+        return {"toxic": self.toxic, "ordinary": self.ordinary, "weights": self.weights, "trained": self.trained}
 
     @cached_property
     def compressors(self) -> list[zstandard.ZstdCompressor]:
         out = []
-        for data in (self.ordinary, self.toxic):
-            book = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        for data in (self.ordinary, self.toxic, *self.trained):
+            raw = zstandard.DICT_TYPE_AUTO if data in self.trained else zstandard.DICT_TYPE_RAWCONTENT
+            book = zstandard.ZstdCompressionDict(data, dict_type=raw)
             book.precompute_compress(level=LEVEL)
             out.append(
                 zstandard.ZstdCompressor(dict_data=book, write_checksum=False, write_content_size=False, write_dict_id=False)
@@ -71,15 +76,19 @@ class Model:
         return out
 
     def distances(self, text: bytes) -> np.ndarray:
-        """For each window, the bytes that the toxic dictionary saves over the ordinary one."""
-        ordinary, toxic = (c.compress for c in self.compressors)
-        return np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(lowered(text))], np.float64)
-
-    def features(self, text: bytes) -> tuple[float, float, float, float]:
-        """The greatest saving, windows with a sign and a strong sign, and windows at all."""
-        found = self.distances(text) if self.toxic else np.zeros(0)
+        """For each window, the bytes that the toxic list and the toxic trained dictionary save."""
+        ordinary, toxic, plain, bad = (c.compress for c in self.compressors)
+        saved = [(len(ordinary(w)) - len(toxic(w)), len(plain(w)) - len(bad(w))) for w in windows(lowered(text))]
+        return np.array(saved, np.float64).reshape(-1, 2)
+
+    def features(self, text: bytes) -> tuple[float, ...]:
+        """The list's greatest saving, windows with a sign and a strong sign, and windows at all;
+        the greatest and the mean saving of the trained dictionary."""
+        both = self.distances(text) if self.toxic else np.zeros((0, 2))
+        found, learnt = both[:, 0], both[:, 1]
         signs = [math.log1p(int((found >= s).sum())) for s in SIGNS]
-        return float(min(found.max(initial=0), 12)), *signs, math.log1p(len(found))
+        mean = float(learnt.mean()) if len(learnt) else 0.0
+        return float(min(found.max(initial=0), 12)), *signs, math.log1p(len(found)), float(min(learnt.max(initial=0), 24)), mean
 
     def score(self, text: bytes) -> float:
         z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], self.features(text)))
@@ -100,6 +109,14 @@ def dictionaries(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, byte
     return base, b" " + b" ".join(tells) + base
 
 
+def trained(texts: list[bytes]) -> bytes:
+    """A dictionary trained on the windows of some texts; too few to train on are taken as they are."""
+    try:
+        return zstandard.train_dictionary(TRAINED_BYTES, [w for t in texts for w in windows(t)]).as_bytes()
+    except zstandard.ZstdError:
+        return b" " + b" ".join(texts)[-TRAINED_BYTES:] + b" "
+
+
 def fit(rows: list[tuple[bytes, int]], share: float) -> Model:
     """Dictionaries and calibration from labelled texts; ``share`` of all labelled ones are toxic.
 
@@ -109,14 +126,15 @@ def fit(rows: list[tuple[bytes, int]], share: float) -> Model:
     share = min(max(share, 1e-3), 1 - 1e-3)
     prior = math.log(share / (1 - share))
     if min(map(len, by_class.values())) < 3:
-        return Model(b"", b"", (prior, 0.0, 0.0, 0.0, 0.0))
-    ordinary, toxic = dictionaries(*[[t for i, t in enumerate(by_class[y]) if i % 3] for y in (0, 1)])
-    model = Model(toxic=toxic, ordinary=ordinary)
+        return Model(b"", b"", (prior, *(0.0,) * 6))
+    parts = [[t for i, t in enumerate(by_class[y]) if i % 3] for y in (0, 1)]
+    ordinary, toxic = dictionaries(*parts)
+    model = Model(toxic=toxic, ordinary=ordinary, trained=(trained(parts[0]), trained(parts[1])))
     test = [(t, y) for y in (0, 1) for t in by_class[y][::3]]
     x, y = np.array([model.features(t) for t, _ in test]), np.array([label for _, label in test], np.float64)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    scale = np.maximum(x.std(0), 1e-9)
-    design, ridge = np.column_stack([np.ones(len(x)), x / scale]), np.array([1e-6, *[0.5] * x.shape[1]])
+    middle, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
+    design, ridge = np.column_stack([np.ones(len(x)), (x - middle) / scale]), np.array([1e-6, *[0.5] * x.shape[1]])
     beta = np.zeros(design.shape[1])
     for _ in range(50):  # Newton steps of a weighted logistic fit with a small ridge
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
@@ -125,7 +143,8 @@ def fit(rows: list[tuple[bytes, int]], share: float) -> Model:
         beta += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    model.weights = (float(beta[0]), *(beta[1:] / scale).tolist())
+    slopes = beta[1:] / scale
+    model.weights = (float(beta[0] - slopes @ middle), *slopes.tolist())
     return model
 
 
