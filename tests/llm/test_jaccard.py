@@ -109,3 +109,14 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (7, 7)] + [(500, k) for k in range(501, 560)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 150: 100} | {k: 500 for k in range(500, 560)}
+
+
+def test_steps_of_one_class_go_to_many_buckets():
+    import pyarrow as pa
+
+    text = "the same words again and again " * 40_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(24)), pa.array([text] * 24)], ["doc_id", "text"])
+    rows = pa.Table.from_batches(list(jaccard._map(iter([batch]), 3, 90, 16))).to_pylist()
+    docs = [r for r in rows if r["kind"] == jaccard._DOCS]
+    assert sum(len(r["data"]) // 32 for r in docs) == 24
+    assert len({r["bucket"] for r in docs}) > 4

@@ -22,6 +22,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirelake.llm import blocks, common
@@ -197,11 +198,17 @@ def _map(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: int)
     bounds = Bounds(percent)
     held: list[tuple[np.ndarray, np.ndarray]] = []
     count = turn = 0
+    task = TaskContext.get()
+    part = task.partitionId() if task else 0
+
+    def passing(kind: int) -> int:
+        """A bucket for rows that only pass through, by task and step: no text brings them together."""
+        return int(blocks.mix(np.array([part << 32 | turn << 1 | (kind == _EDGES)], np.uint64))[0] % np.uint64(buckets))
 
     def flushed():
         sig, cls, edges = _starred(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
         if len(edges):
-            yield _row(int(edges[0, 0] % buckets), _EDGES, edges)
+            yield _row(passing(_EDGES), _EDGES, edges)
         bucket = ((sig >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))  # sorted as the signatures are
         for b in np.flatnonzero(np.diff(cuts)):
@@ -219,7 +226,7 @@ def _map(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: int)
             known = np.array([x is not None for x in ids[a:b]])
             doc = np.array([x or 0 for x in ids[a:b]], np.int64)
             turn += 1
-            yield _row(int(abs(int(cls[0])) % buckets), _DOCS, np.stack([doc, np.diff(at), cls, known.astype(np.int64)], 1))
+            yield _row(passing(_DOCS), _DOCS, np.stack([doc, np.diff(at), cls, known.astype(np.int64)], 1))
             row, sig, band = signatures(grams, at, bounds)
             keep = known[row]
             held.append((sig[keep], cls[row[keep]] & ~_NO_BAND | band[keep]))
