@@ -6,12 +6,12 @@ import pytest
 import __spark_entry__ as entry_points
 from wirelake.llm import registry
 
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def test_each_operator_is_registered_once():
     names = registry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in (*range(1, 11), 13)] == [1] * 11
     assert "pipeline" in names and set(names) <= set(entry_points.queries())
     assert set(registry.oracle_sql()) <= set(names)
 
