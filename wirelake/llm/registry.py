@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from wirelake.llm import bpe, chat, decontaminate, html, jaccard, rules, shards, suffix_dedup, tokens, topk, toxicity
+from wirelake.llm import bpe, chat, decontaminate, html, jaccard, merkle, repair, rules, shards, suffix_dedup, tokens, topk, toxicity
 from wirelake.session import use_utc
 
 
@@ -24,6 +24,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_suffix_decontamination": decontaminate.op7,
         "op8_suffix_dedup": suffix_dedup.op8,
         "op9_decision_list": rules.op9,
+        "op11_merkle_manifest": merkle.op11,
+        "op12_run_length_repair": repair.op12,
         "op13_norm_topk": topk.op13,
     }
     return {name: lambda spark, sf_dir, run=run: run(use_utc(spark), sf_dir) for name, run in found.items()}
@@ -34,5 +36,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_trees": chat.op1_sql(),
         "op4_jaccard_join": jaccard.op4_sql(),
         "op7_suffix_decontamination": decontaminate.op7_sql(),
+        "op11_merkle_manifest": merkle.op11_sql(),
         "op13_norm_topk": topk.op13_sql(),
     }
