@@ -58,11 +58,28 @@ def test_very_long_and_periodic(make, monkeypatch):
     assert found(suffix_dedup.suffix_dedup(make(rows))) == brute(rows)
 
 
-def test_other_columns_and_cut_characters(make):
-    rows = [(1, "ñ" * 40), (2, "x" + "ñ" * 40 + "y"), (3, "\xc3" + "±" * 30)]
-    got = {r["doc_id"]: r for r in suffix_dedup.suffix_dedup(make(rows), extra=["lang", "source", "n_chars"]).collect()}
-    assert got[2]["text"] == "xy" and got[2]["n_chars"] == 42 and got[1]["lang"] == "en" and got[2]["lang"] is None
-    assert suffix_dedup.suffix_dedup(make([])).count() == 0
+def test_other_columns_and_cut_characters(spark):
+    shared = "a" + "é" * 24  # 49 bytes, and the next two letters begin with the same byte
+    rows = [(1, "ñ" * 40), (2, "x" + "ñ" * 40 + "y"), (3, shared + "é."), (4, "z" + shared + "è!"), (None, "ñ" * 40)]
+    schema = "doc_id bigint, text string, g string, n_bytes int, n_removed array<int>, kept_sha256 binary, bucket map<string,double>, data struct<kind: date>"
+    docs = spark.createDataFrame([(i, t, "g", None, [k, None], bytes([k, 255]), {"x": float(k)}, (None,)) for k, (i, t) in enumerate(rows)], schema)
+    done = suffix_dedup.without_repeats(docs)
+    assert done.schema == docs.schema
+    got = {r["doc_id"]: r for r in done.collect()}
+    assert {i: r["text"] for i, r in got.items()} == {1: "ñ" * 40, 2: "xy", 3: shared + "é.", 4: "zè!", None: "ñ" * 40}
+    assert [(got[i]["n_removed"], got[i]["kept_sha256"], got[i]["bucket"]) for i in (2, None)] == [
+        ([1, None], b"\1\xff", {"x": 1.0}), ([4, None], b"\4\xff", {"x": 4.0})
+    ]
+    assert found(suffix_dedup.suffix_dedup(docs)) == brute(rows)
+    assert suffix_dedup.suffix_dedup(docs.limit(0)).count() == 0
+
+
+def test_pieces_of_long_texts():
+    texts = [b"", b"0123456789" * 30, b"short"]
+    parts, whose, offset = suffix_dedup.blocks.pieces(texts, 9, 40)
+    starts = {(w, o + k): p[k : k + 10] for p, w, o in zip(parts, whose.tolist(), offset.tolist()) for k in range(min(40, len(p) - 9))}
+    assert starts == {(i, k): t[k : k + 10] for i, t in enumerate(texts) for k in range(len(t) - 9)}
+    assert max(map(len, parts)) == 49
 
 
 def test_cover_ranks_order_the_rests():
@@ -80,4 +97,4 @@ def test_the_documents_are_shuffled_once(spark, sf_dir):
     df = suffix_dedup.suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan and plan.count("FlatMapCoGroupsInPandas") >= 3
+    assert "ReusedExchange" in plan and plan.count("FlatMapCoGroupsInArrow") >= 3

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,30 @@ def texts(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def release() -> None:
+    """Give memory that is free within this process back to the machine; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries give it back by themselves
+    if trim is not None:
+        trim(0)
+
+
+def pieces(values: list[bytes], overlap: int, limit: int = STEP_BYTES) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Texts cut every ``limit`` bytes, each piece with ``overlap`` bytes of the next; whose and from where.
+
+    A string of up to ``overlap + 1`` bytes lies whole in the piece that it starts in.
+    """
+    out, whose, offset = [], [], []
+    for i, value in enumerate(values):
+        for start in range(0, max(len(value) - overlap, 1), limit):
+            out.append(value if len(value) <= limit + overlap else value[start : start + limit + overlap])
+            whose.append(i)
+            offset.append(start)
+            if len(value) <= limit + overlap:
+                break
+    return out, np.array(whose, np.int64), np.array(offset, np.int64)
+
+
 def steps(values: list[bytes], limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts that together have up to ``limit`` bytes, or one text."""
     start = size = 0

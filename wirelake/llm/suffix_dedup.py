@@ -18,12 +18,13 @@ between groups and bucket tasks in packed arrays.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wirelake.llm import blocks, common
 
@@ -53,7 +54,8 @@ def anchors(texts: list[bytes], span: int, wanted: np.ndarray | None, around: bo
     """The anchors of all ``span``-byte strings of the texts; of sorted ``wanted`` keys, if given."""
     far, width = _reach(span)
     parts: list[tuple[np.ndarray, ...]] = []
-    for a, b in blocks.steps(texts):
+    texts, whose, offset = blocks.pieces(texts, span - 1, blocks.STEP_BYTES)  # a string belongs to the piece that it starts in
+    for a, b in blocks.steps(texts, blocks.STEP_BYTES + span):
         data, starts = blocks.joined(texts[a:b])
         n = len(data)
         if n <= span:
@@ -91,18 +93,24 @@ def anchors(texts: list[bytes], span: int, wanted: np.ndarray | None, around: bo
         doc = np.searchsorted(starts, where, side="right") - 1
         if around:
             padded = np.concatenate([np.zeros(far, np.uint8), data, np.zeros(span, np.uint8)])
-            text = padded[where[:, None] + np.arange(width)]
-            offset = np.arange(width)
-            text[(offset < (far - high)[:, None]) | (offset >= (width - low)[:, None])] = 0
+            text = np.lib.stride_tricks.sliding_window_view(padded, width)[where]
+            column = np.arange(width)
+            for rows in _slices(len(text)):
+                text[rows][(column < (far - high[rows])[:, None]) | (column >= (width - low[rows])[:, None])] = 0
         else:
             text = np.zeros((len(key), 0), np.uint8)
-        parts.append((key, doc + a, low, high, text, where - starts[doc]))
+        parts.append((key, whose[doc + a], low, high, text, where - starts[doc] + offset[doc + a]))
     if not parts:
         none = np.zeros(0, np.int64)
         return Anchors(none.astype(np.uint64), none, none, none, np.zeros((0, width if around else 0), np.uint8), none)
     return Anchors(*[np.concatenate(p) for p in zip(*parts)])
 
 
+def _slices(n: int, size: int = 1 << 15) -> list[slice]:
+    """Rows in slices, for steps that need many times the rows' memory."""
+    return [slice(i, i + size) for i in range(0, n, size)]
+
+
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
@@ -111,19 +119,17 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
 class Group:
     """One group's documents, and what the side input says about them."""
 
-    docs: pd.DataFrame
     texts: list[bytes]
     ids: np.ndarray
     first: np.ndarray  # the first document with its text, and long enough to hold a string
 
     @classmethod
-    def of(cls, docs: pd.DataFrame, side: pd.DataFrame, span: int) -> Group:
-        texts = [b"" if t is None else bytes(t) for t in docs["text"]]
-        ids = docs["doc_id"].to_numpy(np.int64)
-        known = side[side["kind"] == 0]
-        firsts = set(zip(known["a"].tolist(), map(bytes, known["data"])))
+    def of(cls, docs: pa.Table, side: pa.Table, span: int) -> Group:
+        texts, ids = docs["text"].to_pylist(), docs["doc_id"].to_numpy()
+        known = _kind(side, 0)
+        firsts = set(zip(known["a"].to_pylist(), known["data"].to_pylist()))
         first = [len(t) >= span and (i, hashlib.md5(t).digest()) in firsts for i, t in zip(ids.tolist(), texts)]
-        return cls(docs, texts, ids, np.array(first, bool))
+        return cls(texts, ids, np.array(first, bool))
 
     def anchors(self, span: int, wanted: np.ndarray | None, around: bool) -> Anchors:
         where = np.flatnonzero(self.first)
@@ -134,12 +140,18 @@ class Group:
 
 def _distinct(found: Anchors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Occurrences with equal bytes around: their order, the first of each, and its least doc_id."""
-    sums = found.around.astype(np.uint64) @ blocks.powers(found.around.shape[1])[0][: found.around.shape[1]]
+    weights = blocks.powers(found.around.shape[1])[0][: found.around.shape[1]]
+    sums = np.zeros(len(found.key), np.uint64)
+    for rows in _slices(len(sums)):
+        sums[rows] = found.around[rows].astype(np.uint64) @ weights
     tag = blocks.mix(sums + (found.low * 64 + found.high).astype(np.uint64) * _ODD)
     order = np.lexsort((tag, found.key))
-    key, text, reach = found.key[order], found.around[order], (found.low * 64 + found.high)[order]
+    key, reach = found.key[order], (found.low * 64 + found.high)[order]
     new = np.ones(len(order), bool)
-    new[1:] = (key[1:] != key[:-1]) | (reach[1:] != reach[:-1]) | (text[1:] != text[:-1]).any(1)
+    new[1:] = (key[1:] != key[:-1]) | (reach[1:] != reach[:-1])
+    for rows in _slices(len(order) - 1):
+        text = found.around[order[rows.start : rows.stop + 1]]
+        new[1:][rows] |= (text[1:] != text[:-1]).any(1)
     first = np.flatnonzero(new)
     least = np.minimum.reduceat(ids[found.doc[order]], first) if len(first) else np.zeros(0, np.int64)
     return order, first, least
@@ -147,6 +159,19 @@ def _distinct(found: Anchors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 _SIDE = "g bigint, kind int, a bigint, data binary"
 _OUT = "bucket bigint, g bigint, data binary, more binary"
+_DONE = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string"
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+
+
+def _table(rows: list[tuple], columns: str) -> pa.Table:
+    """Rows as a table with the columns of a Spark schema."""
+    fields = [c.split() for c in columns.split(", ")]
+    values = zip(*rows) if rows else [()] * len(fields)
+    return pa.table({name: pa.array(v, _ARROW[kind]) for (name, kind), v in zip(fields, values)})
+
+
+def _kind(side: pa.Table, kind: int) -> pa.Table:
+    return side.filter(pc.equal(side["kind"], kind))
 
 
 def _cut_up(bucket: np.ndarray, buckets: int):
@@ -155,11 +180,11 @@ def _cut_up(bucket: np.ndarray, buckets: int):
         yield int(b), slice(cuts[b], cuts[b + 1])
 
 
-def _send_keys(docs: pd.DataFrame, side: pd.DataFrame, span: int, buckets: int) -> pd.DataFrame:
+def _send_keys(docs: pa.Table, side: pa.Table, span: int, buckets: int) -> pa.Table:
     """Each anchor hash of the group, once, by bucket; apart, those of two of its documents."""
     out = []
     if len(docs):
-        g = int(docs["g"].iloc[0])
+        g = docs["g"][0].as_py()
         found = Group.of(docs, side, span).anchors(span, None, False)
         order = np.lexsort((found.doc, found.key))
         key, doc = found.key[order], found.doc[order]
@@ -171,33 +196,33 @@ def _send_keys(docs: pd.DataFrame, side: pd.DataFrame, span: int, buckets: int)
         key = key[first]
         for b, part in _cut_up(_bucket(key, buckets), buckets):
             out.append((b, g, key[part][~twice[part]].tobytes(), key[part][twice[part]].tobytes()))
-    return pd.DataFrame(out, columns=["bucket", "g", "data", "more"])
+    return _table(out, _OUT)
 
 
-def _shared_keys(rows: pd.DataFrame) -> pd.DataFrame:
+def _shared_keys(rows: pa.Table) -> pa.Table:
     """To each group, its keys of this bucket that two documents have."""
-    once = [np.frombuffer(d, np.uint64) for d in rows["data"]]
-    twice = [np.frombuffer(d, np.uint64) for d in rows["more"]]
+    once = [np.frombuffer(d, np.uint64) for d in rows["data"].to_pylist()]
+    twice = [np.frombuffer(d, np.uint64) for d in rows["more"].to_pylist()]
     value, count = np.unique(np.concatenate(once + twice + twice), return_counts=True)
     shared = value[count > 1]
     out = []
-    for g, a, b in zip(rows["g"], once, twice):
+    for g, a, b in zip(rows["g"].to_pylist(), once, twice):
         mine = np.concatenate([a[np.isin(a, shared, assume_unique=True)], b])
         if len(mine):
-            out.append((int(g), 1, 0, np.sort(mine).tobytes()))
-    return pd.DataFrame(out, columns=["g", "kind", "a", "data"])
+            out.append((g, 1, 0, np.sort(mine).tobytes()))
+    return _table(out, _SIDE)
 
 
-def _wanted(side: pd.DataFrame) -> np.ndarray:
-    found = [np.frombuffer(d, np.uint64) for d in side["data"][side["kind"] == 1]]
+def _wanted(side: pa.Table) -> np.ndarray:
+    found = [np.frombuffer(d, np.uint64) for d in _kind(side, 1)["data"].to_pylist()]
     return np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
-def _send_texts(docs: pd.DataFrame, side: pd.DataFrame, span: int, buckets: int) -> pd.DataFrame:
+def _send_texts(docs: pa.Table, side: pa.Table, span: int, buckets: int) -> pa.Table:
     """The bytes around the group's shared anchors, equal ones once with the least doc_id."""
     out = []
     if len(docs):
-        g = int(docs["g"].iloc[0])
+        g = docs["g"][0].as_py()
         group = Group.of(docs, side, span)
         found = group.anchors(span, _wanted(side), True)
         order, first, least = _distinct(found, group.ids)
@@ -206,7 +231,7 @@ def _send_texts(docs: pd.DataFrame, side: pd.DataFrame, span: int, buckets: int)
         head = np.stack([key.view(np.int64), least, found.low[pick], found.high[pick]], 1)
         for b, part in _cut_up(_bucket(key, buckets), buckets):
             out.append((b, g, head[part].tobytes(), found.around[pick[part]].tobytes()))
-    return pd.DataFrame(out, columns=["bucket", "g", "data", "more"])
+    return _table(out, _OUT)
 
 
 def cover_ranks(text: np.ndarray) -> np.ndarray:
@@ -266,29 +291,42 @@ def sort_buckets(key: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.nda
     return bits
 
 
-def _answer_texts(rows: pd.DataFrame, span: int) -> pd.DataFrame:
+def _answer_texts(rows: pa.Table, span: int) -> pa.Table:
     """To each group, the keys it sent to this bucket and which strings occur earlier."""
     _, width = _reach(span)
-    head = np.concatenate([np.frombuffer(d, np.int64).reshape(-1, 4) for d in rows["data"]])
-    text = np.concatenate([np.frombuffer(d, np.uint8).reshape(-1, width) for d in rows["more"]])
+    heads = rows["data"].to_pylist()
+    head = np.concatenate([np.frombuffer(d, np.int64).reshape(-1, 4) for d in heads])
+    text = np.concatenate([np.frombuffer(d, np.uint8).reshape(-1, width) for d in rows["more"].to_pylist()])
     key = np.ascontiguousarray(head[:, 0]).view(np.uint64)
     bits = sort_buckets(key, head[:, 1], head[:, 2], head[:, 3], text, span)
-    cuts = np.cumsum([0, *(len(d) // 32 for d in rows["data"])])
+    cuts = np.cumsum([0, *(len(d) // 32 for d in heads)])
     out = [
-        (int(g), 2, int(b), np.concatenate([key[i:j], bits[i:j]]).tobytes())
-        for g, b, i, j in zip(rows["g"], rows["bucket"], cuts[:-1], cuts[1:])
+        (g, 2, b, np.concatenate([key[i:j], bits[i:j]]).tobytes())
+        for g, b, i, j in zip(rows["g"].to_pylist(), rows["bucket"].to_pylist(), cuts[:-1], cuts[1:])
     ]
-    return pd.DataFrame(out, columns=["g", "kind", "a", "data"])
+    return _table(out, _SIDE)
+
+
+def _whole_characters(text: bytes, gone: np.ndarray) -> str:
+    """What is left of a text; a character that is covered in part stays."""
+    data = np.frombuffer(text, np.uint8)
+    lead = np.flatnonzero(data & 0xC0 != 0x80)
+    if len(lead) < len(data):
+        whole = np.logical_and.reduceat(gone, lead)
+        gone = np.repeat(whole, np.diff(np.append(lead, len(data))))
+    return data[~gone].tobytes().decode("utf-8", "replace")
 
 
-def _remove(docs: pd.DataFrame, side: pd.DataFrame, span: int, extra: Sequence[str]) -> pd.DataFrame:
-    """The group's documents without what occurs in an earlier one."""
-    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", *extra]
+def _remove(docs: pa.Table, side: pa.Table, span: int, extra: Sequence[str]) -> pa.Table:
+    """The group's documents without what occurs in an earlier one, and the ``extra`` columns."""
     if not len(docs):
-        return pd.DataFrame([], columns=columns)
+        done = _table([], _DONE)
+        for name in extra:
+            done = done.append_column(name, docs[name])
+        return done
     group = Group.of(docs, side, span)
-    answers = side[side["kind"] == 2].sort_values("a")
-    pairs = [np.frombuffer(d, np.uint64) for d in answers["data"]]
+    answers = _kind(side, 2).sort_by("a")
+    pairs = [np.frombuffer(d, np.uint64) for d in answers["data"].to_pylist()]
     key = np.concatenate([p[: len(p) // 2] for p in pairs]) if pairs else np.zeros(0, np.uint64)
     bits = np.concatenate([p[len(p) // 2 :] for p in pairs]) if pairs else np.zeros(0, np.uint64)
     found = group.anchors(span, np.unique(key), True)
@@ -302,79 +340,104 @@ def _remove(docs: pd.DataFrame, side: pd.DataFrame, span: int, extra: Sequence[s
     sizes = np.array([len(t) for t in group.texts], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     place = starts[found.doc[order]] + found.place[order]
+    found = None
     edges = np.zeros(int(starts[-1]) + 1, np.int32)
     far, _ = _reach(span)
     for distance in range(far + 1):
         at = place[(hit >> np.uint64(distance) & np.uint64(1)).astype(bool)] - distance
         np.add.at(edges, at, 1)
         np.add.at(edges, at + span, -1)
-    covered = np.cumsum(edges)[:-1] > 0
+    covered = np.cumsum(edges, out=edges)[:-1] > 0
     out = []
     for i, text in enumerate(group.texts):
         gone = covered[starts[i] : starts[i] + sizes[i]]
         if not group.first[i] and len(text) >= span:
-            removed, runs, kept = len(text), 1, b""
+            removed, runs, kept, left = len(text), 1, b"", ""
         elif gone.any():
             removed, runs = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+            kept, left = np.frombuffer(text, np.uint8)[~gone].tobytes(), _whole_characters(text, gone)
         else:
-            removed, runs, kept = 0, 0, text
-        out.append((group.ids[i], len(text), removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-    return pd.concat(
-        [pd.DataFrame(out, columns=columns[:6]), docs[list(extra)].reset_index(drop=True)], axis=1
-    )
+            removed, runs, kept, left = 0, 0, text, text.decode("utf-8", "replace")
+        out.append((int(group.ids[i]), len(text), removed, runs, hashlib.sha256(kept).hexdigest(), left))
+    done = _table(out, _DONE)
+    for name in extra:
+        done = done.append_column(name, docs[name])
+    return done
 
 
-def suffix_dedup(docs: DataFrame, span: int = SPAN, extra: Sequence[str] = ()) -> DataFrame:
-    """Each document without the bytes of strings that also start in one with a smaller doc_id.
+def _freed(run: Callable[..., pa.Table], *args: object) -> pa.Table:
+    """What a group function gives; the memory that it no longer needs goes back to the machine."""
+    try:
+        return run(*args)
+    finally:
+        blocks.release()
 
-    doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, text (what is
-    left, without characters that were cut in part) and the ``extra`` columns, which must not bear those names. Null texts are empty.
-    Rows without a doc_id are left as they are and no reason to remove anything; rows that repeat
-    a doc_id do not remove from one another. An empty table gives no rows.
-    """
-    extra = list(extra)
-    kinds = dict(docs.dtypes)
+
+def _deduplicated(docs: DataFrame, span: int, carried: Sequence[str]) -> DataFrame:
+    """The operator's columns, then those of ``carried`` as x0, x1 .., whatever their names and types."""
     raw = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(max(1, size // GROUP_BYTES))
     group = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(parts)).alias("g")
-    carried = [F.col(c).cast("string").alias(c) for c in extra]
-    given = docs.filter("doc_id IS NOT NULL").select(group, F.col("doc_id").cast("bigint").alias("doc_id"), raw.alias("text"), *carried)
+    extra = [f"x{i}" for i in range(len(carried))]
+    more = [F.col(f"`{c}`").alias(x) for c, x in zip(carried, extra)]
+    given = docs.filter(F.col("doc_id").isNotNull()).select(group, F.col("doc_id").cast("bigint").alias("doc_id"), raw.alias("text"), *more)
     firsts = (
-        docs.filter("doc_id IS NOT NULL").filter(F.octet_length("text") >= span)
-        .groupBy(F.unhex(F.md5(raw)).alias("data")).agg(F.min(F.col("doc_id").cast("bigint")).alias("doc_id"))
+        docs.filter(F.col("doc_id").isNotNull()).filter(F.octet_length("text") >= span)
+        .select(F.unhex(F.md5(raw)).alias("data"), F.col("doc_id").cast("bigint").alias("doc_id"))
+        .groupBy("data").agg(F.min("doc_id").alias("doc_id"))
         .select(group, F.lit(0).alias("kind"), F.col("doc_id").alias("a"), "data")
     )
 
-    def send_keys(d: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        return _send_keys(d, s, span, parts)
+    def send_keys(d: pa.Table, s: pa.Table) -> pa.Table:
+        return _freed(_send_keys, d, s, span, parts)
+
+    def send_texts(d: pa.Table, s: pa.Table) -> pa.Table:
+        return _freed(_send_texts, d, s, span, parts)
 
-    def send_texts(d: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        return _send_texts(d, s, span, parts)
+    def share(rows: pa.Table) -> pa.Table:
+        return _freed(_shared_keys, rows)
 
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        return _answer_texts(rows, span)
+    def answer(rows: pa.Table) -> pa.Table:
+        return _freed(_answer_texts, rows, span)
 
-    def remove(d: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        return _remove(d, s, span, extra)
+    def remove(d: pa.Table, s: pa.Table) -> pa.Table:
+        return _freed(_remove, d, s, span, extra)
 
-    def with_docs(side: DataFrame, run, schema: str) -> DataFrame:
+    def with_docs(side: DataFrame, run, schema: str | T.StructType) -> DataFrame:
         # the same shuffle of the documents serves all three steps
-        return given.groupBy("g").cogroup(side.groupBy("g")).applyInPandas(run, schema)
+        return given.groupBy("g").cogroup(side.groupBy("g")).applyInArrow(run, schema)
 
-    shared = with_docs(firsts, send_keys, _OUT).groupBy("bucket").applyInPandas(_shared_keys, _SIDE)
+    shared = with_docs(firsts, send_keys, _OUT).groupBy("bucket").applyInArrow(share, _SIDE)
     texts = with_docs(firsts.unionByName(shared), send_texts, _OUT)
-    answers = texts.groupBy("bucket").applyInPandas(answer, _SIDE)
-    out = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string"
-    done = with_docs(firsts.unionByName(answers), remove, out + "".join(f", `{c}` string" for c in extra))
-    untouched = docs.filter("doc_id IS NULL").select(
+    answers = texts.groupBy("bucket").applyInArrow(answer, _SIDE)
+    untouched = docs.filter(F.col("doc_id").isNull()).select(
         F.lit(None).cast("bigint").alias("doc_id"), F.octet_length(raw).cast("bigint").alias("n_bytes"),
         F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"),
-        F.sha2(raw, 256).alias("kept_sha256"), F.coalesce("text", F.lit("")).alias("text"), *carried,
+        F.sha2(raw, 256).alias("kept_sha256"), F.coalesce("text", F.lit("")).alias("text"), *more,
     )
-    whole = done.unionByName(untouched)
-    return whole.select(*whole.columns[:6], *[F.col(c).cast(kinds[c]).alias(c) for c in extra])
+    schema = T.StructType([*T.StructType.fromDDL(_DONE).fields, *given.select(*extra).schema.fields])
+    return with_docs(firsts.unionByName(answers), remove, schema).unionByName(untouched)
+
+
+def suffix_dedup(docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """Each document without the bytes of strings that also start in one with a smaller doc_id.
+
+    doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the remaining
+    bytes) and text (what is left; a character that is covered in part stays whole). Null texts
+    are empty. Rows without a doc_id are left as they are and no reason to remove anything; rows
+    that repeat a doc_id do not remove from one another; doc_id is a whole number. Long texts are
+    searched in pieces. Other columns are ignored; an empty table gives no rows.
+    """
+    return _deduplicated(docs, span, ())
+
+
+def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """``docs`` with the texts of ``suffix_dedup``; null texts become empty, all other columns stay."""
+    others = [c for c in docs.columns if c != "text"]
+    done = _deduplicated(docs, span, others)
+    place = {c: f"x{i}" for i, c in enumerate(others)}
+    return done.select(*[F.col("text") if c == "text" else F.col(place[c]).alias(c) for c in docs.columns])
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
