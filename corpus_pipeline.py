@@ -20,18 +20,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word-shingle sets with a similarity of 0.8 or more.
 
-    The one with the least doc_id stays; a doc_id stays once, rows without one all stay.
+    A document is a row's doc_id and text (told apart by 64 bits of a hash), so rows that share a
+    doc_id but not their text are two. The one with the least doc_id stays, one without an id only
+    if no other has one; rows that repeat both are one.
     """
-    linked = jaccard.jaccard_join(docs, n=5, percent=80)
-    first = linked.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    key = common.unused(docs, "_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    linked = jaccard.jaccard_join(keyed.select(F.col(key).alias("doc_id"), "text"), n=5, percent=80)
+    ids = keyed.select(F.col(key).alias("key"), F.col("doc_id").cast("bigint").alias("id")).distinct()
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    first = (
+        linked.select(F.col("doc_id").alias("key"), "component_id").distinct().join(ids, "key")
+        .groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.key").alias(key))
+    )
+    kept = keyed.join(first.hint("merge"), key, "left_semi").dropDuplicates([key, "doc_id"])
+    return kept.select(*docs.columns)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 50-byte strings that an earlier document has; no row goes."""
-    done = suffix_dedup.suffix_dedup(docs, extra=[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")])
-    return done.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    return suffix_dedup.without_repeats(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
