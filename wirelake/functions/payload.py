@@ -76,9 +76,11 @@ def _any(variant: Column, path: str, wanted) -> Column:
 
 
 def _step(path: str, key: str) -> str:
-    if "'" in key:
-        raise ValueError(f"a key with a quote cannot be used in a path: {key!r}")
-    return f"{path}['{key}']"
+    if "'" not in key:
+        return f"{path}['{key}']"
+    if '"' not in key:
+        return f'{path}["{key}"]'
+    raise ValueError(f"a key with both kinds of quotes cannot be used in a path: {key!r}")
 
 
 def promoted(payload: Column, fields: dict[str, tuple[str, ...]]) -> Column:
