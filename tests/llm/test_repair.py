@@ -62,7 +62,7 @@ def brute(rows, spoil=True):
         convs.setdefault(row[0], []).append(row)
     out = []
     for conv in {r[0] for r in rows}:
-        mine = sorted(convs.get(conv, []), key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.sha256(f"{len(r[2].encode())}:{r[2]}{r[3]}".encode()).hexdigest()))
+        mine = sorted(convs.get(conv, []), key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.sha256(f"{len(r[2].encode())}:{r[2]}{r[3]}".encode()).digest()))
         seen, symbols, faults = set(), [], []
         for _, _, role, text in mine:
             fault = None

@@ -190,29 +190,31 @@ def walk(state: int, edits: str, role: str) -> tuple[int, str, str | None]:
 # Tables
 
 
-def faults(messages: DataFrame) -> DataFrame:
-    """Rows conv_id, turn, role, text, row and ``fault`` (blank, duplicate, truncated or null).
-
-    A row is a duplicate if an earlier one of its conversation has its role and text; of rows
-    that share their turn as well, all but one. Only the first row of each text is looked up by
-    its own number, so a text that fills a conversation does not meet in one task.
-    """
+def numbered_rows(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text and a number of the ``row``, written once; a null role or text is one space."""
     rows = messages.select(
         "conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"), F.monotonically_increasing_id().alias("row"),
     )
-    rows = rows.withColumn("same", F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256))
-    rows = common.written(rows, "messages")
+    return common.written(rows, "messages")
+
+
+def faults(rows: DataFrame) -> DataFrame:
+    """row, conv_id, turn, role, ``same`` (a hash of role and text) and ``fault``, without the texts.
+
+    The fault is blank, duplicate, truncated or null. A row is a duplicate if an earlier one of
+    its conversation has its role and text; of rows that share their turn as well, all but one.
+    Only the first row of each text is looked up, by its own number, so a text that fills a
+    conversation does not meet in one task.
+    """
+    same = F.unhex(F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256))
+    end = F.right(F.rtrim("text", F.lit(common.SPACE_CHARS)), F.lit(1))
+    look = F.when(end == "", "blank").when(~end.isin(".", "!", "?"), "truncated")
+    narrow = rows.select("row", "conv_id", "turn", "role", same.alias("same"), look.alias("look"))
     order = F.struct(F.col("turn").isNotNull().alias("known"), "turn", "row")
-    first = rows.groupBy("conv_id", "same").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"), F.lit(True).alias("is_first"))
-    first = first.hint("merge")
-    trimmed = F.right(F.rtrim("text", F.lit(common.SPACE_CHARS)), F.lit(1))
-    fault = (
-        F.when(trimmed == "", "blank")
-        .when(F.col("is_first").isNull(), "duplicate")
-        .when(~trimmed.isin(".", "!", "?"), "truncated")
-    )
-    return rows.join(first, "row", "left").select(*rows.columns, fault.alias("fault"))
+    first = narrow.groupBy("conv_id", "same").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"), F.lit(True).alias("is_first"))
+    fault = F.when(F.col("look") == "blank", "blank").when(F.col("is_first").isNull(), "duplicate").otherwise(F.col("look"))
+    return narrow.join(first.hint("merge"), "row", "left").select("row", "conv_id", "turn", "role", "same", fault.alias("fault"))
 
 
 def _summaries(blocks: pd.DataFrame) -> pd.DataFrame:
@@ -258,19 +260,19 @@ def _unrolled(blocks: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
         state, end = known.get(key, (START, None))
         edits, last = block_edits(_symbols(part), state, end)
         final = len(part) - 1
-        rows = zip(part["row"].tolist(), part["start"].tolist(), part["pos"].tolist(), part["initial"].tolist(), edits)
-        for i, (row, start, pos, initial, edit) in enumerate(rows):
+        rows = zip(*[part[c].tolist() for c in ("row", "start", "pos", "initial", "fault")], edits)
+        for i, (row, start, pos, initial, fault, edit) in enumerate(rows):
             state, inserted, role = walk(state, edit, initial)
             tail = ""
             if i == final and end is None:
                 for _ in range(_FINISH[last]):
                     tail += _NEXT[state]
                     state = _AFTER[state, _NEXT[state]]
-            out.append((row, start, pos, edit + "I" * len(tail), inserted, role, tail))
-    return pd.DataFrame(out, columns=["row", "start", "pos", "edits", "before", "becomes", "after"])
+            out.append((row, start, pos, fault, edit + "I" * len(tail), inserted, role, tail))
+    return pd.DataFrame(out, columns=["row", "start", "pos", "fault", "edits", "before", "becomes", "after"])
 
 
-_EDITS = "row bigint, start bigint, pos bigint, edits string, before string, becomes string, after string"
+_EDITS = "row bigint, start bigint, pos bigint, fault string, edits string, before string, becomes string, after string"
 
 
 def repair(messages: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -284,9 +286,8 @@ def repair(messages: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     without a first letter s, u or a cannot be kept; an empty table gives no rows; other columns
     are ignored.
     """
-    rows = common.written(faults(messages), "faults")
-    narrow = rows.select("row", "conv_id", "turn", "role", "fault", "same")
-    narrow = narrow.withColumn("conv", F.col("conv_id").cast("string"))
+    rows = numbered_rows(messages)
+    narrow = common.written(faults(rows).withColumn("conv", F.col("conv_id").cast("string")), "faults")
     placed = places.grouped(narrow.drop("conv_id"), "conv", ["turn", "role", "same", "row"])
     blocks = placed.select(
         "row", "start", "pos", F.substring("role", 1, 1).alias("initial"), "fault", "n", F.expr(f"pos div {block_rows}").alias("block")
