@@ -94,6 +94,8 @@ def test_stream_into_a_table_with_retention(spark):
     for _ in range(2):
         ingest.write_batch(lines.limit(1), 7, folder, "live_packets")
     assert spark.table("live_packets").count() == 31
+    parts = [r["partition"] for r in spark.sql("SHOW PARTITIONS live_packets").collect()]
+    assert all(p.startswith("chunk=") and "/batch_id=" in p for p in parts)  # the hour on top
     now = dt.datetime(1970, 1, 2, 2)
     assert storage.expire_chunks(spark, "live_packets", now) == ["1970-01-01 00:00:00", "1970-01-01 01:00:00"]
     assert spark.table("live_packets").count() == 28
@@ -122,9 +124,9 @@ def test_the_gate_judges_our_own_run(spark):
     for k in range(2):
         ingest.write_batch(spark.createDataFrame([(doc(),)] * 5, "value STRING"), k, folder)
     samples = ingest.run_metrics(spark, folder)
-    needed = tuple(n for n in counters.REQUIRED_METRICS if n != "process_memory_bytes")
-    assert counters.soak_gate(samples, required=needed).first().passed
-    assert counters.soak_gate(samples, required=needed, min_elapsed_s=1800).first().failures == ["run_too_short"]
+    assert counters.soak_gate(samples, max_rss_bytes=64e9).first().passed  # all required metrics are there
+    assert counters.soak_gate(samples, max_rss_bytes=64e9, min_elapsed_s=1800).first().failures == ["run_too_short"]
+    assert counters.soak_gate(samples, max_rss_bytes=1).first().failures == ["memory_over_limit"]
 
 
 def test_fan_out(spark, sf_dir):

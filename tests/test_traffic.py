@@ -83,17 +83,24 @@ def test_dedup_keeps_one_copy(spark):
 
 
 def test_reconcile_counts(spark):
-    lines = spark.createDataFrame([(doc(),), (doc(),), (doc(timestamp="5"),), ("x",)], "value STRING")
+    lines = spark.createDataFrame([(doc(timestamp=str(t)),) for t in range(10)] + [("x",), ("y",), ("x",)], "value STRING")
     shaped = shape_lines(lines)
     stored, letters = good_packets(shaped), dead_letters(shaped, F.current_timestamp())
-    row = Q.reconcile_counts(lines, stored, letters).first()
-    assert (row.lines_in, row.packets, row.dead_letters, row.distinct_ids, row.duplicates) == (4, 3, 1, 2, 1)
-    assert row.status == "complete"
-    assert Q.reconcile_counts(lines, stored.limit(2), letters).first().status == "lost"
-    assert Q.reconcile_counts(lines, stored, letters.limit(0)).first().status == "lost"
-    assert Q.reconcile_counts(lines, stored.union(stored), letters).first().status == "doubled"
-    none = Q.reconcile_counts(lines.limit(0), stored.limit(0), letters.limit(0)).first()
-    assert none.status == "empty"
+
+    def judged(packets, bad=letters):
+        r = Q.reconcile_counts(shaped, packets, bad).first()
+        return r.status, r.lines_in, r.packets, r.dead_letters, r.distinct_ids, r.lost, r.doubled, r.duplicates
+
+    assert judged(stored) == ("complete", 13, 10, 3, 10, 0, 0, 0)
+    early = F.unix_millis("ts") < 5
+    # as many lost as stored twice, which totals cannot show
+    assert judged(stored.filter(early).union(stored.filter(early))) == ("lost_and_doubled", 13, 10, 3, 5, 5, 5, 5)
+    assert judged(stored.filter(early)) == ("lost", 13, 5, 3, 5, 5, 0, 0)
+    assert judged(stored.union(stored)) == ("doubled", 13, 20, 3, 10, 0, 10, 10)
+    assert judged(stored, letters.limit(0)) == ("lost", 13, 10, 0, 10, 3, 0, 0)
+    assert judged(stored, letters.filter("raw_ek_line = 'x'").limit(1))[5] == 2
+    none = Q.reconcile_counts(shaped.limit(0), stored.limit(0), letters.limit(0)).first()
+    assert none.status == "empty" and none.lines_in == 0
 
 
 def test_latency(spark):

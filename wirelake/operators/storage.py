@@ -56,7 +56,7 @@ def create_packets_table(spark: SparkSession, name: str, *, by_batch: bool = Fal
         "ts TIMESTAMP, src_ip STRING, dst_ip STRING, src_port INT, dst_port INT, "
         "proto STRING, length INT, payload STRING, chunk TIMESTAMP"
     )
-    more, parts = (", batch_id BIGINT", "batch_id, chunk") if by_batch else ("", "chunk")
+    more, parts = (", batch_id BIGINT", "chunk, batch_id") if by_batch else ("", "chunk")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {checked_name(name)} ({columns}{more}) "
         f"USING parquet PARTITIONED BY ({parts})"
@@ -97,7 +97,7 @@ def expire_chunks(spark: SparkSession, name: str, now, keep: str = "1 day") -> l
     decoded = F.url_decode("partition")
     started = F.to_timestamp(F.regexp_extract(decoded, "chunk=([^/]*)", 1))
     limit = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {keep}") - chunk_width()
-    # A folder name such as batch_id=3/chunk=2024-01-01 12:00:00 as a partition to drop.
+    # A folder name such as chunk=2024-01-01 12:00:00/batch_id=3 as a partition to drop.
     spec = F.regexp_replace(F.regexp_replace(decoded, "=([^/]*)", " = '$1'"), "/", ", ")
     old = (
         spark.sql(f"SHOW PARTITIONS {table}")

@@ -154,40 +154,53 @@ def ingest_latency(
     )
 
 
-def reconcile_counts(lines: DataFrame, packets: DataFrame, letters: DataFrame, *run: str) -> DataFrame:
-    """What went in against what was stored, per run: lines, packets and dead letters.
-
-    The three tables are counted on their own. ``complete`` if packets and dead letters add up to
-    the lines, ``lost`` or ``doubled`` if there are fewer or more, ``empty`` without lines.
-    ``distinct_ids`` and ``duplicates`` tell apart what the packets' identity columns say. Ids are
-    counted by grouping, which spreads over tasks, before the rows of a run meet.
+def reconcile_counts(shaped: DataFrame, packets: DataFrame, letters: DataFrame, *run: str) -> DataFrame:
+    """What went in against what was stored, per run, packet by packet and bad line by bad line.
+
+    ``shaped`` are the lines as ``shape_lines`` gives them. A packet is known by its identity
+    columns, a dead letter by its line; one that is stored less often than it came in is lost, one
+    stored more often is doubled, so losses are not hidden by copies. ``status`` is ``complete``,
+    ``lost``, ``doubled``, ``lost_and_doubled``, or ``empty`` without lines. Identities are counted
+    by grouping, which spreads over tasks, before the rows of a run meet.
     """
-    none = [F.lit(None).cast(packets.schema[c].dataType).alias(c) for c in IDENTITY]
+    good = F.col("reason").isNull()
+    nothing = [F.lit(None).cast(packets.schema[c].dataType).alias(c) for c in IDENTITY]
+    unknown = F.lit(None).cast("string").alias("_letter")
+
+    def line_hash(line: str) -> Column:
+        return F.md5(F.col(line).cast("binary")).alias("_letter")
+
     tagged = (
-        lines.select(*run, F.lit("line").alias("_kind"), *none)
-        .unionByName(packets.select(*run, F.lit("packet").alias("_kind"), *IDENTITY))
-        .unionByName(letters.select(*run, F.lit("letter").alias("_kind"), *none))
+        shaped.select(
+            *run, F.lit(1).alias("_in"), F.lit(0).alias("_out"), *[F.when(good, F.col(c)).alias(c) for c in IDENTITY],
+            F.when(~good, line_hash("value")).alias("_letter"),
+        )
+        .unionByName(packets.select(*run, F.lit(0).alias("_in"), F.lit(1).alias("_out"), *IDENTITY, unknown))
+        .unionByName(letters.select(*run, F.lit(0).alias("_in"), F.lit(1).alias("_out"), *nothing, line_hash("raw_ek_line")))
     )
-    per_id = tagged.groupBy(*run, "_kind", *IDENTITY).agg(F.count("*").alias("n"))
+    per_id = tagged.groupBy(*run, *IDENTITY, "_letter").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+    packet = F.col("_letter").isNull()
 
-    def total(kind: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.col("n"))), F.lit(0))
+    def total(value: Column, where: Column | None = None) -> Column:
+        return F.coalesce(F.sum(value if where is None else F.when(where, value)), F.lit(0))
 
-    landed = F.col("packets") + F.col("dead_letters")
     return (
         per_id.groupBy(*run)
         .agg(
-            total("line").alias("lines_in"),
-            total("packet").alias("packets"),
-            total("letter").alias("dead_letters"),
-            F.count_if(F.col("_kind") == "packet").alias("distinct_ids"),
+            total(F.col("_in")).alias("lines_in"),
+            total(F.col("_out"), packet).alias("packets"),
+            total(F.col("_out"), ~packet).alias("dead_letters"),
+            F.count_if(packet & (F.col("_out") > 0)).alias("distinct_ids"),
+            total(F.greatest(F.col("_in") - F.col("_out"), F.lit(0))).alias("lost"),
+            total(F.greatest(F.col("_out") - F.col("_in"), F.lit(0))).alias("doubled"),
         )
         .withColumn("duplicates", F.col("packets") - F.col("distinct_ids"))
         .withColumn(
             "status",
             F.when(F.col("lines_in") == 0, "empty")
-            .when(landed < F.col("lines_in"), "lost")
-            .when(landed > F.col("lines_in"), "doubled")
+            .when((F.col("lost") > 0) & (F.col("doubled") > 0), "lost_and_doubled")
+            .when(F.col("lost") > 0, "lost")
+            .when(F.col("doubled") > 0, "doubled")
             .otherwise("complete"),
         )
     )
