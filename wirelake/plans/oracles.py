@@ -262,14 +262,26 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT 'lines', line, NULL FROM shaped""",
         "dedup_stream": f"WITH {PACKETS} SELECT DISTINCT {_SEVEN.replace(', length', '')} FROM packets",
         "run_metrics": f"""WITH {SHAPED}
-          SELECT 'ingestor_lines_read_total' AS name, CAST(count(*) AS DOUBLE) AS value FROM shaped
-          UNION ALL SELECT 'ingestor_msgs_published_total', count(*) FROM shaped
-          UNION ALL SELECT 'worker_batch_flush_total', least(count(*) FILTER (reason IS NULL), 1) FROM shaped
-          UNION ALL SELECT 'worker_db_errors_total', 0
-          UNION ALL SELECT 'worker_buffer_size', 0
-          UNION ALL SELECT 'worker_msgs_consumed_total', count(*) FILTER (reason IS NULL) FROM shaped
-          UNION ALL SELECT 'worker_rows_inserted_total', count(*) FILTER (reason IS NULL) FROM shaped
-          UNION ALL SELECT 'worker_deadletter_total', count(*) FILTER (reason IS NOT NULL) FROM shaped""",
+          SELECT 'ingestor_lines_read_total' AS name, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS BOOLEAN) AS fell FROM shaped
+          UNION ALL SELECT 'ingestor_msgs_published_total', count(*), NULL FROM shaped
+          UNION ALL SELECT 'worker_batch_flush_total', 3, NULL
+          UNION ALL SELECT 'worker_db_errors_total', 0, NULL
+          UNION ALL SELECT 'worker_buffer_size', 0, true
+          UNION ALL SELECT 'process_memory_bytes', NULL, NULL
+          UNION ALL SELECT 'worker_msgs_consumed_total', count(*) FILTER (reason IS NULL), NULL FROM shaped
+          UNION ALL SELECT 'worker_rows_inserted_total', count(*) FILTER (reason IS NULL), NULL FROM shaped
+          UNION ALL SELECT 'worker_deadletter_total', count(*) FILTER (reason IS NOT NULL), NULL FROM shaped""",
+        # Three micro-batches; after the first of them a file waits.
+        "own_soak": f"""WITH {SHAPED} SELECT 3 AS samples, CAST(count(*) FILTER (reason IS NOT NULL) AS DOUBLE) AS dead_letters,
+            CAST(0 AS DOUBLE) AS db_errors, CAST(count(*) FILTER (reason IS NULL) AS DOUBLE) AS msgs_consumed,
+            CAST(0 AS DOUBLE) AS final_buffer, 1 AS alerts, 1 AS episodes, '' AS missing, '' AS failures, true AS passed FROM shaped""",
+        "isolated_batch": f"""WITH {SHAPED} SELECT line, CASE WHEN reason IS NOT NULL THEN 'dead letter'
+            WHEN length = {P.ODD_LENGTH} AND dst_ip = '{P.ODD_ADDRESS}' THEN 'refused' ELSE 'packet' END AS kind FROM shaped""",
+        "dedup_stored": f"WITH {PACKETS} SELECT DISTINCT {_SEVEN.replace(', length', '')} FROM packets",
+        "compacted_packets": f"""WITH {PACKETS} SELECT {_EIGHT}, 1 AS files FROM packets
+          WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR > TIMESTAMP '{P.NOW}' - INTERVAL 1 DAY""",
+        "table_lifecycle": f"""WITH {PACKETS} SELECT 'created' AS step, 0 AS n UNION ALL SELECT 'emptied', 0
+          UNION ALL SELECT 'filled', count(*) FROM packets""",
         "retention": retained,
         "retained_packets": retained,
         "row_count": f"WITH {PACKETS} SELECT count(*) AS n FROM packets",
@@ -286,6 +298,11 @@ def oracle_sql() -> dict[str, str]:
           WHERE NOT coalesce(src_port = 53 OR dst_port = 53, false)""",
         "payload_contains": f"""WITH {PACKETS} SELECT event_id, payload FROM packets
           WHERE json_contains(payload, '{{"layers": {{"udp": {{"udp_udp_dstport": "53"}}, "dns": {{"dns_dns_qry_name": "click.example"}}}}}}')""",
+        "payload_index": f"""WITH {PACKETS} SELECT {_EIGHT} FROM packets
+          WHERE json_contains(payload, '{{"layers": {{"udp": {{"udp_udp_dstport": "53"}}, "dns": {{"dns_dns_qry_name": "click.example"}}}}}}')""",
+        "payload_variant": f"""WITH {PACKETS} SELECT event_id,
+            json_extract_string(payload, '$.layers.frame.frame_frame_len') AS frame_len,
+            json_extract_string(payload, '$.layers.udp.udp_udp_dstport') AS udp_port FROM packets""",
         "app_columns": f"""WITH {PACKETS} SELECT event_id, src_ip, dst_ip,
             json_extract_string(payload, '$.layers.http.http_http_host') AS http_host,
             json_extract_string(payload, '$.layers.dns.dns_dns_qry_name') AS dns_query FROM packets""",
@@ -296,6 +313,8 @@ def oracle_sql() -> dict[str, str]:
         "payload_checksum": f"WITH {PACKETS} SELECT {_digest('payload')} AS payloads FROM packets",
         "diff_rows": f"""WITH {PACKETS}, {OTHER}
           SELECT {_SEVEN} FROM packets EXCEPT ALL SELECT {_SEVEN} FROM other""",
+        "diff_by_digest": f"""WITH {PACKETS}, {OTHER}
+          SELECT {_SEVEN} FROM packets EXCEPT ALL SELECT {_SEVEN} FROM other""",
         "diff_sample": f"""WITH {PACKETS}, {OTHER}, missing AS (
             SELECT {_SEVEN} FROM packets EXCEPT ALL SELECT {_SEVEN} FROM other)
           SELECT * FROM missing ORDER BY ts, src_ip, dst_ip, src_port NULLS FIRST, dst_port NULLS FIRST,
@@ -312,17 +331,23 @@ def oracle_sql() -> dict[str, str]:
             a.rows > 0 AND a.rows = b.rows AND a.digest = b.digest AND a.payloads = b.payloads AS passed
           FROM a, b""",
         "reconcile_counts": f"""WITH {SHAPED}, ids AS (
-            SELECT reason, coalesce(src_port = 53 OR dst_port = 53, false) AS dns,
-              CASE WHEN reason IS NULL THEN {_ID} END AS id FROM shaped),
+            SELECT reason, event_id % 20 AS slot, coalesce(src_port = 53 OR dst_port = 53, false) AS dns,
+              CASE WHEN reason IS NULL THEN {_ID} ELSE line END AS id FROM shaped),
+          copies AS (
+            SELECT run, reason, id, 1 AS came,
+              CASE WHEN reason IS NOT NULL THEN 1 WHEN run = 'holes' AND dns THEN 0 WHEN run = 'twice' AND dns THEN 2
+                WHEN run = 'both' AND slot = 1 THEN 0 WHEN run = 'both' AND slot = 2 THEN 2 ELSE 1 END AS stored
+            FROM ids, (VALUES ('whole'), ('holes'), ('twice'), ('both')) runs(run)),
+          each_id AS (SELECT run, reason IS NULL AS packet, id, sum(came) AS came, sum(stored) AS stored FROM copies GROUP BY ALL),
           counted AS (
-            SELECT run, count(*) AS lines_in,
-              CAST(coalesce(sum(CASE WHEN reason IS NOT NULL OR run = 'holes' AND dns THEN 0 WHEN run = 'twice' AND dns THEN 2 ELSE 1 END), 0) AS BIGINT) AS packets,
-              count(*) FILTER (reason IS NOT NULL) AS dead_letters,
-              count(DISTINCT id) FILTER (NOT (run = 'holes' AND dns)) AS distinct_ids
-            FROM ids, (VALUES ('whole'), ('holes'), ('twice')) runs(run) GROUP BY run)
+            SELECT run, CAST(sum(came) AS BIGINT) AS lines_in, CAST(coalesce(sum(stored) FILTER (packet), 0) AS BIGINT) AS packets,
+              CAST(coalesce(sum(stored) FILTER (NOT packet), 0) AS BIGINT) AS dead_letters,
+              count(*) FILTER (packet AND stored > 0) AS distinct_ids,
+              CAST(sum(greatest(came - stored, 0)) AS BIGINT) AS lost, CAST(sum(greatest(stored - came, 0)) AS BIGINT) AS doubled
+            FROM each_id GROUP BY run)
           SELECT *, packets - distinct_ids AS duplicates,
-            CASE WHEN lines_in = 0 THEN 'empty' WHEN packets + dead_letters < lines_in THEN 'lost'
-              WHEN packets + dead_letters > lines_in THEN 'doubled' ELSE 'complete' END AS status
+            CASE WHEN lines_in = 0 THEN 'empty' WHEN lost > 0 AND doubled > 0 THEN 'lost_and_doubled' WHEN lost > 0 THEN 'lost'
+              WHEN doubled > 0 THEN 'doubled' ELSE 'complete' END AS status
           FROM counted""",
         "dedup_packets": f"""WITH {PACKETS}, {DELIVERED}
           SELECT {_ID} AS msg_id, {_SEVEN.replace(', length', '')}, min(length) AS length,
@@ -335,11 +360,17 @@ def oracle_sql() -> dict[str, str]:
           ranked AS (SELECT *, CAST(row_number() OVER (
             PARTITION BY minute ORDER BY packets DESC, src_ip, dst_ip) AS INTEGER) AS rank FROM pairs)
           SELECT minute, src_ip, dst_ip, packets, rank FROM ranked WHERE rank <= 3""",
+        "pps_rollup": f"""WITH {PACKETS} SELECT {minute} AS minute, count(*) AS packets,
+            CAST(sum(length) AS BIGINT) AS bytes, round(count(*) / 60.0, 6) AS pps FROM packets GROUP BY 1""",
+        "talkers_rollup": f"""WITH {PACKETS}, pairs AS (
+            SELECT {minute} AS minute, src_ip, dst_ip, count(*) AS packets FROM packets GROUP BY ALL),
+          ranked AS (SELECT *, CAST(row_number() OVER (
+            PARTITION BY minute ORDER BY packets DESC, src_ip, dst_ip) AS INTEGER) AS rank FROM pairs)
+          SELECT minute, src_ip, dst_ip, packets, rank FROM ranked WHERE rank <= 3""",
         "ingest_latency": f"""WITH {PACKETS}, delays AS (
-            SELECT event_type, (event_id * 7) % 3000 AS ms FROM packets)
-          SELECT event_type, count(*) AS packets, min(ms) AS min_ms, max(ms) AS max_ms,
-            quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms,
-            count(*) FILTER (ms <= 1000) AS in_time FROM delays GROUP BY event_type""",
+            SELECT split_part(proto, ':', -1) AS leaf, CAST(length * 7 % 3000 AS BIGINT) AS ms FROM packets)
+          SELECT leaf, count(*) AS packets, min(ms) AS min_ms, max(ms) AS max_ms,
+            count(*) FILTER (ms <= 1000) AS in_time, true AS p50_ok, true AS p95_ok FROM delays GROUP BY leaf""",
         "metrics_parse": f"WITH {SAMPLES} SELECT service, scrape_ts, series, name, service_label, shard_label, value FROM samples",
         "sum_across_labels": f"""WITH {SAMPLES} SELECT service, scrape_ts, name, sum(value) AS value
           FROM samples GROUP BY service, scrape_ts, name""",
@@ -348,6 +379,15 @@ def oracle_sql() -> dict[str, str]:
           WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.service = r.service AND s.name = q.name)""",
         "backlog_alert": f"""WITH {SAMPLES} SELECT service, scrape_ts, series, value FROM samples
           WHERE name = 'worker_buffer_size' AND value > 0.75 * 50000""",
+        "backlog_episodes": f"""WITH {SAMPLES}, above AS (
+            SELECT service, scrape_ts, value, lag(scrape_ts) OVER (PARTITION BY service ORDER BY scrape_ts) AS before
+            FROM samples WHERE name = 'worker_buffer_size' AND value > 0.75 * 50000),
+          marked AS (SELECT *, sum(CASE WHEN before IS NULL OR scrape_ts - before > INTERVAL {P.EPISODE_S} SECOND THEN 1 ELSE 0 END)
+              OVER (PARTITION BY service ORDER BY scrape_ts ROWS UNBOUNDED PRECEDING) AS episode FROM above)
+          SELECT service, min(scrape_ts) AS started, max(scrape_ts) AS ended, max(value) AS peak, count(*) AS samples
+          FROM marked GROUP BY service, episode""",
+        "memory_text": f"""WITH {SAMPLES} SELECT service, scrape_ts, printf('%.1f MiB', round_even(value / 1048576, 1)) AS size
+          FROM samples WHERE name = 'process_memory_bytes'""",
         "gauge_sum": f"""WITH {SAMPLES}, latest AS (
             SELECT (epoch_us(scrape_ts) + {_STEP - 1}) // {_STEP} * {_STEP} AS us, series, arg_max(value, scrape_ts) AS value
             FROM samples WHERE name = 'process_memory_bytes' GROUP BY 1, 2)
@@ -357,6 +397,7 @@ def oracle_sql() -> dict[str, str]:
             arg_max(value, scrape_ts) AS value
           FROM samples WHERE name = 'process_memory_bytes' GROUP BY 1, 2""",
         "counter_rate": _rates("increase"),
+        "live_rates": _rates("increase"),
         "counter_rate_extrapolated": _rates(_STRETCHED),
         "counter_increase": f"""WITH {WINDOWS} SELECT make_timestamp(at_us) AS at, round(sum(increase), 6) AS increase
           FROM windows GROUP BY at_us""",

@@ -11,15 +11,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wirelake.functions.ip import ip_version
 from wirelake.functions import payload
 from wirelake.functions.payload import promoted
-from wirelake.operators import batching, counters, pacing, reconcile, shape, storage, traffic
+from wirelake.functions.text import leaf_protocol, mebibytes
+from wirelake.operators import (
+    batching, counters, digests, pacing, payload_index as indexed, reconcile, rollup, shape, storage, traffic,
+)
 from wirelake.plans import derived, settings as P
 from wirelake.schema import PACKET_COLUMNS
 from wirelake.session import run_folder, use_utc
 from wirelake.sources import ek, exposition, replay
 from wirelake.sources.ek import clean_lines
+from wirelake.sources.files import file_sizes
 from wirelake.sources.tables import packets_path
 from wirelake.streaming import fanout, ingest
-from wirelake.streaming.packets import dedup_stream as deduplicated
+from wirelake.streaming.rates import live_rates as live
+from wirelake.streaming.packets import dedup_into, dedup_stream as deduplicated
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,11 +75,21 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packets written to a chunked table and read back from it."""
+def _stored_at(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of packets written to a chunked table."""
     path = run_folder(spark, "packets")
     storage.append_packets(_packets(spark, sf_dir), path)
-    return packets_path(spark, path)
+    return path
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packets_path(spark, _stored_at(spark, sf_dir))
+
+
+def _line_files(spark: SparkSession, sf_dir: str, folder: str, part: int, files: int) -> None:
+    """Every second packet line, as new text files of a folder."""
+    lines = derived.ek_lines(derived.events(spark, sf_dir)).filter(F.col("event_id") % 2 == part)
+    lines.repartition(files, "event_id").select("value").write.mode("append").text(folder)
 
 
 def _at(text: str):
@@ -91,12 +106,22 @@ def ek_scan(spark, sf_dir):
 
 @_query
 def ek_stream(spark, sf_dir):
-    lines = clean_lines(derived.raw_lines(_event_stream(spark, sf_dir))).select("event_id", "value")
-    path = run_folder(spark, "lines")
-    lines.writeStream.format("parquet").option("path", path).option(
-        "checkpointLocation", f"{path}-checkpoint"
-    ).trigger(**_ONCE).start().awaitTermination()
-    return spark.read.schema("event_id BIGINT, value STRING").parquet(path)
+    """Lines from a stream of several files, one per micro-batch, stopped and started again."""
+    folder = run_folder(spark, "lines")
+    schema = "event_id BIGINT, value STRING"
+    for part in range(2):
+        raw = derived.raw_lines(derived.events(spark, sf_dir)).filter(F.col("event_id") % 2 == part)
+        raw.select(F.concat("event_id", F.lit("\v"), "value").alias("value")).repartition(2).write.mode("append").option(
+            "lineSep", "\f"
+        ).text(f"{folder}/in")
+        arriving = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", 1).option("lineSep", "\f").text(f"{folder}/in")
+        split = arriving.select(
+            F.split_part("value", F.lit("\v"), F.lit(1)).cast("bigint").alias("event_id"), F.split_part("value", F.lit("\v"), F.lit(2)).alias("value")
+        )
+        clean_lines(split).writeStream.format("parquet").option("path", f"{folder}/out").option(
+            "checkpointLocation", f"{folder}/checkpoint"
+        ).trigger(**_ONCE).start().awaitTermination()
+    return spark.read.schema(schema).parquet(f"{folder}/out")
 
 
 @_query
@@ -208,6 +233,32 @@ def retained_packets(spark, sf_dir):
     return storage.retained(_stored(spark, sf_dir), _at(P.NOW)).select(*PACKET_COLUMNS)
 
 
+@_query
+def compacted_packets(spark, sf_dir):
+    """Ingested micro-batches after compaction and expiry, with the number of files of their hour."""
+    folder = _ingested(spark, sf_dir)
+    ingest.compact(spark, folder, P.END)
+    ingest.expire(spark, folder, P.NOW)
+    packets = ingest.stored_packets(spark, folder)
+    listed = file_sizes(spark, f"{folder}/packets").unionByName(file_sizes(spark, f"{folder}/compacted"))
+    return packets.join(listed.groupBy("chunk").agg(F.count("*").alias("files")), "chunk").select(*PACKET_COLUMNS, "files")
+
+
+@_query
+def table_lifecycle(spark, sf_dir):
+    """A table, an empty one like it that is filled, and one that is emptied again."""
+    names = [f"packets_{uuid.uuid4().hex}" for _ in range(3)]
+    storage.create_packets_table(spark, names[0])
+    packets = _packets(spark, sf_dir)
+    for name in names[1:]:
+        storage.create_table_like(spark, name, names[0])
+        storage.create_table_like(spark, name, names[0])  # it is there already
+        storage.append_to_table(packets, name)
+    storage.truncate_table(spark, names[2])
+    counts = [traffic.row_count(spark.table(n)).withColumn("step", F.lit(s)) for n, s in zip(names, ("created", "filled", "emptied"))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 # Traffic
 
 
@@ -242,11 +293,31 @@ def capture_filter_not(spark, sf_dir):
     return _packets(spark, sf_dir).filter(traffic.traffic_filter(port=53, negate=True))
 
 
+_PATTERN = {"layers": {"udp": {"udp_udp_dstport": "53"}, "dns": {"dns_dns_qry_name": "click.example"}}}
+
+
 @_query
 def payload_contains(spark, sf_dir):
-    pattern = {"layers": {"udp": {"udp_udp_dstport": "53"}, "dns": {"dns_dns_qry_name": "click.example"}}}
     packets = _packets(spark, sf_dir, "event_id").select("event_id", "payload")
-    return payload.payload_contains(packets, pattern)
+    return payload.payload_contains(packets, _PATTERN)
+
+
+@_query
+def payload_index(spark, sf_dir):
+    """The same search on a stored table, of which only files that the index names are read."""
+    path = _stored_at(spark, sf_dir)
+    indexed.index_payloads(spark, path, f"{path}-index")
+    return indexed.search_payloads(spark, path, f"{path}-index", _PATTERN).select(*PACKET_COLUMNS)
+
+
+@_query
+def payload_variant(spark, sf_dir):
+    packets = storage.with_payload_variant(_packets(spark, sf_dir, "event_id"))
+    return packets.select(
+        "event_id",
+        F.try_variant_get("payload_variant", "$.layers.frame.frame_frame_len", "string").alias("frame_len"),
+        F.try_variant_get("payload_variant", "$.layers.udp.udp_udp_dstport", "string").alias("udp_port"),
+    )
 
 
 @_query
@@ -284,11 +355,51 @@ def talkers_per_minute(spark, sf_dir):
     return traffic.talkers_per_minute(_packets(spark, sf_dir), 3)
 
 
+@_query
+def pps_rollup(spark, sf_dir):
+    """Per-minute packets from a rollup that was refreshed before and after late packets came."""
+    return rollup.per_minute(_rolled_up(spark, sf_dir)).withColumn("pps", F.round("pps", 6))
+
+
+@_query
+def talkers_rollup(spark, sf_dir):
+    return rollup.talkers_per_minute(_rolled_up(spark, sf_dir), 3)
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_folder(spark, "packets")
+    packets = _packets(spark, sf_dir)
+    late = traffic.traffic_filter(port=53) & (F.col("ts") >= F.lit(P.NOW).cast("timestamp"))
+    for part in (~late, late):
+        storage.append_packets(packets.filter(part), path)
+        rollup.refresh(spark, lambda: packets_path(spark, path), [path], f"{path}-rollup")
+    return rollup.stored_rollup(spark, f"{path}-rollup", rollup.PAIR_MINUTES)
+
+
 @_query
 def ingest_latency(spark, sf_dir):
-    delay = F.expr("make_dt_interval(0, 0, 0, (event_id * 7) % 3000 / 1000)")
-    landed = _packets(spark, sf_dir, "event_id", "event_type").withColumn("landed", F.col("ts") + delay)
-    return traffic.ingest_latency(landed, "landed", "event_type")
+    """Delays of ingested packets from stored sketches; whether their quantiles lie within the error."""
+    delay = F.make_dt_interval(secs=(F.col("length") * 7 % 3000 / 1000).cast("decimal(18,6)"))
+    folder = _ingested(spark, sf_dir, clock=F.col("ts") + delay)
+    measure = rollup.latency_minutes(leaf_protocol(F.col("proto")))
+    tables = [f"{folder}/packets", f"{folder}/compacted"]
+    rollup.refresh(spark, lambda: ingest.stored_packets(spark, folder), tables, f"{folder}/latency", measure)
+    found = rollup.latency(rollup.stored_rollup(spark, f"{folder}/latency", measure))
+
+    packets = ingest.stored_packets(spark, folder).select(
+        leaf_protocol(F.col("proto")).alias("grp"), (F.unix_millis("landed") - F.unix_millis("ts")).alias("ms")
+    )
+    ranks = packets.join(found.select("grp", "p50_ms", "p95_ms"), "grp").groupBy("grp").agg(
+        *[F.avg((F.col("ms") < F.col(p)).cast("int")).alias(f"_below_{p}") for p in ("p50_ms", "p95_ms")],
+        *[F.avg((F.col("ms") <= F.col(p)).cast("int")).alias(f"_upto_{p}") for p in ("p50_ms", "p95_ms")],
+    )
+
+    def within(p: str, share: float):
+        return ((F.col(f"_below_{p}") <= share + P.RANK_ERROR) & (F.col(f"_upto_{p}") >= share - P.RANK_ERROR)).alias(p.replace("_ms", "_ok"))
+
+    return found.join(ranks, "grp").select(
+        F.col("grp").alias("leaf"), "packets", "min_ms", "max_ms", "in_time", within("p50_ms", 0.5), within("p95_ms", 0.95)
+    )
 
 
 # Reconciliation
@@ -317,6 +428,13 @@ def diff_rows(spark, sf_dir):
     return reconcile.diff_rows(packets, _other(packets), None)
 
 
+@_query
+def diff_by_digest(spark, sf_dir):
+    """The same rows, found from digests and lookup tables."""
+    packets = _packets(spark, sf_dir)
+    return digests.diff_by_digest(packets, _other(packets))
+
+
 @_query
 def diff_sample(spark, sf_dir):
     packets = _packets(spark, sf_dir)
@@ -332,21 +450,22 @@ def verify_tables(spark, sf_dir):
 
 @_query
 def reconcile_counts(spark, sf_dir):
-    """One run that stored everything, one that lost packets, one that stored some twice."""
+    """Runs that stored everything, lost packets, stored some twice, and did both in equal number."""
     shaped = _shaped(spark, sf_dir)
-    packets, letters = shape.good_packets(shaped), shape.dead_letters(shaped, _at(P.NOW))
-    dns = traffic.traffic_filter(port=53)
+    packets, letters = shape.good_packets(shaped, ("event_id",)), shape.dead_letters(shaped, _at(P.NOW))
+    dns, slot = traffic.traffic_filter(port=53), F.col("event_id") % 20
 
     def runs(df: DataFrame, *names: str) -> DataFrame:
         return df.withColumn("run", F.explode(F.array(*[F.lit(n) for n in names])))
 
-    stored = runs(packets, "whole", "twice").unionByName(runs(packets.filter(~dns), "holes"))
-    return traffic.reconcile_counts(
-        runs(derived.ek_lines(derived.events(spark, sf_dir)), "whole", "holes", "twice"),
-        stored.unionByName(runs(packets.filter(dns), "twice")),
-        runs(letters, "whole", "holes", "twice"),
-        "run",
+    stored = (
+        runs(packets, "whole", "twice").unionByName(runs(packets.filter(~dns), "holes"))
+        .unionByName(runs(packets.filter(dns), "twice"))
+        .unionByName(runs(packets.filter(slot != 1), "both"))
+        .unionByName(runs(packets.filter(slot == 2), "both"))
     )
+    every = ("whole", "holes", "twice", "both")
+    return traffic.reconcile_counts(runs(shaped, *every), stored, runs(letters, *every), "run")
 
 
 # Counters
@@ -367,6 +486,17 @@ def backlog_alert(spark, sf_dir):
     return counters.backlog_alert(_samples(spark, sf_dir, "worker_buffer_size")).select("service", "scrape_ts", "series", "value")
 
 
+@_query
+def backlog_episodes(spark, sf_dir):
+    samples = _samples(spark, sf_dir, "worker_buffer_size")
+    return counters.backlog_episodes(samples, f"{P.EPISODE_S} seconds", "service")
+
+
+@_query
+def memory_text(spark, sf_dir):
+    return _samples(spark, sf_dir, "process_memory_bytes").select("service", "scrape_ts", mebibytes(F.col("value")).alias("size"))
+
+
 @_query
 def gauge_sum(spark, sf_dir):
     return counters.gauge_sum(_samples(spark, sf_dir, "process_memory_bytes"), P.STEP_US, "process_memory_bytes")
@@ -450,11 +580,14 @@ def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.ek_lines(_event_stream(spark, sf_dir)).select("value")
 
 
-def _ingested(spark: SparkSession, sf_dir: str) -> str:
+def _ingested(spark: SparkSession, sf_dir: str, **options) -> str:
+    """Packets ingested from files, one per micro-batch; the stream is stopped and started again."""
     folder = run_folder(spark, "ingest")
-    ingest.ingest_stream(
-        _line_stream(spark, sf_dir), folder, f"{folder}-checkpoint", trigger=_ONCE
-    ).awaitTermination()
+    for part, files in ((0, 2), (1, 1)):
+        _line_files(spark, sf_dir, f"{folder}/in", part, files)
+        ingest.ingest_stream(
+            ek.ek_stream(spark, f"{folder}/in", 1), folder, f"{folder}/checkpoint", trigger=_ONCE, source=f"{folder}/in", **options
+        ).awaitTermination()
     return folder
 
 
@@ -465,10 +598,44 @@ def ingest_stream(spark, sf_dir):
 
 @_query
 def run_metrics(spark, sf_dir):
-    """All series at the end of the run; of the flushes, whether there were any."""
+    """All series at the end of the run; for the buffer, whether it fell; used memory is no fixed number."""
     samples = ingest.run_metrics(spark, _ingested(spark, sf_dir))
-    value = F.when(F.col("name") == "worker_batch_flush_total", F.least("value", F.lit(1.0))).otherwise(F.col("value"))
-    return samples.groupBy("name").agg(F.max(value).alias("value"))
+    return samples.groupBy("name").agg(
+        F.max_by("value", "scrape_ts").alias("value"), (F.max("value") > F.max_by("value", "scrape_ts")).alias("fell")
+    ).select(
+        "name", F.when(F.col("name") != ingest.MEMORY, F.col("value")).alias("value"),
+        F.when(F.col("name") == ingest.BUFFER, F.col("fell")).alias("fell"),
+    )
+
+
+@_query
+def own_soak(spark, sf_dir):
+    """The gate on a run of our own, and the samples and episodes of its buffer above nothing."""
+    samples = ingest.run_metrics(spark, _ingested(spark, sf_dir)).persist()
+    gate = counters.soak_gate(samples, max_rss_bytes=P.RUN_MEMORY, max_dead_letters=P.RUN_DEAD_LETTERS)
+    alerts = counters.backlog_alert(samples, cap=1, share=0).agg(F.count("*").alias("alerts"))
+    episodes = counters.backlog_episodes(samples, "1 day", cap=1, share=0).agg(F.count("*").alias("episodes"))
+    return gate.join(alerts).join(episodes).select(
+        "samples", "dead_letters", "db_errors", "msgs_consumed", "final_buffer", "alerts", "episodes",
+        F.concat_ws(",", "missing").alias("missing"), F.concat_ws("; ", "failures").alias("failures"), "passed",
+    )
+
+
+@_query
+def isolated_batch(spark, sf_dir):
+    """A step before the store that fails on some packets: they are set aside, all others land once."""
+
+    def strict(packets: DataFrame) -> DataFrame:
+        odd = (F.col("length") == P.ODD_LENGTH) & (F.col("dst_ip") == P.ODD_ADDRESS)
+        return packets.withColumn("length", F.when(odd, F.raise_error(F.lit("odd length")).cast("int")).otherwise(F.col("length")))
+
+    folder = _ingested(spark, sf_dir, prepare=strict)
+    packets = ingest.stored_packets(spark, folder).select(F.lit("packet").alias("kind"), F.col("payload").alias("line"))
+    letters = ingest.stored_dead_letters(spark, folder)
+    refused = F.col("error").startswith("refused: ")
+    return packets.unionByName(
+        letters.select(F.when(refused, "refused").otherwise("dead letter").alias("kind"), F.col("raw_ek_line").alias("line"))
+    )
 
 
 @_query
@@ -518,3 +685,50 @@ def dedup_stream(spark, sf_dir):
             "checkpointLocation", f"{folder}/checkpoint"
         ).trigger(**_ONCE).start().awaitTermination()
     return spark.read.schema(kept.schema).parquet(f"{folder}/out")
+
+
+@_query
+def live_rates(spark, sf_dir):
+    """Rates of samples that arrive in files, one per micro-batch, with a stop in between."""
+    folder = run_folder(spark, "rates")
+    samples = _samples(spark, sf_dir, "worker_rows_inserted_total").select("service", "series", "scrape_ts", "value")
+    kept = f"{folder}/all"
+    samples.write.parquet(kept)
+    samples = spark.read.schema(samples.schema).parquet(kept)
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        cuts = [F.lit(t).cast("timestamp") for t in ("1970-01-01", P.LOW, P.HIGH, "9999-01-01")]
+        for run in ((0, 1), (2,)):
+            for k in run:
+                part = samples.filter((F.col("scrape_ts") >= cuts[k]) & (F.col("scrape_ts") < cuts[k + 1]))
+                part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            if run == (2,):  # a last sample of another series moves the watermark beyond all steps
+                for hours in (1, 2):
+                    end = F.lit(P.END).cast("timestamp") + F.make_interval(days=F.lit(hours))
+                    last = spark.range(1).select(F.lit("").alias("service"), F.lit("end").alias("series"), end.alias("scrape_ts"), F.lit(0.0).alias("value"))
+                    last.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            arriving = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+            rates = live(arriving, ("service", "series"), P.WINDOW_US, P.STEP_US, "1 second")
+            rates.writeStream.format("parquet").option("path", f"{folder}/out").option(
+                "checkpointLocation", f"{folder}/checkpoint"
+            ).trigger(**_ONCE).start().awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    found = spark.read.schema(rates.schema).parquet(f"{folder}/out")
+    return found.withColumn("increase", F.round("increase", 6)).withColumn("rate", F.round("rate", 6))
+
+
+@_query
+def dedup_stored(spark, sf_dir):
+    """Packets that come again to a stream whose state does not know them, refused by what is stored."""
+    folder = run_folder(spark, "stored")
+    lines = derived.ek_lines(derived.events(spark, sf_dir)).select("value")
+    for run in range(2):
+        lines.coalesce(1).write.text(f"{folder}/in{run}")
+        arriving = shape.shape_packets(ek.ek_stream(spark, f"{folder}/in{run}", 1))
+        dedup_into(
+            arriving, f"{folder}/out", f"{folder}/checkpoint{run}", late="3650 days", trigger=_ONCE, first_batch=1000 * run
+        ).awaitTermination()
+    return packets_path(spark, f"{folder}/out").select(*traffic.IDENTITY)

@@ -13,3 +13,13 @@ BATCH_US = 6 * 3_600_000_000
 PACE_ROWS, PACE_US = 7, 6_000_000_000  # seven rows in this time, no whole microseconds apart
 # Half an hour, the time a soak run takes at least.
 SOAK_S = 1_800
+# After the last event, so that all hours are closed.
+END = "2024-02-01 00:00:00"
+# Samples of the buffer this far apart belong to two episodes.
+EPISODE_S = 6 * 3_600
+# Limits of a run of our own.
+RUN_MEMORY, RUN_DEAD_LETTERS = 64e9, 1e9
+# Packets that a strict step fails on.
+ODD_LENGTH, ODD_ADDRESS = 1500, "192.168.1.2"
+# The normalised rank error that a sketch of 200 stays within.
+RANK_ERROR = 0.017
