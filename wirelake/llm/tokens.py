@@ -8,9 +8,12 @@ columns alone.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +33,29 @@ LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",  # columns without a dictionary are delta-encoded
     "compression": "zstd",
 }
-#: Words whose ids a worker remembers before it starts anew; longer words are not kept.
+#: Words whose ids a worker remembers before it starts anew; longer ones are not kept.
 REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64
+_PLAIN = re.compile("[!-~\xa1-\u024f]*").fullmatch
+
+
+class Remembered(dict):
+    """Ids that are worked out when first asked for, and forgotten all at once when they are too many."""
+
+    def __init__(self, learn: Callable, most: int):
+        super().__init__()
+        self.learn, self.most = learn, most
+
+    def __missing__(self, key):
+        ids = self.learn(key)
+        if len(key) <= REMEMBERED_BYTES:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = ids
+        return ids
 
 
 class Words:
-    """Encodes texts with a library's own steps, each word (by white space) once.
+    """Encodes texts with a library's model, each word (by white space) and each piece of it once.
 
     The tokenizer has to drop white space and treat what it separates independently. For ``encode``
     strings of added tokens are ordinary text; ``encode_added`` gives their ids, as the library does
@@ -54,41 +74,56 @@ class Words:
         # tokens that match otherwise than as they are written are left to the library
         odd = any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values())
         self.library = own if odd else None
-        self.known: dict[bytes, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
-
-    def word(self, word: bytes) -> bytes:
-        out = []
-        for piece, _ in self.pieces.pre_tokenize_str(self.normal.normalize_str(word.decode())):
-            ids = self.known_pieces.get(piece)
-            if ids is None:
-                ids = np.array([t.id for t in self.model.tokenize(piece)], "<i4").tobytes()
-                if len(piece) <= REMEMBERED_BYTES:
-                    if len(self.known_pieces) >= REMEMBERED // 2:
-                        self.known_pieces.clear()
-                    self.known_pieces[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        self.cut, self.shown = self._plain_steps(path)
+        self.known_pieces = Remembered(self._piece, REMEMBERED // 2)
+        self.known = Remembered(self._word, REMEMBERED)
+
+    @staticmethod
+    def _plain_steps(path: str):
+        """How to cut plain words without the library's steps, and how the model writes their letters.
+
+        Plain are letters and signs below U+0250, which compose to themselves and are classed alike
+        by all engines; the pattern is the file's own. Nothing if the file's steps are others.
+        """
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)
+        normal, cut = steps["normalizer"] or {}, steps["pre_tokenizer"] or {}
+        kinds = [n.get("type") for n in normal.get("normalizers", [])], [c.get("type") for c in cut.get("pretokenizers", [])]
+        if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+            return None, None
+        split, level = cut["pretokenizers"]
+        if (split.get("behavior"), split.get("invert")) != ("Removed", True) or level.get("use_regex") or level.get("add_prefix_space"):
+            return None, None
+        from tokenizers import pre_tokenizers
+
+        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        shown = {c: "".join(p for p, _ in bytes_of(chr(c))) for c in range(0xA1, 0x250)}
+        pattern = split["pattern"]["Regex"]
+        for kind in "LN":  # the classes of plain characters, for an engine that has no classes by category
+            of_kind = "".join(map(chr, filter(lambda c: unicodedata.category(chr(c))[0] == kind, range(0x250))))
+            pattern = pattern.replace(f"\\p{{{kind}}}", of_kind)
+        return re.compile(pattern).findall, shown
+
+    def _ids(self, piece: str) -> bytes:
+        found = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(found)}i", *found)
+
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a plain piece."""
+        return self._ids(piece if piece.isascii() else piece.translate(self.shown))
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        small = text if text.isascii() else text.lower()
+        if self.cut and _PLAIN(small):
+            return b"".join(map(self.known_pieces.__getitem__, self.cut(small)))
+        return b"".join(self._ids(piece) for piece, _ in self.pieces.pre_tokenize_str(self.normal.normalize_str(text)))
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text as little-endian 32-bit numbers."""
         # combining marks may join a capital otherwise than its small letter
         words = (text if b"\xcc" in text or b"\xcd" in text else text.lower()).split()
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            out = []
-            for word in words:
-                ids = known.get(word)
-                if ids is None:
-                    ids = self.word(word)
-                    if len(word) <= REMEMBERED_BYTES:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[word] = ids
-                out.append(ids)
-            return b"".join(out)
+        return b"".join(map(self.known.__getitem__, words))
 
     def encode_added(self, text: bytes) -> bytes:
         """As encode(), but the strings of the file's added tokens become their ids."""
