@@ -36,6 +36,8 @@ def oracle_sql() -> dict[str, str]:
         "op1_chat_trees": chat.op1_sql(),
         "op4_jaccard_join": jaccard.op4_sql(),
         "op7_suffix_decontamination": decontaminate.op7_sql(),
+        "op8_suffix_dedup": suffix_dedup.op8_sql(),
         "op11_merkle_manifest": merkle.op11_sql(),
+        "op12_run_length_repair": repair.op12_sql(),
         "op13_norm_topk": topk.op13_sql(),
     }

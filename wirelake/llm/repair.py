@@ -424,3 +424,79 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("repaired_sha256"),
     )
+
+
+def op12_sql() -> str:
+    """Row by row: the cheapest edits up to each row and state, then the edits read letter by letter.
+
+    The checksum is worked out from the digits with the table of the polynomial.
+    """
+    blank = r"[^\x20\x09-\x0D]"
+    crc = (
+        "xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split("
+        "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), "
+        "lambda x: CAST(ascii(x) AS UBIGINT))), lambda c, x: xor(c // 256, crc.t[CAST(xor(c, x) % 256 + 1 AS BIGINT)])), 4294967295::UBIGINT)"
+    )
+    return f"""
+    WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([CAST(i AS UBIGINT)],
+        CAST(range(8) AS UBIGINT[])), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) AS c
+      FROM range(256) g(i))),
+    lots AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv, turn, coalesce(role, ' ') AS role,
+        coalesce(text, ' ') AS text, {crc} % 20 AS lot FROM conversations, crc),
+    spoilt AS (
+      SELECT conv, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN lot = 1 THEN '' WHEN lot = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) AS copy
+      FROM lots WHERE lot <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role,
+        sha256(strlen(role) || ':' || role || text), copy) AS i FROM spoilt),
+    looked AS (SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
+        right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS stop FROM placed),
+    rows_ AS (SELECT *, CASE WHEN NOT regexp_matches(text, '{blank}') THEN 'blank' WHEN again THEN 'duplicate'
+        WHEN stop NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM looked),
+    counts AS (
+      SELECT conv, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+        coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(i) AS n
+      FROM (SELECT *, lag(initial) OVER (PARTITION BY conv ORDER BY i) AS before FROM rows_) GROUP BY conv),
+    follows(state, initial, after) AS (VALUES ('-', 's', 's'), ('-', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+    anew(state, after) AS (VALUES ('-', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+    filled(state, after, k) AS (VALUES ('-', '-', 0), ('-', 'u', 1), ('-', 'a', 2), ('s', 's', 0), ('s', 'u', 1), ('s', 'a', 2),
+      ('u', 'u', 0), ('u', 'a', 1), ('u', 'u', 2), ('a', 'a', 0), ('a', 'u', 1), ('a', 'a', 2)),
+    options AS (
+      SELECT conv, i, state, state AS after, 'D' AS edit, {DELETE} AS price FROM rows_, (SELECT DISTINCT state FROM anew)
+      UNION ALL
+      SELECT conv, i, state, after, 'R', {REROLE} + CASE WHEN fault = 'truncated' THEN {TRUNCATED} ELSE 0 END
+      FROM rows_, anew WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')
+      UNION ALL
+      SELECT conv, i, state, after, 'K', {KEEP} + CASE WHEN fault = 'truncated' THEN {TRUNCATED} ELSE 0 END
+      FROM rows_ JOIN follows USING (initial) WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')),
+    walk AS (
+      SELECT conv, CAST(0 AS BIGINT) AS i, '-' AS state, {{'cost': CAST(0 AS BIGINT), 'audit': ''}} AS best FROM counts
+      UNION ALL
+      SELECT conv, i, state, best FROM (
+        SELECT w.conv, o.i, o.after AS state,
+          min({{'cost': CAST(w.best.cost + {INSERT} * f.k + o.price AS BIGINT), 'audit': w.best.audit || repeat('I', f.k) || o.edit}}) AS best
+        FROM walk w JOIN filled f ON f.state = w.state JOIN options o ON o.conv = w.conv AND o.i = w.i + 1 AND o.state = f.after
+        GROUP BY w.conv, o.i, o.after)),
+    done AS (
+      SELECT conv, min({{'cost': best.cost + {INSERT} * k, 'audit': best.audit || repeat('I', k)}}) AS best
+      FROM walk JOIN counts USING (conv) JOIN (VALUES ('-', 0), ('s', 2), ('u', 1), ('a', 0)) e(state, k) USING (state)
+      WHERE i = n GROUP BY conv),
+    decoded AS (
+      SELECT conv, CAST(0 AS BIGINT) AS j, CAST(0 AS BIGINT) AS i, '-' AS state, CAST(NULL AS VARCHAR) AS line FROM done
+      UNION ALL
+      SELECT d.conv, d.j + 1, d.i + CASE WHEN e.edit = 'I' THEN 0 ELSE 1 END,
+        CASE e.edit WHEN 'D' THEN d.state WHEN 'K' THEN r.initial ELSE a.after END,
+        CASE e.edit WHEN 'D' THEN NULL WHEN 'K' THEN r.role || ':' || r.text
+          ELSE CASE a.after WHEN 'u' THEN 'user:' ELSE 'assistant:' END || CASE WHEN e.edit = 'I' THEN '' ELSE r.text END END
+      FROM decoded d JOIN (SELECT conv, best.audit AS audit FROM done) x ON x.conv = d.conv AND d.j < length(x.audit),
+        LATERAL (SELECT substr(x.audit, d.j + 1, 1) AS edit) e
+        JOIN anew a ON a.state = d.state LEFT JOIN rows_ r ON r.conv = d.conv AND r.i = d.i + 1),
+    texts AS (SELECT conv, sha256(coalesce(string_agg(line, chr(10) ORDER BY j), '')) AS digest FROM decoded GROUP BY conv),
+    every AS (SELECT DISTINCT conv_id, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv FROM conversations)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+      coalesce(best.audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+    FROM every LEFT JOIN counts USING (conv) LEFT JOIN done USING (conv) LEFT JOIN texts USING (conv)"""

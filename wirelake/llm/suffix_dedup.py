@@ -444,3 +444,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(common.table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
+
+
+def op8_sql() -> str:
+    """By plain substrings of the bytes, in hex: every one of ``SPAN`` bytes with its first document."""
+    return f"""
+    WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    starts AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {SPAN} + 1)) AS p FROM docs),
+    strings AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2 * {SPAN}) AS s FROM starts),
+    firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s),
+    hits AS (SELECT doc_id, p FROM strings JOIN firsts USING (s) WHERE first < doc_id),
+    marked AS (
+      SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {SPAN}, true) AS fresh FROM hits),
+    numbered AS (
+      SELECT doc_id, p, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS k
+      FROM marked),
+    spans AS (SELECT doc_id, k, min(p) AS low, max(p) + {SPAN} AS high FROM numbered GROUP BY doc_id, k),
+    around AS (
+      SELECT doc_id, k, low, high, lag(high, 1, 0) OVER w AS before FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+    cut AS (
+      SELECT doc_id, CAST(sum(high - low) AS BIGINT) AS n_removed, count(*) AS n_spans,
+        string_agg(substr(h, 2 * before + 1, 2 * (low - before)), '' ORDER BY k)
+          || substr(any_value(h), 2 * max(high) + 1) AS kept
+      FROM around JOIN docs USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(coalesce(kept, h))) AS kept_sha256
+    FROM docs LEFT JOIN cut USING (doc_id)"""
