@@ -114,7 +114,7 @@ class Words:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
-        small = text if text.isascii() else text.lower()
+        small = text.lower()
         if self.cut and _PLAIN(small):
             return b"".join(map(self.known_pieces.__getitem__, self.cut(small)))
         return b"".join(self._ids(piece) for piece, _ in self.pieces.pre_tokenize_str(self.normal.normalize_str(text)))
