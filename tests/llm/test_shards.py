@@ -56,3 +56,18 @@ def test_written_shards(spark, make, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert {(r["doc_id"], r["text"]) for r in got.collect()} == {(i, f"text {i}") for i in range(100)}
     assert got.select("shard").distinct().count() == 5
+
+
+def test_texts_count_whole(spark):
+    rows = [(f"https://site{i:02}.example/" if i else None,) for i in range(40) for _ in range(25)]
+    df = spark.createDataFrame(rows, "source string")
+    value = shards.sortable("source", df.schema["source"].dataType)
+    bounds = shards.text_bounds(df, value, 64)
+    ordered = sorted(r[0] or "" for r in rows)
+    assert bounds == [ordered[-(-(k * len(ordered)) // 64) - 1] for k in range(1, 64)]
+    cells = df.select("source", shards.cell_of(value, bounds).alias("c")).distinct().collect()
+    assert len(cells) == 40 == len({r["c"] for r in cells})
+    assert [r["source"] for r in sorted(cells, key=lambda r: r["c"])] == sorted({r[0] for r in rows}, key=lambda s: s or "")
+    assert shards.text_bounds(df.limit(0), value, 64) == []
+    one = spark.createDataFrame([("same",)] * 9 + [("z",)], "source string")
+    assert shards.text_bounds(one, value, 4) == ["same"] * 3

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from wirelake.llm import common
 
@@ -84,15 +84,38 @@ def hilbert_index(cells: Sequence[Column], bits: int) -> Column:
 
 
 def sortable(name: str, kind: T.DataType) -> Column:
-    """A number in the order of the column; text counts by its first seven bytes, null is -1."""
+    """A column's values in their order; null comes first, as an empty text or as -1."""
     if isinstance(kind, T.StringType):
-        number = F.conv(F.rpad(F.substring(F.hex(F.col(name)), 1, 14), 14, "0"), 16, 10).cast("double")
-    else:
-        number = F.col(name).cast("double")
-    return F.coalesce(F.nanvl(number, F.lit(-1.0)), F.lit(-1.0))
+        return F.coalesce(F.col(name), F.lit(""))
+    return F.coalesce(F.nanvl(F.col(name).cast("double"), F.lit(-1.0)), F.lit(-1.0))
 
 
-def cell_of(value: Column, bounds: Sequence[float]) -> Column:
+def text_bounds(rows: DataFrame, value: Column, parts: int) -> list[str]:
+    """The texts at which ``1 / parts``, ``2 / parts`` .. of all rows are reached, whole and exact.
+
+    Equal texts are counted in each task first; distinct ones are ranged and numbered by range, so
+    none needs to be the key of a task, and the driver gets at most ``parts`` of them.
+    """
+    counts = rows.groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+    counts = common.written(counts, "values")  # else the ranging would count twice
+    ranged = counts.repartitionByRange("value").sortWithinPartitions("value").withColumn("range", F.spark_partition_id())
+    ranged = common.written(ranged, "values")
+    starts, total = [], 0
+    for r in ranged.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():  # a row per range
+        starts.append((r["range"], total))
+        total += r["n"]
+    if not total:
+        return []
+    offsets = rows.sparkSession.createDataFrame(starts, "range int, before bigint")
+    upto = F.sum("n").over(W.partitionBy("range").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow))
+    summed = ranged.withColumn("upto", upto).join(F.broadcast(offsets), "range")
+    first = F.expr(f"(before + upto - n) * {parts} div {total}")
+    last = F.expr(f"(before + upto) * {parts} div {total}")
+    reached = summed.select("value", first.alias("first"), last.alias("last")).filter("last > first").orderBy("value").collect()
+    return [r["value"] for r in reached for k in range(r["first"], r["last"]) if k + 1 < parts]
+
+
+def cell_of(value: Column, bounds: Sequence[float | str]) -> Column:
     """How many of the sorted ``bounds`` lie below ``value``, as a balanced tree of comparisons."""
 
     def between(low: int, high: int) -> Column:
@@ -107,15 +130,20 @@ def cell_of(value: Column, bounds: Sequence[float]) -> Column:
 def curve_order(rows: DataFrame, dims: Sequence[str], bits: int, accuracy: int = 10_000) -> Column:
     """The Hilbert index of each row by the quantiles of ``dims`` over all rows.
 
-    The quantiles come from mergeable sketches of relative error ``1 / accuracy``; a value that
-    fills several quantiles leaves cells empty.
+    Quantiles of numbers come from mergeable sketches of relative error ``1 / accuracy``, those of
+    texts from exact counts of whole texts; a value that fills several quantiles leaves cells empty.
     """
-    shares = [(i + 1) / (1 << bits) for i in range((1 << bits) - 1)]
+    parts = 1 << bits
     kinds = {f.name: f.dataType for f in rows.schema.fields}
-    values = [sortable(d, kinds[d]) for d in dims]
-    found = rows.agg(*[F.percentile_approx(v, shares, accuracy).alias(f"d{i}") for i, v in enumerate(values)]).first()
-    cells = [cell_of(v, found[f"d{i}"] or []) for i, v in enumerate(values)]
-    return hilbert_index(cells, bits)
+    values = {d: sortable(d, kinds[d]) for d in dims}
+    texts = [d for d in dims if isinstance(kinds[d], T.StringType)]
+    numbers = [d for d in dims if d not in texts]
+    bounds = {d: text_bounds(rows, values[d], parts) for d in texts}
+    if numbers:
+        shares = [(i + 1) / parts for i in range(parts - 1)]
+        found = rows.agg(*[F.percentile_approx(values[d], shares, accuracy).alias(f"d{i}") for i, d in enumerate(numbers)]).first()
+        bounds |= {d: found[f"d{i}"] or [] for i, d in enumerate(numbers)}
+    return hilbert_index([cell_of(values[d], bounds[d]) for d in dims], bits)
 
 
 def numbered(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, int]:
