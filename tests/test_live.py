@@ -10,7 +10,7 @@ from wirelake.operators.shape import shape_packets
 from wirelake.session import run_folder
 from wirelake.sources.ek import ek_stream
 from wirelake.sources.tables import packets_path
-from wirelake.streaming import backlog, ingest, isolate
+from wirelake.streaming import backlog, heavy, ingest, isolate
 from wirelake.streaming.packets import dedup_into, refuse_stored, stored_copies
 from wirelake.streaming.rates import live_rates
 from tests.test_shape import doc
@@ -133,6 +133,27 @@ def test_episodes(spark):
     ]
 
 
+@pytest.mark.parametrize("size", [3, 1000])
+def test_heavy_talkers(spark, size):
+    folder = run_folder(spark, "s")
+    for part in range(3):
+        lines = []
+        for k in range(120):
+            pair = "10.0.0.1" if k % 2 else "10.0.0.2" if k % 3 == 0 else f"10.1.{part}.{k}"
+            lines.append(doc(timestamp=str(START + k), ip={"ip_ip_src": pair, "ip_ip_dst": "10.9.9.9"}))
+        land(spark, f"{folder}/in", lines)
+    packets = shape_packets(ek_stream(spark, f"{folder}/in", 1))
+    heavy.heavy_talkers(packets, f"{folder}/heavy", f"{folder}/cp", size=size, trigger=ONCE).awaitTermination()
+    exact = {r["src_ip"]: r["cnt"] for r in shape_packets(spark.read.text(f"{folder}/in")).groupBy("src_ip").agg(F.count("*").alias("cnt")).collect()}
+    found = heavy.summary(spark, f"{folder}/heavy").collect()
+    assert len(found) <= size and len(exact) == 122
+    for r in found:
+        assert r["cnt"] <= exact[r["src_ip"]] <= r["cnt"] + r["slack"] and r["slack"] <= r["seen"] / (size + 1) and r["seen"] == 360
+    assert {"10.0.0.1", "10.0.0.2"} <= {r["src_ip"] for r in found}
+    if size == 1000:
+        assert {r["src_ip"]: r["cnt"] for r in found} == exact
+
+
 def test_steps_of_live_rates_are_milliseconds(spark):
     with pytest.raises(ValueError):
         live_rates(spark.range(1), step_us=1500)

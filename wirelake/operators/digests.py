@@ -17,9 +17,10 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wirelake.operators.scan import kept
 from wirelake.operators.storage import with_chunk
 from wirelake.schema import SHAPED_COLUMNS
-from wirelake.session import run_folder
+from wirelake.session import send_code_with_tasks
 
 #: Buckets of an hour, sub-tables of a bucket's lookup table, and cells of each of them.
 BUCKETS, TABLES, CELLS = 256, 3, 32
@@ -155,6 +156,7 @@ def differing_rows(a: DataFrame, b: DataFrame, cells: int = CELLS) -> DataFrame:
 
     A null number stands for a bucket with more differences than its cells can tell apart.
     """
+    send_code_with_tasks(__name__)
     return lookup_cells(a, b, cells).groupBy("chunk", "_bucket").applyInPandas(
         _peel(cells), "chunk timestamp, _bucket int, _id bigint, n bigint"
     )
@@ -179,10 +181,10 @@ def diff_by_digest(
     digests = [
         bucket_digests(rows, buckets) if stored is None else stored for rows, stored in ((a, digests_a), (b, digests_b))
     ]
-    unequal = _kept(differing_buckets(*digests), "buckets")
+    unequal = kept(differing_buckets(*digests), "buckets")
     near = _small(unequal)
     first, second = _within(first, near), _within(second, near)
-    found = _kept(differing_rows(first, second, cells), "differences")
+    found = kept(differing_rows(first, second, cells), "differences")
     picked = found.filter("n > 0").select("chunk", "_bucket", "_id", "n")
     told = (
         first.join(_small(picked), ["chunk", "_bucket", "_id"])
@@ -193,9 +195,3 @@ def diff_by_digest(
     rest = _within(first, full).select(*SHAPED_COLUMNS).exceptAll(_within(second, full).select(*SHAPED_COLUMNS))
     return told.unionByName(rest)
 
-
-def _kept(rows: DataFrame, name: str) -> DataFrame:
-    """A small table that several steps read, written once to the shared folder."""
-    path = run_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)

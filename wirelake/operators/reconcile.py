@@ -26,7 +26,7 @@ def _digest(total: Column) -> Column:
 
 
 def payload_text(canonical: bool = False) -> Column:
-    """The raw payload, or its normalised JSON (raw where the text repeats a key)."""
+    """The raw payload, or its normalised JSON (raw where the text is no JSON; of a repeated key the last value)."""
     raw = F.col("payload")
     return F.coalesce(F.to_json(F.try_parse_json(raw)), raw) if canonical else raw
 

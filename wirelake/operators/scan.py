@@ -21,6 +21,13 @@ BLOCK = "_block"
 _FOLDS = {"sum": F.sum, "max": F.max}
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read back, for steps that read them more than once."""
+    path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def in_blocks(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
     """Rows with the range they lie in; rows that have one already are left as they are.
 
@@ -31,11 +38,9 @@ def in_blocks(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
     if BLOCK in rows.columns:
         return rows
     plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    path = f"{shared_folder(rows.sparkSession)}/blocks-{uuid.uuid4().hex}"
     ranged = rows.withColumn("_tie", F.xxhash64(*plain)).repartitionByRange(*keys, order, "_tie").drop("_tie")
     ranged = ranged.withColumn(BLOCK, F.spark_partition_id())
-    ranged.write.parquet(path)
-    return rows.sparkSession.read.schema(ranged.schema).parquet(path)
+    return kept(ranged, "blocks")
 
 
 def running(

@@ -289,6 +289,8 @@ def oracle_sql() -> dict[str, str]:
           ORDER BY ts DESC, src_ip, dst_ip, proto LIMIT 10""",
         "top_talkers": f"""WITH {PACKETS} SELECT src_ip, dst_ip, count(*) AS cnt FROM packets
           GROUP BY src_ip, dst_ip ORDER BY cnt DESC, src_ip, dst_ip LIMIT 10""",
+        "heavy_talkers": f"""WITH {PACKETS} SELECT src_ip, dst_ip, count(*) AS cnt, true AS within FROM packets
+          GROUP BY src_ip, dst_ip ORDER BY cnt DESC, src_ip, dst_ip LIMIT 10""",
         "talker_lookback": f"""WITH {PACKETS} SELECT {_EIGHT} FROM packets
           WHERE src_ip = '{P.TALKER[0]}' AND dst_ip = '{P.TALKER[1]}'
             AND ts >= TIMESTAMP '{P.LOW}' AND ts < TIMESTAMP '{P.HIGH}'""",

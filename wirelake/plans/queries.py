@@ -22,7 +22,7 @@ from wirelake.sources import ek, exposition, replay
 from wirelake.sources.ek import clean_lines
 from wirelake.sources.files import file_sizes
 from wirelake.sources.tables import packets_path
-from wirelake.streaming import fanout, ingest
+from wirelake.streaming import fanout, heavy, ingest
 from wirelake.streaming.rates import live_rates as live
 from wirelake.streaming.packets import dedup_into, dedup_stream as deduplicated
 
@@ -611,12 +611,13 @@ def run_metrics(spark, sf_dir):
 @_query
 def own_soak(spark, sf_dir):
     """The gate on a run of our own, and the samples and episodes of its buffer above nothing."""
-    samples = ingest.run_metrics(spark, _ingested(spark, sf_dir)).persist()
+    samples = ingest.run_metrics(spark, _ingested(spark, sf_dir))
     gate = counters.soak_gate(samples, max_rss_bytes=P.RUN_MEMORY, max_dead_letters=P.RUN_DEAD_LETTERS)
-    alerts = counters.backlog_alert(samples, cap=1, share=0).agg(F.count("*").alias("alerts"))
-    episodes = counters.backlog_episodes(samples, "1 day", cap=1, share=0).agg(F.count("*").alias("episodes"))
-    return gate.join(alerts).join(episodes).select(
-        "samples", "dead_letters", "db_errors", "msgs_consumed", "final_buffer", "alerts", "episodes",
+    alerts = counters.backlog_alert(samples, cap=1, share=0).count()
+    episodes = counters.backlog_episodes(samples, "1 day", cap=1, share=0).count()
+    return gate.select(
+        "samples", "dead_letters", "db_errors", "msgs_consumed", "final_buffer",
+        F.lit(alerts).alias("alerts"), F.lit(episodes).alias("episodes"),
         F.concat_ws(",", "missing").alias("missing"), F.concat_ws("; ", "failures").alias("failures"), "passed",
     )
 
@@ -687,6 +688,23 @@ def dedup_stream(spark, sf_dir):
     return spark.read.schema(kept.schema).parquet(f"{folder}/out")
 
 
+@_query
+def heavy_talkers(spark, sf_dir):
+    """The true top pairs, and whether the stream's summary of fixed size counts them within its bounds."""
+    folder = run_folder(spark, "heavy")
+    for part, files in ((0, 2), (1, 1)):
+        _line_files(spark, sf_dir, f"{folder}/in", part, files)
+        arriving = shape.shape_packets(ek.ek_stream(spark, f"{folder}/in", 1))
+        heavy.heavy_talkers(arriving, f"{folder}/pairs", f"{folder}/checkpoint", size=P.HEAVY_PAIRS, trigger=_ONCE).awaitTermination()
+    found = heavy.summary(spark, f"{folder}/pairs")
+    most, seen = found.agg(F.max("slack"), F.max("seen")).first()
+    top = traffic.top_talkers(_packets(spark, sf_dir))
+    counted = top.join(found.select("src_ip", "dst_ip", F.col("cnt").alias("low"), "slack"), ["src_ip", "dst_ip"], "left")
+    low = F.coalesce("low", F.lit(0))
+    within = (low <= F.col("cnt")) & (F.col("cnt") <= low + F.lit(most)) & F.lit(most * (P.HEAVY_PAIRS + 1) <= seen)
+    return counted.select("src_ip", "dst_ip", "cnt", within.alias("within"))
+
+
 @_query
 def live_rates(spark, sf_dir):
     """Rates of samples that arrive in files, one per micro-batch, with a stop in between."""

@@ -23,3 +23,5 @@ RUN_MEMORY, RUN_DEAD_LETTERS = 64e9, 1e9
 ODD_LENGTH, ODD_ADDRESS = 1500, "192.168.1.2"
 # The normalised rank error that a sketch of 200 stays within.
 RANK_ERROR = 0.017
+# Pairs that the stream's summary keeps.
+HEAVY_PAIRS = 200

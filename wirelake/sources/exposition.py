@@ -66,7 +66,9 @@ def _last_of_each(entries: Column) -> Column:
     def later(entry: Column, i: Column) -> Column:
         return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other["name"] == entry["name"])
 
-    return F.map_from_entries(F.filter(entries, lambda entry, i: ~later(entry, i)))
+    # Repeated names are rare; only they are worth comparing each entry with all others.
+    repeats = F.size(F.array_distinct(F.transform(entries, lambda e: e["name"]))) < F.size(entries)
+    return F.map_from_entries(F.when(repeats, F.filter(entries, lambda entry, i: ~later(entry, i))).otherwise(entries))
 
 
 def metric_name(series):

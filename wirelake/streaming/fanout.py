@@ -18,11 +18,16 @@ def fan_out(lines: DataFrame, sinks: dict[str, Sink], checkpoints: str) -> dict[
     return {name: start(lines, f"{checkpoints}/{name}") for name, start in sinks.items()}
 
 
-def parquet_sink(path: str, trigger: dict) -> Sink:
-    """Packets as Parquet files by hour, written exactly once by the file sink."""
+def parquet_sink(path: str, trigger: dict, spread: int = 4) -> Sink:
+    """Packets as Parquet files by hour, written exactly once by the file sink.
+
+    The packets of an hour are brought together by address pair in up to ``spread`` tasks, so a
+    micro-batch writes that many files an hour at most, and a busy hour is not one task.
+    """
 
     def start(lines: DataFrame, checkpoint: str) -> StreamingQuery:
-        packets = with_chunk(shape_packets(lines))
+        packets = with_chunk(shape_packets(lines)).withColumn("_part", F.pmod(F.xxhash64("src_ip", "dst_ip"), F.lit(spread)))
+        packets = packets.repartition("chunk", "_part").drop("_part")
         return (
             packets.writeStream.format("parquet")
             .partitionBy("chunk")

@@ -16,6 +16,7 @@ from wirelake.operators.shape import dead_letters, good_packets, shape_lines
 from wirelake.operators.storage import talker_layout
 from wirelake.schema import PACKET_COLUMNS, STORED_PACKETS
 from wirelake.session import run_folder
+from wirelake.sources import files
 from wirelake.streaming.backlog import BUFFER, MEMORY, used_memory, waiting_lines
 from wirelake.streaming.isolate import isolate, only, without
 
@@ -106,8 +107,11 @@ def write_batch(
         return seen.get["n"]
 
     def trial(packets: DataFrame) -> None:
-        ready = packets if prepare is None else prepare(packets)
-        ready.select(*PACKET_COLUMNS).write.mode("overwrite").parquet(f"{run_folder(spark, 'trial')}")
+        ready, path = packets if prepare is None else prepare(packets), run_folder(spark, "trial")
+        try:
+            ready.select(*PACKET_COLUMNS).write.parquet(path)
+        finally:
+            files.remove_folder(spark, path)
 
     try:
         packets, letters = good_packets(shaped), dead_letters(shaped, F.current_timestamp())
