@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wirelake.functions.identifiers import checked_name
 from wirelake.functions.payload import payload_variant
+from wirelake.operators.scan import kept
 from wirelake.operators.traffic import chunk_width
 from wirelake.schema import PACKET_COLUMNS
 
@@ -43,13 +44,18 @@ def local_layout(packets: DataFrame) -> DataFrame:
 def append_packets(packets: DataFrame, path: str, *, in_time_order: bool = False) -> None:
     """Append packets to a chunked table of files.
 
-    Rows are ranged first, so that each task writes few files. That reads the input twice, once
-    to find the ranges; a capture that is known to come in order of time can go without.
+    Rows are ranged first, so that each task writes few files. Finding the ranges reads the rows
+    once more, so they are written to the shared folder before, and lines are parsed once; a
+    capture that is known to come in order of time can go without.
     """
-    rows = local_layout(packets) if in_time_order else talker_layout(packets)
+    rows = local_layout(packets) if in_time_order else talker_layout(_staged(packets))
     rows.select(*PACKET_COLUMNS, "chunk").write.mode("append").partitionBy("chunk").parquet(path)
 
 
+def _staged(packets: DataFrame) -> DataFrame:
+    return kept(packets.select(*PACKET_COLUMNS), "staged")
+
+
 def create_packets_table(spark: SparkSession, name: str, *, by_batch: bool = False) -> None:
     """A catalog table by hour; ``by_batch`` also by micro-batch, for a stream to write into."""
     columns = (
@@ -64,7 +70,7 @@ def create_packets_table(spark: SparkSession, name: str, *, by_batch: bool = Fal
 
 
 def append_to_table(packets: DataFrame, name: str) -> None:
-    rows = talker_layout(packets).select(*PACKET_COLUMNS, "chunk")
+    rows = talker_layout(_staged(packets)).select(*PACKET_COLUMNS, "chunk")
     rows.write.mode("append").format("parquet").partitionBy("chunk").saveAsTable(checked_name(name))
 
 
