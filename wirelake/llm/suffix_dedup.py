@@ -447,11 +447,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sql() -> str:
-    """By plain substrings of the bytes, in hex: every one of ``SPAN`` bytes with its first document."""
+    """By plain slices of the bytes: every one of ``SPAN`` bytes with its first document."""
     return f"""
-    WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-    starts AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {SPAN} + 1)) AS p FROM docs),
-    strings AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2 * {SPAN}) AS s FROM starts),
+    WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    starts AS (SELECT doc_id, b, unnest(range(0, length(h) // 2 - {SPAN} + 1)) AS p FROM docs),
+    strings AS (SELECT doc_id, p, array_slice(b, p + 1, p + {SPAN}) AS s FROM starts),
     firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s),
     hits AS (SELECT doc_id, p FROM strings JOIN firsts USING (s) WHERE first < doc_id),
     marked AS (
