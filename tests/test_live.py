@@ -1,7 +1,10 @@
 """Streams beside what is stored: copies, rows at fault, what waits, and live rates."""
 
+import random
 from datetime import datetime
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from wirelake.sources.ek import ek_stream
 from wirelake.sources.tables import packets_path
 from wirelake.streaming import backlog, heavy, ingest, isolate
 from wirelake.streaming.packets import dedup_into, refuse_stored, stored_copies
-from wirelake.streaming.rates import live_rates
+from wirelake.streaming.rates import WindowedRate, live_rates
 from tests.test_shape import doc
 
 ONCE = {"availableNow": True}
@@ -75,6 +78,24 @@ def test_rows_at_fault_are_found(spark):
     assert isolate.isolate(rows, away, most=3) == []  # every row fails: the store, not the rows
 
 
+def test_many_rows_at_fault_are_found(spark, monkeypatch):
+    monkeypatch.setattr(isolate, "PART_ROWS", 1 << 7)
+    rows = spark.range(20_000).select("id", F.lit(None).cast("string").alias("x")).union(spark.range(1).select("id", F.lit("copy").alias("x")))
+
+    def attempt(part):
+        part.select(F.when(F.col("id") % 190 == 0, F.raise_error(F.lit("no"))).otherwise(F.col("id"))).write.format("noop").mode("overwrite").save()
+
+    refused = isolate.isolate(rows, attempt)
+    assert len(refused) == len(set(refused)) == 107  # more than a hundred
+    assert isolate.only(rows, refused).filter("id % 190 = 0").count() == 107 and isolate.without(rows, refused).count() == 19_894
+
+    def full(part):
+        if part.count():
+            raise OSError("full")
+
+    assert isolate.isolate(rows, full) == []
+
+
 def test_one_bad_row_does_not_stop_the_stream(spark):
     folder = run_folder(spark, "s")
 
@@ -157,3 +178,65 @@ def test_heavy_talkers(spark, size):
 def test_steps_of_live_rates_are_milliseconds(spark):
     with pytest.raises(ValueError):
         live_rates(spark.range(1), step_us=1500)
+
+
+class Held:
+    """State in memory that counts the samples that are read from it."""
+
+    def __init__(self):
+        self.lists, self.maps, self.timers, self.read = {}, {}, set(), 0
+        self.registerTimer = self.timers.add
+
+    def getListState(self, name, schema):
+        held = self
+
+        class State:
+            rows = []
+            appendList = rows.extend
+
+            def get(self):
+                held.read += len(self.rows)
+                return list(self.rows)
+
+            def put(self, rows):
+                self.rows[:] = rows
+
+            def clear(self):
+                self.rows.clear()
+
+        return State()
+
+    def getMapState(self, name, key, value):
+        held, rows = self, self.maps.setdefault(name, {})
+
+        class State:
+            containsKey, updateValue, removeKey = rows.__contains__, rows.__setitem__, rows.pop
+
+            def getValue(self, key):
+                held.read += len(rows[key][0]) // 8 if isinstance(rows[key][0], bytes) else 0
+                return rows[key]
+
+        return State()
+
+
+@pytest.mark.parametrize("window, step", [(60, 15), (50, 20), (10, 30)])
+def test_a_timer_of_live_rates_reads_its_window_only(window, step):
+    rng, state = random.Random(3), Held()
+    window, step = window * 1_000_000, step * 1_000_000
+    rate = WindowedRate(("series",), window, step)
+    rate.init(state)
+    samples = [(rng.randrange(3_000_000_000) // 1_000_000 * 1_000_000, float(rng.randrange(50))) for _ in range(2000)]
+    parts = [pd.DataFrame(samples[k : k + 300], columns=["us", "value"]) for k in range(0, 2000, 300)]
+    assert not list(rate.handleInputRows(("a",), iter(parts), None))
+    got = {}
+    for ms in sorted(state.timers):
+        for row in rate.handleExpiredTimer(("a",), None, SimpleNamespace(getExpiryTimeInMs=lambda ms=ms: ms)):
+            got[int(row["at_us"][0])] = float(row["increase"][0])
+    want = {}
+    for end in range(0, 3_100_000_000, step):
+        inside = [v for u, v in sorted(samples) if end - window <= u <= end]
+        if len(inside) > 1:
+            want[end] = sum(b - a if b >= a else b for a, b in zip(inside, inside[1:]))
+    assert got == want
+    assert state.read <= 2000 * (window // step + 3)
+    assert not any(state.maps.values())
