@@ -109,6 +109,15 @@ def test_latency(spark):
     assert (row.packets, row.min_ms, row.p95_ms, row.in_time) == (2, 900, 900, 2)
 
 
+def test_exact_latency(spark):
+    delays = [*range(1, 100), 5000]
+    df = spark.createDataFrame([(k, d) for k, d in enumerate(delays)], "k INT, d INT").select(
+        F.timestamp_millis("k").alias("ts"), F.timestamp_millis(F.col("k") + F.col("d")).alias("landed")
+    )
+    row = Q.ingest_latency(df, "landed", accuracy=None).first()
+    assert (row.packets, row.min_ms, row.max_ms, row.p50_ms, row.p95_ms, row.in_time) == (100, 1, 5000, 50, 95, 99)
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame([("eth:ip:tcp",), ("",), ("arp",)], "p STRING")
     rows = df.select(proto_parts(F.col("p")), leaf_protocol(F.col("p"))).collect()

@@ -133,13 +133,20 @@ def dedup_packets(packets: DataFrame) -> DataFrame:
 
 
 def ingest_latency(
-    packets: DataFrame, landed: str, *groups: str, within_ms: int = 1000, accuracy: int = 100_000
+    packets: DataFrame, landed: str, *groups: str, within_ms: int = 1000, accuracy: int | None = 100_000
 ) -> DataFrame:
     """Milliseconds from a packet's time to its landing: spread, and the share that is in time.
 
-    The percentiles are approximate: their rank is off by one part in ``accuracy`` at most.
+    The percentiles are approximate: their rank is off by one part in ``accuracy`` at most. With
+    ``None`` they are exact; each task then counts the different delays of a group.
     """
     delay = F.unix_millis(F.col(landed)) - F.unix_millis("ts")
+
+    def percentile(share: float) -> Column:
+        if accuracy is None:
+            return F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY _ms)").cast("bigint")
+        return F.percentile_approx("_ms", F.lit(share), F.lit(accuracy))
+
     return (
         packets.withColumn("_ms", delay)
         .groupBy(*groups)
@@ -147,8 +154,8 @@ def ingest_latency(
             F.count("*").alias("packets"),
             F.min("_ms").alias("min_ms"),
             F.max("_ms").alias("max_ms"),
-            F.percentile_approx("_ms", F.lit(0.5), F.lit(accuracy)).alias("p50_ms"),
-            F.percentile_approx("_ms", F.lit(0.95), F.lit(accuracy)).alias("p95_ms"),
+            percentile(0.5).alias("p50_ms"),
+            percentile(0.95).alias("p95_ms"),
             F.count_if(F.col("_ms") <= within_ms).alias("in_time"),
         )
     )

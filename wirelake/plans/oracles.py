@@ -370,9 +370,13 @@ def oracle_sql() -> dict[str, str]:
             PARTITION BY minute ORDER BY packets DESC, src_ip, dst_ip) AS INTEGER) AS rank FROM pairs)
           SELECT minute, src_ip, dst_ip, packets, rank FROM ranked WHERE rank <= 3""",
         "ingest_latency": f"""WITH {PACKETS}, delays AS (
-            SELECT split_part(proto, ':', -1) AS leaf, CAST(length * 7 % 3000 AS BIGINT) AS ms FROM packets)
-          SELECT leaf, count(*) AS packets, min(ms) AS min_ms, max(ms) AS max_ms,
-            count(*) FILTER (ms <= 1000) AS in_time, true AS p50_ok, true AS p95_ok FROM delays GROUP BY leaf""",
+            SELECT 'event_type' AS kind, event_type AS grp, CAST((event_id * 7) % 3000 AS BIGINT) AS ms FROM packets
+            UNION ALL SELECT 'leaf', split_part(proto, ':', -1), CAST(length * 7 % 3000 AS BIGINT) FROM packets)
+          SELECT kind, grp, count(*) AS packets, min(ms) AS min_ms, max(ms) AS max_ms,
+            quantile_disc(ms, 0.5) AS p50_ms, quantile_disc(ms, 0.95) AS p95_ms,
+            count(*) FILTER (ms <= 1000) AS in_time,
+            CASE WHEN kind = 'leaf' THEN true END AS p50_ok, CASE WHEN kind = 'leaf' THEN true END AS p95_ok
+          FROM delays GROUP BY kind, grp""",
         "metrics_parse": f"WITH {SAMPLES} SELECT service, scrape_ts, series, name, service_label, shard_label, value FROM samples",
         "sum_across_labels": f"""WITH {SAMPLES} SELECT service, scrape_ts, name, sum(value) AS value
           FROM samples GROUP BY service, scrape_ts, name""",
