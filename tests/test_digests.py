@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,12 @@ def test_peeling():
             cell = full.setdefault(place, [0, 0, 0])
             cell[0], cell[1], cell[2] = cell[0] + 1, cell[1] + number, cell[2] + check
     assert D.peeled(full, 4)[1] is False
+
+
+def test_buckets_of_an_hour_are_peeled_by_one_call():
+    """Each bucket of the call has its own outcome: a number, and too many to tell apart."""
+    check, places = D._places(77, 32)
+    rows = [(0, 5, place, 1, 77, check) for place in places] + [(0, 9, 3, 2, 10, 1), (0, 6, 4, 0, 0, 0)]
+    cells = pd.DataFrame(rows, columns=["chunk", "_bucket", "cell", "n", "ids", "checks"])
+    got = D._peel(32)(cells)
+    assert [(b, None if pd.isna(i) else int(i), n) for b, i, n in zip(got["_bucket"], got["_id"], got["n"])] == [(5, 77, 1), (9, None, 0)]

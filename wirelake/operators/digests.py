@@ -24,6 +24,8 @@ from wirelake.session import send_code_with_tasks
 
 #: Buckets of an hour, sub-tables of a bucket's lookup table, and cells of each of them.
 BUCKETS, TABLES, CELLS = 256, 3, 32
+#: Buckets of an hour whose tables are taken apart by one call.
+PEELED_AT_ONCE = 256
 #: Bytes of bucket and row numbers that may be sent to every task; beyond them rows are shuffled.
 BROADCAST_BYTES = 16 << 20
 _KEY_BYTES = 32
@@ -139,13 +141,16 @@ def peeled(cells: dict[int, list[int]], size: int) -> tuple[dict[int, int], bool
 
 def _peel(size: int):
     def run(cells: pd.DataFrame) -> pd.DataFrame:
-        held = {int(c): [int(n), int(i), int(k)] for c, n, i, k in zip(cells["cell"], cells["n"], cells["ids"], cells["checks"])}
-        found, whole = peeled(held, size)
-        chunk, bucket = cells["chunk"].iloc[0], cells["_bucket"].iloc[0]
-        rows = list(found.items()) if whole else [(None, 0)]
-        out = pd.DataFrame({"chunk": [chunk] * len(rows), "_bucket": [bucket] * len(rows)})
-        out["_id"] = pd.array([r[0] for r in rows], dtype="Int64")
-        out["n"] = [r[1] for r in rows]
+        held: dict[int, dict[int, list[int]]] = {}
+        for bucket, *cell in zip(cells["_bucket"], cells["cell"], cells["n"], cells["ids"], cells["checks"]):
+            held.setdefault(int(bucket), {})[int(cell[0])] = [int(x) for x in cell[1:]]
+        rows: list[tuple[int, int | None, int]] = []
+        for bucket, own in held.items():
+            found, whole = peeled(own, size)
+            rows += [(bucket, number, n) for number, n in found.items()] if whole else [(bucket, None, 0)]
+        out = pd.DataFrame({"chunk": [cells["chunk"].iloc[0]] * len(rows), "_bucket": pd.array([r[0] for r in rows], dtype="int32")})
+        out["_id"] = pd.array([r[1] for r in rows], dtype="Int64")
+        out["n"] = pd.array([r[2] for r in rows], dtype="int64")
         return out
 
     return run
@@ -157,7 +162,8 @@ def differing_rows(a: DataFrame, b: DataFrame, cells: int = CELLS) -> DataFrame:
     A null number stands for a bucket with more differences than its cells can tell apart.
     """
     send_code_with_tasks(__name__)
-    return lookup_cells(a, b, cells).groupBy("chunk", "_bucket").applyInPandas(
+    some = F.floor(F.col("_bucket") / PEELED_AT_ONCE)
+    return lookup_cells(a, b, cells).groupBy("chunk", some).applyInPandas(
         _peel(cells), "chunk timestamp, _bucket int, _id bigint, n bigint"
     )
 

@@ -15,6 +15,7 @@ from wirelake.functions.text import leaf_protocol, mebibytes
 from wirelake.operators import (
     batching, counters, digests, pacing, payload_index as indexed, reconcile, rollup, shape, storage, traffic,
 )
+from wirelake.operators.scan import kept
 from wirelake.plans import derived, settings as P
 from wirelake.schema import PACKET_COLUMNS
 from wirelake.session import run_folder, use_utc
@@ -444,7 +445,7 @@ def diff_rows(spark, sf_dir):
 @_query
 def diff_by_digest(spark, sf_dir):
     """The same rows, found from digests and lookup tables."""
-    packets = _packets(spark, sf_dir)
+    packets = kept(_packets(spark, sf_dir), "packets")  # read several times; lines are parsed once
     return digests.diff_by_digest(packets, _other(packets))
 
 
