@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence, Sized
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +65,7 @@ def pieces(values: list[bytes], overlap: int, limit: int = STEP_BYTES) -> tuple[
     return out, np.array(whose, np.int64), np.array(offset, np.int64)
 
 
-def steps(values: list[bytes], limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
+def steps(values: Sequence[Sized], limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts that together have up to ``limit`` bytes, or one text."""
     start = size = 0
     for i, value in enumerate(values):

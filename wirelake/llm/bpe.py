@@ -22,13 +22,14 @@ from typing import Generic, TypeVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirelake.llm import blocks, common
 
 #: Pieces of text whose ids a task remembers before it starts anew; longer pieces are not kept.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 64
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 #: Bytes of text that are encoded together, and of the longest pre-token that shares a queue.
 STEP_BYTES, SHARED_BYTES = 2 << 20, 256
 #: Texts are cut before white space that follows another character, where no match can go on ...
@@ -283,13 +284,14 @@ def encode_column(docs: DataFrame, path: str, pattern: str, ids: bool = True) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks.release()  # what earlier steps of this worker have left
         own = encoder(path, pattern)
         names = own.names
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in blocks.steps([t or "" for t in texts], STEP_BYTES):
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for a, b in blocks.steps(list(map(range, sizes)), STEP_BYTES):  # texts become objects a step at a time
                 hashes, decoded = [], []
-                packed = own.encode_all([t or "" for t in texts[a:b]])
+                packed = own.encode_all([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()])
                 counts = np.array([len(p) for p in packed], np.int64)
                 for found in map(np.ndarray.tolist, packed):
                     hashes.append(hashlib.sha256(" ".join(map(names.__getitem__, found)).encode()).hexdigest())
@@ -302,7 +304,7 @@ def encode_column(docs: DataFrame, path: str, pattern: str, ids: bool = True) ->
                     fields.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, fields)
         own.forget()
-        pa.default_memory_pool().release_unused()
+        blocks.release()
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
