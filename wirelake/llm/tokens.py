@@ -207,8 +207,8 @@ def with_checksums(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(3)
-            at, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
-            sums = [zlib.crc32(flat[a:b].astype("<u4", copy=False)) for a, b in zip(at[:-1], at[1:])]
+            at, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
+            sums = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.diff(at).astype(np.int64)), pa.array(sums, pa.int64())],
                 ["doc_id", "start", "n_tokens", "ids_crc32"],
