@@ -758,8 +758,8 @@ def dedup_stored(spark, sf_dir):
     folder = run_folder(spark, "stored")
     lines = derived.ek_lines(derived.events(spark, sf_dir)).select("value")
     for run in range(2):
-        lines.coalesce(1).write.text(f"{folder}/in{run}")
-        arriving = shape.shape_packets(ek.ek_stream(spark, f"{folder}/in{run}", 1))
+        lines.write.text(f"{folder}/in{run}")  # all of a run's files are one micro-batch
+        arriving = shape.shape_packets(ek.ek_stream(spark, f"{folder}/in{run}"))
         dedup_into(
             arriving, f"{folder}/out", f"{folder}/checkpoint{run}", late="3650 days", trigger=_ONCE, first_batch=1000 * run
         ).awaitTermination()
