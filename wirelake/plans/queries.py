@@ -691,7 +691,7 @@ def dedup_stream(spark, sf_dir):
     """Packets by message id from a stream of several files, stopped and started again."""
     folder = run_folder(spark, "dedup")
     lines = derived.ek_lines(derived.events(spark, sf_dir)).select("event_id", "value")
-    half = max(1, spark.sparkContext.defaultParallelism // 2)  # files of a micro-batch
+    half = 8  # files of a micro-batch
     # Every packet comes twice, in files of its own.
     for _ in range(2):
         lines.repartition(2 * half, "event_id").select("value").write.mode("append").text(f"{folder}/in")
