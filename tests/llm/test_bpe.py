@@ -55,6 +55,28 @@ def test_shared_queue_equals_own_queues():
     assert own.merge_all([]) == []
 
 
+def test_full_memory_keeps_what_is_met_often(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 300)
+    own, learnt = bpe.Encoder(bpe.load_ranks(PATH), public_tokenizers.PATTERN), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda pieces: learnt.extend(pieces) or learn(pieces))
+    rng = random.Random(3)
+    for step in range(40):
+        rare = ["".join(rng.choice("qxzjkvw") for _ in range(9)) for _ in range(100)]
+        texts = [" zqxjoften" * 3 + " " + " ".join(rare), "z" * 100 + f" {step}", ""]
+        assert [ids.tolist() for ids in own.encode_all(texts)] == list(map(library.encode_ordinary, texts))
+        assert max(len(own.chunks), len(own.pieces)) <= 300
+    assert learnt.count(" zqxjoften") == 1
+    assert learnt.count("z" * 100) == 40  # not remembered
+
+
+def test_a_failed_call_leaves_nothing_behind():
+    own = bpe.Encoder({b"a": 0, b"b": 1, b"ab": 2}, public_tokenizers.PATTERN)
+    with pytest.raises(KeyError):
+        own.encode("aba cab")
+    assert own.encode("aabb") == [0, 2, 1] and own.decode([0, 2, 1]) == b"aabb" and own.decode([]) == b""
+
+
 def test_table(library, make):
     rows = [(1, "hello world"), (2, None), (3, ""), (None, "x"), (1, "hello world"), (4, "word " * 40_000)]
     got = bpe.encode_column(make(rows), PATH, public_tokenizers.PATTERN).collect()

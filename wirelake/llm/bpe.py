@@ -17,7 +17,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, islice
 from typing import Generic, TypeVar
 
 import numpy as np
@@ -28,10 +28,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirelake.llm import blocks, common
 
-#: Pieces of text whose ids a task remembers before it starts anew; longer pieces are not kept.
+#: Pieces of text whose ids a task remembers; of more, the half met most often; longer pieces are not kept.
 REMEMBERED, REMEMBERED_CHARS = 300_000, 64
-#: Bytes of text that are encoded together, and of the longest pre-token that shares a queue.
-STEP_BYTES, SHARED_BYTES = 2 << 20, 256
+#: Bytes of text that are encoded together, of the longest pre-token that shares a queue, and of those in one queue.
+STEP_BYTES, SHARED_BYTES, QUEUE_BYTES = 8 << 20, 256, 2 << 20
+#: Ids that are looked up, hashed or returned at once, and pieces whose ids are.
+SOME_IDS, SOME_PIECES = 1 << 19, 1 << 17
 #: Texts are cut before white space that follows another character, where no match can go on ...
 _CHUNKS = re.compile("[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: ... unless they hold white space beyond ASCII, or controls that libraries class differently.
@@ -47,6 +49,13 @@ def load_ranks(path: str) -> dict[bytes, int]:
 B = TypeVar("B")
 
 
+def _before(sizes: np.ndarray) -> np.ndarray:
+    """The sum of all sizes before each place, and of all."""
+    out = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=out[1:])
+    return out
+
+
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, "<i4").tobytes()
 
@@ -101,6 +110,61 @@ def _hashed(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     return found[order], np.array([ranks[t] for t in tokens], np.int64)[order]
 
 
+class Remembered(dict[str, int]):
+    """Pieces of text by number, in the order they are met; the ids of all pieces lie in one array."""
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.fresh: list[str] = []  # pieces that have a number, but no ids yet
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.met = np.zeros(0, "<i4"), np.zeros(0, np.int64)
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self.sizes) + len(self.fresh)
+        self.fresh.append(piece)
+        return number
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, pieces), np.int32, len(pieces))
+
+    def learn(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of all fresh pieces in a row, and how many each has."""
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        self.fresh = []
+
+    def ids_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of these pieces in a row."""
+        out = [np.zeros(0, "<i4")]
+        for a in range(0, len(numbers), SOME_PIECES):
+            some = numbers[a : a + SOME_PIECES]
+            sizes = self.sizes[some]
+            ends = np.cumsum(sizes)
+            out.append(self.ids[np.repeat(self.starts[some] - ends + sizes, sizes) + np.arange(ends[-1])])
+        return np.concatenate(out)
+
+    def settle(self, numbers: np.ndarray) -> None:
+        """Count what was met, leave out what is not worth keeping, give new numbers if it is too much."""
+        for piece in [p for p in islice(reversed(self), len(self.sizes) - len(self.met)) if len(p) > REMEMBERED_CHARS]:
+            del self[piece]
+        met = np.bincount(numbers, minlength=len(self.sizes))
+        met[: len(self.met)] += self.met
+        self.met = met
+        if len(self) <= REMEMBERED and len(self.ids) <= 16 * REMEMBERED:
+            return
+        pieces, old = list(self), np.fromiter(self.values(), np.int64, len(self))
+        best = np.sort(np.argsort(-met[old], kind="stable")[: REMEMBERED // 2])
+        old, pieces = old[best], list(map(pieces.__getitem__, best.tolist()))
+        ids, sizes = self.ids_of(old), self.sizes[old]
+        self.forget()
+        self.update(zip(pieces, range(len(pieces))))
+        self.learn(ids, sizes)
+        self.met = met[old] // 2  # what was met lately counts more
+
+
 class Encoder:
     """Encodes and decodes by a rank table, as the ranks' own library would without special tokens."""
 
@@ -109,12 +173,12 @@ class Encoder:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.names = [str(rank) for rank in range(len(self.tokens))]
+        self.bytes = pa.array(self.tokens, pa.large_binary())
+        self.names = pa.array([b"%d " % rank for rank in range(len(self.tokens))], pa.large_binary())
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(len(self.tokens))  # empty again after each use
         self.hashes, self.hashed_ranks = _hashed(ranks)
-        self.pieces: dict[str, bytes] = {}  # ids, four bytes each
-        self.chunks: dict[str, bytes] = {}
+        self.pieces, self.chunks = Remembered(), Remembered()
 
     def merge(self, token: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -210,7 +274,7 @@ class Encoder:
             look(np.concatenate([at, left]))
         where = np.flatnonzero(alive)
         ids = self._ranks_of(sums, where, after[where]).astype("<i4")
-        if self.decode(ids.tolist()) != text:  # two strings with one hash
+        if (ids < 0).any() or self.decode(ids) != text:  # two strings with one hash
             return [_packed(self.merge(t)) for t in tokens]
         raw, cuts = ids.tobytes(), (4 * np.searchsorted(where, starts)).tolist()
         return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
@@ -221,49 +285,63 @@ class Encoder:
         near = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
         return np.where(self.hashes[near] == found, self.hashed_ranks[near], -1)
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """The packed ids of matches of the pattern."""
-        out, short = {}, []
-        for piece in pieces:
-            token = piece.encode()
-            if token in self.ranks:
-                out[piece] = _packed([self.ranks[token]])
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of matches of the pattern in a row, and how many each has."""
+        found: list[bytes] = [b""] * len(pieces)
+        short, where = [], []
+        for i, token in enumerate(map(str.encode, pieces)):
+            rank = self.ranks.get(token)
+            if rank is not None:
+                found[i] = rank.to_bytes(4, "little")
             elif len(token) > SHARED_BYTES:
-                out[piece] = _packed(self.merge(token))
+                found[i] = _packed(self.merge(token))
             else:
-                short.append(piece)
-        out.update(zip(short, self.merge_all([p.encode() for p in short])))
-        return out
+                short.append(token)
+                where.append(i)
+        for a, b in blocks.steps(short, QUEUE_BYTES):
+            for i, packed in zip(where[a:b], self.merge_all(short[a:b])):
+                found[i] = packed
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<i4"), sizes
 
     def forget(self) -> None:
         """Give back what was remembered; a worker process outlives its task."""
-        self.chunks.clear()
-        self.pieces.clear()
+        self.chunks.forget()
+        self.pieces.forget()
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; each match of the pattern is merged by itself."""
-        # odd texts are one chunk; the others are cut where no match can go on
-        parts = [[t] if _ODD_SPACE.search(t) else _CHUNKS.findall(t) for t in texts]
-        fresh = set(chain.from_iterable(parts)).difference(self.chunks)
-        if len(self.chunks) + len(fresh) > REMEMBERED:
+        chunks, pieces = self.chunks, self.pieces
+        if chunks.fresh or pieces.fresh:  # the call before this one has failed
             self.forget()
-            fresh = set(chain.from_iterable(parts))
-        found = {part: self.pattern.findall(part) for part in fresh}
-        new = self._learn(set(chain.from_iterable(found.values())).difference(self.pieces))
-        self.pieces.update(new)
-        piece, chunk = self.pieces.__getitem__, self.chunks.__getitem__
-        self.chunks.update((part, b"".join(map(piece, pieces))) for part, pieces in found.items())
-        out = [np.frombuffer(b"".join(map(chunk, p)), "<i4") for p in parts]
-        for kept, added in ((self.chunks, fresh), (self.pieces, new)):  # long ones are not worth keeping
-            for part in [p for p in added if len(p) > REMEMBERED_CHARS]:
-                del kept[part]
-        return out
+        # odd texts are one chunk; the others are cut where no match can go on
+        parts = [chunks.numbers([t] if _ODD_SPACE.search(t) else _CHUNKS.findall(t)) for t in texts]
+        found = list(map(self.pattern.findall, chunks.fresh))
+        matches = pieces.numbers(list(chain.from_iterable(found)))
+        pieces.learn(*self._learn(pieces.fresh))
+        ends = np.cumsum([0, *map(len, found)])
+        chunks.learn(pieces.ids_of(matches), np.diff(_before(pieces.sizes[matches])[ends]))
+        numbers = np.concatenate([np.zeros(0, np.int32), *parts])
+        ends = np.cumsum([0, *map(len, parts)])
+        cuts = _before(chunks.sizes[numbers])[ends].tolist()
+        ids = chunks.ids_of(numbers)
+        pieces.settle(matches)
+        chunks.settle(numbers)
+        return [ids[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0].tolist()
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
+        return b"".join(_joined(self.bytes, np.array(ids, np.int32), [0, len(ids)]))
+
+
+def _joined(words: pa.Array, ids: np.ndarray, cuts: list[int]) -> Iterator[pa.Buffer]:
+    """The words with these numbers, one after the other, of each range of ``ids`` between two cuts."""
+    _, ends, data = words.take(pa.array(ids)).buffers()
+    data = pa.py_buffer(b"") if data is None else data
+    at = np.frombuffer(ends, np.int64)[cuts].tolist()
+    return (data[i:j] for i, j in zip(at, at[1:]))
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -276,6 +354,18 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _ENCODERS[path, pattern]
 
 
+_FIELDS = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def _row_values(own: Encoder, keys: pa.Array, packed: list[np.ndarray]) -> list[pa.Array]:
+    """``keys`` with the counts of ids, and the digests of their numbers as text and of what they decode to."""
+    cuts = np.cumsum([0, *map(len, packed)])
+    together, cuts = np.concatenate(packed), cuts.tolist()
+    names = [hashlib.sha256(text[:-1]).hexdigest() for text in _joined(own.names, together, cuts)]
+    decoded = [hashlib.sha256(text).hexdigest() for text in _joined(own.bytes, together, cuts)]
+    return [keys, pa.array([len(p) for p in packed], pa.int64()), pa.array(names), pa.array(decoded)]
+
+
 def encode_column(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFrame:
     """``docs``' doc_id with n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids.
 
@@ -286,23 +376,17 @@ def encode_column(docs: DataFrame, path: str, pattern: str, ids: bool = True) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks.release()  # what earlier steps of this worker have left
         own = encoder(path, pattern)
-        names = own.names
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             for a, b in blocks.steps(list(map(range, sizes)), STEP_BYTES):  # texts become objects a step at a time
-                hashes, decoded = [], []
                 packed = own.encode_all([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()])
-                counts = np.array([len(p) for p in packed], np.int64)
-                for found in map(np.ndarray.tolist, packed):
-                    hashes.append(hashlib.sha256(" ".join(map(names.__getitem__, found)).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(own.decode(found)).hexdigest())
-                columns = [batch.column(0).slice(a, b - a), pa.array(counts), pa.array(hashes), pa.array(decoded)]
-                fields = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if ids:
-                    at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(packed))))
-                    fields.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, fields)
+                for i, j in blocks.steps(packed, SOME_IDS):
+                    columns, fields = _row_values(own, batch.column(0).slice(a + i, j - i), packed[i:j]), _FIELDS
+                    if ids:
+                        at = np.concatenate([[0], np.cumsum(columns[1])]).astype(np.int32)
+                        columns.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(packed[i:j]))))
+                        fields = [*_FIELDS, "ids"]
+                    yield pa.RecordBatch.from_arrays(columns, fields)
         own.forget()
         blocks.release()
 
