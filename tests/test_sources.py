@@ -1,3 +1,7 @@
+import random
+import re
+
+from wirelake.plans.queries import queries
 from wirelake.sources.ek import clean_lines, ek_scan, ek_stream
 from wirelake.sources.exposition import metrics_parse
 from wirelake.sources.replay import replay_expand
@@ -75,3 +79,30 @@ def test_exposition(spark):
     assert rows["not_a_number"].value != rows["not_a_number"].value
     assert rows['twice{a="1",b="2",a="3"}'].labels == {"a": "3", "b": "2"}
     assert rows['spaced{x="1"}  '].value == 5.0
+
+
+def test_random_label_sets(spark):
+    rng, pattern = random.Random(4), re.compile(r'([A-Za-z_][A-Za-z0-9_]*)="([^"\\]*(?:\\.[^"\\]*)*)"')
+    pieces = ["a", "b", "le", "=", '"', '="', '",', ",", "{", "}", " ", "\\", '\\"', "é", "1", '="x"', '=""', "_9"]
+    made = {"".join(rng.choice(pieces) for _ in range(rng.randint(1, 14))) for _ in range(3000)}
+    made |= {f'm{{{",".join(f"{k}=" + chr(34) + str(i) + chr(34) for i, k in enumerate(rng.choices("abcd", k=6)))}}}' for _ in range(300)}
+    space = ["", " ", "\t", "\xa0", "　\r"]
+    lines = [(s, rng.choice(space) + s + " 1.5" + rng.choice(space)) for s in made if s == s.strip() and not s.startswith("#")]
+    got = {r["made"]: r for r in metrics_parse(spark.createDataFrame(lines, "made STRING, line STRING")).collect()}
+    assert len(got) == len(lines)
+    for series, row in got.items():
+        found = pattern.findall(series[series.index("{") :]) if "{" in series else []
+        name = series if series.startswith("{") else series.split("{")[0]
+        assert (row["series"], row["name"], row["labels"], row["value"]) == (series, name, dict(found), 1.5)
+
+
+def test_a_line_is_stripped_once(spark):
+    lines = spark.createDataFrame([(line,) for line in EXPOSITION.split("\n")], "line STRING")
+    for names in ((), ("plain", "odd")):
+        plan = metrics_parse(lines, names=names)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("trim(") == 1
+
+
+def test_events_are_dealt_out_before_they_become_lines(spark, sf_dir):
+    plan = queries()["metrics_parse"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RebalancePartitions") < plan.index("parquet")

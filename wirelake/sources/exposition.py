@@ -11,7 +11,7 @@ from wirelake.functions.text import strip
 
 # The numbers a sample may have, and labels as name="text".
 _NUMBER = r"^(?:[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))|(?i:nan))\z"
-_LABEL = r'[A-Za-z_][A-Za-z0-9_]*="[^"\\]*(?:\\.[^"\\]*)*"'
+_LABEL = r'([A-Za-z_][A-Za-z0-9_]*)="([^"\\]*(?:\\.[^"\\]*)*)"'
 
 
 def metrics_parse(lines: DataFrame, column: str = "line", names: tuple[str, ...] = ()) -> DataFrame:
@@ -21,15 +21,16 @@ def metrics_parse(lines: DataFrame, column: str = "line", names: tuple[str, ...]
     they are taken apart.
 
     The value is the last word, the series all before it. Comments, blank lines, lines of one
-    word and lines whose last word is no number, or one beyond a double, are dropped. The two parts pass through
-    ``explode(array(..))``, so that filters on them do not split the line again.
+    word and lines whose last word is no number, or one beyond a double, are dropped. The stripped line and its
+    two parts pass through ``explode(array(..))``, so that filters on them do not strip or split it again.
     """
     text = F.col("_text")
     number = F.substring_index(text, " ", -1)
     parts = F.struct(
         F.left(text, F.length(text) - F.length(number) - 1).alias("series"), number.alias("number")
     )
-    stripped = lines.withColumn("_text", strip(F.col(column)))
+    words = lines.filter(F.col(column).contains(" "))  # a line of one word is not worth stripping
+    stripped = words.withColumn("_text", F.explode(F.array(strip(F.col(column)))))
     if names:
         stripped = stripped.filter(reduce(or_, [text.startswith(name) for name in names]))
     samples = (
@@ -41,36 +42,36 @@ def metrics_parse(lines: DataFrame, column: str = "line", names: tuple[str, ...]
         .withColumn("series", F.col("_parts.series"))
         .drop(column, "_text", "_parts")
         .withColumn("name", metric_name(F.col("series")))
-        .withColumn("labels", metric_labels(F.col("series")))
+        .withColumns(dict(zip(("_label_names", "_label_values"), _label_parts(F.col("series")))))
+        .withColumn("labels", _label_map(F.col("_label_names"), F.col("_label_values")))
+        .drop("_label_names", "_label_values")
     )
     return samples.filter(F.col("name").isin(*names)) if names else samples
 
 
-def metric_labels(series):
-    """Label names and values, as written between their quotes; of a repeated name the last."""
-
-    def entry(pair):
-        name = F.substring_index(pair, "=", 1)
-        value = F.substring(pair, F.length(name) + 3, F.length(pair) - F.length(name) - 3)
-        return F.struct(name.alias("name"), value.alias("value"))
-
+def _label_parts(series: Column) -> tuple[Column, Column]:
+    """Label names and values, as written between their quotes; null without a label set."""
     # From the brace on: within a long name the pattern would start anew at every letter.
     text = F.substring(series, F.instr(series, "{"), F.length(series))
-    pairs = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(0))
-    return F.when(
-        series.contains("{"), F.element_at(F.transform(F.array(F.transform(pairs, entry)), _last_of_each), 1)
-    ).otherwise(F.create_map().cast("map<string,string>"))
+    names, values = (F.regexp_extract_all(text, F.lit(_LABEL), F.lit(group)) for group in (1, 2))
+    return F.when(series.contains("{"), names), F.when(series.contains("{"), values)
 
 
-def _last_of_each(entries: Column) -> Column:
-    def later(entry: Column, i: Column) -> Column:
-        return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other["name"] == entry["name"])
+def _label_map(names: Column, values: Column) -> Column:
+    """The labels as a map; of a repeated name the last counts."""
 
-    # Repeated names are rare; only they are worth comparing each entry with all others.
-    repeats = F.size(F.array_distinct(F.transform(entries, lambda e: e["name"]))) < F.size(entries)
-    return F.map_from_entries(F.when(repeats, F.filter(entries, lambda entry, i: ~later(entry, i))).otherwise(entries))
+    def last(_: Column, i: Column) -> Column:
+        return ~F.array_contains(F.slice(names, i + 2, F.size(names)), F.element_at(names, i + 1))
+
+    # Repeated names are rare; only they are worth comparing each name with all others.
+    repeats = F.size(F.array_distinct(names)) < F.size(names)
+    return (
+        F.when(names.isNull(), F.create_map().cast("map<string,string>"))
+        .when(repeats, F.map_from_arrays(F.filter(names, last), F.filter(values, last)))
+        .otherwise(F.map_from_arrays(names, values))
+    )
 
 
 def metric_name(series):
     """The text before the label set; a series that starts with its labels has no other name."""
-    return F.when(series.startswith("{"), series).otherwise(F.split_part(series, F.lit("{"), F.lit(1)))
+    return F.when(series.startswith("{"), series).otherwise(F.substring_index(series, "{", 1))
