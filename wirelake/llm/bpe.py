@@ -31,7 +31,7 @@ from wirelake.llm import blocks, common
 #: Pieces of text whose ids a task remembers; of more, the half met most often; longer pieces are not kept.
 REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 #: Bytes of text that are encoded together, of the longest pre-token that shares a queue, and of those in one queue.
-STEP_BYTES, SHARED_BYTES, QUEUE_BYTES = 8 << 20, 256, 2 << 20
+STEP_BYTES, SHARED_BYTES, QUEUE_BYTES = 4 << 20, 256, 1 << 20
 #: Ids that are looked up, hashed or returned at once, and pieces whose ids are.
 SOME_IDS, SOME_PIECES = 1 << 19, 1 << 17
 #: Texts are cut before white space that follows another character, where no match can go on ...
