@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirelake.llm import bpe, common, decontaminate, jaccard, rules, suffix_dedup
+from wirelake.session import run_folder
+from wirelake.sources import files
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +69,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    """The last stage's rows; of the others' only those that the next stage reads are kept meanwhile."""
+    docs, read = common.table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = common.written(stage(spark, docs, sf_dir), "stage")
+        path = run_folder(spark, "stage")
+        docs = common.written(stage(spark, docs, sf_dir), "stage", path)
+        if read is not None:
+            files.remove_folder(spark, read)
+        read = path
     return docs

@@ -120,3 +120,45 @@ def test_steps_of_one_class_go_to_many_buckets():
     docs = [r for r in rows if r["kind"] == jaccard._DOCS]
     assert sum(len(r["data"]) // 32 for r in docs) == 24
     assert len({r["bucket"] for r in docs}) > 4
+
+
+def test_a_common_line_makes_no_candidates():
+    import numpy as np
+
+    rng = random.Random(6)
+    line = " ".join(f"c{k}" for k in range(40))
+    values = [" ".join([*(f"w{rng.randrange(10**9)}" for _ in range(500)), line, *(f"w{rng.randrange(10**9)}" for _ in range(500))]) for _ in range(300)]
+    values += [values[0] + " and more", values[1].replace("c7", "d7")]
+    row, sig, band = jaccard.signatures(*jaccard.gram_sets([v.encode() for v in values], 5), jaccard.Bounds(80))
+    order = np.argsort(sig, kind="stable")
+    row, sig = row[order], sig[order]
+    same = sig[1:] == sig[:-1]
+    shared = set(row[1:][same]) | set(row[:-1][same])
+    assert {0, 1, 300, 301} <= shared and len(shared) < 150
+
+
+@pytest.mark.parametrize("percent", [50, 70, 80, 90])
+def test_similar_sets_share_a_signature(percent):
+    import numpy as np
+
+    rng, bounds = np.random.default_rng(percent), jaccard.Bounds(percent)
+    for size in (64, 70, 90, 150, 400, 1500, 6000):
+        for _ in range(12):
+            # as many n-grams as allowed go, come or are others
+            both = rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2)
+            spare = size * (100 - percent) // percent
+            left = rng.choice([0, spare // 2, spare])
+            new = lambda k: rng.integers(0, 2**63, k).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+            pair = [np.unique(np.concatenate([both, new(k)])) for k in (left, spare - left)]
+            at = np.cumsum([0, *map(len, pair)])
+            assert bounds.similar(size, *map(len, pair))
+            row, sig, band = jaccard.signatures(np.concatenate(pair), at, bounds)
+            assert set(zip(sig[row == 0].tolist(), band[row == 0].tolist())) & set(zip(sig[row == 1].tolist(), band[row == 1].tolist()))
+
+
+def test_texts_of_no_cluster_are_not_sent(make, spark):
+    docs = make([(k, f"text {k}") for k in range(2000)])
+    members = spark.createDataFrame([(k,) for k in range(0, 100, 2)], "node bigint")
+    got = {r["doc_id"] for r in jaccard._perhaps_in(docs.select("doc_id", "text"), members).collect()}
+    assert got >= set(range(0, 100, 2)) and len(got) < 60
+    assert jaccard._perhaps_in(docs.select("doc_id", "text"), members.limit(0)).count() == 0

@@ -3,8 +3,10 @@ import random
 
 import corpus_pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from wirelake.llm import bpe, common
+from wirelake.sources import files as sources
 from tests.llm import test_decontaminate, test_jaccard, test_rules, test_suffix_dedup
 
 
@@ -65,3 +67,22 @@ def test_each_stage_by_brute_force(spark, folder):
 def test_run_on_an_empty_table(spark, folder):
     docs, labels, items, _ = documents(spark)
     assert corpus_pipeline.run(spark, folder(documents=docs.limit(0), labels=labels, benchmark=items)).count() == 0
+
+
+def test_stages_leave_neither_their_input_nor_shuffle_files(spark, folder, monkeypatch):
+    shuffled = lambda: sum(f.getName().startswith("shuffle_") for f in _java_list(spark))
+    docs, labels, items, _ = documents(spark)
+    path = folder(documents=docs, labels=labels, benchmark=items)
+    made, given = [], corpus_pipeline.run_folder
+    monkeypatch.setattr(corpus_pipeline, "run_folder", lambda s, name: made.append(given(s, name)) or made[-1])
+    assert corpus_pipeline.run(spark, path).count() > 0
+    assert [sources.exists(spark, p) for p in made] == [False] * (len(corpus_pipeline.STAGES) - 1) + [True]
+
+    before = shuffled()
+    common.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert shuffled() <= before
+
+
+def _java_list(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return [found.apply(k) for k in range(found.size())]

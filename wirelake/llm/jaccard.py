@@ -3,9 +3,11 @@
 Which rows of the matrix need to meet follows from a bound of their sizes: two sets of a and b
 n-grams with a Jaccard similarity of t differ in at most ``(1 - t) / (1 + t) * (a + b)`` n-grams.
 The n-grams are dealt into more column blocks than that, by hash, so some block of such a pair is
-equal; rows are candidates of one another only where they share a whole block. Small sets, and
-the few with too many empty blocks, are found by their n-grams of least hash instead: of those,
-similar sets share one among the first ``(1 - t) * a + 1``. Rows that are joined by candidates of
+equal; rows are candidates of one another only where they share a whole block of two n-grams or
+more. A block of one n-gram is shared by all texts with one common line, so only rows with few
+larger blocks show theirs. Small sets, and the few with too many empty blocks, are found by
+their n-grams of least hash instead: of those, similar sets share one among the first
+``(1 - t) * a + 1``. Rows that are joined by candidates of
 one size band form a cluster. Each cluster's product is computed in tasks of bounded size, column
 block by column block; pairs whose overlap can no longer reach the bound are dropped on the way,
 and of the pairs that reach it only a spanning forest leaves the task.
@@ -34,6 +36,8 @@ BUCKET_BYTES = 32 << 20
 TASK_GRAMS = 1 << 21
 #: Signatures a task gathers before it sends them off.
 FLUSH = 1 << 20
+#: Bits that tell which documents are in a cluster: 4 MB, sent to every task.
+MEMBER_BITS = 1 << 25
 ROWS, COLUMNS = 256, 2048
 #: Rows that are multiplied with the whole cluster before its blocks are.
 PIVOTS = 8
@@ -82,24 +86,40 @@ class Bounds:
         self.ratio = 1 / (percent / 100 - 0.001)  # a little wide, so that rounding loses no pair
         #: Sets below this size are similar only if equal.
         self.least = next(n for n in range(1, 1 << 20) if 100 * n >= percent * (n + 1))
-        self.parts, self.spare = np.array([self._dealt(k) for k in range(self._top + 2)], np.int64).T
+        self.most = np.array([int(min(self.ratio ** (k + 1) + 1e-6, 1 << 41)) for k in range(self._top + 2)], np.int64)
+        self.parts = np.array([self._dealt(k) for k in range(self._top + 2)], np.int64)
 
     @property
     def _top(self) -> int:
         return int(np.log(1 << 40) / np.log(self.ratio))
 
-    def _dealt(self, band: int) -> tuple[int, int]:
-        """Column blocks of a band, and how many of them may be empty.
+    def _dealt(self, band: int) -> int:
+        """Column blocks of a band.
 
         The blocks outnumber what a pair in this band or the one below can differ in by more than
-        the empty ones of either row, as equal blocks without any n-gram tell nothing.
+        those of either row that tell nothing: the blocks with less than two n-grams, if there is
+        a number of blocks that leaves enough others, or else the empty ones.
         """
-        most, least = int(self.ratio ** (band + 1) + 1e-6), max(self.ratio ** (band - 1), self.SMALL)
-        differ, spare = (100 - self.percent) * 2 * most // (100 + self.percent), 1
+        most = int(self.most[band])
+        sizes = np.array([max(self.ratio ** (band - 1), self.SMALL), max(self.ratio**band, self.SMALL), max(most, self.SMALL)])
+        differ, spare = int(self.differ(most, band)), 1
+        tried = np.unique(differ + 2 + (max(differ, 20) * np.arange(41) / 20).astype(np.int64))[:, None]
+        load = sizes / tried
+        light = (1 + load) * np.exp(-load)
+        left = tried - self.differ(sizes.astype(np.int64), band) - 1 - tried * light
+        sure = (left / np.sqrt(tried * light * (1 - light))).min(1)  # deviations that the rows' light blocks stay below
+        if sure.max() > 0:
+            enough = np.flatnonzero(sure >= 2)
+            return int(tried[enough[0] if len(enough) else sure.argmax(), 0])
         for _ in range(40):
-            empty = (differ + 1 + spare) * np.exp(-least / (differ + 1 + spare))
+            empty = (differ + 1 + spare) * np.exp(-sizes[0] / (differ + 1 + spare))
             spare = 1 + int(np.ceil(empty + 2 * np.sqrt(empty)))
-        return differ + 1 + spare, spare
+        return differ + 1 + spare
+
+    def differ(self, sizes: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """The n-grams in which a set can differ from one similar to it of up to this band."""
+        other = np.minimum(100 * sizes // self.percent, self.most[band])
+        return (100 - self.percent) * (sizes + other) // (100 + self.percent)
 
     def band(self, sizes: np.ndarray) -> np.ndarray:
         return np.floor(np.log(np.maximum(sizes, 1)) / np.log(self.ratio) + 1e-9).astype(np.int64)
@@ -138,11 +158,15 @@ def signatures(grams: np.ndarray, at: np.ndarray, bounds: Bounds) -> tuple[np.nd
             new[1:] = (of_row[1:] != of_row[:-1]) | (part[1:] != part[:-1])
             first = np.flatnonzero(new)
             row = of_row[first]
+            # more blocks are equal than tell nothing of either row, as long as those are so few
+            few = parts - bounds.differ(sizes, key) - 1
+            several = np.diff(np.append(first, len(gram))) > 1
+            shown = several | (parts - np.bincount(row[several], minlength=len(sizes)) > few)[row]
+            by_least |= large & (parts - np.bincount(row, minlength=len(sizes)) > few)
             where = part[first] * _KEY + key[row].astype(np.uint64) * _BAND
-            out.append(blocks.mix(np.add.reduceat(mixed, first) ^ where))
-            out_rows.append(row)
-            out_bands.append(key[row])
-            by_least |= large & (parts - np.bincount(row, minlength=len(sizes)) > bounds.spare[key])
+            out.append(blocks.mix(np.add.reduceat(mixed, first) ^ where)[shown])
+            out_rows.append(row[shown])
+            out_bands.append(key[row][shown])
     rows = np.flatnonzero(by_least)
     take = bounds.prefix(sizes[rows])
     place = np.repeat(at[rows] - np.cumsum(take) + take, take) + np.arange(take.sum())
@@ -440,12 +464,25 @@ def _links(given: DataFrame, members: DataFrame, n: int, percent: int) -> DataFr
         # small clusters share tasks, pairs of row blocks have one each
         .withColumn("task", F.when(F.col("_split") > 1, F.xxhash64("cluster", "left", "right")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(tasks))))
     )
-    texts = given.filter("doc_id IS NOT NULL")
+    texts = _perhaps_in(given.filter("doc_id IS NOT NULL"), members)
     # merged at every size: a plan that broadcasts small inputs says nothing about large ones
     chosen = placed.hint("merge").join(texts, placed["node"] == texts["doc_id"]).select("task", "cluster", "left", "right", "node", "text")
     return chosen.groupBy("task").applyInPandas(multiply, "a bigint, b bigint")
 
 
+def _perhaps_in(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """The texts whose doc_id is a member's, and few others, found without a shuffle of texts."""
+    place = lambda key: F.pmod(F.xxhash64(key), F.lit(MEMBER_BITS))
+    bits = members.groupBy(F.bitmap_bucket_number(place("node")).alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place("node"))).alias("_bits")
+    )
+    bit = F.bitmap_bit_position(place("doc_id"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(1) == 1
+    near = texts.withColumn("_part", F.bitmap_bucket_number(place("doc_id"))).join(F.broadcast(bits), "_part")
+    return near.filter(hit).select("doc_id", "text")
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(common.table(spark, sf_dir, "documents"))
 
