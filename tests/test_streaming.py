@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from wirelake.operators import counters, storage
 from wirelake.operators.shape import dead_letters, shape_lines, shape_packets
 from wirelake.plans import derived
-from wirelake.session import run_folder
+from wirelake.session import run_folder, state_on_disk
 from wirelake.sources.ek import ek_stream
-from wirelake.streaming import fanout, ingest
+from wirelake.streaming import fanout, ingest, packets
 from wirelake.streaming.packets import dedup_stream, per_minute_stream
 from tests.conftest import at
 from tests.test_shape import doc
@@ -162,6 +162,29 @@ def test_dedup_stream(spark, salts):
     assert spark.read.parquet(f"{folder}/out").count() == 2
 
 
+def test_dedup_stream_keeps_each_id_once(spark):
+    folder, provider = run_folder(spark, "s"), spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    for _ in range(2):  # copies come from other tasks of the same and of a later micro-batch
+        packets = _packet_stream(spark, f"{folder}/in", [doc(timestamp=str(1755123456000 + t)) for t in range(30)] * 20)
+        kept = dedup_stream(packets, late="10 days")
+        with state_on_disk(spark):
+            query = (
+                kept.writeStream.format("parquet").option("path", f"{folder}/out")
+                .option("checkpointLocation", f"{folder}/cp").trigger(**ONCE).start()
+            )
+        run(query)
+        states = [p["stateOperators"] for p in query.recentProgress]
+        assert states and all(len(s) == 1 and any("rocksdb" in m for m in s[0]["customMetrics"]) for s in states)
+    assert spark.read.parquet(f"{folder}/out").count() == 30
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+
+
+def test_first_of_equal_ids_in_a_batch(spark):
+    rows = spark.createDataFrame([(k, None if k % 5 == 0 else str(k % 3)) for k in range(3000)], "k int, id string").coalesce(1)
+    kept = rows.filter(packets._first_of_batch()("id")).collect()
+    assert {r["id"] for r in kept} == {None, "0", "1", "2"} and len(kept) == 4
+
+
 def test_per_minute_stream(spark):
     folder = run_folder(spark, "s")
     minute = 60_000

@@ -18,7 +18,7 @@ from wirelake.operators import (
 from wirelake.operators.scan import kept
 from wirelake.plans import derived, settings as P
 from wirelake.schema import PACKET_COLUMNS
-from wirelake.session import run_folder, use_utc
+from wirelake.session import run_folder, state_on_disk, use_utc
 from wirelake.sources import ek, exposition, replay
 from wirelake.sources.ek import clean_lines
 from wirelake.sources.files import file_sizes
@@ -699,9 +699,10 @@ def dedup_stream(spark, sf_dir):
         lines.repartition(2 * half, "event_id").select("value").write.mode("append").text(f"{folder}/in")
         arriving = shape.shape_packets(ek.ek_stream(spark, f"{folder}/in", half))
         kept = deduplicated(arriving, late="3650 days").select(*traffic.IDENTITY)
-        kept.writeStream.format("parquet").option("path", f"{folder}/out").option(
-            "checkpointLocation", f"{folder}/checkpoint"
-        ).trigger(**_ONCE).start().awaitTermination()
+        with state_on_disk(spark):  # all ids stay within so long a time
+            kept.writeStream.format("parquet").option("path", f"{folder}/out").option(
+                "checkpointLocation", f"{folder}/checkpoint"
+            ).trigger(**_ONCE).start().awaitTermination()
     return spark.read.schema(kept.schema).parquet(f"{folder}/out")
 
 

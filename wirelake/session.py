@@ -4,12 +4,24 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+_STATE = "spark.sql.streaming.stateStore"
+#: State in files with a bounded share of memory; a micro-batch writes what it changed, and none
+#: without rows opens all of it only to evict, which the next one with rows does as well.
+_DISK_STATE = {
+    f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STATE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STATE}.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 def build_session(app: str = "wirelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,6 +73,25 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start meanwhile keep their state on disk instead of in the heap of the executors.
+
+    Not for streams that give rows only when the watermark passes: the last ones would wait for more input.
+    """
+    before = {key: spark.conf.get(key, None) for key in _DISK_STATE}
+    for key, value in _DISK_STATE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def send_code_with_tasks(module: str) -> None:
     """Let Python workers receive a module's functions with the task.
 

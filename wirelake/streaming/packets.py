@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -20,17 +23,28 @@ FILTER_BITS = 1 << 23
 def dedup_stream(packets: DataFrame, late: str = "10 minutes", salts: int = 16) -> DataFrame:
     """Drop packets whose message id was seen within ``late``; older ids leave the state.
 
-    Copies are first dropped per id and salt, so that a packet with very many copies is spread
-    over ``salts`` tasks and few copies are left for the one that decides. The first step
-    keeps ids as well; ``salts=1`` does without it.
+    Copies are first dropped where they are read, within each batch of rows that a task takes at
+    once, so of a packet with very many copies few are left for the task that decides. That step
+    keeps nothing; ``salts=1`` does without it.
     """
     known = packets.withColumn("msg_id", packet_id()).withWatermark("ts", late)
     if salts > 1:
-        salted = known.withColumn("_salt", F.spark_partition_id() % salts)
-        known = salted.dropDuplicatesWithinWatermark(["msg_id", "_salt"]).drop("_salt")
+        known = known.filter(_first_of_batch()("msg_id"))
     return known.dropDuplicatesWithinWatermark(["msg_id"])
 
 
+def _first_of_batch() -> Callable[..., Column]:
+    """True for the first of equal values in each batch of rows, the null ones among them."""
+
+    def first(ids: pa.Array) -> pa.Array:
+        values = ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        out = np.zeros(len(values), bool)
+        out[np.unique(values, return_index=True)[1]] = True
+        return pa.array(out)
+
+    return F.arrow_udf(first, "boolean").asNondeterministic()
+
+
 def per_minute_stream(packets: DataFrame, late: str = "2 minutes") -> DataFrame:
     """Packets and bytes per minute; a minute is final once ``late`` has passed."""
     return (
